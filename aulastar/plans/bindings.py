@@ -127,7 +127,8 @@ def surrogate_teachers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def surrogate_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seed lookup: member keys from the supplier table."""
     return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("int").alias("s_suppkey"),
-                                                   F.col("s_name").alias("nombre_oficial"))
+                                                   F.col("s_name").alias("nombre_oficial"),
+                                                   F.col("s_name").alias("universidad_sue"))
 
 
 def _fingerprint(sf_dir: str) -> str:

@@ -256,3 +256,145 @@ FROM sj WHERE es_sue ORDER BY nombre_ies, anio"""),
 }
 
 __all__ = ["ORACLE", "TPCH_AS_OF"]
+
+
+# ---------------------------------------------------------------------------
+# data-quality queries
+# ---------------------------------------------------------------------------
+
+_FACT_COLS = ("codigo_snies, anio, total_matriculados, total_docentes, ratio_estudiante_docente, flag_calidad")
+_DIM_COLS = ("codigo_snies, nombre_ies, tipo_ies, sector_ies, caracter_ies, departamento_ies, municipio_ies, "
+             "ies_acreditada, es_sue")
+
+
+def _fail_not_null(t, c):
+    return f"SELECT * FROM {t} WHERE {c} IS NULL"
+
+
+def _fail_unique(t, c):
+    return f"SELECT {c}, COUNT(*) AS n_records FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING COUNT(*) > 1"
+
+
+def _fail_accepted(t, c, values):
+    return f"SELECT * FROM {t} WHERE {c} NOT IN ({values})"
+
+
+def _fail_rel(t, c, p, f):
+    return (f"SELECT * FROM {t} ch WHERE ch.{c} IS NOT NULL "
+            f"AND NOT EXISTS (SELECT 1 FROM {p} pa WHERE pa.{f} = ch.{c})")
+
+
+def _fail_expr(t, e, where="TRUE"):
+    return f"SELECT * FROM {t} WHERE ({where}) AND NOT ({e})"
+
+
+def _fail_range(t, c, lo, hi):
+    return f"SELECT * FROM {t} WHERE {c} < {lo} OR {c} > {hi}"
+
+
+def _fail_combo(t, cols):
+    return f"SELECT {cols}, COUNT(*) AS n_records FROM {t} GROUP BY {cols} HAVING COUNT(*) > 1"
+
+
+def _fail_place(pattern):
+    return (f"SELECT f.codigo_snies, f.anio, d.departamento_ies FROM fact f LEFT JOIN dim d USING (codigo_snies) "
+            f"WHERE d.departamento_ies IS NULL OR upper(d.departamento_ies) NOT LIKE {_q(pattern)}")
+
+
+def _suite_checks() -> list[tuple[str, str, str]]:
+    years = _list(C.accepted_years)
+    out = []
+    for t in ("m_raw", "d_raw"):
+        name = "matriculados_raw" if t == "m_raw" else "docentes_raw"
+        for col in ("codigo_institucion", "anio"):
+            out.append((f"not_null_{name}_{col}", name, _fail_not_null(t, col)))
+    out += [
+        ("not_null_stg_ies_codigo_snies", "stg_ies", _fail_not_null("stg_ies", "codigo_snies")),
+        ("unique_stg_ies_codigo_snies", "stg_ies", _fail_unique("stg_ies", "codigo_snies")),
+        ("not_null_stg_ies_nombre_ies", "stg_ies", _fail_not_null("stg_ies", "nombre_ies")),
+    ]
+    for name, t, total, rng in (("stg_matriculados", "stg_m", "total_matriculados", True),
+                                ("stg_docentes", "stg_d", "total_docentes", False)):
+        out += [
+            (f"not_null_{name}_codigo_snies", name, _fail_not_null(t, "codigo_snies")),
+            (f"relationships_{name}_codigo_snies", name, _fail_rel(t, "codigo_snies", "stg_ies", "codigo_snies")),
+            (f"not_null_{name}_anio", name, _fail_not_null(t, "anio")),
+            (f"accepted_values_{name}_anio", name, _fail_accepted(t, "anio", years)),
+            (f"not_null_{name}_{total}", name, _fail_not_null(t, total)),
+            (f"expression_is_true_{name}_{total}", name, _fail_expr(t, f"{total} >= 0")),
+        ]
+        if rng:
+            out.append((f"accepted_range_{name}_semestres_presentes", name,
+                        _fail_range(t, "semestres_presentes", *C.semester_range)))
+        out.append((f"unique_combination_{name}", name, _fail_combo(t, "codigo_snies, anio")))
+    out += [
+        ("not_null_seed_s_suppkey", "seed", _fail_not_null("seed_t", "s_suppkey")),
+        ("unique_seed_s_suppkey", "seed", _fail_unique("seed_t", "s_suppkey")),
+        ("not_null_seed_nombre_oficial", "seed", _fail_not_null("seed_t", "nombre_oficial")),
+        ("not_null_seed_universidad_sue", "seed", _fail_not_null("seed_t", "universidad_sue")),
+        ("not_null_dim_ies_codigo_snies", "dim_ies", _fail_not_null("dim", "codigo_snies")),
+        ("unique_dim_ies_codigo_snies", "dim_ies", _fail_unique("dim", "codigo_snies")),
+        ("not_null_dim_ies_nombre_ies", "dim_ies", _fail_not_null("dim", "nombre_ies")),
+        ("accepted_values_dim_ies_sector_ies", "dim_ies", _fail_accepted("dim", "sector_ies", _list(C.sector_accepted))),
+        ("accepted_values_dim_ies_caracter_ies", "dim_ies",
+         _fail_accepted("dim", "caracter_ies", _list(C.caracter_accepted))),
+        ("not_null_dim_ies_es_sue", "dim_ies", _fail_not_null("dim", "es_sue")),
+        ("accepted_values_dim_ies_es_sue", "dim_ies", _fail_accepted("dim", "es_sue", "TRUE, FALSE")),
+        ("not_null_dim_tiempo_anio", "dim_tiempo", _fail_not_null("tiempo", "anio")),
+        ("unique_dim_tiempo_anio", "dim_tiempo", _fail_unique("tiempo", "anio")),
+        ("accepted_values_dim_tiempo_anio", "dim_tiempo", _fail_accepted("tiempo", "anio", years)),
+        ("not_null_fact_codigo_snies", "fact", _fail_not_null("fact", "codigo_snies")),
+        ("relationships_fact_codigo_snies", "fact", _fail_rel("fact", "codigo_snies", "dim", "codigo_snies")),
+        ("not_null_fact_anio", "fact", _fail_not_null("fact", "anio")),
+        ("relationships_fact_anio", "fact", _fail_rel("fact", "anio", "tiempo", "anio")),
+    ]
+    for total in ("total_matriculados", "total_docentes"):
+        out += [
+            (f"not_null_fact_{total}", "fact", _fail_not_null("fact", total)),
+            (f"expression_is_true_fact_{total}", "fact", _fail_expr("fact", f"{total} >= 0")),
+        ]
+    out += [
+        ("expression_is_true_fact_ratio_estudiante_docente", "fact",
+         _fail_expr("fact", "ratio_estudiante_docente >= 0", "ratio_estudiante_docente IS NOT NULL")),
+        ("not_null_fact_flag_calidad", "fact", _fail_not_null("fact", "flag_calidad")),
+        ("accepted_values_fact_flag_calidad", "fact", _fail_accepted("fact", "flag_calidad", _list(C.flags))),
+        ("unique_combination_fact", "fact", _fail_combo("fact", "codigo_snies, anio")),
+        ("fact_only_in_place", "fact", _fail_place(C.place_pattern)),
+    ]
+    return out
+
+
+def _suite_sql() -> str:
+    parts = [f"SELECT {_q(n)} AS check_name, {_q(t)} AS tabla, 'error' AS severity, COUNT(*) AS failures "
+             f"FROM ({sql}) x" for n, t, sql in _suite_checks()]
+    body = "\nUNION ALL\n".join(parts)
+    return _with(f""", seed_t AS (SELECT CAST(s_suppkey AS INTEGER) AS s_suppkey, s_name AS nombre_oficial,
+                      s_name AS universidad_sue FROM supplier)
+SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM (
+{body}
+) s""").replace(")\n, seed_t AS", "),\nseed_t AS")
+
+
+_FRESH = f"""
+SELECT tabla, mx AS max_loaded_at, CAST(floor((epoch(TIMESTAMP {_q(TPCH_AS_OF)}) - epoch(mx)) / 86400) AS BIGINT)
+       AS age_days,
+       CASE WHEN mx IS NULL THEN 'error'
+            WHEN floor((epoch(TIMESTAMP {_q(TPCH_AS_OF)}) - epoch(mx)) / 86400) > {C.freshness_error_days} THEN 'error'
+            WHEN floor((epoch(TIMESTAMP {_q(TPCH_AS_OF)}) - epoch(mx)) / 86400) > {C.freshness_warn_days} THEN 'warn'
+            ELSE 'ok' END AS status
+FROM (SELECT 'matriculados_raw' AS tabla, MAX(_ingested_at) AS mx FROM m_raw
+      UNION ALL SELECT 'docentes_raw', MAX(_ingested_at) FROM d_raw) t"""
+
+ORACLE.update({
+    "d1_not_null": _with(_fail_not_null("stg_ies", "ies_acreditada")),
+    "d2_unique": _with(_fail_unique("stg_m", "codigo_snies")),
+    "d3_accepted_values": _with(f"SELECT {_DIM_COLS} FROM dim WHERE sector_ies NOT IN ({_list(C.sector_accepted)})"),
+    "d4_relationships": _with(_fail_rel("stg_d", "codigo_snies", "stg_m", "codigo_snies")),
+    "d5_unique_combination": _with(_fail_combo("stg_ies", "departamento_ies, caracter_ies")),
+    "d6_expression_is_true": _with(f"SELECT {_FACT_COLS} FROM fact WHERE ratio_estudiante_docente IS NOT NULL "
+                                   f"AND NOT (total_docentes >= {C.low_denominator})"),
+    "d7_accepted_range": _with(_fail_range("stg_m", "semestres_presentes", 1, 1)),
+    "d8_place_invariant": _with(_fail_place("NATION_1_%")),
+    "d9_freshness": "WITH " + RAW + _FRESH,
+    "d10_suite_summary": _suite_sql(),
+})

@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aulastar.operators import gold, marts
+from aulastar.operators import gold, marts, quality
 from aulastar.operators.relational import checked_broadcast
-from aulastar.plans.bindings import TPCH, bronze_tables, surrogate_seed
+from aulastar.plans.bindings import TPCH, TPCH_AS_OF, bronze_tables, surrogate_seed
 from aulastar.plans.star import Star, build_star
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,6 +89,68 @@ def _b14(spark, d):
     return decimals_to_double(marts.b14_summary_stats(tpch_star(spark, d).fact, TPCH))
 
 
+def _d1(spark, d):
+    return quality.not_null(tpch_star(spark, d).stg_entity, "ies_acreditada")
+
+
+def _d2(spark, d):
+    return quality.unique(tpch_star(spark, d).stg_numerator, "codigo_snies")
+
+
+def _d3(spark, d):
+    dim = tpch_star(spark, d).dim_entity.drop("fecha_ultima_carga")
+    return quality.accepted_values(dim, "sector_ies", TPCH.sector_accepted)
+
+
+def _d4(spark, d):
+    s = tpch_star(spark, d)
+    return quality.relationships(s.stg_denominator, "codigo_snies", s.stg_numerator, "codigo_snies")
+
+
+def _d5(spark, d):
+    return quality.unique_combination(tpch_star(spark, d).stg_entity, ["departamento_ies", "caracter_ies"])
+
+
+def _d6(spark, d):
+    fact = tpch_star(spark, d).fact.drop("fecha_calculo")
+    f = quality.expression_is_true(fact, f"{TPCH.denominator.total} >= {TPCH.low_denominator}",
+                                   f"{TPCH.ratio} IS NOT NULL")
+    return decimals_to_double(f)
+
+
+def _d7(spark, d):
+    return quality.accepted_range(tpch_star(spark, d).stg_numerator, "semestres_presentes", 1, 1)
+
+
+def _d8(spark, d):
+    s = tpch_star(spark, d)
+    # a stricter pattern than the one the star was built with: a broken
+    # variant on purpose, so that the invariant has failing rows to report
+    return quality.place_invariant(s.fact, s.dim_entity, "NATION_1_%")
+
+
+def _d9(spark, d):
+    m_raw, d_raw = bronze_tables(spark, d)
+    as_of = F.to_timestamp(F.lit(TPCH_AS_OF))
+    a = quality.freshness(m_raw, "_ingested_at", "matriculados_raw", TPCH.freshness_warn_days,
+                          TPCH.freshness_error_days, as_of)
+    b = quality.freshness(d_raw, "_ingested_at", "docentes_raw", TPCH.freshness_warn_days,
+                          TPCH.freshness_error_days, as_of)
+    return a.unionByName(b)
+
+
+def tpch_checks(spark: SparkSession, d: str) -> list:
+    s = tpch_star(spark, d)
+    m_raw, d_raw = bronze_tables(spark, d)
+    return quality.declared_checks({"matriculados_raw": m_raw, "docentes_raw": d_raw}, s.stg_entity,
+                                   s.stg_numerator, s.stg_denominator, s.seed, s.dim_entity, s.dim_time, s.fact,
+                                   TPCH, seed_columns=("s_suppkey", "nombre_oficial", "universidad_sue"))
+
+
+def _d10(spark, d):
+    return quality.run_suite(tpch_checks(spark, d))
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {
         "m1_stg_entity": _m1,
@@ -113,5 +175,15 @@ def registry() -> dict[str, Query]:
         "b13_coverage": _b13,
         "b14_summary_stats": _b14,
         "b15_member_ratios": _mart(marts.b15_member_ratios),
+        "d1_not_null": _d1,
+        "d2_unique": _d2,
+        "d3_accepted_values": _d3,
+        "d4_relationships": _d4,
+        "d5_unique_combination": _d5,
+        "d6_expression_is_true": _d6,
+        "d7_accepted_range": _d7,
+        "d8_place_invariant": _d8,
+        "d9_freshness": _d9,
+        "d10_suite_summary": _d10,
     }
     return q
