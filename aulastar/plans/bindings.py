@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from aulastar.config import MeasureSpec, StarConfig
+from aulastar.functions import row_hash
 from aulastar.session import shared_path
 
 TPCH = StarConfig(
@@ -94,7 +95,9 @@ def _text_columns(profile: str) -> list:
 
 
 def _lineage(profile: str) -> list:
+    data = list(BRONZE_DATA_COLUMNS) + [profile]
     return [
+        row_hash(data).alias("_row_hash"),
         F.col("o_orderdate").alias("_ingested_at"),
         F.lit(f"tpch://{profile}").alias("_source_url"),
         F.concat(F.lit(f"{profile}_"), F.year("o_orderdate").cast("string"), F.lit(".parquet")).alias("_source_file"),
@@ -110,7 +113,7 @@ def surrogate_enrolment(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = li.join(o, li.l_orderkey == o.o_orderkey).join(_entity_side(spark, sf_dir),
                                                            F.col("o_custkey") == F.col("c_custkey"))
     data = _text_columns("matriculados") + [F.col("l_quantity").cast("int").cast("string").alias("matriculados")]
-    return rows.select(*data, *_lineage("matriculados"))
+    return rows.select(*data, "o_orderdate").select(*BRONZE_DATA_COLUMNS, "matriculados", *_lineage("matriculados"))
 
 
 def surrogate_teachers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,7 +124,7 @@ def surrogate_teachers(spark: SparkSession, sf_dir: str) -> DataFrame:
          .withColumn("tipo", F.lit("F")))
     rows = o.join(_entity_side(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
     data = _text_columns("docentes") + [F.lit("1").alias("docentes")]
-    return rows.select(*data, *_lineage("docentes"))
+    return rows.select(*data, "o_orderdate").select(*BRONZE_DATA_COLUMNS, "docentes", *_lineage("docentes"))
 
 
 def surrogate_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,8 +134,11 @@ def surrogate_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                    F.col("s_name").alias("universidad_sue"))
 
 
+SURROGATE_VERSION = "2"
+
+
 def _fingerprint(sf_dir: str) -> str:
-    parts = []
+    parts = [SURROGATE_VERSION]
     for name in ("lineitem", "orders", "customer", "nation"):
         p = f"{sf_dir.rstrip('/')}/{name}.parquet"
         try:

@@ -398,3 +398,188 @@ ORACLE.update({
     "d9_freshness": "WITH " + RAW + _FRESH,
     "d10_suite_summary": _suite_sql(),
 })
+
+
+# ---------------------------------------------------------------------------
+# ingest and sink queries
+# ---------------------------------------------------------------------------
+
+from aulastar.plans.ingest_bindings import (  # noqa: E402
+    DOCS_PROFILE, HEADER_EVEN, HEADER_ODD, WORD_ALIASES, WRONG_HEADER_YEAR,
+)
+from aulastar.plans.registry_ingest import RELOAD_YEAR, VALIDATE_YEAR  # noqa: E402
+
+
+def _trim_ws(x: str) -> str:
+    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+
+
+def _norm(x: str) -> str:
+    """Header normalisation: collapse + trim, upper (ß as SS), strip accents,
+    drop ( ) ., collapse + trim."""
+    s = _trim_ws(f"regexp_replace({x}, '\\s+', ' ', 'g')")
+    s = f"strip_accents(upper(replace({s}, 'ß', 'SS')))"
+    s = f"translate({s}, '().', '')"
+    return _trim_ws(f"regexp_replace({s}, '\\s+', ' ', 'g')")
+
+
+def _clean(x: str) -> str:
+    return f"CASE WHEN {x} IN ('', 'nan', 'NaN', 'None') THEN NULL ELSE {_trim_ws(x)} END"
+
+
+_ALIAS_VALUES = ", ".join(f"({_q(k)}, {_q(v)})" for k, v in WORD_ALIASES.items())
+_KEYS = _list(WORD_ALIASES)
+
+DOCS = f"""
+lines AS (
+  SELECT 'doc_' || CAST(doc_id AS VARCHAR) AS source_file,
+         CAST(generate_subscripts(string_split(text, chr(10)), 1) - 1 AS BIGINT) AS row_idx,
+         unnest(string_split(text, chr(10))) AS line
+  FROM documents
+),
+grid AS (SELECT source_file, row_idx, string_split(line, ' ') AS cells FROM lines),
+scored AS (
+  SELECT source_file, row_idx, len(list_filter(cells, lambda x: x IS NOT NULL AND {_norm('x')} IN ({_KEYS}))) AS score
+  FROM grid WHERE row_idx < 20
+),
+best AS (
+  SELECT source_file, row_idx AS header_row, score FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY source_file ORDER BY score DESC, row_idx ASC) AS rn
+    FROM scored WHERE score > 0) t
+  WHERE rn = 1 AND score >= 4
+),
+hcells AS (
+  SELECT g.source_file, b.header_row, CAST(generate_subscripts(g.cells, 1) - 1 AS INTEGER) AS position,
+         unnest(g.cells) AS header
+  FROM grid g JOIN best b ON g.source_file = b.source_file AND g.row_idx = b.header_row
+),
+aliases(k, v) AS (VALUES {_ALIAS_VALUES}),
+mapped AS (
+  SELECT h.*, {_norm('h.header')} AS key FROM hcells h
+),
+mapped2 AS (
+  SELECT m.source_file, m.header_row, m.position, m.header, m.key,
+         CASE WHEN m.header IS NULL OR m.key = '' THEN '_c' || CAST(m.position AS VARCHAR)
+              ELSE COALESCE(a.v, replace(lower(m.key), ' ', '_')) END AS canonical,
+         a.v IS NOT NULL AS mapped
+  FROM mapped m LEFT JOIN aliases a ON m.key = a.k
+)"""
+
+
+def _docs(body: str) -> str:
+    return "WITH " + DOCS + "\n" + body
+
+
+_REQ = sorted(DOCS_PROFILE.required)
+_MISSING = "concat_ws(',', " + ", ".join(
+    f"CASE WHEN NOT bool_or(canonical = {_q(r)}) THEN {_q(r)} END" for r in _REQ) + ")"
+
+ORDERS = f"""
+og AS (
+  SELECT o.*, c.c_mktsegment, n.n_name, year(o.o_orderdate) AS y,
+         CAST(floor(o.o_totalprice / 1000) AS BIGINT) AS q
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+),
+ext AS (
+  SELECT CAST(o_custkey AS VARCHAR) AS codigo_institucion, o_orderpriority AS institucion_educacion_superior_ies,
+         o_orderstatus AS sector_ies, n_name AS departamento_domicilio_ies, CAST(y AS VARCHAR) AS anio,
+         CASE WHEN month(o_orderdate) <= 6 THEN '1' ELSE '2' END AS semestre,
+         CASE WHEN o_orderpriority IN ('3-MEDIUM', '5-LOW') THEN NULL ELSE CAST(q AS VARCHAR) END AS matriculados,
+         c_mktsegment AS caracter_ies,
+         CASE WHEN y % 2 = 1 THEN CAST(o_orderkey AS VARCHAR) END AS columna_nueva,
+         'pedidos_' || CAST(y AS VARCHAR) || '.csv' AS _source_file,
+         'tpch://orders/' || CAST(y AS VARCHAR) AS _source_url,
+         y, o_orderkey
+  FROM og WHERE o_orderpriority <> '1-URGENT'
+),
+ext_h AS (
+  SELECT *, md5(concat_ws('||', codigo_institucion, institucion_educacion_superior_ies, sector_ies,
+                          COALESCE(departamento_domicilio_ies, 'nan'), anio, semestre,
+                          COALESCE(matriculados, 'nan'), caracter_ies)
+                || CASE WHEN y % 2 = 1 THEN '||' || columna_nueva ELSE '' END) AS _h0
+  FROM ext
+),
+ext2 AS (
+  SELECT * EXCLUDE (_h0),
+         md5(concat_ws('||', codigo_institucion, institucion_educacion_superior_ies, sector_ies,
+                       COALESCE(departamento_domicilio_ies, 'nan'), anio, semestre,
+                       COALESCE(matriculados, 'nan'), caracter_ies, columna_nueva)) AS _row_hash
+  FROM ext_h
+),
+final AS (
+  SELECT * FROM ext2 WHERE y <> {RELOAD_YEAR} OR sector_ies = 'F'
+)"""
+
+
+def _orders(body: str) -> str:
+    return "WITH " + ORDERS + "\n" + body
+
+
+_EXTRACT_COLS = ("codigo_institucion, institucion_educacion_superior_ies, sector_ies, departamento_domicilio_ies, "
+                 "anio, semestre, matriculados, caracter_ies, columna_nueva, _source_url, _source_file, _row_hash, "
+                 "'tpch' AS _dag_run_id")
+
+ORACLE.update({
+    "x1_safe_int_customer": f"SELECT c_custkey, {safe('c_name')} AS codigo_int, "
+                            f"{safe('CAST(c_acctbal AS VARCHAR)')} AS saldo_int FROM customer",
+    "x1_safe_int_orders": f"SELECT o_orderkey, {safe('o_orderpriority')} AS prioridad_int, "
+                          f"{safe('CAST(o_totalprice AS VARCHAR)')} AS total_int FROM orders",
+    "s2_available_years": "SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS anio FROM orders ORDER BY anio",
+    "s4_cell_grid": _docs("SELECT source_file, row_idx, CAST(len(cells) AS INTEGER) AS n_cells, cells[1] AS first_cell, "
+                          "cells[-1] AS last_cell FROM grid"),
+    "s5_header_detect": _docs("SELECT source_file, header_row, CAST(score AS INTEGER) AS score FROM best"),
+    "s6_normalize_text": f"SELECT doc_id, {_norm('text')} AS clave FROM documents",
+    "s7_map_columns": _docs("SELECT source_file, position, header, canonical, mapped FROM mapped2"),
+    "s8_mapped_report": _docs("SELECT source_file, COUNT(*) FILTER (WHERE mapped) AS mapped, COUNT(*) AS total "
+                              "FROM mapped2 GROUP BY source_file"),
+    "s9_required_check": _docs(f"""
+SELECT source_file, faltantes, n_disponibles FROM (
+  SELECT source_file, {_MISSING} AS faltantes, CAST(COUNT(DISTINCT canonical) AS INTEGER) AS n_disponibles
+  FROM mapped2 GROUP BY source_file) t
+WHERE faltantes <> ''"""),
+    "s10_digit_filter": _orders("SELECT 'pedidos_' || CAST(y AS VARCHAR) || '.csv' AS source_file, "
+                                "o_orderkey + 10 AS row_idx FROM og WHERE o_orderpriority <> '1-URGENT'"),
+    "s11_s12_clean": _docs(f"""
+SELECT source_file, row_idx, CAST(len(list_filter(cl, lambda x: x IS NULL)) AS INTEGER) AS n_nulos,
+       array_to_string(list_transform(cl, lambda x: COALESCE(x, '<null>')), '|') AS limpio
+FROM (SELECT source_file, row_idx, list_transform(cells, lambda x: {_clean('x')}) AS cl FROM grid) t"""),
+    "s13_row_hash": _docs(f"""
+SELECT source_file, row_idx, md5(array_to_string(list_transform(cl, lambda x: COALESCE(x, 'nan')), '||')) AS _row_hash
+FROM (SELECT source_file, row_idx, list_transform(cells, lambda x: {_clean('x')}) AS cl FROM grid) t"""),
+    "s15_extract": _orders(f"SELECT {_EXTRACT_COLS} FROM ext2"),
+    "s18_workload": "SELECT anio, perfil FROM (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS anio FROM orders) y "
+                    "CROSS JOIN (VALUES ('docentes'), ('matriculados')) p(perfil) ORDER BY anio, perfil",
+    "s19_backfill_summary": _orders(f"""
+SELECT CAST((SELECT COUNT(DISTINCT y) FROM ext2) + 1 AS BIGINT) AS tareas_exitosas, CAST(0 AS BIGINT) AS tareas_fallidas,
+       CAST((SELECT COUNT(*) FROM ext2) + (SELECT COUNT(*) FROM ext2 WHERE y = {RELOAD_YEAR} AND sector_ies = 'F')
+            AS BIGINT) AS filas_totales"""),
+    "k2_schema_evolution": _orders("SELECT _source_file, COUNT(*) AS filas, COUNT(columna_nueva) AS con_columna_nueva "
+                                   "FROM final GROUP BY _source_file"),
+    "k3_replace_by_file": _orders("SELECT codigo_institucion, anio, sector_ies, matriculados, _source_file, _row_hash "
+                                  "FROM final"),
+    "k9_log_status": _orders(f"""
+SELECT 'run-1' AS dag_run_id, _source_file AS source_file, 'success' AS status, COUNT(*) AS rows_ingested
+FROM ext2 GROUP BY _source_file
+UNION ALL
+SELECT 'run-2', _source_file, 'success', COUNT(*) FROM ext2 WHERE y = {RELOAD_YEAR} AND sector_ies = 'F'
+GROUP BY _source_file"""),
+    "k10_validate_load": _orders(f"""
+SELECT {VALIDATE_YEAR} AS anio, COUNT(*) AS total,
+       COUNT(*) FILTER (WHERE upper(departamento_domicilio_ies) LIKE {_q(C.place_pattern)}) AS en_lugar,
+       CASE WHEN COUNT(*) = 0 THEN 'fail'
+            WHEN COUNT(*) FILTER (WHERE upper(departamento_domicilio_ies) LIKE {_q(C.place_pattern)}) = 0 THEN 'warn'
+            ELSE 'ok' END AS status
+FROM final WHERE anio = '{VALIDATE_YEAR}'"""),
+    "k15_duplicate_audit": "WITH " + RAW + """,
+h AS (
+  SELECT md5(concat_ws('||', COALESCE(codigo_institucion, 'nan'), COALESCE(institucion_educacion_superior_ies, 'nan'),
+         COALESCE(tipo_ies, 'nan'), COALESCE(sector_ies, 'nan'), COALESCE(caracter_ies, 'nan'),
+         COALESCE(departamento_domicilio_ies, 'nan'), COALESCE(municipio_domicilio_ies, 'nan'),
+         COALESCE(ies_acreditada, 'nan'), COALESCE(anio, 'nan'), COALESCE(semestre, 'nan'),
+         COALESCE(matriculados, 'nan'))) AS _row_hash,
+         'matriculados_' || anio || '.parquet' AS f
+  FROM m_raw
+)
+SELECT _row_hash, COUNT(*) AS n_records, array_to_string(list_sort(list_distinct(list(f))), ',') AS files
+FROM h GROUP BY _row_hash HAVING COUNT(*) > 1""",
+})

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from aulastar.operators import gold, marts, quality
 from aulastar.operators.relational import checked_broadcast
 from aulastar.plans.bindings import TPCH, TPCH_AS_OF, bronze_tables, surrogate_seed
+from aulastar.plans.registry_ingest import ingest_registry
 from aulastar.plans.star import Star, build_star
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -186,4 +187,5 @@ def registry() -> dict[str, Query]:
         "d9_freshness": _d9,
         "d10_suite_summary": _d10,
     }
+    q.update(ingest_registry())
     return q
