@@ -33,11 +33,10 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from aulastar.config import MeasureSpec, StarConfig
 from aulastar.functions import row_hash
-from aulastar.session import shared_path
+from aulastar.session import path_exists, shared_path
 
 TPCH = StarConfig(
     place_pattern="NATION_1%",
@@ -163,10 +162,8 @@ def bronze_tables(spark: SparkSession, sf_dir: str, materialize: bool = True) ->
     out = []
     for name, build in (("matriculados_raw", surrogate_enrolment), ("docentes_raw", surrogate_teachers)):
         path = f"{root}/{name}"
-        try:
-            df = spark.read.parquet(path)
-        except AnalysisException:
-            build(spark, sf_dir).write.mode("overwrite").partitionBy("_source_file").parquet(path)
-            df = spark.read.parquet(path)
-        out.append(df)
+        if not path_exists(spark, f"{path}/_SUCCESS"):
+            (build(spark, sf_dir).write.mode("overwrite").option("partitionOverwriteMode", "static")
+             .partitionBy("_source_file").parquet(path))
+        out.append(spark.read.parquet(path))
     return out[0], out[1]

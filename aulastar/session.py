@@ -55,6 +55,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def shared_path(spark: SparkSession, *parts: str) -> str:
-    """A path under the shared checkpoint folder (for intermediate tables)."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    return "/".join([root, *parts])
+    """A path under the shared folder named by ``spark.checkpoint.dir`` (for
+    intermediate tables); falls back to the session's checkpoint folder when
+    the setting is absent (tests)."""
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
+    return "/".join([root.rstrip("/"), *parts])
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, through the Hadoop FileSystem of the path's
+    scheme (works for local, HDFS and object-store paths alike)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(p))

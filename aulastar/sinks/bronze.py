@@ -21,10 +21,10 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from aulastar.config import LINEAGE_COLUMNS, LOG_MESSAGE_LIMIT
 from aulastar.functions import matches_place
+from aulastar.session import path_exists
 
 LOG_SCHEMA = T.StructType([
     T.StructField("id", T.StringType()),
@@ -61,10 +61,9 @@ def table_path(root: str, layer: str, table: str) -> str:
 def read_bronze(spark: SparkSession, path: str) -> DataFrame | None:
     """K2: read with ``mergeSchema`` so columns added by later files show up
     (null for older files).  ``None`` when the table does not exist yet."""
-    try:
-        return spark.read.option("mergeSchema", "true").parquet(path)
-    except AnalysisException:
+    if not path_exists(spark, path):
         return None
+    return spark.read.option("mergeSchema", "true").parquet(path)
 
 
 def conform(df: DataFrame) -> DataFrame:
