@@ -133,11 +133,24 @@ def surrogate_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                    F.col("s_name").alias("universidad_sue"))
 
 
-SURROGATE_VERSION = "2"
+def _code_version() -> str:
+    """Hash of the package sources: stored intermediate tables are never
+    reused across code changes."""
+    h = hashlib.sha1()
+    pkg = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for folder, _, names in sorted(os.walk(pkg)):
+        for n in sorted(names):
+            if n.endswith(".py"):
+                with open(os.path.join(folder, n), "rb") as f:
+                    h.update(n.encode() + f.read())
+    return h.hexdigest()[:12]
 
 
-def _fingerprint(sf_dir: str) -> str:
-    parts = [SURROGATE_VERSION]
+CODE_VERSION = _code_version()
+
+
+def fingerprint(sf_dir: str) -> str:
+    parts = [CODE_VERSION]
     for name in ("lineitem", "orders", "customer", "nation"):
         p = f"{sf_dir.rstrip('/')}/{name}.parquet"
         try:
@@ -158,7 +171,7 @@ def bronze_tables(spark: SparkSession, sf_dir: str, materialize: bool = True) ->
     """
     if not materialize:
         return surrogate_enrolment(spark, sf_dir), surrogate_teachers(spark, sf_dir)
-    root = shared_path(spark, "aulastar-bronze", _fingerprint(sf_dir))
+    root = shared_path(spark, "aulastar-bronze", fingerprint(sf_dir))
     out = []
     for name, build in (("matriculados_raw", surrogate_enrolment), ("docentes_raw", surrogate_teachers)):
         path = f"{root}/{name}"

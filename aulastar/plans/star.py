@@ -46,7 +46,7 @@ def write_table(df: DataFrame, path: str, sort_within: list[str] | None = None)
     spark = df.sparkSession
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)  # O6: layout only
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     return spark.read.parquet(path)
 
 
@@ -70,3 +70,13 @@ def materialize_gold(star: Star, root: str, cfg: StarConfig = DOMAIN, as_of: Col
         m.unpersist()
         d.unpersist()
     return Star(star.stg_entity, star.stg_numerator, star.stg_denominator, star.seed, dim, tiempo, fact)
+
+
+GOLD_TABLES = ("dim_ies", "dim_tiempo", "fact_capacidad_academica")
+
+
+def read_gold(spark, star: Star, root: str) -> Star:
+    """A Star whose Gold members read tables written by ``materialize_gold``."""
+    root = root.rstrip("/")
+    dim, tiempo, fact = (spark.read.parquet(f"{root}/gold/{t}") for t in GOLD_TABLES)
+    return Star(star.stg_entity, star.stg_numerator, star.stg_denominator, star.seed, dim, tiempo, fact)
