@@ -12,8 +12,10 @@
 
 from __future__ import annotations
 
+import contextlib
 from typing import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -67,3 +69,16 @@ def share_of_total(df: DataFrame, col: str, alias: str, scale: int = 2) -> DataF
     return (df.crossJoin(F.broadcast(total))
             .withColumn(alias, F.when(F.col("__total") != 0, F.round(pct, scale)))
             .drop("__total"))
+
+
+@contextlib.contextmanager
+def persisted(*dfs: DataFrame):
+    """Persist DataFrames (memory, spilling to disk) for the duration of a
+    block that reads them several times, then release them.  Lost blocks are
+    recomputed from lineage, so this is safe when executors die."""
+    held = [d.persist(StorageLevel.MEMORY_AND_DISK) for d in dfs]
+    try:
+        yield held
+    finally:
+        for d in held:
+            d.unpersist()

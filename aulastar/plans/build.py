@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 
 from aulastar.config import DOMAIN, StarConfig
 from aulastar.operators import quality
+from aulastar.operators.relational import persisted
 from aulastar.plans.star import Star, build_star, materialize_gold
 
 
@@ -27,9 +28,14 @@ def build_all(numer_raw: DataFrame, denom_raw: DataFrame, seed: DataFrame, root:
               cfg: StarConfig = DOMAIN, as_of: Column | None = None,
               seed_columns=("codigo_snies", "nombre_oficial", "universidad_sue"),
               bronze_names=("matriculados_raw", "docentes_raw"), store_failures: bool = False) -> BuildResult:
-    star = materialize_gold(build_star(numer_raw, denom_raw, seed, cfg, as_of), root, cfg, as_of)
-    checks = quality.declared_checks(dict(zip(bronze_names, (numer_raw, denom_raw))), star.stg_entity,
-                                     star.stg_numerator, star.stg_denominator, seed, star.dim_entity,
-                                     star.dim_time, star.fact, cfg, seed_columns)
-    summary = quality.run_suite(checks, root if store_failures else None)
+    lazy = build_star(numer_raw, denom_raw, seed, cfg, as_of)
+    # Silver feeds three Gold tables and 20 checks: compute it once per build
+    with persisted(lazy.stg_entity, lazy.stg_numerator, lazy.stg_denominator) as (stg, m, d):
+        silver = Star(stg, m, d, seed, lazy.dim_entity, lazy.dim_time, lazy.fact)
+        star = materialize_gold(silver, root, cfg, as_of)
+        checks = quality.declared_checks(dict(zip(bronze_names, (numer_raw, denom_raw))), stg, m, d, seed,
+                                         star.dim_entity, star.dim_time, star.fact, cfg, seed_columns)
+        summary = quality.run_suite(checks, root if store_failures else None)
+        summary = summary.cache()  # one row per check
+        summary.count()  # evaluate while Silver is held
     return BuildResult(star, summary)

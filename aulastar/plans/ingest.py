@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,13 +51,19 @@ def backfill(grid: DataFrame, catalog: DataFrame, root: str, run_id: str,
     profiles = PROFILES if profiles is None else profiles
     wanted = {r["perfil"] for r in catalog.select("perfil").distinct().collect()}  # catalog-sized
     out = []
-    for name in sorted(wanted):
-        if name not in profiles:
-            continue
-        try:
-            out.append(ingest_profile(grid, catalog, profiles[name], root, run_id, ingested_at))
-        except Exception as e:  # noqa: BLE001 - summary reports it
-            out.append(ProfileLoad(name, [], None, str(e)))  # type: ignore[arg-type]
+    # the grid is read for header resolution, detection and extraction of
+    # every profile: scan the sources once for the whole backfill
+    grid = grid.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for name in sorted(wanted):
+            if name not in profiles:
+                continue
+            try:
+                out.append(ingest_profile(grid, catalog, profiles[name], root, run_id, ingested_at))
+            except Exception as e:  # noqa: BLE001 - summary reports it
+                out.append(ProfileLoad(name, [], None, str(e)))  # type: ignore[arg-type]
+    finally:
+        grid.unpersist()
     return out
 
 

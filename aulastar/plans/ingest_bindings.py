@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from aulastar.config import IngestProfile
 from aulastar.plans.bindings import table
-from aulastar.sources.grid import text_grid
+from aulastar.sources.grid import spread_if_small, text_grid
 
 # Fixed values of the documents binding: word "headers" and their names.
 WORD_ALIASES = {
@@ -55,8 +55,14 @@ HEADER_ODD = ("CÓDIGO DE LA INSTITUCIÓN", "INSTITUCIÓN DE EDUCACIÓN SUPERIOR
 WRONG_HEADER_YEAR = 1999
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents table, spread over the cores when its files are small
+    (the text work per row is CPU-heavy)."""
+    return spread_if_small(table(spark, sf_dir, "documents"))
+
+
 def documents_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
     return text_grid(docs, F.concat(F.lit("doc_"), F.col("doc_id").cast("string")), "text", "\n", " ")
 
 

@@ -19,11 +19,9 @@ from aulastar.operators import gold, marts, quality
 from aulastar.operators.relational import checked_broadcast
 from aulastar.plans.bindings import TPCH, TPCH_AS_OF, bronze_tables, fingerprint, surrogate_seed
 from aulastar.plans.registry_ingest import ingest_registry
-from aulastar.plans.star import GOLD_TABLES, Star, build_star, materialize_gold, read_gold
+from aulastar.plans.star import GOLD_TABLES, Star, build_star, materialize_all, read_all
 from aulastar.session import path_exists, shared_path
 
-GOLD_VERSION = "g1"
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -41,14 +39,15 @@ def tpch_star(spark: SparkSession, sf_dir: str) -> Star:
 
 
 def tpch_gold(spark: SparkSession, sf_dir: str) -> Star:
-    """The star with Gold read from stored tables (K12), built once per input
-    fingerprint under the shared folder; marts and checks read these, as BI
-    queries read Gold tables rather than recomputing Silver."""
-    star = tpch_star(spark, sf_dir)
-    root = shared_path(spark, "aulastar-gold", GOLD_VERSION + "-" + fingerprint(sf_dir))
+    """The star read from stored Silver and Gold tables (K12), written once
+    per input fingerprint under the shared folder.  Marts and audits read
+    these, as BI queries read Gold tables rather than recomputing Silver;
+    the M1-M6 queries themselves compute the models from Bronze."""
+    seed = checked_broadcast(surrogate_seed(spark, sf_dir))
+    root = shared_path(spark, "aulastar-star", fingerprint(sf_dir))
     if not path_exists(spark, f"{root}/gold/{GOLD_TABLES[-1]}/_SUCCESS"):
-        return materialize_gold(star, root, TPCH)
-    return read_gold(spark, star, root)
+        return materialize_all(tpch_star(spark, sf_dir), root, TPCH)
+    return read_all(spark, seed, root)
 
 
 def _m1(spark, d):
@@ -76,7 +75,7 @@ def _m6(spark, d):
 
 
 def _j9(spark, d):
-    s = tpch_star(spark, d)
+    s = tpch_gold(spark, d)
     return gold.orphans(s.stg_numerator, s.stg_denominator, TPCH)
 
 
@@ -106,11 +105,11 @@ def _b14(spark, d):
 
 
 def _d1(spark, d):
-    return quality.not_null(tpch_star(spark, d).stg_entity, "ies_acreditada")
+    return quality.not_null(tpch_gold(spark, d).stg_entity, "ies_acreditada")
 
 
 def _d2(spark, d):
-    return quality.unique(tpch_star(spark, d).stg_numerator, "codigo_snies")
+    return quality.unique(tpch_gold(spark, d).stg_numerator, "codigo_snies")
 
 
 def _d3(spark, d):
@@ -119,12 +118,12 @@ def _d3(spark, d):
 
 
 def _d4(spark, d):
-    s = tpch_star(spark, d)
+    s = tpch_gold(spark, d)
     return quality.relationships(s.stg_denominator, "codigo_snies", s.stg_numerator, "codigo_snies")
 
 
 def _d5(spark, d):
-    return quality.unique_combination(tpch_star(spark, d).stg_entity, ["departamento_ies", "caracter_ies"])
+    return quality.unique_combination(tpch_gold(spark, d).stg_entity, ["departamento_ies", "caracter_ies"])
 
 
 def _d6(spark, d):
@@ -135,7 +134,7 @@ def _d6(spark, d):
 
 
 def _d7(spark, d):
-    return quality.accepted_range(tpch_star(spark, d).stg_numerator, "semestres_presentes", 1, 1)
+    return quality.accepted_range(tpch_gold(spark, d).stg_numerator, "semestres_presentes", 1, 1)
 
 
 def _d8(spark, d):

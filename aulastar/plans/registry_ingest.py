@@ -20,7 +20,7 @@ from aulastar.functions import normalize_header, safe_int
 from aulastar.operators import ingest
 from aulastar.plans.bindings import TPCH, bronze_tables, table
 from aulastar.plans.ingest import backfill, ingest_profile, log_path
-from aulastar.plans.ingest_bindings import DOCS_PROFILE, documents_grid, orders_catalog, orders_grid
+from aulastar.plans.ingest_bindings import DOCS_PROFILE, documents, documents_grid, orders_catalog, orders_grid
 from aulastar.session import shared_path
 from aulastar.sinks import bronze as sink
 from aulastar.sources.catalog import available_years, workload
@@ -58,8 +58,7 @@ def _docs_mapped(spark, d):
 
 
 def _s6(spark, d):
-    docs = table(spark, d, "documents")
-    return docs.select("doc_id", normalize_header("text").alias("clave"))
+    return documents(spark, d).select("doc_id", normalize_header("text").alias("clave"))
 
 
 def _s7(spark, d):
@@ -120,17 +119,19 @@ def load_scenario(spark: SparkSession, d: str) -> str:
     if key in _SCENARIOS:
         return _SCENARIOS[key]
     root = shared_path(spark, "aulastar-scenario", uuid.uuid4().hex)
-    grid, cat = orders_grid(spark, d), orders_catalog(spark, d)
+    grid, cat = orders_grid(spark, d), orders_catalog(spark, d).cache()  # catalog: one row per year
     prof = PROFILES["matriculados"]
     loads = backfill(grid, cat, root, "run-1")
     if any(pl.error for pl in loads):
         raise RuntimeError("; ".join(pl.error for pl in loads if pl.error))
     # reload one year with fewer rows: replaces that file only
-    rows, _ = ingest.extract(grid, cat, prof, "run-2")
     f = f"pedidos_{RELOAD_YEAR}.csv"
-    smaller = rows.filter((F.col("_source_file") == f) & (F.col("sector_ies") == "F"))
+    one = cat.filter(F.col("filename") == f)
+    rows, _ = ingest.extract(grid.filter(F.col("source_file") == f), one, prof, "run-2")
+    smaller = rows.filter(F.col("sector_ies") == "F")
     sink.load_to_bronze(smaller, sink.table_path(root, "bronze", prof.table), log_path(root), prof.name, "run-2",
                         anio=RELOAD_YEAR, files=[(f, f"tpch://orders/{RELOAD_YEAR}")])
+    cat.unpersist()
     _SCENARIOS[key] = root
     return root
 

@@ -11,11 +11,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 
 from aulastar.config import DOMAIN, StarConfig
 from aulastar.operators import gold, silver
+from aulastar.operators.relational import persisted
 
 
 @dataclass
@@ -60,19 +60,35 @@ def materialize_gold(star: Star, root: str, cfg: StarConfig = DOMAIN, as_of: Col
     referential filter reads the stored dimension.
     """
     root = root.rstrip("/")
-    m = star.stg_numerator.persist(StorageLevel.MEMORY_AND_DISK)
-    d = star.stg_denominator.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with persisted(star.stg_numerator, star.stg_denominator) as (m, d):
         dim = write_table(star.dim_entity, f"{root}/gold/dim_ies")
         tiempo = write_table(gold.dim_time(m, d, as_of=as_of), f"{root}/gold/dim_tiempo", ["anio"])
         fact = write_table(gold.fact_ratio(m, d, dim, cfg, as_of=as_of), f"{root}/gold/fact_capacidad_academica")
-    finally:
-        m.unpersist()
-        d.unpersist()
     return Star(star.stg_entity, star.stg_numerator, star.stg_denominator, star.seed, dim, tiempo, fact)
 
 
 GOLD_TABLES = ("dim_ies", "dim_tiempo", "fact_capacidad_academica")
+SILVER_TABLES = ("stg_ies", "stg_matriculados", "stg_docentes")
+
+
+def materialize_all(star: Star, root: str, cfg: StarConfig = DOMAIN, as_of: Column | None = None) -> Star:
+    """Write Silver (3 tables) and Gold (3 tables) once; every member of the
+    returned Star reads a stored table."""
+    root = root.rstrip("/")
+    stg = write_table(star.stg_entity, f"{root}/silver/{SILVER_TABLES[0]}")
+    m = write_table(star.stg_numerator, f"{root}/silver/{SILVER_TABLES[1]}")
+    d = write_table(star.stg_denominator, f"{root}/silver/{SILVER_TABLES[2]}")
+    dim = write_table(gold.dim_entity(stg, star.seed, cfg, as_of=as_of), f"{root}/gold/dim_ies")
+    tiempo = write_table(gold.dim_time(m, d, as_of=as_of), f"{root}/gold/dim_tiempo", ["anio"])
+    fact = write_table(gold.fact_ratio(m, d, dim, cfg, as_of=as_of), f"{root}/gold/fact_capacidad_academica")
+    return Star(stg, m, d, star.seed, dim, tiempo, fact)
+
+
+def read_all(spark, seed: DataFrame, root: str) -> Star:
+    root = root.rstrip("/")
+    stg, m, d = (spark.read.parquet(f"{root}/silver/{t}") for t in SILVER_TABLES)
+    dim, tiempo, fact = (spark.read.parquet(f"{root}/gold/{t}") for t in GOLD_TABLES)
+    return Star(stg, m, d, seed, dim, tiempo, fact)
 
 
 def read_gold(spark, star: Star, root: str) -> Star:

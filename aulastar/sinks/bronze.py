@@ -76,14 +76,23 @@ def _log_rows(spark, events) -> DataFrame:
     return spark.createDataFrame(events, LOG_SCHEMA)
 
 
-def log_event(spark: SparkSession, log_path: str, *, log_id: str, run_id: str, perfil: str, anio: int | None,
-              source_url: str | None, source_file: str, status: str, rows: int | None = None,
-              error: str | None = None) -> None:
-    """K6/K7/K8: append one event; messages are cut to 2,000 characters."""
-    msg = None if error is None else error[:LOG_MESSAGE_LIMIT]
-    ev = _log_rows(spark, [(log_id, run_id, perfil, anio, source_url, source_file, rows, status, msg, None)])
-    ev = ev.withColumn("event_at", F.current_timestamp())
-    ev.write.mode("append").parquet(log_path)
+def log_events(spark: SparkSession, log_path: str, events: Sequence[dict]) -> None:
+    """K6/K7/K8: append events (one small write for all of them); messages
+    are cut to 2,000 characters.  Keys: log_id, run_id, perfil, anio,
+    source_url, source_file, status, rows, error."""
+    rows = []
+    for e in events:
+        err = e.get("error")
+        rows.append((e["log_id"], e["run_id"], e["perfil"], e.get("anio"), e.get("source_url"), e["source_file"],
+                     e.get("rows"), e["status"], None if err is None else err[:LOG_MESSAGE_LIMIT], None))
+    if rows:
+        _log_rows(spark, rows).withColumn("event_at", F.current_timestamp()).coalesce(1) \
+            .write.mode("append").parquet(log_path)
+
+
+def log_event(spark: SparkSession, log_path: str, **event) -> None:
+    """One event (see :func:`log_events`)."""
+    log_events(spark, log_path, [event])
 
 
 @dataclass
@@ -122,9 +131,12 @@ def load_to_bronze(df: DataFrame, path: str, log_path: str, perfil: str, run_id:
     if not files:
         raise EmptyLoadError(f"nothing to load for {perfil}: the frame has no rows")
     ids = {f: str(uuid.uuid4()) for f, _ in files}
-    for f, url in files:
-        log_event(spark, log_path, log_id=ids[f], run_id=run_id, perfil=perfil, anio=anio, source_url=url,
-                  source_file=f, status="running")
+
+    def ev(f, url, status, **kw):
+        return dict(log_id=ids[f], run_id=run_id, perfil=perfil, anio=anio, source_url=url, source_file=f,
+                    status=status, **kw)
+
+    log_events(spark, log_path, [ev(f, url, "running") for f, url in files])
     try:
         old = read_bronze(spark, path)
         names = [f for f, _ in files]
@@ -143,21 +155,18 @@ def load_to_bronze(df: DataFrame, path: str, log_path: str, perfil: str, run_id:
         got = obs.get
         inserted = {f: int(got[f"f{i}"]) for i, f in enumerate(names)}
     except Exception as e:  # K8: log and re-raise
-        for f, url in files:
-            log_event(spark, log_path, log_id=ids[f], run_id=run_id, perfil=perfil, anio=anio, source_url=url,
-                      source_file=f, status="failed", error=str(e))
+        log_events(spark, log_path, [ev(f, url, "failed", error=str(e)) for f, url in files])
         raise
-    out, empty = [], []
+    out, empty, events = [], [], []
     for f, url in files:
         n = int(inserted.get(f, 0))
         if n == 0:
             empty.append(f)
-            log_event(spark, log_path, log_id=ids[f], run_id=run_id, perfil=perfil, anio=anio, source_url=url,
-                      source_file=f, status="failed", error="the file yielded no rows; previous rows kept")
+            events.append(ev(f, url, "failed", error="the file yielded no rows; previous rows kept"))
             continue
-        log_event(spark, log_path, log_id=ids[f], run_id=run_id, perfil=perfil, anio=anio, source_url=url,
-                  source_file=f, status="success", rows=n)
+        events.append(ev(f, url, "success", rows=n))
         out.append(LoadResult("success", perfil, anio, f, int(deleted.get(f, 0)), n))
+    log_events(spark, log_path, events)
     if empty:
         raise EmptyLoadError(f"no rows for {empty}; previous rows kept")
     return out

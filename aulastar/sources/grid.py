@@ -62,3 +62,33 @@ def trim_trailing_nulls(cells: str | Column) -> Column:
     idx = F.transform(c, lambda x, i: F.when(x.isNotNull(), i + 1).otherwise(F.lit(0)))
     last = F.array_max(idx)
     return F.when(F.coalesce(last, F.lit(0)) == 0, F.array().cast("array<string>")).otherwise(F.slice(c, 1, last))
+
+
+SMALL_INPUT_BYTES = 256 * 1024 * 1024
+
+
+def input_bytes(df: DataFrame, max_files: int = 1000) -> int | None:
+    """Total size of the files behind ``df`` from the file listing, or None
+    when there are more than ``max_files`` files (treated as large)."""
+    files = df.inputFiles()
+    if not files or len(files) > max_files:
+        return None
+    sc = df.sparkSession.sparkContext
+    jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
+    total = 0
+    for f in files:
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        total += p.getFileSystem(conf).getFileStatus(p).getLen()
+    return total
+
+
+def spread_if_small(df: DataFrame, max_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
+    """Round-robin a *small* input over the cluster's cores before CPU-heavy
+    per-row text work (a single-row-group file is otherwise processed by one
+    task).  Inputs above ``max_bytes`` (or with many files) are already split
+    by the scan and are returned unchanged: no shuffle is added at scale."""
+    size = input_bytes(df)
+    if size is None or size > max_bytes:
+        return df
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n)
