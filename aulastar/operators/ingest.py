@@ -109,54 +109,67 @@ def resolve_headers(grid: DataFrame, declared: DataFrame, profile: IngestProfile
                     max_rows: int = HEADER_SCAN_ROWS, min_score: int = HEADER_MIN_SCORE) -> ResolvedHeaders:
     """Header row and canonical names per file (see module doc, step 1).
 
-    ``declared`` has ``(source_file, header_row)`` per file.
+    ``declared`` has ``(source_file, header_row)`` per file.  One pass over
+    the head of every file (rows up to the scan window or the declared row):
+    each row gets its canonical names and its alias score; one aggregate per
+    file returns the declared row's names and the best-scoring row (highest
+    score, first row on ties).  The fallback decision is then made on that
+    per-file metadata: the declared row unless it misses a required column
+    and a different row scores at least ``min_score``.
     """
     spark = grid.sparkSession
-    first = map_columns(header_cells(grid, declared), profile.aliases)
-    complete = missing_required(first, profile.required).filter(F.size("missing") == 0).select("source_file")
-    # files whose declared row lacks a required column, or does not exist
-    miss = declared.select("source_file").join(F.broadcast(complete), "source_file", "left_anti")
-    detected = detect_header(grid.join(F.broadcast(miss), "source_file", "left_semi"),
-                             list(profile.aliases), max_rows, min_score)
-    final_rows = (declared.select("source_file", "header_row")
-                  .join(F.broadcast(detected.select("source_file", F.col("header_row").alias("det"))),
-                        "source_file", "left")
-                  .select("source_file",
-                          F.coalesce("det", "header_row").alias("header_row"),
-                          (F.col("det").isNotNull() & (F.col("det") != F.col("header_row"))).alias("fallback")))
-    mapped = map_columns(header_cells(grid, final_rows.select("source_file", "header_row")), profile.aliases)
-    per_file = (mapped.groupBy("source_file", "header_row")
-                .agg(F.array_sort(F.collect_list(F.struct("position", "canonical"))).alias("cols"),
-                     F.array_sort(F.collect_set("canonical")).alias("available")))
-    per_file = per_file.join(F.broadcast(final_rows.select("source_file", "fallback")), "source_file")
-    # One row per file: header metadata, never data.
-    rows = per_file.collect()
-    missing_msgs, dup_msgs = [], []
-    for r in rows:
-        names = [c["canonical"] for c in r["cols"]]
-        miss_cols = [c for c in profile.required if c not in set(names)]
-        if miss_cols:
-            missing_msgs.append(f"{r['source_file']}: missing {miss_cols}; available {sorted(set(names))}")
-        dups = sorted({n for n in names if names.count(n) > 1})
+    declared_rows = declared.select("source_file", "header_row").collect()  # one row per file
+    bound = max([max_rows - 1] + [r["header_row"] for r in declared_rows if r["header_row"] is not None])
+    decl = declared.select("source_file", F.col("header_row").cast("bigint").alias("__decl"))
+    head = (grid.filter(F.col("row_idx") <= bound)
+            .join(F.broadcast(decl), "source_file"))  # one row per file: bounded by the input files
+    amap = _alias_map(profile.aliases)
+    keyed = head.select("source_file", "row_idx", "__decl", "cells",
+                        F.transform("cells", lambda x: normalize_header(x)).alias("keys"))
+    names = F.transform("keys", lambda k, i: F.when(F.get(F.col("cells"), i).isNull() | (k == ""),
+                                                    F.concat(F.lit("_c"), i.cast("string")))
+                        .otherwise(F.coalesce(F.element_at(amap, k), snake_case(k))))
+    score = F.size(F.filter(F.arrays_zip("cells", "keys"),
+                            lambda z: z["cells"].isNotNull() & F.element_at(amap, z["keys"]).isNotNull()))
+    rows = keyed.select("source_file", "row_idx", "__decl", names.alias("names"), score.alias("score"))
+    per_file = rows.groupBy("source_file").agg(
+        F.max(F.when(F.col("row_idx") == F.col("__decl"), F.struct("row_idx", "names"))).alias("declared"),
+        F.max(F.when((F.col("row_idx") < max_rows) & (F.col("score") > 0),
+                     F.struct("score", (-F.col("row_idx")).alias("neg"), "row_idx", "names"))).alias("best"))
+    got = {r["source_file"]: r for r in per_file.collect()}  # one row per file: header metadata only
+    required = set(profile.required)
+    resolved, fallback, missing_msgs, dup_msgs = [], [], [], []
+    for d in sorted(declared_rows, key=lambda r: r["source_file"]):
+        f = d["source_file"]
+        r = got.get(f)
+        dec = r["declared"] if r is not None else None
+        best = r["best"] if r is not None else None
+        row, cols = (dec["row_idx"], list(dec["names"])) if dec is not None else (d["header_row"], None)
+        if cols is None or not required <= set(cols):
+            if best is not None and best["score"] >= min_score and best["row_idx"] != d["header_row"]:
+                row, cols = best["row_idx"], list(best["names"])
+                fallback.append(f)
+        if cols is None:
+            missing_msgs.append(f"{f}: header row {row} not found in the file")
+            continue
+        miss = [c for c in profile.required if c not in set(cols)]
+        if miss:
+            missing_msgs.append(f"{f}: missing {miss}; available {sorted(set(cols))}")
+        dups = sorted({n for n in cols if cols.count(n) > 1})
         if dups:
-            dup_msgs.append(f"{r['source_file']}: headers mapping to the same name {dups}")
-    seen_files = {r["source_file"] for r in rows}
-    for r in declared.select("source_file").collect():
-        if r["source_file"] not in seen_files:
-            missing_msgs.append(f"{r['source_file']}: header row not found in the file")
+            dup_msgs.append(f"{f}: headers mapping to the same name {dups}")
+        resolved.append((f, int(row), cols, len(cols)))
     if missing_msgs:
         raise HeaderError(f"required columns missing for profile '{profile.name}':\n" + "\n".join(missing_msgs))
     if dup_msgs:
         raise HeaderError("\n".join(dup_msgs))
     order: dict[str, tuple[int, int]] = {}
-    for fi, r in enumerate(sorted(rows, key=lambda r: r["source_file"])):
-        for c in r["cols"]:
-            order.setdefault(c["canonical"], (fi, c["position"]))
+    for fi, (_, _, cols, _) in enumerate(resolved):
+        for pos, c in enumerate(cols):
+            order.setdefault(c, (fi, pos))
     columns = sorted(order, key=lambda n: order[n])
-    frame = spark.createDataFrame(
-        [(r["source_file"], r["header_row"], [c["canonical"] for c in r["cols"]], len(r["cols"])) for r in rows],
-        "source_file string, header_row bigint, names array<string>, width int")
-    return ResolvedHeaders(frame, columns, sorted(r["source_file"] for r in rows if r["fallback"]))
+    frame = spark.createDataFrame(resolved, "source_file string, header_row bigint, names array<string>, width int")
+    return ResolvedHeaders(frame, columns, sorted(fallback))
 
 
 def clean_cells(cells: Column, tokens: Sequence[str] = NULL_TOKENS) -> Column:
