@@ -4,37 +4,92 @@ Workbooks are re-aimed to delimited exports (or to grids stored as parquet).
 Nothing is parsed with a hand-written reader: delimited files go through
 Spark's CSV source, text through ``split`` + ``posexplode``.
 
-Row numbers.  A multi-line CSV file is not splittable, so one task reads it
-from start to end and ``monotonically_increasing_id`` is consecutive within
-the file; the row index is the id minus the file's smallest id.  That
-minimum is a partial aggregate (one row per file) joined back by broadcast,
-so no file is shuffled into a single task.  Spark's CSV reader skips blank
-lines, so ``row_idx`` counts non-blank lines.
+Row numbers.  Within one input split, rows come out in file order and
+``monotonically_increasing_id`` is consecutive, so a row's index is the number
+of rows in the earlier splits of the same file plus its position inside its
+own split.  Per-split row counts are a partial aggregate (one row per split);
+a running sum over each file's splits, ordered by ``_metadata.file_block_start``,
+gives the offsets, which are joined back.  No file is ever gathered into one
+task, so a single huge source file is read by as many tasks as it has splits
+(``splittable=True``).  Files whose quoted cells contain line breaks need the
+multi-line reader, which reads each file in one task (``splittable=False``,
+the default for spreadsheet exports).  Spark's CSV reader skips blank lines,
+so ``row_idx`` counts non-blank lines.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 GRID_SCHEMA = "source_file string, row_idx bigint, cells array<string>"
 
 
 def read_csv_grid(spark: SparkSession, paths: str | list[str], sep: str = ",", max_columns: int = 64,
-                  encoding: str = "UTF-8") -> DataFrame:
-    """Read delimited files, every cell as text, as a cell grid."""
+                  encoding: str = "UTF-8", splittable: bool = False) -> DataFrame:
+    """Read delimited files, every cell as text, as a cell grid (see the
+    module doc for the row index and ``splittable``)."""
     schema = ", ".join(f"c{i} string" for i in range(max_columns))
     raw = (spark.read.schema(schema)
-           .option("header", "false").option("multiLine", "true").option("sep", sep)
+           .option("header", "false").option("multiLine", "false" if splittable else "true").option("sep", sep)
            .option("encoding", encoding).option("mode", "PERMISSIVE")
            .csv(paths))
     rows = raw.select(F.col("_metadata.file_name").alias("source_file"),
+                      F.col("_metadata.file_block_start").alias("__block"),
                       F.monotonically_increasing_id().alias("__id"),
                       F.array(*[F.col(f"c{i}") for i in range(max_columns)]).alias("cells"))
-    first = rows.groupBy("source_file").agg(F.min("__id").alias("__first"))
-    return (rows.join(F.broadcast(first), "source_file")
-            .select("source_file", (F.col("__id") - F.col("__first")).alias("row_idx"), trim_trailing_nulls("cells")
-                    .alias("cells")))
+    splits = split_bound(raw, splittable)
+    small = splits is not None and splits <= MAX_BROADCAST_SPLITS
+    return (with_row_index(rows, broadcast_offsets=small)
+            .select("source_file", "row_idx", trim_trailing_nulls("cells").alias("cells")))
+
+
+MAX_BROADCAST_SPLITS = 1_000_000
+
+
+def split_bound(df: DataFrame, splittable: bool, max_files: int = 100_000) -> int | None:
+    """Upper bound of the number of input splits behind ``df`` from the file
+    listing: one per file when files are read whole, else
+    ``ceil(size / maxPartitionBytes)`` per file.  None when unknown."""
+    files = df.inputFiles()
+    if not files or len(files) > max_files:
+        return None
+    if not splittable:
+        return len(files)
+    sc = df.sparkSession.sparkContext
+    jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
+    step = _bytes(df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes"))
+    total = 0
+    for f in files:
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        total += -(-p.getFileSystem(conf).getFileStatus(p).getLen() // step) + 1
+    return total
+
+
+def _bytes(v: str) -> int:
+    v = str(v).strip().lower()
+    for unit, mult in (("gb", 1 << 30), ("g", 1 << 30), ("mb", 1 << 20), ("m", 1 << 20), ("kb", 1 << 10),
+                       ("k", 1 << 10), ("b", 1)):
+        if v.endswith(unit):
+            return int(float(v[: -len(unit)]) * mult)
+    return int(v)
+
+
+def with_row_index(rows: DataFrame, broadcast_offsets: bool = False) -> DataFrame:
+    """Add ``row_idx`` to rows carrying ``source_file``, ``__block`` (split
+    start) and ``__id`` (``monotonically_increasing_id`` taken right at the
+    scan).  One row per split is aggregated and windowed per file; the
+    offsets (one row per split) are joined back, by broadcast when the caller
+    has bounded the number of splits."""
+    blocks = rows.groupBy("source_file", "__block").agg(F.min("__id").alias("__first"),
+                                                        F.count(F.lit(1)).alias("__n"))
+    w = Window.partitionBy("source_file").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select("source_file", "__block", "__first",
+                            F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__before"))
+    offsets = F.broadcast(offsets) if broadcast_offsets else offsets
+    return (rows.join(offsets, ["source_file", "__block"])
+            .withColumn("row_idx", F.col("__before") + F.col("__id") - F.col("__first"))
+            .drop("__block", "__id", "__first", "__before"))
 
 
 def read_parquet_grid(spark: SparkSession, path: str) -> DataFrame:

@@ -21,7 +21,7 @@ from aulastar.config import IngestProfile
 from aulastar.operators.ingest import extract
 from aulastar.plans.ingest import log_path
 from aulastar.sinks.bronze import load_to_bronze, table_path
-from aulastar.sources.grid import trim_trailing_nulls
+from aulastar.sources.grid import trim_trailing_nulls, with_row_index
 
 
 def landing_stream(spark: SparkSession, folder: str, max_columns: int = 64, sep: str = ",",
@@ -38,16 +38,15 @@ def landing_stream(spark: SparkSession, folder: str, max_columns: int = 64, sep:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.csv(folder)
     return raw.select(F.col("_metadata.file_name").alias("source_file"),
+                      F.col("_metadata.file_block_start").alias("__block"),
                       trim_trailing_nulls(F.array(*[F.col(f"c{i}") for i in range(max_columns)])).alias("cells"))
 
 
 def _finish_grid(batch: DataFrame) -> DataFrame:
-    """Row index per file inside a micro-batch (a static DataFrame whose scan
-    reads each non-splittable file in one task, in order)."""
-    batch = batch.withColumn("__id", F.monotonically_increasing_id())
-    first = batch.groupBy("source_file").agg(F.min("__id").alias("__first"))
-    return batch.join(F.broadcast(first), "source_file").select(
-        "source_file", (F.col("__id") - F.col("__first")).alias("row_idx"), "cells")
+    """Row index per file inside a micro-batch (a static DataFrame: the id is
+    taken right on top of its scan)."""
+    # a micro-batch holds the files that landed since the last one: bounded
+    return with_row_index(batch.withColumn("__id", F.monotonically_increasing_id()), broadcast_offsets=True)
 
 
 def start_landing_ingest(spark: SparkSession, folder: str, catalog: DataFrame, profile: IngestProfile, root: str,

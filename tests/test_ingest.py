@@ -134,3 +134,21 @@ def test_empty_load_keeps_old_rows(spark, files, tmp_root):
     assert sink.read_bronze(spark, path).filter(F.col("_source_file") == "docentes_2024.csv").count() == 2
     failed = sink.ingestion_status(spark.read.parquet(log_path(root))).filter("status = 'failed'").count()
     assert failed == 1
+
+
+def test_splittable_grid_row_index_matches(spark, tmp_root):
+    src = os.path.join(tmp_root, "big")
+    os.makedirs(src)
+    write(src, "a.csv", [f"{i},x{i},{i % 7}" for i in range(5000)])
+    write(src, "b.csv", [f"{i},y{i}" for i in range(300)])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        g = read_csv_grid(spark, src, splittable=True)
+        assert g.rdd.getNumPartitions() > 5
+        bad = g.filter(F.col("row_idx") != F.get("cells", 0).cast("long")).count()
+        assert bad == 0 and g.count() == 5300
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    whole = read_csv_grid(spark, src)
+    assert whole.filter(F.col("row_idx") != F.get("cells", 0).cast("long")).count() == 0
