@@ -1,9 +1,10 @@
 """Data-quality operators D1-D11.
 
 Every check returns the DataFrame of failing rows; a check passes when it is
-empty.  ``run_suite`` counts all checks in ONE Spark job (a union of one-row
-counts), optionally stores each failing set (D10), and ``assert_suite``
-raises after the whole suite has run (D11).
+empty.  ``run_suite`` runs the checks as concurrent Spark jobs and returns
+the summary, optionally storing each failing set (D10); ``suite_frame`` is
+the same summary as one lazy union; ``assert_suite`` raises after the whole
+suite has run (D11).
 
 Null rules (our contract): ``not_null`` fails on nulls; ``unique``,
 ``accepted_values``, ``relationships``, ``accepted_range`` and
@@ -26,9 +27,34 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def not_null_predicate(col: str) -> Column:
+    return F.col(col).isNull()
+
+
+def accepted_values_predicate(col: str, values: Sequence) -> Column:
+    return ~F.col(col).isin(list(values))
+
+
+def expression_predicate(expression: str | Column, where: str | Column | None = None) -> Column:
+    e = F.expr(expression) if isinstance(expression, str) else expression
+    if where is None:
+        return ~e
+    w = F.expr(where) if isinstance(where, str) else where
+    return w & ~e
+
+
+def accepted_range_predicate(col: str, min_value=None, max_value=None) -> Column:
+    cond = F.lit(False)
+    if min_value is not None:
+        cond = cond | (F.col(col) < min_value)
+    if max_value is not None:
+        cond = cond | (F.col(col) > max_value)
+    return cond
+
+
 def not_null(df: DataFrame, col: str) -> DataFrame:
     """D1."""
-    return df.filter(F.col(col).isNull())
+    return df.filter(not_null_predicate(col))
 
 
 def unique(df: DataFrame, col: str) -> DataFrame:
@@ -40,7 +66,7 @@ def unique(df: DataFrame, col: str) -> DataFrame:
 
 def accepted_values(df: DataFrame, col: str, values: Sequence) -> DataFrame:
     """D3: rows whose value is not in the list (null passes)."""
-    return df.filter(~F.col(col).isin(list(values)))
+    return df.filter(accepted_values_predicate(col, values))
 
 
 def relationships(child: DataFrame, col: str, parent: DataFrame, field_: str) -> DataFrame:
@@ -57,20 +83,12 @@ def unique_combination(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def expression_is_true(df: DataFrame, expression: str | Column, where: str | Column | None = None) -> DataFrame:
     """Rows (after the optional ``where``) for which the expression is
     false; a null result passes."""
-    if where is not None:
-        df = df.filter(F.expr(where) if isinstance(where, str) else where)
-    e = F.expr(expression) if isinstance(expression, str) else expression
-    return df.filter(~e)
+    return df.filter(expression_predicate(expression, where))
 
 
 def accepted_range(df: DataFrame, col: str, min_value=None, max_value=None) -> DataFrame:
     """Inclusive bounds (null passes)."""
-    cond = F.lit(False)
-    if min_value is not None:
-        cond = cond | (F.col(col) < min_value)
-    if max_value is not None:
-        cond = cond | (F.col(col) > max_value)
-    return df.filter(cond)
+    return df.filter(accepted_range_predicate(col, min_value, max_value))
 
 
 def place_invariant(fact: DataFrame, dim: DataFrame, pattern: str, key: str = "codigo_snies",
@@ -97,38 +115,108 @@ def freshness(df: DataFrame, ts_col: str, table: str, warn_days: int, error_days
 
 @dataclass(frozen=True)
 class Check:
+    """A named check.  Row-level checks also carry their ``source`` table and
+    failing-row ``predicate`` so that all of them on one table are counted in
+    a single scan (``count_if`` per check)."""
+
     name: str
     table: str
     failing: Callable[[], DataFrame]
     severity: str = "error"
     kind: str = ""
     params: dict = field(default_factory=dict, compare=False)
+    source: DataFrame | None = field(default=None, compare=False)
+    predicate: Column | None = field(default=None, compare=False)
+
 
+def row_check(name: str, table: str, source: DataFrame, predicate: Column, kind: str = "row",
+              severity: str = "error") -> Check:
+    return Check(name, table, lambda: source.filter(predicate), severity, kind, source=source, predicate=predicate)
 
-def run_suite(checks: Sequence[Check], store_root: str | None = None) -> DataFrame:
-    """Summary ``(check_name, tabla, severity, failures, status)``.
 
-    All counts are one union, i.e. one job; each branch is an aggregate over
-    its own plan.  With ``store_root``, failing rows of every failing check
-    are written to ``{store_root}/quality/{check_name}`` (replaced per run).
+def _fuse(checks: Sequence[Check]):
+    """Split checks into per-source groups of row-level checks and the rest."""
+    groups: dict[int, list] = {}
+    rest = []
+    for i, ch in enumerate(checks):
+        if ch.source is not None and ch.predicate is not None:
+            groups.setdefault(id(ch.source), []).append((i, ch))
+        else:
+            rest.append((i, ch))
+    return list(groups.values()), rest
+
+
+def _status(df: DataFrame) -> DataFrame:
+    return df.withColumn(
+        "status", F.when(F.col("failures") == 0, F.lit("pass"))
+        .when(F.col("severity") == "warn", F.lit("warn")).otherwise(F.lit("fail")))
+
+
+SUMMARY_SCHEMA = "check_name string, tabla string, severity string, failures bigint"
+
+
+def run_suite(checks: Sequence[Check], store_root: str | None = None, parallelism: int = 8) -> DataFrame:
+    """Run every check and return the summary ``(check_name, tabla,
+    severity, failures, status)``.
+
+    Checks are independent Spark jobs; like a test runner with worker
+    threads, up to ``parallelism`` of them are submitted at once from driver
+    threads so that many small jobs share the cluster.  Only the counts (one
+    number per check) come back to the driver.  With ``store_root``, failing
+    rows of every failing check are written to
+    ``{store_root}/quality/{check_name}`` (replaced per run).
     """
+    from concurrent.futures import ThreadPoolExecutor
+
+    if not checks:
+        raise ValueError("no checks to run")
+    spark = checks[0].failing().sparkSession
+
+    groups, rest = _fuse(checks)
+    counts: dict[int, int] = {}
+
+    def fused(group) -> None:
+        src = group[0][1].source
+        r = src.agg(*[F.count_if(ch.predicate).alias(f"c{j}") for j, (_, ch) in enumerate(group)]).first()
+        for j, (i, _) in enumerate(group):
+            counts[i] = int(r[f"c{j}"])
+
+    def single(item) -> None:
+        i, ch = item
+        counts[i] = ch.failing().count()
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        futures = [pool.submit(fused, g) for g in groups] + [pool.submit(single, it) for it in rest]
+        for f in futures:
+            f.result()
+    rows = [(ch.name, ch.table, ch.severity, counts[i]) for i, ch in enumerate(checks)]
+    if store_root:
+        failing = {r[0] for r in rows if r[3] > 0}
+        for ch in checks:
+            if ch.name in failing:
+                ch.failing().write.mode("overwrite").parquet(f"{store_root.rstrip('/')}/quality/{ch.name}")
+    return _status(spark.createDataFrame(rows, SUMMARY_SCHEMA))
+
+
+def suite_frame(checks: Sequence[Check]) -> DataFrame:
+    """D10 as one lazy DataFrame: the union of one-row counts (one job when
+    evaluated)."""
+    groups, rest = _fuse(checks)
     parts = []
-    for ch in checks:
+    for group in groups:  # one scan per source table for all its row-level checks
+        src = group[0][1].source
+        rows = F.array(*[F.struct(F.lit(ch.name).alias("check_name"), F.lit(ch.table).alias("tabla"),
+                                  F.lit(ch.severity).alias("severity"),
+                                  F.count_if(ch.predicate).alias("failures")) for _, ch in group])
+        parts.append(src.agg(rows.alias("r")).select(F.explode("r").alias("r")).select("r.*"))
+    for _, ch in rest:
         parts.append(ch.failing().agg(F.count(F.lit(1)).alias("failures"))
                      .select(F.lit(ch.name).alias("check_name"), F.lit(ch.table).alias("tabla"),
                              F.lit(ch.severity).alias("severity"), "failures"))
     summary = parts[0]
     for p in parts[1:]:
         summary = summary.unionByName(p)
-    summary = summary.withColumn(
-        "status", F.when(F.col("failures") == 0, F.lit("pass"))
-        .when(F.col("severity") == "warn", F.lit("warn")).otherwise(F.lit("fail")))
-    if store_root:
-        failing = {r["check_name"] for r in summary.filter("failures > 0").select("check_name").collect()}
-        for ch in checks:
-            if ch.name in failing:
-                ch.failing().write.mode("overwrite").parquet(f"{store_root.rstrip('/')}/quality/{ch.name}")
-    return summary
+    return _status(summary)
 
 
 class QualityError(Exception):
@@ -157,65 +245,64 @@ def declared_checks(bronze: dict[str, DataFrame], stg_entity: DataFrame, stg_num
     years = list(c.accepted_years)
     out: list[Check] = []
 
-    def add(name, table, kind, fn, **params):
-        out.append(Check(name, table, fn, kind=kind, params=params))
+    def add(name, table, kind, fn):
+        out.append(Check(name, table, fn, kind=kind))
+
+    def row(name, table, kind, df, pred):
+        out.append(row_check(name, table, df, pred, kind))
 
+    nn, av = not_null_predicate, accepted_values_predicate
     for tname, df in bronze.items():
         for col in (c.code, c.year):
-            add(f"not_null_{tname}_{col}", tname, "not_null", lambda df=df, col=col: not_null(df, col), col=col)
-    add("not_null_stg_ies_codigo_snies", "stg_ies", "not_null", lambda: not_null(stg_entity, "codigo_snies"))
+            row(f"not_null_{tname}_{col}", tname, "not_null", df, nn(col))
+    row("not_null_stg_ies_codigo_snies", "stg_ies", "not_null", stg_entity, nn("codigo_snies"))
     add("unique_stg_ies_codigo_snies", "stg_ies", "unique", lambda: unique(stg_entity, "codigo_snies"))
-    add("not_null_stg_ies_nombre_ies", "stg_ies", "not_null", lambda: not_null(stg_entity, "nombre_ies"))
+    row("not_null_stg_ies_nombre_ies", "stg_ies", "not_null", stg_entity, nn("nombre_ies"))
     for tname, df, total, with_range in (("stg_matriculados", stg_numer, n, True),
                                          ("stg_docentes", stg_denom, d, False)):
-        add(f"not_null_{tname}_codigo_snies", tname, "not_null", lambda df=df: not_null(df, "codigo_snies"))
+        row(f"not_null_{tname}_codigo_snies", tname, "not_null", df, nn("codigo_snies"))
         add(f"relationships_{tname}_codigo_snies", tname, "relationships",
             lambda df=df: relationships(df, "codigo_snies", stg_entity, "codigo_snies"))
-        add(f"not_null_{tname}_anio", tname, "not_null", lambda df=df: not_null(df, "anio"))
-        add(f"accepted_values_{tname}_anio", tname, "accepted_values",
-            lambda df=df: accepted_values(df, "anio", years))
-        add(f"not_null_{tname}_{total}", tname, "not_null", lambda df=df, t=total: not_null(df, t))
-        add(f"expression_is_true_{tname}_{total}", tname, "expression_is_true",
-            lambda df=df, t=total: expression_is_true(df, f"{t} >= 0"))
+        row(f"not_null_{tname}_anio", tname, "not_null", df, nn("anio"))
+        row(f"accepted_values_{tname}_anio", tname, "accepted_values", df, av("anio", years))
+        row(f"not_null_{tname}_{total}", tname, "not_null", df, nn(total))
+        row(f"expression_is_true_{tname}_{total}", tname, "expression_is_true", df,
+            expression_predicate(f"{total} >= 0"))
         if with_range:
             lo, hi = c.semester_range
-            add(f"accepted_range_{tname}_semestres_presentes", tname, "accepted_range",
-                lambda df=df: accepted_range(df, "semestres_presentes", lo, hi))
+            row(f"accepted_range_{tname}_semestres_presentes", tname, "accepted_range", df,
+                accepted_range_predicate("semestres_presentes", lo, hi))
         add(f"unique_combination_{tname}", tname, "unique_combination",
             lambda df=df: unique_combination(df, ["codigo_snies", "anio"]))
     sk = seed_columns[0]
-    add(f"not_null_seed_{sk}", "seed", "not_null", lambda: not_null(seed, sk))
+    row(f"not_null_seed_{sk}", "seed", "not_null", seed, nn(sk))
     add(f"unique_seed_{sk}", "seed", "unique", lambda: unique(seed, sk))
     for col in seed_columns[1:]:
-        add(f"not_null_seed_{col}", "seed", "not_null", lambda col=col: not_null(seed, col))
-    add("not_null_dim_ies_codigo_snies", "dim_ies", "not_null", lambda: not_null(dim, "codigo_snies"))
+        row(f"not_null_seed_{col}", "seed", "not_null", seed, nn(col))
+    row("not_null_dim_ies_codigo_snies", "dim_ies", "not_null", dim, nn("codigo_snies"))
     add("unique_dim_ies_codigo_snies", "dim_ies", "unique", lambda: unique(dim, "codigo_snies"))
-    add("not_null_dim_ies_nombre_ies", "dim_ies", "not_null", lambda: not_null(dim, "nombre_ies"))
-    add("accepted_values_dim_ies_sector_ies", "dim_ies", "accepted_values",
-        lambda: accepted_values(dim, "sector_ies", c.sector_accepted))
-    add("accepted_values_dim_ies_caracter_ies", "dim_ies", "accepted_values",
-        lambda: accepted_values(dim, "caracter_ies", c.caracter_accepted))
-    add("not_null_dim_ies_es_sue", "dim_ies", "not_null", lambda: not_null(dim, "es_sue"))
-    add("accepted_values_dim_ies_es_sue", "dim_ies", "accepted_values",
-        lambda: accepted_values(dim, "es_sue", [True, False]))
-    add("not_null_dim_tiempo_anio", "dim_tiempo", "not_null", lambda: not_null(tiempo, "anio"))
+    row("not_null_dim_ies_nombre_ies", "dim_ies", "not_null", dim, nn("nombre_ies"))
+    row("accepted_values_dim_ies_sector_ies", "dim_ies", "accepted_values", dim, av("sector_ies", c.sector_accepted))
+    row("accepted_values_dim_ies_caracter_ies", "dim_ies", "accepted_values", dim,
+        av("caracter_ies", c.caracter_accepted))
+    row("not_null_dim_ies_es_sue", "dim_ies", "not_null", dim, nn("es_sue"))
+    row("accepted_values_dim_ies_es_sue", "dim_ies", "accepted_values", dim, av("es_sue", [True, False]))
+    row("not_null_dim_tiempo_anio", "dim_tiempo", "not_null", tiempo, nn("anio"))
     add("unique_dim_tiempo_anio", "dim_tiempo", "unique", lambda: unique(tiempo, "anio"))
-    add("accepted_values_dim_tiempo_anio", "dim_tiempo", "accepted_values",
-        lambda: accepted_values(tiempo, "anio", years))
-    add("not_null_fact_codigo_snies", "fact", "not_null", lambda: not_null(fact, "codigo_snies"))
+    row("accepted_values_dim_tiempo_anio", "dim_tiempo", "accepted_values", tiempo, av("anio", years))
+    row("not_null_fact_codigo_snies", "fact", "not_null", fact, nn("codigo_snies"))
     add("relationships_fact_codigo_snies", "fact", "relationships",
         lambda: relationships(fact, "codigo_snies", dim, "codigo_snies"))
-    add("not_null_fact_anio", "fact", "not_null", lambda: not_null(fact, "anio"))
+    row("not_null_fact_anio", "fact", "not_null", fact, nn("anio"))
     add("relationships_fact_anio", "fact", "relationships", lambda: relationships(fact, "anio", tiempo, "anio"))
     for total in (n, d):
-        add(f"not_null_fact_{total}", "fact", "not_null", lambda t=total: not_null(fact, t))
-        add(f"expression_is_true_fact_{total}", "fact", "expression_is_true",
-            lambda t=total: expression_is_true(fact, f"{t} >= 0"))
-    add(f"expression_is_true_fact_{r}", "fact", "expression_is_true",
-        lambda: expression_is_true(fact, f"{r} >= 0", f"{r} IS NOT NULL"))
-    add(f"not_null_fact_{c.flag}", "fact", "not_null", lambda: not_null(fact, c.flag))
-    add(f"accepted_values_fact_{c.flag}", "fact", "accepted_values",
-        lambda: accepted_values(fact, c.flag, c.flags))
+        row(f"not_null_fact_{total}", "fact", "not_null", fact, nn(total))
+        row(f"expression_is_true_fact_{total}", "fact", "expression_is_true", fact,
+            expression_predicate(f"{total} >= 0"))
+    row(f"expression_is_true_fact_{r}", "fact", "expression_is_true", fact,
+        expression_predicate(f"{r} >= 0", f"{r} IS NOT NULL"))
+    row(f"not_null_fact_{c.flag}", "fact", "not_null", fact, nn(c.flag))
+    row(f"accepted_values_fact_{c.flag}", "fact", "accepted_values", fact, av(c.flag, c.flags))
     add("unique_combination_fact", "fact", "unique_combination",
         lambda: unique_combination(fact, ["codigo_snies", "anio"]))
     add("fact_only_in_place", "fact", "custom", lambda: place_invariant(fact, dim, c.place_pattern))

@@ -163,7 +163,7 @@ def tpch_checks(spark: SparkSession, d: str) -> list:
 
 
 def _d10(spark, d):
-    return quality.run_suite(tpch_checks(spark, d))
+    return quality.suite_frame(tpch_checks(spark, d))
 
 
 def registry() -> dict[str, Query]:

@@ -109,6 +109,11 @@ class EmptyLoadError(ValueError):
     pass
 
 
+# Up to this many files per load, per-file row counts are observed during
+# the write itself (no second pass over the data).
+MAX_OBSERVED_FILES = 256
+
+
 def load_to_bronze(df: DataFrame, path: str, log_path: str, perfil: str, run_id: str,
                    anio: int | None = None, files: Sequence[tuple[str, str | None]] | None = None
                    ) -> list[LoadResult]:
@@ -147,13 +152,20 @@ def load_to_bronze(df: DataFrame, path: str, log_path: str, perfil: str, run_id:
                 deleted[r["_source_file"]] = r["count"]
         # per-file row counts are observed while writing (no second pass);
         # a file with no rows is not touched by the dynamic overwrite
-        obs = Observation("bronze_load")
-        metrics = [F.count_if(F.col("_source_file") == f).alias(f"f{i}") for i, f in enumerate(names)]
-        (df.filter(F.col("_source_file").isin(names)).observe(obs, *metrics)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("_source_file").parquet(path))
-        got = obs.get
-        inserted = {f: int(got[f"f{i}"]) for i, f in enumerate(names)}
+        data = df.filter(F.col("_source_file").isin(names))
+        writer = lambda d: (d.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                            .partitionBy("_source_file").parquet(path))
+        if len(names) <= MAX_OBSERVED_FILES:
+            obs = Observation("bronze_load")
+            metrics = [F.count_if(F.col("_source_file") == f).alias(f"f{i}") for i, f in enumerate(names)]
+            writer(data.observe(obs, *metrics))
+            got = obs.get
+            inserted = {f: int(got[f"f{i}"]) for i, f in enumerate(names)}
+        else:
+            # many files: one grouped pre-count (one row per file) instead of
+            # hundreds of observed metrics
+            inserted = {r["_source_file"]: int(r["count"]) for r in data.groupBy("_source_file").count().collect()}
+            writer(data)
     except Exception as e:  # K8: log and re-raise
         log_events(spark, log_path, [ev(f, url, "failed", error=str(e)) for f, url in files])
         raise
