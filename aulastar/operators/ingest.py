@@ -38,24 +38,36 @@ def _alias_map(aliases: Mapping[str, str]) -> Column:
 
 
 def detect_header(grid: DataFrame, alias_keys: Sequence[str], max_rows: int = HEADER_SCAN_ROWS,
-                  min_score: int = HEADER_MIN_SCORE) -> DataFrame:
+                  min_score: int = HEADER_MIN_SCORE, with_cells: bool = False) -> DataFrame:
     """Per file, the row among the first ``max_rows`` with the most cells
     whose normalised text is a known alias; the first row wins ties; files
     whose best score is below ``min_score`` get no row.
 
-    Output ``(source_file, header_row, score)``.  Scores are a per-row
-    expression; the per-file choice is an aggregate of ``max(struct(score,
-    -row))``, which combines map-side.
+    Output ``(source_file, header_row, score)`` (+ ``cells`` of that row with
+    ``with_cells``, so the header can be mapped without a second pass).
+    Scores are a per-row expression; the per-file choice is an aggregate of
+    ``max(struct(score, -row, ...))``, which combines map-side.
     """
     keys = list(alias_keys)
     head = grid.filter(F.col("row_idx") < max_rows)
     hits = F.aggregate(
         F.transform("cells", lambda x: F.when(x.isNotNull() & normalize_header(x).isin(keys), 1).otherwise(0)),
         F.lit(0), lambda acc, x: acc + x)
-    scored = head.select("source_file", "row_idx", hits.alias("score")).filter(F.col("score") > 0)
-    best = scored.groupBy("source_file").agg(F.max(F.struct("score", (-F.col("row_idx")).alias("neg"))).alias("b"))
-    return (best.select("source_file", (-F.col("b.neg")).alias("header_row"), F.col("b.score").alias("score"))
-            .filter(F.col("score") >= min_score))
+    scored = head.select("source_file", "row_idx", "cells", hits.alias("score")).filter(F.col("score") > 0)
+    fields = [F.col("score"), (-F.col("row_idx")).alias("neg")] + ([F.col("cells")] if with_cells else [])
+    best = scored.groupBy("source_file").agg(F.max(F.struct(*fields)).alias("b"))
+    out = [F.col("source_file"), (-F.col("b.neg")).alias("header_row"), F.col("b.score").alias("score")]
+    if with_cells:
+        out.append(F.col("b.cells").alias("cells"))
+    return best.select(*out).filter(F.col("score") >= min_score)
+
+
+def detected_header_cells(grid: DataFrame, alias_keys: Sequence[str], max_rows: int = HEADER_SCAN_ROWS,
+                          min_score: int = HEADER_MIN_SCORE) -> DataFrame:
+    """S5 then the cells of the detected row, one row per cell
+    ``(source_file, header_row, position, header)``, in one pass."""
+    d = detect_header(grid, alias_keys, max_rows, min_score, with_cells=True)
+    return d.select("source_file", "header_row", F.posexplode("cells").alias("position", "header"))
 
 
 def header_cells(grid: DataFrame, header_rows: DataFrame) -> DataFrame:
@@ -86,12 +98,16 @@ def mapped_report(mapped: DataFrame) -> DataFrame:
 
 
 def missing_required(mapped: DataFrame, required: Sequence[str]) -> DataFrame:
-    """Per file, required canonical columns that are absent (sorted) and
-    the available ones."""
-    req = F.array(*[F.lit(r) for r in required])
-    g = mapped.groupBy("source_file").agg(F.array_sort(F.collect_set("canonical")).alias("available"))
-    return g.select("source_file", F.array_sort(F.array_except(req, F.col("available"))).alias("missing"),
-                    "available")
+    """Per file, the required canonical columns that are absent (sorted)
+    and the number of distinct available names.  One hash aggregate: a
+    presence count per required name, no per-file arrays."""
+    req = sorted(set(required))
+    g = mapped.groupBy("source_file").agg(
+        *[F.count_if(F.col("canonical") == r).alias(f"__r{i}") for i, r in enumerate(req)],
+        F.count_distinct("canonical").cast("int").alias("n_available"))
+    missing = F.filter(F.array(*[F.when(F.col(f"__r{i}") == 0, F.lit(r)) for i, r in enumerate(req)]),
+                       lambda x: x.isNotNull())
+    return g.select("source_file", missing.alias("missing"), "n_available")
 
 
 @dataclass

@@ -149,15 +149,27 @@ def _code_version() -> str:
 CODE_VERSION = _code_version()
 
 
-def fingerprint(sf_dir: str) -> str:
+def fingerprint(sf_dir: str, spark: SparkSession | None = None) -> str:
+    """Identity of the inputs (size and modification time of every input
+    table, through the Hadoop FileSystem of the path, so it works on any
+    storage) plus the package source hash."""
     parts = [CODE_VERSION]
-    for name in ("lineitem", "orders", "customer", "nation"):
+    names = ("lineitem", "orders", "customer", "nation", "supplier")
+    if spark is None:
+        spark = SparkSession.getActiveSession()
+    for name in names:
         p = f"{sf_dir.rstrip('/')}/{name}.parquet"
         try:
-            st = os.stat(p)
-            parts.append(f"{p}:{st.st_size}:{int(st.st_mtime)}")
-        except OSError:
-            parts.append(p)
+            sc = spark.sparkContext
+            jp = sc._jvm.org.apache.hadoop.fs.Path(p)
+            fs = jp.getFileSystem(sc._jsc.hadoopConfiguration())
+            total, newest = 0, 0
+            for st in fs.listStatus(jp):
+                total += st.getLen()
+                newest = max(newest, st.getModificationTime())
+            parts.append(f"{p}:{total}:{newest}")
+        except Exception:  # noqa: BLE001 - unknown inputs never match a stored table
+            parts.append(f"{p}:{os.urandom(8).hex()}")
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
@@ -171,7 +183,7 @@ def bronze_tables(spark: SparkSession, sf_dir: str, materialize: bool = True) ->
     """
     if not materialize:
         return surrogate_enrolment(spark, sf_dir), surrogate_teachers(spark, sf_dir)
-    root = shared_path(spark, "aulastar-bronze", fingerprint(sf_dir))
+    root = shared_path(spark, "aulastar-bronze", fingerprint(sf_dir, spark))
     out = []
     for name, build in (("matriculados_raw", surrogate_enrolment), ("docentes_raw", surrogate_teachers)):
         path = f"{root}/{name}"

@@ -53,8 +53,7 @@ def _s5(spark, d):
 
 def _docs_mapped(spark, d):
     g = documents_grid(spark, d)
-    rows = ingest.detect_header(g, list(DOCS_PROFILE.aliases)).select("source_file", "header_row")
-    return ingest.map_columns(ingest.header_cells(g, rows), DOCS_PROFILE.aliases)
+    return ingest.map_columns(ingest.detected_header_cells(g, list(DOCS_PROFILE.aliases)), DOCS_PROFILE.aliases)
 
 
 def _s6(spark, d):
@@ -72,7 +71,7 @@ def _s8(spark, d):
 def _s9(spark, d):
     m = ingest.missing_required(_docs_mapped(spark, d), DOCS_PROFILE.required)
     return m.filter(F.size("missing") > 0).select("source_file", F.array_join("missing", ",").alias("faltantes"),
-                                                  F.size("available").alias("n_disponibles"))
+                                                  F.col("n_available").alias("n_disponibles"))
 
 
 def _s10(spark, d):
