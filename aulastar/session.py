@@ -40,8 +40,9 @@ def get_spark(master: str | None = None, app: str = "aulastar", conf: dict | Non
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set by the deployment (a shared file system);
-    only when it is unset (local runs, tests) a scratch folder is created.
+    On a cluster this must be set by the deployment (a shared file system)
+    and its absence is an error; only in local mode (tests) a scratch folder
+    is created when it is unset.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
@@ -49,6 +50,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a shared folder "
+                           "(intermediate tables and checkpoints must survive the loss of any machine)")
     local = tempfile.mkdtemp(prefix="aulastar-ckpt-", dir=os.environ.get("AULASTAR_SCRATCH", "/tmp"))
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local

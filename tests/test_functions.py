@@ -94,3 +94,23 @@ def test_row_hash_equals_python_md5(spark):
     df = spark.createDataFrame([("a", None, "c")], "x string, y string, z string")
     got = df.select(row_hash(["x", "y", "z"])).first()[0]
     assert got == hashlib.md5("a||nan||c".encode()).hexdigest()
+
+
+def _safe_int_model(v):
+    import re
+    if v is None:
+        v = ""
+    digits = re.sub(r"[^0-9-]", "", v)
+    if digits == "":
+        return None
+    if not re.fullmatch(r"-?[0-9]+", digits):
+        return None
+    n = int(digits)
+    return n if -2**31 <= n < 2**31 else None
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet=st.sampled_from(list("0123456789-,. abcñ\t")),
+                                             max_size=14)), min_size=1, max_size=30))
+def test_safe_int_matches_python_model(spark, values):
+    assert one(spark, safe_int("v"), values) == [_safe_int_model(v) for v in values]

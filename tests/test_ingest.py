@@ -152,3 +152,16 @@ def test_splittable_grid_row_index_matches(spark, tmp_root):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     whole = read_csv_grid(spark, src)
     assert whole.filter(F.col("row_idx") != F.get("cells", 0).cast("long")).count() == 0
+
+
+def test_reload_twice_equals_once(spark, files, tmp_root):
+    g = read_csv_grid(spark, f"{files}/*.csv")
+    c = cat.catalog_frame(spark, entries(files))
+    root = os.path.join(tmp_root, "twice")
+    backfill(g, c, root, "run-1")
+    path = sink.table_path(root, "bronze", "docentes_raw")
+    cols = ["codigo_institucion", "anio", "semestre", "docentes", "_row_hash", "_source_file"]
+    once = sorted(tuple(r) for r in sink.read_bronze(spark, path).select(*cols).collect())
+    backfill(g, c, root, "run-2")
+    twice = sorted(tuple(r) for r in sink.read_bronze(spark, path).select(*cols).collect())
+    assert once == twice
