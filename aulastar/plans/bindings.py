@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from aulastar.config import MeasureSpec, StarConfig
 from aulastar.functions import row_hash
-from aulastar.session import path_exists, shared_path
+from aulastar.session import BUILD_LOCK, path_exists, shared_path
 
 TPCH = StarConfig(
     place_pattern="NATION_1%",
@@ -185,10 +185,11 @@ def bronze_tables(spark: SparkSession, sf_dir: str, materialize: bool = True) ->
         return surrogate_enrolment(spark, sf_dir), surrogate_teachers(spark, sf_dir)
     root = shared_path(spark, "aulastar-bronze", fingerprint(sf_dir, spark))
     out = []
-    for name, build in (("matriculados_raw", surrogate_enrolment), ("docentes_raw", surrogate_teachers)):
-        path = f"{root}/{name}"
-        if not path_exists(spark, f"{path}/_SUCCESS"):
-            (build(spark, sf_dir).write.mode("overwrite").option("partitionOverwriteMode", "static")
-             .partitionBy("_source_file").parquet(path))
-        out.append(spark.read.parquet(path))
+    with BUILD_LOCK:
+        for name, build in (("matriculados_raw", surrogate_enrolment), ("docentes_raw", surrogate_teachers)):
+            path = f"{root}/{name}"
+            if not path_exists(spark, f"{path}/_SUCCESS"):
+                (build(spark, sf_dir).write.mode("overwrite").option("partitionOverwriteMode", "static")
+                 .partitionBy("_source_file").parquet(path))
+            out.append(spark.read.parquet(path))
     return out[0], out[1]

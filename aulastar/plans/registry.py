@@ -20,7 +20,7 @@ from aulastar.operators.relational import checked_broadcast
 from aulastar.plans.bindings import TPCH, TPCH_AS_OF, bronze_tables, fingerprint, surrogate_seed
 from aulastar.plans.registry_ingest import ingest_registry
 from aulastar.plans.star import GOLD_TABLES, Star, build_star, materialize_all, read_all
-from aulastar.session import path_exists, shared_path
+from aulastar.session import BUILD_LOCK, path_exists, shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,9 +45,10 @@ def tpch_gold(spark: SparkSession, sf_dir: str) -> Star:
     the M1-M6 queries themselves compute the models from Bronze."""
     seed = checked_broadcast(surrogate_seed(spark, sf_dir))
     root = shared_path(spark, "aulastar-star", fingerprint(sf_dir, spark))
-    if not path_exists(spark, f"{root}/gold/{GOLD_TABLES[-1]}/_SUCCESS"):
-        return materialize_all(tpch_star(spark, sf_dir), root, TPCH)
-    return read_all(spark, seed, root)
+    with BUILD_LOCK:
+        if not path_exists(spark, f"{root}/gold/{GOLD_TABLES[-1]}/_SUCCESS"):
+            return materialize_all(tpch_star(spark, sf_dir), root, TPCH)
+        return read_all(spark, seed, root)
 
 
 def _m1(spark, d):

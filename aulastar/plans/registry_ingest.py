@@ -21,7 +21,7 @@ from aulastar.operators import ingest
 from aulastar.plans.bindings import TPCH, bronze_tables, table
 from aulastar.plans.ingest import backfill, ingest_profile, log_path
 from aulastar.plans.ingest_bindings import DOCS_PROFILE, documents, documents_grid, orders_catalog, orders_grid
-from aulastar.session import shared_path
+from aulastar.session import BUILD_LOCK, shared_path
 from aulastar.sinks import bronze as sink
 from aulastar.sources.catalog import available_years, workload
 
@@ -115,8 +115,13 @@ def load_scenario(spark: SparkSession, d: str) -> str:
     """Run the load scenario once per (application, input folder); return
     its root folder."""
     key = (spark.sparkContext.applicationId, d)
-    if key in _SCENARIOS:
+    with BUILD_LOCK:
+        if key not in _SCENARIOS:
+            _SCENARIOS[key] = _run_scenario(spark, d)
         return _SCENARIOS[key]
+
+
+def _run_scenario(spark: SparkSession, d: str) -> str:
     root = shared_path(spark, "aulastar-scenario", uuid.uuid4().hex)
     grid, cat = orders_grid(spark, d), orders_catalog(spark, d).cache()  # catalog: one row per year
     prof = PROFILES["matriculados"]
@@ -131,7 +136,6 @@ def load_scenario(spark: SparkSession, d: str) -> str:
     sink.load_to_bronze(smaller, sink.table_path(root, "bronze", prof.table), log_path(root), prof.name, "run-2",
                         anio=RELOAD_YEAR, files=[(f, f"tpch://orders/{RELOAD_YEAR}")])
     cat.unpersist()
-    _SCENARIOS[key] = root
     return root
 
 
