@@ -158,11 +158,10 @@ def b11_members(dim: DataFrame) -> DataFrame:
 
 def b12_last_refresh(fact: DataFrame, dim: DataFrame, fact_ts: str = "fecha_calculo",
                      dim_ts: str = "fecha_ultima_carga") -> DataFrame:
-    """Audit: latest refresh of the fact and (scalar subquery, J7) of the
-    dimension; two one-row aggregates side by side."""
-    f = fact.agg(F.max(fact_ts).alias("ultima_calculo_fact"))
-    d = dim.agg(F.max(dim_ts).alias("ultima_carga_dim"))
-    return f.crossJoin(F.broadcast(d))
+    """Audit: latest refresh of the fact and, as an uncorrelated scalar
+    subquery (J7), of the dimension."""
+    d = dim.agg(F.max(dim_ts)).scalar()
+    return fact.agg(F.max(fact_ts).alias("ultima_calculo_fact")).select("*", d.alias("ultima_carga_dim"))
 
 
 def b13_coverage(fact: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@
 * ``union_distinct`` (U1/U2).
 * ``semi_filter`` (J2): referential filter with ``left_semi``.
 * ``share_of_total`` (W3): ``x / SUM(x) OVER ()`` without moving every row
-  into one partition: a one-row aggregate broadcast to all tasks.
+  into one partition: the total is a scalar subquery.
 * ``checked_broadcast``: broadcast hint only behind a row-count check.
 """
 
@@ -60,15 +60,14 @@ def semi_filter(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> Data
 def share_of_total(df: DataFrame, col: str, alias: str, scale: int = 2) -> DataFrame:
     """Add ``ROUND(100.0 * col / SUM(col) OVER (), scale)`` as ``alias``.
 
-    The total is a one-row aggregate (a proven size bound) cross-joined by
-    broadcast, so every task keeps its rows; ``Window.partitionBy()`` with no
-    key would gather all rows in a single partition.
+    The total is a scalar subquery (a partial + final aggregate run once; its
+    value is handed to every task), so every task keeps its rows;
+    ``Window.partitionBy()`` with no key would gather all rows in a single
+    partition.
     """
-    total = df.agg(F.sum(col).cast("decimal(38,0)").alias("__total"))
-    pct = F.lit(100).cast("decimal(3,0)") * F.col(col).cast("decimal(20,0)") / F.col("__total")
-    return (df.crossJoin(F.broadcast(total))
-            .withColumn(alias, F.when(F.col("__total") != 0, F.round(pct, scale)))
-            .drop("__total"))
+    total = df.agg(F.sum(col).cast("decimal(38,0)")).scalar()
+    pct = F.lit(100).cast("decimal(3,0)") * F.col(col).cast("decimal(20,0)") / total
+    return df.withColumn(alias, F.when(total != 0, F.round(pct, scale)))
 
 
 @contextlib.contextmanager

@@ -99,9 +99,7 @@ def _s15(spark, d):
 
 
 def _s18(spark, d):
-    cat = orders_catalog(spark, d)
-    profiles = spark.createDataFrame([(p,) for p in sorted(PROFILES)], "perfil string")
-    return workload(cat.select("anio").crossJoin(F.broadcast(profiles)))
+    return workload(orders_catalog(spark, d), sorted(PROFILES))
 
 
 def _s2(spark, d):

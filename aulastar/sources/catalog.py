@@ -57,9 +57,13 @@ def validate_year(anio, entries: Sequence[SourceEntry] | None = None) -> int:
     return y
 
 
-def workload(catalog: DataFrame, year_col: str = "anio", profile_col: str = "perfil") -> DataFrame:
-    """Every year x every profile (both sides are distinct catalog
-    values, so the product is bounded by the catalog size)."""
+def workload(catalog: DataFrame, profiles: Sequence[str] | None = None, year_col: str = "anio",
+             profile_col: str = "perfil") -> DataFrame:
+    """Every year x every profile.  The profiles are a handful of
+    names (from the catalog when not given), so each distinct year is
+    expanded with a literal array of them; no join is needed."""
+    if profiles is None:
+        profiles = sorted(r[profile_col] for r in catalog.select(profile_col).distinct().collect())  # catalog-sized
     years = catalog.select(year_col).distinct()
-    profiles = catalog.select(profile_col).distinct()
-    return years.crossJoin(F.broadcast(profiles)).orderBy(year_col, profile_col)
+    return (years.select(year_col, F.explode(F.array(*[F.lit(p) for p in profiles])).alias(profile_col))
+            .orderBy(year_col, profile_col))

@@ -41,12 +41,18 @@ def test_topk_uses_take_ordered(plans):
         assert "TakeOrderedAndProject" in plans[k], k
 
 
-def test_share_of_total_uses_no_global_window(plans):
-    # the total is a partial+final aggregate (one row per map task reaches
-    # the single final partition); no window gathers the rows themselves
+def test_share_of_total_uses_no_global_window_or_cross_join(plans):
+    # the total is a scalar subquery over a partial+final aggregate; no window
+    # gathers the rows themselves and no nested-loop join pairs them
     p = plans["b8_largest"]
     assert "Window (" not in p
-    assert "partial_sum" in p
+    assert "partial_sum" in p and "Subquery" in p
+
+
+def test_no_cross_or_nested_loop_joins(plans):
+    for k, p in plans.items():
+        for node in ("CartesianProduct", "BroadcastNestedLoopJoin"):
+            assert node not in p, (k, node)
 
 
 def test_bronze_scan_prunes_and_pushes(plans):
