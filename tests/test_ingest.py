@@ -36,7 +36,7 @@ def files(tmp_root):
         " 1101,UNAL,Bogotá D.C.,2022,2,10,Universidad",
         "1101,UNAL,Bogotá D.C.,2022,2,nan ,Universidad",
         "1102,UPN,Bogotá D.C.,2022,1,   ,Universidad",
-        "Total,,,,,31,", "Fuente: SNIES"])
+        "Total,,,,,31,", "Fuente: ministerio"])
     write(src, "docentes_2024.csv", [
         "Docentes 2024", "x", HEAD_2024,
         "1101,UNAL,\"Bogotá, D.C.\",2024,1,12,Universidad,n1",
