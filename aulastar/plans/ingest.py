@@ -32,8 +32,8 @@ def ingest_profile(grid: DataFrame, catalog: DataFrame, profile: IngestProfile,
     those files in ``{root}/bronze/{profile.table}``; log under
     ``{root}/bronze/_ingestion_log``."""
     rows, resolved = extract(grid, catalog, profile, run_id, ingested_at)
-    files = [(r["filename"], r["url"]) for r in
-             catalog.filter(F.col("perfil") == profile.name).select("filename", "url").collect()]  # catalog rows
+    files = [(r["filename"], r["url"], r["anio"]) for r in
+             catalog.filter(F.col("perfil") == profile.name).select("filename", "url", "anio").collect()]  # catalog
     res = load_to_bronze(rows, table_path(root, "bronze", profile.table), log_path(root), profile.name, run_id,
                          files=files)
     return ProfileLoad(profile.name, res, resolved)

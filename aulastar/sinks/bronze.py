@@ -121,8 +121,9 @@ def load_to_bronze(df: DataFrame, path: str, log_path: str, perfil: str, run_id:
     frame carries -> count rows written -> log success (or failure, then
     re-raise).  Returns one result per source file.
 
-    ``files`` lists ``(source_file, source_url)`` when the caller knows them
-    (the catalog does); otherwise one extra pass finds them.  An empty input
+    ``files`` lists ``(source_file, source_url)`` or ``(source_file,
+    source_url, year)`` when the caller knows them (the catalog does);
+    otherwise one extra pass finds them.  An empty input
     raises before touching data; a file that yields no rows is logged as
     failed and raises after the commit (a dynamic overwrite with no rows for
     a file keeps that file's old rows).
@@ -132,13 +133,14 @@ def load_to_bronze(df: DataFrame, path: str, log_path: str, perfil: str, run_id:
     if files is None:
         files = [(r["_source_file"], r["_source_url"]) for r in
                  df.select("_source_file", "_source_url").distinct().collect()]  # one row per file
-    files = list(files)
+    years = {t[0]: (t[2] if len(t) > 2 else anio) for t in files}
+    files = [(t[0], t[1]) for t in files]
     if not files:
         raise EmptyLoadError(f"nothing to load for {perfil}: the frame has no rows")
     ids = {f: str(uuid.uuid4()) for f, _ in files}
 
     def ev(f, url, status, **kw):
-        return dict(log_id=ids[f], run_id=run_id, perfil=perfil, anio=anio, source_url=url, source_file=f,
+        return dict(log_id=ids[f], run_id=run_id, perfil=perfil, anio=years[f], source_url=url, source_file=f,
                     status=status, **kw)
 
     log_events(spark, log_path, [ev(f, url, "running") for f, url in files])
@@ -198,6 +200,18 @@ def ingestion_status(log: DataFrame) -> DataFrame:
                     F.when(F.col("status") != "running", F.col("event_at")).alias("finished_at")))
 
 
+def load_history(status: DataFrame) -> DataFrame:
+    """K9 questions per (profile, year): when it was last loaded with
+    success, how many rows that load wrote, and whether any load of it
+    failed.  One aggregate over the status table."""
+    ok = F.col("status") == "success"
+    return (status.groupBy("perfil", "anio")
+            .agg(F.max(F.when(ok, F.col("finished_at"))).alias("ultima_carga"),
+                 F.max_by(F.when(ok, F.col("rows_ingested")), F.when(ok, F.col("finished_at"))).alias("filas"),
+                 F.count_if(F.col("status") == "failed").alias("cargas_fallidas"),
+                 F.count(F.lit(1)).alias("cargas")))
+
+
 def validate_load(bronze: DataFrame, anio: int, place_col: str, pattern: str, year_col: str = "anio") -> DataFrame:
     """Rows of the year and rows of the place, in one pass.  ``status``
     is ``fail`` for 0 rows and ``warn`` for 0 rows in the place."""

@@ -64,8 +64,8 @@ def start_landing_ingest(spark: SparkSession, folder: str, catalog: DataFrame, p
         g = _finish_grid(batch)
         cat = catalog.filter(F.col("filename").isin(files))
         rows, _ = extract(g, cat, profile, f"{run_id}-{epoch}")
-        urls = [(r["filename"], r["url"]) for r in cat.filter(F.col("perfil") == profile.name)
-                .select("filename", "url").collect()]
+        urls = [(r["filename"], r["url"], r["anio"]) for r in cat.filter(F.col("perfil") == profile.name)
+                .select("filename", "url", "anio").collect()]
         res = load_to_bronze(rows, table_path(root, "bronze", profile.table), log_path(root), profile.name,
                              f"{run_id}-{epoch}", files=urls)
         if on_batch:

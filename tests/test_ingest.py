@@ -114,6 +114,8 @@ def test_load_replace_evolve_log(spark, files, tmp_root):
     assert b.filter(F.col("_source_file") == "docentes_2022.csv").filter(F.col("columna_nueva").isNotNull()).count() == 0
     status = sink.ingestion_status(spark.read.parquet(log_path(root)))
     assert status.filter("status = 'success'").count() == 4
+    hist = sink.load_history(status).orderBy("anio").collect()
+    assert [(h.anio, h.filas, h.cargas_fallidas, h.cargas) for h in hist] == [(2022, 3, 0, 2), (2024, 2, 0, 2)]
     summary = sink.backfill_summary(status).first()
     assert (summary.tareas_exitosas, summary.tareas_fallidas, summary.filas_totales) == (4, 0, 10)
     v = sink.validate_load(b, 2024, "departamento_domicilio_ies", "BOGOT%").first()
