@@ -8,6 +8,7 @@ BI tools through ``spark.sql`` (K16).
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,3 +41,25 @@ def register_views(spark: SparkSession, star: Star, prefix: str = "") -> list[st
     for n, df in names.items():
         df.createOrReplaceTempView(prefix + n)
     return [prefix + n for n in names]
+
+
+def publish(spark: SparkSession, star: Star, layout: Layout) -> list[str]:
+    """K12 + K16: register the Gold tables in the session catalog as external
+    tables of database ``layout.gold`` (data under ``{root}/gold/...``),
+    replaced on each run, so BI tools reach them with ``spark.sql`` /
+    ``spark.table("gold.fact_capacidad_academica")``."""
+    db = layout.gold
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{layout.path(db, '_db')}'")
+    out = []
+    for name, df in (("dim_ies", star.dim_entity), ("dim_tiempo", star.dim_time),
+                     ("fact_capacidad_academica", star.fact)):
+        full = f"{db}.{name}"
+        # write a new version folder, then point the catalog at it: a reader
+        # never sees a half-replaced table (older versions stay until the
+        # operator expires them)
+        path = layout.path(db, f"{name}/v={uuid.uuid4().hex}")
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        spark.sql(f"DROP TABLE IF EXISTS {full}")
+        spark.catalog.createTable(full, path=path, source="parquet")
+        out.append(full)
+    return out

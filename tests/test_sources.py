@@ -30,3 +30,16 @@ def test_extract_report(spark):
     m = raw_rows(spark, "matriculados", [{"departamento_domicilio_ies": "Antioquia"}, {}, {}, {}])
     rep = extract_report(m, "departamento_domicilio_ies", ["codigo_institucion", "anio"])
     assert (rep.rows, rep.rows_in_place, len(rep.sample)) == (4, 3, 3)
+
+
+def test_publish_gold_tables(spark, tmp_root):
+    from aulastar.sources.tables import publish
+    m = raw_rows(spark, "matriculados", [{"matriculados": "500"}])
+    d = raw_rows(spark, "docentes", [{"docentes": "20"}])
+    seed = spark.createDataFrame([(1101, "U", "U")], "codigo_snies int, nombre_oficial string, universidad_sue string")
+    lay = Layout(tmp_root, gold=f"gold_{os.path.basename(tmp_root).replace('-', '_')}")
+    names = publish(spark, build_star(m, d, seed), lay)
+    r = spark.table(names[-1]).first()
+    assert (r.codigo_snies, float(r.ratio_estudiante_docente)) == (1101, 25.0)
+    publish(spark, build_star(m, d, seed), lay)  # replace on each run
+    assert spark.table(names[-1]).count() == 1
