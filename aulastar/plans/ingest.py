@@ -30,7 +30,7 @@ def ingest_profile(grid: DataFrame, catalog: DataFrame, profile: IngestProfile,
                    ingested_at: Column | None = None) -> ProfileLoad:
     """Extract every catalog file of ``profile`` from the grid and replace
     those files in ``{root}/bronze/{profile.table}``; log under
-    ``{root}/bronze/_ingestion_log``."""
+    ``{root}/bronze/ingestion_log``."""
     rows, resolved = extract(grid, catalog, profile, run_id, ingested_at)
     files = [(r["filename"], r["url"], r["anio"]) for r in
              catalog.filter(F.col("perfil") == profile.name).select("filename", "url", "anio").collect()]  # catalog
@@ -40,7 +40,8 @@ def ingest_profile(grid: DataFrame, catalog: DataFrame, profile: IngestProfile,
 
 
 def log_path(root: str) -> str:
-    return table_path(root, "bronze", "_ingestion_log")
+    # no leading underscore: Spark's file listing hides such names
+    return table_path(root, "bronze", "ingestion_log")
 
 
 def backfill(grid: DataFrame, catalog: DataFrame, root: str, run_id: str,
