@@ -29,15 +29,21 @@ def read_csv_grid(spark: SparkSession, paths: str | list[str], sep: str = ",", m
                   encoding: str = "UTF-8", splittable: bool = False) -> DataFrame:
     """Read delimited files, every cell as text, as a cell grid (see the
     module doc for the row index and ``splittable``)."""
-    schema = ", ".join(f"c{i} string" for i in range(max_columns))
+    # one sentinel column past ``max_columns``: the CSV reader would silently
+    # drop extra cells, so a row that reaches it fails the job instead
+    schema = ", ".join(f"c{i} string" for i in range(max_columns + 1))
     raw = (spark.read.schema(schema)
            .option("header", "false").option("multiLine", "false" if splittable else "true").option("sep", sep)
            .option("encoding", encoding).option("mode", "PERMISSIVE")
            .csv(paths))
+    cells = F.array(*[F.col(f"c{i}") for i in range(max_columns)])
+    guarded = F.when(F.col(f"c{max_columns}").isNotNull(),
+                     F.raise_error(F.lit(f"a row has more than {max_columns} cells; raise max_columns"))
+                     .cast("array<string>")).otherwise(cells)
     rows = raw.select(F.col("_metadata.file_name").alias("source_file"),
                       F.col("_metadata.file_block_start").alias("__block"),
                       F.monotonically_increasing_id().alias("__id"),
-                      F.array(*[F.col(f"c{i}") for i in range(max_columns)]).alias("cells"))
+                      guarded.alias("cells"))
     splits = split_bound(raw, splittable)
     small = splits is not None and splits <= MAX_BROADCAST_SPLITS
     return (with_row_index(rows, broadcast_offsets=small)

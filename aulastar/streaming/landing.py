@@ -31,15 +31,19 @@ def landing_stream(spark: SparkSession, folder: str, max_columns: int = 64, sep:
     Rows carry ``source_file`` and the cells; the per-file row index (see
     :func:`aulastar.sources.grid.read_csv_grid`) is added inside each
     micro-batch, where the batch is a static DataFrame."""
-    schema = ", ".join(f"c{i} string" for i in range(max_columns))
+    schema = ", ".join(f"c{i} string" for i in range(max_columns + 1))
     reader = (spark.readStream.schema(schema).option("header", "false").option("multiLine", "true")
               .option("sep", sep))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.csv(folder)
+    cells = F.array(*[F.col(f"c{i}") for i in range(max_columns)])
+    guarded = F.when(F.col(f"c{max_columns}").isNotNull(),
+                     F.raise_error(F.lit(f"a row has more than {max_columns} cells; raise max_columns"))
+                     .cast("array<string>")).otherwise(cells)
     return raw.select(F.col("_metadata.file_name").alias("source_file"),
                       F.col("_metadata.file_block_start").alias("__block"),
-                      trim_trailing_nulls(F.array(*[F.col(f"c{i}") for i in range(max_columns)])).alias("cells"))
+                      trim_trailing_nulls(guarded).alias("cells"))
 
 
 def _finish_grid(batch: DataFrame) -> DataFrame:

@@ -167,3 +167,12 @@ def test_reload_twice_equals_once(spark, files, tmp_root):
     backfill(g, c, root, "run-2")
     twice = sorted(tuple(r) for r in sink.read_bronze(spark, path).select(*cols).collect())
     assert once == twice
+
+
+def test_too_many_cells_fails_instead_of_truncating(spark, tmp_root):
+    src = os.path.join(tmp_root, "wide")
+    os.makedirs(src)
+    write(src, "w.csv", ["a,b,c", "1,2,3,4"])
+    with pytest.raises(Exception, match="more than 3 cells"):
+        read_csv_grid(spark, src, max_columns=3).collect()
+    assert read_csv_grid(spark, src, max_columns=4).count() == 2
