@@ -19,7 +19,7 @@ from aulastar.config import PROFILES
 from aulastar.functions import normalize_header, safe_int
 from aulastar.operators import ingest
 from aulastar.plans.bindings import TPCH, bronze_tables, table
-from aulastar.plans.ingest import backfill, ingest_profile, log_path
+from aulastar.plans.ingest import backfill, log_path
 from aulastar.plans.ingest_bindings import DOCS_PROFILE, documents, documents_grid, orders_catalog, orders_grid
 from aulastar.session import BUILD_LOCK, shared_path
 from aulastar.sinks import bronze as sink

@@ -90,9 +90,3 @@ def read_all(spark, seed: DataFrame, root: str) -> Star:
     dim, tiempo, fact = (spark.read.parquet(f"{root}/gold/{t}") for t in GOLD_TABLES)
     return Star(stg, m, d, seed, dim, tiempo, fact)
 
-
-def read_gold(spark, star: Star, root: str) -> Star:
-    """A Star whose Gold members read tables written by ``materialize_gold``."""
-    root = root.rstrip("/")
-    dim, tiempo, fact = (spark.read.parquet(f"{root}/gold/{t}") for t in GOLD_TABLES)
-    return Star(star.stg_entity, star.stg_numerator, star.stg_denominator, star.seed, dim, tiempo, fact)

@@ -90,11 +90,6 @@ def log_events(spark: SparkSession, log_path: str, events: Sequence[dict]) -> No
             .write.mode("append").parquet(log_path)
 
 
-def log_event(spark: SparkSession, log_path: str, **event) -> None:
-    """One event (see :func:`log_events`)."""
-    log_events(spark, log_path, [event])
-
-
 @dataclass
 class LoadResult:
     status: str

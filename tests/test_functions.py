@@ -3,7 +3,6 @@ import unicodedata
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from aulastar.functions import (
     canonicalize, decade, guarded_ratio, is_digits, is_leap_year, normalize_header, normalize_header_py,

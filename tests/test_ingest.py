@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from aulastar.config import PROFILES, SourceEntry
 from aulastar.operators import ingest
-from aulastar.plans.ingest import backfill, ingest_profile, log_path
+from aulastar.plans.ingest import backfill, header_report, ingest_profile, log_path
 from aulastar.sinks import bronze as sink
 from aulastar.sources import catalog as cat
-from aulastar.sources.grid import read_csv_grid
+from aulastar.sources.grid import read_csv_grid, read_parquet_grid
 
 HEAD_2022 = ('"Código de \nla Institución","Institución de Educación Superior (IES)","Departamento de domicilio '
              'de la IES","Año","Semestre","No. de Docentes","Carácter IES"')
@@ -77,6 +77,12 @@ def test_extract_cleans_and_hashes(spark, files):
     expected = hashlib.md5("||".join(["1102", "UPN", "Bogotá D.C.", "2022", "1", "", "Universidad"]).encode())
     assert blank._row_hash == expected.hexdigest()
     assert "columna_nueva" in rows.columns and resolved.fallback_files == []
+    report = {r.source_file: (r.mapped, r.total) for r in header_report(g, resolved, PROFILES["docentes"]).collect()}
+    assert report == {"docentes_2022.csv": (7, 7), "docentes_2024.csv": (7, 8)}
+    # a grid stored as parquet reads back the same
+    p = os.path.join(os.path.dirname(files), "grid.parquet")
+    g.write.parquet(p)
+    assert read_parquet_grid(spark, p).count() == g.count()
 
 
 def test_header_fallback_and_missing(spark, files):

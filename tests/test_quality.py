@@ -3,7 +3,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-from aulastar.config import DOMAIN
 from aulastar.operators import quality as Q
 from aulastar.plans.star import build_star
 from conftest import raw_rows
