@@ -320,11 +320,14 @@ class SourceEntry:
     url: str | None = None
 
 
-def default_catalog(base_url: str | None = None) -> list[SourceEntry]:
+def default_catalog(base_url: str | None = None, export_ext: str | None = None) -> list[SourceEntry]:
     """The catalog of the domain; ``base_url`` (a folder or URL prefix) is
-    joined with each file name to give ``url``."""
+    joined with each file name to give ``url``.  ``export_ext`` (e.g.
+    ``".csv"``) replaces the workbook extension for delimited exports."""
     out = []
     for anio, perfil, sheet, header_row, filename in CATALOG_ENTRIES:
+        if export_ext:
+            filename = filename.rsplit(".", 1)[0] + export_ext
         url = None if base_url is None else f"{base_url.rstrip('/')}/{filename}"
         out.append(SourceEntry(anio, perfil, sheet, header_row, filename, url))
     return out
