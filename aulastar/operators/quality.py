@@ -148,7 +148,8 @@ def _fuse(checks: Sequence[Check]):
 
 def _status(df: DataFrame) -> DataFrame:
     return df.withColumn(
-        "status", F.when(F.col("failures") == 0, F.lit("pass"))
+        "status", F.when(F.col("failures").isNull(), F.lit("error"))
+        .when(F.col("failures") == 0, F.lit("pass"))
         .when(F.col("severity") == "warn", F.lit("warn")).otherwise(F.lit("fail")))
 
 
@@ -175,15 +176,26 @@ def run_suite(checks: Sequence[Check], store_root: str | None = None, parallelis
     groups, rest = _fuse(checks)
     counts: dict[int, int] = {}
 
+    errors: dict[int, str] = {}
+
     def fused(group) -> None:
         src = group[0][1].source
-        r = src.agg(*[F.count_if(ch.predicate).alias(f"c{j}") for j, (_, ch) in enumerate(group)]).first()
+        try:
+            r = src.agg(*[F.count_if(ch.predicate).alias(f"c{j}") for j, (_, ch) in enumerate(group)]).first()
+        except Exception:  # noqa: BLE001 - one failing table must not stop the suite: check them one by one
+            for item in group:
+                single(item)
+            return
         for j, (i, _) in enumerate(group):
             counts[i] = int(r[f"c{j}"])
 
     def single(item) -> None:
         i, ch = item
-        counts[i] = ch.failing().count()
+        try:
+            counts[i] = ch.failing().count()
+        except Exception as e:  # noqa: BLE001 - reported as status "error", the suite goes on
+            counts[i] = None
+            errors[i] = str(e)
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         futures = [pool.submit(fused, g) for g in groups] + [pool.submit(single, it) for it in rest]
@@ -191,7 +203,7 @@ def run_suite(checks: Sequence[Check], store_root: str | None = None, parallelis
             f.result()
     rows = [(ch.name, ch.table, ch.severity, counts[i]) for i, ch in enumerate(checks)]
     if store_root:
-        failing = {r[0] for r in rows if r[3] > 0}
+        failing = {r[0] for r in rows if r[3]}
         for ch in checks:
             if ch.name in failing:
                 ch.failing().write.mode("overwrite").parquet(f"{store_root.rstrip('/')}/quality/{ch.name}")
@@ -227,7 +239,7 @@ def assert_suite(summary: DataFrame) -> list:
     """The suite has run in full; raise if any error-severity check
     failed.  The summary has one row per check, so collecting it is bounded."""
     rows = summary.collect()
-    failed = [r for r in rows if r["status"] == "fail"]
+    failed = [r for r in rows if r["status"] in ("fail", "error")]
     if failed:
         names = ", ".join(f"{r['check_name']}={r['failures']}" for r in failed)
         raise QualityError(f"{len(failed)} of {len(rows)} checks failed: {names}")

@@ -81,3 +81,14 @@ def test_store_failures(spark, good, tmp_root):
     Q.run_suite(checks(m, d, s, dim=dim), store_root=tmp_root)
     stored = spark.read.parquet(f"{tmp_root}/quality/accepted_values_dim_ies_sector_ies")
     assert stored.count() == s.dim_entity.count()
+
+
+def test_suite_continues_after_a_check_error(spark, good):
+    m, d, s = good
+    cs = checks(m, d, s)
+    broken = Q.Check("broken_check", "fact", lambda: s.fact.select(F.expr("no_such_column")))
+    summary = {r["check_name"]: r for r in Q.run_suite(cs + [broken]).collect()}
+    assert summary["broken_check"]["status"] == "error" and summary["broken_check"]["failures"] is None
+    assert sum(1 for r in summary.values() if r["status"] == "pass") == 49
+    with pytest.raises(Q.QualityError):
+        Q.assert_suite(Q.run_suite(cs + [broken]))
