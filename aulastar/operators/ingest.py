@@ -84,11 +84,15 @@ def map_columns(headers: DataFrame, aliases: Mapping[str, str]) -> DataFrame:
     """S6 + S7 (+ X14): add ``key`` (normalised header), ``canonical`` (alias
     or snake_case of the key; ``_c<pos>`` for an empty header cell) and
     ``mapped`` (the key is a known alias)."""
-    key = normalize_header("header")
-    alias = F.element_at(_alias_map(aliases), key)
+    # the key is projected first and then referenced: it is computed once per
+    # cell (the optimizer does not inline a non-trivial expression used twice)
+    keyed = headers.select("*", normalize_header("header").alias("key"))
+    keyed = keyed.select("*", F.element_at(_alias_map(aliases), F.col("key")).alias("__alias"))
+    key = F.col("key")
     canonical = (F.when(F.col("header").isNull() | (key == ""), F.concat(F.lit("_c"), F.col("position").cast("string")))
-                 .otherwise(F.coalesce(alias, snake_case(key))))
-    return headers.select("*", key.alias("key"), canonical.alias("canonical"), alias.isNotNull().alias("mapped"))
+                 .otherwise(F.coalesce(F.col("__alias"), snake_case(key))))
+    return keyed.select(*headers.columns, "key", canonical.alias("canonical"),
+                        F.col("__alias").isNotNull().alias("mapped"))
 
 
 def mapped_report(mapped: DataFrame) -> DataFrame:
