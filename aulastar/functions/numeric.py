@@ -51,7 +51,9 @@ def ratio_of_sums(n: str | Column, d: str | Column, scale: int = 2) -> Column:
     """``ROUND(SUM(n)::NUMERIC / NULLIF(SUM(d), 0), scale)`` as an
     aggregate expression."""
     sn, sd = F.sum(_col(n)), F.sum(_col(d))
-    return F.when(sd != 0, F.round(sn.cast("decimal(38,0)") / sd.cast("decimal(38,0)"), scale))
+    # decimal(20,0) holds any bigint sum; dividing two of them keeps 18
+    # decimals (two decimal(38,0) would keep only 6 and could round twice)
+    return F.when(sd != 0, F.round(sn.cast("decimal(20,0)") / sd.cast("decimal(20,0)"), scale))
 
 
 def exact_avg(c: str | Column, scale: int = 2) -> Column:

@@ -113,3 +113,19 @@ def _safe_int_model(v):
                                              max_size=14)), min_size=1, max_size=30))
 def test_safe_int_matches_python_model(spark, values):
     assert one(spark, safe_int("v"), values) == [_safe_int_model(v) for v in values]
+
+
+def test_ratio_of_sums_no_double_rounding(spark):
+    from aulastar.functions import ratio_of_sums
+    df = spark.createDataFrame([(4019999999, 4000000000)], "n long, d long")  # 1.00499999975
+    assert float(df.agg(ratio_of_sums("n", "d")).first()[0]) == 1.0
+
+
+def test_exact_avg_no_double_rounding(spark):
+    from pyspark.sql import functions as F
+
+    from aulastar.functions import exact_avg
+    # 499,999 values of 1.01 and 500,001 of 1.00: mean 1.004999990 -> 1.00
+    df = spark.range(1_000_000).select(
+        F.when(F.col("id") < 499_999, F.lit(1.01)).otherwise(F.lit(1.00)).cast("decimal(23,2)").alias("r"))
+    assert float(df.agg(exact_avg("r")).first()[0]) == 1.0
