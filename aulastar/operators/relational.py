@@ -65,8 +65,10 @@ def share_of_total(df: DataFrame, col: str, alias: str, scale: int = 2) -> DataF
     ``Window.partitionBy()`` with no key would gather all rows in a single
     partition.
     """
-    total = df.agg(F.sum(col).cast("decimal(38,0)")).scalar()
-    pct = F.lit(100).cast("decimal(3,0)") * F.col(col).cast("decimal(20,0)") / total
+    total = df.agg(F.sum(col).cast("decimal(20,0)")).scalar()
+    # narrow operands keep 16 decimals in the quotient before the final
+    # rounding (wide ones would leave fewer and could round twice)
+    pct = (F.col(col).cast("decimal(20,0)") * 100).cast("decimal(22,0)") / total
     return df.withColumn(alias, F.when(total != 0, F.round(pct, scale)))
 
 
