@@ -59,7 +59,8 @@ def ingest_year(spark: SparkSession, landing: str, root: str, anio: int, run_id:
     checks = []
     for pl in loads:
         b = sink.read_bronze(spark, sink.table_path(root, "bronze", PROFILES[pl.profile].table))
-        row = sink.validate_load(b, y, cfg.place, cfg.place_pattern, cfg.year).first()
+        files = [e.filename for e in year_entries if e.perfil == pl.profile]
+        row = sink.validate_load(b, y, cfg.place, cfg.place_pattern, cfg.year, files=files).first()
         checks.append({"perfil": pl.profile, **row.asDict()})
     failed = [c for c in checks if c["status"] == "fail"]
     if failed:

@@ -207,9 +207,14 @@ def load_history(status: DataFrame) -> DataFrame:
                  F.count(F.lit(1)).alias("cargas")))
 
 
-def validate_load(bronze: DataFrame, anio: int, place_col: str, pattern: str, year_col: str = "anio") -> DataFrame:
+def validate_load(bronze: DataFrame, anio: int, place_col: str, pattern: str, year_col: str = "anio",
+                  files: Sequence[str] | None = None) -> DataFrame:
     """Rows of the year and rows of the place, in one pass.  ``status``
-    is ``fail`` for 0 rows and ``warn`` for 0 rows in the place."""
+    is ``fail`` for 0 rows and ``warn`` for 0 rows in the place.  With the
+    year's ``files`` (known from the catalog) only their ``_source_file``
+    partitions are read."""
+    if files is not None:
+        bronze = bronze.filter(F.col("_source_file").isin(list(files)))
     g = (bronze.filter(F.col(year_col) == str(anio))
          .agg(F.count(F.lit(1)).alias("total"),
               F.count_if(matches_place(place_col, pattern)).alias("en_lugar")))
