@@ -164,7 +164,7 @@ def _k9(spark, d):
 
 def _k10(spark, d):
     return sink.validate_load(_scenario_bronze(spark, d), VALIDATE_YEAR, "departamento_domicilio_ies",
-                              TPCH.place_pattern)
+                              TPCH.place_pattern, files=[f"pedidos_{VALIDATE_YEAR}.csv"])
 
 
 def _k15(spark, d):
