@@ -5,7 +5,7 @@ Every mart is a function ``(fact, dim, cfg) -> DataFrame``.  The star join
 planner (AQE with runtime sizes) turns it into a broadcast when the
 dimension is small, or keeps a shuffle join when it is not.
 
-Sorts write their null placement explicitly (PostgreSQL semantics: ASC nulls
+Sorts write their null placement explicitly (nulls sort as the largest value: ASC nulls
 last, DESC nulls first).  Top-k marts add the entity code as a last sort key,
 so equal values at the border give the same rows on every run.
 """
