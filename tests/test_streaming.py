@@ -1,5 +1,7 @@
 import os
 
+from pyspark.sql import functions as F
+
 from aulastar.config import PROFILES, SourceEntry
 from aulastar.sinks import bronze as sink
 from aulastar.sources import catalog as cat
@@ -23,3 +25,23 @@ def test_landing_stream_loads_each_file_once(spark, tmp_root):
     q2 = start_landing_ingest(spark, land, c, PROFILES["docentes"], root, ckpt, on_batch=lambda e, r: seen.append(r))
     q2.awaitTermination(120)
     assert len(seen) == 1
+
+
+def test_landing_stream_picks_up_only_new_files(spark, tmp_root):
+    land = os.path.join(tmp_root, "landing2")
+    os.makedirs(land)
+    write(land, "docentes_2024.csv", ["t", "x", HEAD_2024, "1101,UNAL,Bogotá D.C.,2024,1,12,Universidad,n1"])
+    c = cat.catalog_frame(spark, [SourceEntry(2024, "docentes", "s", 2, "docentes_2024.csv", "u24"),
+                                  SourceEntry(2023, "docentes", "s", 2, "docentes_2023.csv", "u23")])
+    root, ckpt = os.path.join(tmp_root, "wh2"), os.path.join(tmp_root, "ckpt2")
+    batches = []
+    start_landing_ingest(spark, land, c, PROFILES["docentes"], root, ckpt,
+                         on_batch=lambda e, r: batches.append(sorted(x.source_file for x in r))).awaitTermination(120)
+    write(land, "docentes_2023.csv", ["t", "x", HEAD_2024, "1101,UNAL,Bogotá D.C.,2023,1,10,Universidad,n1",
+                                      "1101,UNAL,Bogotá D.C.,2023,2,11,Universidad,n2"])
+    start_landing_ingest(spark, land, c, PROFILES["docentes"], root, ckpt,
+                         on_batch=lambda e, r: batches.append(sorted(x.source_file for x in r))).awaitTermination(120)
+    assert batches == [["docentes_2024.csv"], ["docentes_2023.csv"]]
+    b = sink.read_bronze(spark, sink.table_path(root, "bronze", "docentes_raw"))
+    assert sorted((r._source_file, r.n) for r in b.groupBy("_source_file").agg(F.count("*").alias("n")).collect()) \
+        == [("docentes_2023.csv", 2), ("docentes_2024.csv", 1)]
