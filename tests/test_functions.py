@@ -62,11 +62,12 @@ def test_header_normalization_examples(spark):
     assert [normalize_header_py(v) for v in vals] == expected
 
 
-_text = st.text(alphabet=st.sampled_from(list("aeiouAEIOU áéíóúñÑçÇüÜßàè()..\n\t xyzXYZ-_/0123456789")),
+_text = st.text(alphabet=st.sampled_from(list("aeiouAEIOU áéíóúñÑçÇüÜßàè()..\n\t xyzXYZ-_/0123456789ÅØœ")
+                                         + ["\u00a0", "\u2003", "\u0301", "\u000b"]),
                 max_size=40)
 
 
-@settings(max_examples=60, deadline=None)
+@settings(max_examples=150, deadline=None)
 @given(st.lists(_text, min_size=1, max_size=20))
 def test_header_normalization_matches_python_twin(spark, values):
     assert one(spark, normalize_header("v"), values) == [normalize_header_py(v) for v in values]
