@@ -16,6 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from aulastar.plans.star import Star
 
 
+def schema_name(custom: str | None, default: str = "public") -> str:
+    """A custom layer/schema name is used literally (trimmed), not
+    prefixed with the default; without one the default is used."""
+    return default if custom is None or not custom.strip() else custom.strip()
+
+
 @dataclass(frozen=True)
 class Layout:
     root: str
@@ -23,8 +29,8 @@ class Layout:
     silver: str = "silver"
     gold: str = "gold"
 
-    def path(self, layer: str, table: str) -> str:
-        return f"{self.root.rstrip('/')}/{layer}/{table}"
+    def path(self, layer: str | None, table: str) -> str:
+        return f"{self.root.rstrip('/')}/{schema_name(layer)}/{table}"
 
     def source(self, spark: SparkSession, table: str, layer: str | None = None) -> DataFrame:
         """A declared source table (Bronze by default), schema merged."""

@@ -43,3 +43,9 @@ def test_publish_gold_tables(spark, tmp_root):
     assert (r.codigo_snies, float(r.ratio_estudiante_docente)) == (1101, 25.0)
     publish(spark, build_star(m, d, seed), lay)  # replace on each run
     assert spark.table(names[-1]).count() == 1
+
+
+def test_schema_routing():
+    from aulastar.sources.tables import schema_name
+    assert schema_name(" gold ") == "gold" and schema_name(None) == "public" and schema_name("") == "public"
+    assert Layout("/w").path(None, "t") == "/w/public/t" and Layout("/w").path("silver", "t") == "/w/silver/t"
