@@ -2,12 +2,14 @@
 
 The flow (one lazy plan apart from the per-file header resolution):
 
-1. ``resolve_headers``: take each file's declared header row from the
-   catalog, normalise and map its cells (S6, S7); for files that miss a
-   required column, scan the first rows for the best header candidate (S5)
-   and retry; fail listing missing and available columns (S9), or when two
-   headers map to one name.  The result has one row per file, so the driver
-   only ever sees headers, never data.
+1. ``resolve_headers``: one pass over the head of every file maps each
+   head row's cells to canonical names (S6, S7) and scores them against the
+   aliases (S5); one aggregate per file returns the declared row's names and
+   the best-scoring row.  A file whose declared row misses a required column
+   falls back to the best row (score >= 4, first row on ties, and only if it
+   differs); missing columns (S9) or two headers mapping to one name fail,
+   listing what is available.  Only per-file header metadata reaches the
+   driver, never data rows.
 2. ``extract_rows``: data rows below the header; junk rows whose key cell is
    not all digits are dropped (S10, tested on the raw cell); null tokens
    (S11) and then trimming (S12) are applied to every cell with
