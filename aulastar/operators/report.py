@@ -22,6 +22,16 @@ class ExtractReport:
     sample: list
 
 
+def report_counts(df: DataFrame, place_col: str, pattern: str = PLACE_PATTERN) -> DataFrame:
+    """S20 counts as one aggregate: rows, columns, lineage columns present and
+    rows in the place."""
+    lineage = [c for c in df.columns if c in LINEAGE_COLUMNS]
+    return df.agg(F.count(F.lit(1)).alias("filas"),
+                  F.count_if(matches_place(place_col, pattern)).alias("filas_en_lugar")).select(
+        "filas", F.lit(len(df.columns)).alias("columnas"), F.lit(len(lineage)).alias("columnas_linaje"),
+        "filas_en_lugar")
+
+
 def extract_report(df: DataFrame, place_col: str, key_cols: list[str], pattern: str = PLACE_PATTERN,
                    sample_rows: int = 3) -> ExtractReport:
     """One aggregate pass for the counts plus a ``limit`` for the sample."""

@@ -583,3 +583,19 @@ h AS (
 SELECT _row_hash, COUNT(*) AS n_records, array_to_string(list_sort(list_distinct(list(f))), ',') AS files
 FROM h GROUP BY _row_hash HAVING COUNT(*) > 1""",
 })
+
+
+# Bronze enrolment schema: 11 text data columns (the 10 shared ones + the
+# measure) and the 5 lineage columns.
+ORACLE.update({
+    "s20_extract_report": "WITH " + RAW + f"""
+SELECT COUNT(*) AS filas, 11 + 5 AS columnas, 5 AS columnas_linaje,
+       COUNT(*) FILTER (WHERE upper(departamento_domicilio_ies) LIKE {_q(C.place_pattern)}) AS filas_en_lugar
+FROM m_raw""",
+    "k9_load_history": _orders(f"""
+SELECT 'matriculados' AS perfil, CAST(y AS INTEGER) AS anio,
+       CASE WHEN y = {RELOAD_YEAR} THEN COUNT(*) FILTER (WHERE sector_ies = 'F') ELSE COUNT(*) END AS filas,
+       CAST(0 AS BIGINT) AS cargas_fallidas,
+       CAST(CASE WHEN y = {RELOAD_YEAR} THEN 2 ELSE 1 END AS BIGINT) AS cargas
+FROM ext2 GROUP BY y"""),
+})

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from aulastar.config import PROFILES
 from aulastar.functions import normalize_header, safe_int
 from aulastar.operators import ingest
+from aulastar.operators.report import report_counts
 from aulastar.plans.bindings import TPCH, bronze_tables, table
 from aulastar.plans.ingest import backfill, log_path
 from aulastar.plans.ingest_bindings import DOCS_PROFILE, documents, documents_grid, orders_catalog, orders_grid
@@ -173,6 +174,16 @@ def _k15(spark, d):
     return a.select("_row_hash", "n_records", F.array_join("files", ",").alias("files"))
 
 
+def _s20(spark, d):
+    m_raw, _ = bronze_tables(spark, d)
+    return report_counts(m_raw, "departamento_domicilio_ies", TPCH.place_pattern)
+
+
+def _k9_history(spark, d):
+    # the load time (wall clock) is left out of the compared output
+    return sink.load_history(_scenario_status(spark, d)).drop("ultima_carga")
+
+
 def _s19(spark, d):
     return sink.backfill_summary(_scenario_status(spark, d))
 
@@ -194,6 +205,8 @@ def ingest_registry() -> dict:
         "s15_extract": _s15,
         "s18_workload": _s18,
         "s19_backfill_summary": _s19,
+        "s20_extract_report": _s20,
+        "k9_load_history": _k9_history,
         "k2_schema_evolution": _k2,
         "k3_replace_by_file": _k3,
         "k9_log_status": _k9,
