@@ -58,11 +58,18 @@ def table_path(root: str, layer: str, table: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{table}"
 
 
-def read_bronze(spark: SparkSession, path: str) -> DataFrame | None:
+def read_bronze(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
     """K2: read with ``mergeSchema`` so columns added by later files show up
-    (null for older files).  ``None`` when the table does not exist yet."""
+    (null for older files).  With a known ``schema`` (e.g.
+    ``bronze_schema(columns)``) no footer is read to merge schemas, which
+    matters with very many files; columns a file lacks still read as null.
+    ``None`` when the table does not exist yet."""
     if not path_exists(spark, path):
         return None
+    if schema is not None:
+        part = T.StructField("_source_file", T.StringType())
+        fields = [f for f in schema.fields if f.name != "_source_file"] + [part]
+        return spark.read.schema(T.StructType(fields)).parquet(path)
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 

@@ -182,3 +182,16 @@ def test_too_many_cells_fails_instead_of_truncating(spark, tmp_root):
     with pytest.raises(Exception, match="more than 3 cells"):
         read_csv_grid(spark, src, max_columns=3).collect()
     assert read_csv_grid(spark, src, max_columns=4).count() == 2
+
+
+def test_read_bronze_with_known_schema(spark, files, tmp_root):
+    g = read_csv_grid(spark, f"{files}/*.csv")
+    c = cat.catalog_frame(spark, entries(files))
+    root = os.path.join(tmp_root, "known")
+    loads = backfill(g, c, root, "run-1")
+    path = sink.table_path(root, "bronze", "docentes_raw")
+    schema = sink.bronze_schema(loads[0].headers.columns)
+    b = sink.read_bronze(spark, path, schema)
+    assert b.count() == 5
+    assert b.filter(F.col("_source_file") == "docentes_2022.csv").filter(F.col("columna_nueva").isNotNull()).count() == 0
+    assert b.filter(F.col("columna_nueva").isNotNull()).count() == 2
