@@ -53,9 +53,15 @@ def ingest_year(spark: SparkSession, landing: str, root: str, anio: int, run_id:
     year_entries = [e for e in entries if e.anio == y]
     cat = catalog_frame(spark, year_entries)
     # both profiles' files are read once for header resolution and extraction
+    loads, errors = [], {}
     with persisted(read_csv_grid(spark, _files(landing, year_entries))) as (grid,):
-        loads = [ingest_profile(grid, cat, PROFILES[e.perfil], root, run_id)
-                 for e in sorted(year_entries, key=lambda e: e.perfil)]
+        for e in sorted(year_entries, key=lambda e: e.perfil):  # profiles are independent loads
+            try:
+                loads.append(ingest_profile(grid, cat, PROFILES[e.perfil], root, run_id))
+            except Exception as exc:  # noqa: BLE001 - the other profile still loads; reported below
+                errors[e.perfil] = str(exc)
+    if errors:
+        raise LoadValidationError(f"ingest of {y} failed for {sorted(errors)}: {errors}")
     checks = []
     for pl in loads:
         b = sink.read_bronze(spark, sink.table_path(root, "bronze", PROFILES[pl.profile].table))

@@ -88,3 +88,14 @@ def test_cli(spark, landing, tmp_root, capsys):
     assert main(["transform", "--root", root, "--seed", seed]) == 0
     checks = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert len(checks) == 49 and all(c["status"] == "pass" for c in checks)
+
+
+def test_ingest_year_loads_the_good_profile_and_reports_the_bad_one(spark, landing, tmp_root):
+    from aulastar.sinks import bronze as sink
+    src, _ = landing
+    with open(os.path.join(src, "docentes_2024.csv"), "w", encoding="utf-8") as f:
+        f.write("no header here\n1,2,3\n")
+    root = os.path.join(tmp_root, "partial")
+    with pytest.raises(jobs.LoadValidationError, match="docentes"):
+        jobs.ingest_year(spark, src, root, 2024, "run-1")
+    assert sink.read_bronze(spark, sink.table_path(root, "bronze", "matriculados_raw")).count() == 8
