@@ -13,6 +13,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from typing import Sequence
 
@@ -24,6 +25,7 @@ from aulastar.operators import quality
 from aulastar.operators.relational import persisted
 from aulastar.plans.build import BuildResult, build_all
 from aulastar.plans.ingest import ProfileLoad, backfill, ingest_profile, log_path
+from aulastar.session import path_exists
 from aulastar.sinks import bronze as sink
 from aulastar.sources.catalog import catalog_frame, validate_year
 from aulastar.sources.grid import read_csv_grid
@@ -77,8 +79,16 @@ def ingest_year(spark: SparkSession, landing: str, root: str, anio: int, run_id:
 def backfill_all(spark: SparkSession, landing: str, root: str, run_id: str,
                  entries: Sequence[SourceEntry] | None = None) -> tuple[list[ProfileLoad], DataFrame]:
     entries = list(default_catalog(landing, ".csv") if entries is None else entries)
-    grid = read_csv_grid(spark, _files(landing, entries))
-    loads = backfill(grid, catalog_frame(spark, entries), root, run_id)
+    present = [e for e in entries if path_exists(spark, f"{landing.rstrip('/')}/{e.filename}")]
+    missing = [e for e in entries if e not in present]
+    if missing:  # a missing file fails only its own load; the summary counts it
+        sink.log_events(spark, log_path(root), [
+            dict(log_id=str(uuid.uuid4()), run_id=run_id, perfil=e.perfil, anio=e.anio, source_url=e.url,
+                 source_file=e.filename, status="failed", error="source file not found") for e in missing])
+    loads = []
+    if present:
+        grid = read_csv_grid(spark, _files(landing, present))
+        loads = backfill(grid, catalog_frame(spark, present), root, run_id)
     status = sink.ingestion_status(spark.read.parquet(log_path(root))).filter(F.col("dag_run_id") == run_id)
     return loads, sink.backfill_summary(status)
 

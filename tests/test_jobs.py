@@ -99,3 +99,14 @@ def test_ingest_year_loads_the_good_profile_and_reports_the_bad_one(spark, landi
     with pytest.raises(jobs.LoadValidationError, match="docentes"):
         jobs.ingest_year(spark, src, root, 2024, "run-1")
     assert sink.read_bronze(spark, sink.table_path(root, "bronze", "matriculados_raw")).count() == 8
+
+
+def test_backfill_counts_missing_files_as_failed(spark, landing, tmp_root, capsys):
+    import json
+
+    from aulastar.__main__ import main
+    src, _ = landing
+    # the default catalog lists six yearly files; only the two 2024 files exist
+    assert main(["backfill", "--landing", src, "--root", os.path.join(tmp_root, "bf"), "--run-id", "b1"]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["summary"] == {"tareas_exitosas": 2, "tareas_fallidas": 4, "filas_totales": 16}
