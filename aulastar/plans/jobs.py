@@ -22,14 +22,14 @@ from pyspark.sql import functions as F
 
 from aulastar.config import DOMAIN, PROFILES, SourceEntry, StarConfig, default_catalog
 from aulastar.operators import quality
-from aulastar.operators.relational import persisted
+from aulastar.operators.relational import checked_broadcast, persisted
 from aulastar.plans.build import BuildResult, build_all
 from aulastar.plans.ingest import ProfileLoad, backfill, ingest_profile, log_path
 from aulastar.session import path_exists
 from aulastar.sinks import bronze as sink
 from aulastar.sources.catalog import catalog_frame, validate_year
 from aulastar.sources.grid import read_csv_grid
-from aulastar.sources.seed import read_seed
+from aulastar.sources.seed import load_seed
 from aulastar.sources.tables import Layout, publish
 
 
@@ -100,7 +100,9 @@ def transform(spark: SparkSession, root: str, seed_path: str, cfg: StarConfig =
     d = sink.read_bronze(spark, sink.table_path(root, "bronze", PROFILES["docentes"].table))
     if m is None or d is None:
         raise FileNotFoundError("both Bronze tables must be loaded before the transform")
-    res = build_all(m, d, read_seed(spark, seed_path), root, cfg, store_failures=True)
+    # seed --full-refresh: replace the stored seed table, then read it back
+    seed = checked_broadcast(load_seed(spark, seed_path, lay.path(lay.silver, "ies_sue")))
+    res = build_all(m, d, seed, root, cfg, store_failures=True)
     if publish_gold:
         publish(spark, res.star, lay)
     if fail_on_checks:
