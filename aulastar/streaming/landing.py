@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from aulastar.config import IngestProfile
 from aulastar.operators.ingest import extract
+from aulastar.operators.relational import persisted
 from aulastar.plans.ingest import log_path
 from aulastar.sinks.bronze import load_to_bronze, table_path
 from aulastar.sources.grid import trim_trailing_nulls, with_row_index
@@ -62,16 +63,19 @@ def start_landing_ingest(spark: SparkSession, folder: str, catalog: DataFrame, p
     grid = landing_stream(spark, folder)
 
     def load(batch: DataFrame, epoch: int) -> None:
-        files = [r["source_file"] for r in batch.select("source_file").distinct().collect()]  # file names only
-        if not files:
-            return
-        g = _finish_grid(batch)
-        cat = catalog.filter(F.col("filename").isin(files))
-        rows, _ = extract(g, cat, profile, f"{run_id}-{epoch}")
-        urls = [(r["filename"], r["url"], r["anio"]) for r in cat.filter(F.col("perfil") == profile.name)
-                .select("filename", "url", "anio").collect()]
-        res = load_to_bronze(rows, table_path(root, "bronze", profile.table), log_path(root), profile.name,
-                             f"{run_id}-{epoch}", files=urls)
+        # the batch is read for its file names and for the extract: keep it
+        # (a micro-batch holds the files that landed since the last one)
+        with persisted(batch) as (b,):
+            files = [r["source_file"] for r in b.select("source_file").distinct().collect()]  # file names only
+            if not files:
+                return
+            g = _finish_grid(b)
+            cat = catalog.filter(F.col("filename").isin(files))
+            rows, _ = extract(g, cat, profile, f"{run_id}-{epoch}")
+            urls = [(r["filename"], r["url"], r["anio"]) for r in cat.filter(F.col("perfil") == profile.name)
+                    .select("filename", "url", "anio").collect()]
+            res = load_to_bronze(rows, table_path(root, "bronze", profile.table), log_path(root), profile.name,
+                                 f"{run_id}-{epoch}", files=urls)
         if on_batch:
             on_batch(epoch, res)
 
