@@ -176,14 +176,15 @@ def fingerprint(sf_dir: str, spark: SparkSession | None = None) -> str:
 def bronze_tables(spark: SparkSession, sf_dir: str, materialize: bool = True) -> tuple[DataFrame, DataFrame]:
     """The two surrogate Bronze tables.
 
-    Bronze is a stored layer: the surrogate is written once per input
-    fingerprint under the shared checkpoint folder, partitioned by
+    Bronze is a stored layer: the surrogate is written once per application
+    and input fingerprint under the shared checkpoint folder, partitioned by
     ``_source_file`` like the Bronze sink, and read back from parquet
     (column pruning and filter push-down then apply to every query).
     """
     if not materialize:
         return surrogate_enrolment(spark, sf_dir), surrogate_teachers(spark, sf_dir)
-    root = shared_path(spark, "aulastar-bronze", fingerprint(sf_dir, spark))
+    # keyed by application too: no two processes ever write the same folder
+    root = shared_path(spark, "aulastar-bronze", spark.sparkContext.applicationId, fingerprint(sf_dir, spark))
     out = []
     with BUILD_LOCK:
         for name, build in (("matriculados_raw", surrogate_enrolment), ("docentes_raw", surrogate_teachers)):

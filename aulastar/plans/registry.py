@@ -44,7 +44,7 @@ def tpch_gold(spark: SparkSession, sf_dir: str) -> Star:
     these, as BI queries read Gold tables rather than recomputing Silver;
     the M1-M6 queries themselves compute the models from Bronze."""
     seed = checked_broadcast(surrogate_seed(spark, sf_dir))
-    root = shared_path(spark, "aulastar-star", fingerprint(sf_dir, spark))
+    root = shared_path(spark, "aulastar-star", spark.sparkContext.applicationId, fingerprint(sf_dir, spark))
     with BUILD_LOCK:
         if not path_exists(spark, f"{root}/gold/{GOLD_TABLES[-1]}/_SUCCESS"):
             return materialize_all(tpch_star(spark, sf_dir), root, TPCH)
