@@ -181,7 +181,7 @@ def load_to_bronze(df: DataFrame, path: str, log_path: str, perfil: str, run_id:
             events.append(ev(f, url, "failed", error="the file yielded no rows; previous rows kept"))
             continue
         events.append(ev(f, url, "success", rows=n))
-        out.append(LoadResult("success", perfil, anio, f, int(deleted.get(f, 0)), n))
+        out.append(LoadResult("success", perfil, years[f], f, int(deleted.get(f, 0)), n))
     log_events(spark, log_path, events)
     if empty:
         raise EmptyLoadError(f"no rows for {empty}; previous rows kept")

@@ -113,8 +113,8 @@ def test_load_replace_evolve_log(spark, files, tmp_root):
     path = sink.table_path(root, "bronze", "docentes_raw")
     assert sink.read_bronze(spark, path).count() == 5
     again = ingest_profile(g, c, PROFILES["docentes"], root, "run-2")
-    assert sorted((r.source_file, r.rows_deleted, r.rows_inserted) for r in again.results) == [
-        ("docentes_2022.csv", 3, 3), ("docentes_2024.csv", 2, 2)]
+    assert sorted((r.source_file, r.anio, r.rows_deleted, r.rows_inserted) for r in again.results) == [
+        ("docentes_2022.csv", 2022, 3, 3), ("docentes_2024.csv", 2024, 2, 2)]
     b = sink.read_bronze(spark, path)
     assert b.count() == 5  # replaced, not accumulated
     assert b.filter(F.col("_source_file") == "docentes_2022.csv").filter(F.col("columna_nueva").isNotNull()).count() == 0
