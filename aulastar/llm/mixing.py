@@ -2,7 +2,9 @@
 
 Words are counted per document, summed per source, and each source's share of the whole is turned into a repetition
 rate.  A document is then emitted ``floor(rate)`` times plus one Bernoulli copy whose probability is the fraction and
-whose draw is a seeded hash of the document's id, so a rerun takes the same copies.
+whose draw is a seeded hash of the document's id, so a rerun takes the same copies.  The draw is compared with the
+fraction as it falls among the source's own draws, weighted by words (``rates``): with long documents, or a source of a
+few, independent draws miss the target by several percent.
 
 Targets: sources sorted by code point (null last) weigh 5, 2, 1, 5, 2, 1, ... and share the whole; no target passes
 ``MAX_REPEATS`` times its source's size, and what is cut off is shared again by weight.  That is water filling: with
@@ -23,6 +25,7 @@ WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 SEED = "mix-1"
 DRAW_BITS = 52
+BINS = 4096   # of the draws, per source
 
 
 def words(text: Column) -> Column:
@@ -55,14 +58,33 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int =
     return s.withColumn("rate", F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(repeats)))).otherwise(F.lit(0.0)))
 
 
+def rates(words_by_bin: DataFrame) -> DataFrame:
+    """(source, bin, words) -> (source, source_size, target, whole, below): a document of the source is taken ``whole``
+    times, and once more if its draw's bin is under ``below``.
+
+    ``below`` is the bin boundary nearest to the fraction of the rate *in words*: the draws of a source are uniform, so
+    it differs from the fraction by the luck of the draws alone, and without that luck the words taken meet the target."""
+    per = targets(words_by_bin.groupBy("source").agg(F.sum("words").alias("source_size")))
+    per = per.withColumns({"whole": F.floor("rate"), "goal": (F.col("rate") - F.floor("rate")) * F.col("source_size")})
+    run = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    upto = words_by_bin.select(F.col("source").alias("s"), (F.col("bin") + 1).alias("k"), F.sum("words").over(run).alias("upto"))
+    near = per.join(upto, F.col("source").eqNullSafe(F.col("s")), "left").groupBy("source", "source_size", "target", "whole", "goal").agg(
+        F.min(F.struct(F.abs(F.col("upto").cast("double") - F.col("goal")).alias("off"), "k")).alias("best"))
+    below = F.when(F.col("goal") <= F.col("best.off"), F.lit(0)).otherwise(F.col("best.k"))
+    return near.select("source", "source_size", "target", F.col("whole").cast("long").alias("whole"), below.alias("below"))
+
+
+def _bin(key: Column, seed: str) -> Column:
+    return F.floor(draw(key, seed) * BINS).cast("int")
+
+
 def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = SEED) -> DataFrame:
     """One row per document: size, its source's size and target, and how many copies the mix takes."""
-    sized = stored(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), words(F.col(text_col)).alias("size")), "mix-sizes")
-    per = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")))
-    joined = sized.join(per.withColumnRenamed("source", "__mix_source"), F.col("source").eqNullSafe(F.col("__mix_source")), "left").drop("__mix_source")
-    whole = F.floor("rate")
-    copies = whole + (draw(F.col("doc_id"), seed) < F.col("rate") - whole).cast("long")
-    return joined.select("doc_id", "source", "size", "source_size", "target", copies.cast("long").alias("copies"))
+    sized = stored(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), words(F.col(text_col)).alias("size"), _bin(F.col(id_col), seed).alias("bin")), "mix-sizes")
+    per = rates(stored(sized.groupBy("source", "bin").agg(F.sum("size").alias("words")), "mix-bins")).withColumnRenamed("source", "s")
+    joined = sized.join(per, F.col("source").eqNullSafe(F.col("s")), "left")
+    copies = F.col("whole") + (F.col("bin") < F.col("below")).cast("long")
+    return joined.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"))
 
 
 def mix_report(docs: DataFrame, **options) -> DataFrame:
@@ -71,10 +93,10 @@ def mix_report(docs: DataFrame, **options) -> DataFrame:
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = SEED) -> DataFrame:
     """The mixed documents themselves: every column of ``docs`` plus ``mix_copy``, one row per copy taken."""
-    sized = stored(docs.select(F.col(source_col).alias("source"), words(F.col(text_col)).alias("size")).groupBy("source").agg(F.sum("size").alias("source_size")), "mix-sources")
-    per = targets(sized).select(F.col("source").alias("__mix_source"), F.col("rate").alias("__mix_rate"))
-    whole = F.floor("__mix_rate")
-    copies = (whole + (draw(F.col(id_col), seed) < F.col("__mix_rate") - whole).cast("long")).cast("int")
+    binned = docs.select(F.col(source_col).alias("source"), _bin(F.col(id_col), seed).alias("bin"), words(F.col(text_col)).alias("size"))
+    per = rates(stored(binned.groupBy("source", "bin").agg(F.sum("size").alias("words")), "mix-bins"))
+    per = per.select(F.col("source").alias("__mix_source"), F.col("whole").alias("__mix_whole"), F.col("below").alias("__mix_below"))
     joined = docs.join(per, F.col(source_col).eqNullSafe(F.col("__mix_source")), "left")
+    copies = (F.col("__mix_whole") + (_bin(F.col(id_col), seed) < F.col("__mix_below")).cast("long")).cast("int")
     return (joined.withColumn("__mix_copies", copies).filter("__mix_copies > 0")
             .select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("__mix_copies"))).alias("mix_copy")))

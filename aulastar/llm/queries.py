@@ -73,10 +73,15 @@ WITH RECURSIVE d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text
  lvl AS (SELECT max(lev) AS lev FROM water),
  s3 AS (SELECT source, source_size, CASE WHEN lev * w >= cap THEN cap::DOUBLE ELSE lev * w END AS target FROM s2, lvl),
  s4 AS (SELECT *, CASE WHEN source_size > 0 THEN least(target / source_size, 3.0::DOUBLE) ELSE 0.0::DOUBLE END AS rate FROM s3),
- j AS (SELECT d.*, source_size, target, rate,
-         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || ':mix-1'), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0::DOUBLE AS u
-       FROM d JOIN s4 ON d.source IS NOT DISTINCT FROM s4.source)
-SELECT doc_id, size, source_size, target, ((floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) * size)::BIGINT AS taken FROM j
+ s5 AS (SELECT *, (rate - floor(rate)) * source_size AS goal FROM s4),
+ b AS (SELECT *, floor(('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || ':mix-1'), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0::DOUBLE * 4096)::INTEGER AS bin FROM d),
+ bw AS (SELECT source, bin, sum(size) AS words FROM b GROUP BY 1, 2),
+ cum AS (SELECT source, bin + 1 AS k, sum(words) OVER (PARTITION BY source ORDER BY bin) AS upto FROM bw),
+ e AS (SELECT s5.source, k, abs(upto::DOUBLE - goal) AS off FROM s5 JOIN cum ON s5.source IS NOT DISTINCT FROM cum.source
+       UNION ALL SELECT source, 0, goal FROM s5),
+ pick AS (SELECT source, k FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY off, k) AS rn FROM e) WHERE rn = 1)
+SELECT doc_id, size, source_size, target, ((floor(rate) + CASE WHEN bin < k THEN 1 ELSE 0 END) * size)::BIGINT AS taken
+FROM b JOIN s5 ON b.source IS NOT DISTINCT FROM s5.source JOIN pick ON b.source IS NOT DISTINCT FROM pick.source
 """
 
 OP10_SQL = r"""
