@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aulastar.llm.components import components, local_roots
+from aulastar.llm.joins import join_groups
 from aulastar.llm.store import stored
 
 SHINGLE = 3
@@ -204,12 +205,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not 0 <= distance <= 2:
         raise ValueError("the covering code is laid out for distances 0, 1 and 2")
     marked = stored(fingerprints(docs, id_col, text_col, shingle), "simhash-docs")
-    distinct = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-fps")
+    distinct = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")), "simhash-fps")
     found = components(links(distinct, distance))
     rooted = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    by_fp = rooted.join(least, "root").select(F.col("fp").alias("_fp"), "component_id")
-    return marked.join(by_fp, F.col("fp") == F.col("_fp")).select("doc_id", "fp", "component_id")
+    by_fp = rooted.join(least, "root").select("fp", "n", "component_id")
+    return join_groups(marked, by_fp, ["fp"], "n", marked.count()).select("doc_id", "fp", "component_id")
 
 
 def hex_digits(fp):
