@@ -21,6 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aulastar.llm.joins import join_groups
 from aulastar.llm.store import stored
 
 CAPACITY = 1 << 18  # entries a bucket holds before it splits
@@ -54,7 +55,7 @@ def directory(spark: SparkSession, buckets: list[Bucket], max_depth: int = MAX_D
     """Slot -> bucket for the directory's ``2**global depth`` slots, at most ``2**max_depth`` rows."""
     depth = max(b.depth for b in buckets)
     rows = [((b.prefix << (depth - b.depth)) + i, n, b.depth) for n, b in enumerate(buckets) for i in range(1 << (depth - b.depth))]
-    return spark.createDataFrame(rows, "slot int, bucket int, local_depth int").withColumn("_shift", F.lit(64 - depth))
+    return spark.createDataFrame(rows, "slot int, bucket int, local_depth int")
 
 
 def normalised(text):
@@ -79,23 +80,26 @@ class ExactIndex:
         histogram = {r["k"]: r["n"] for r in self.entries.groupBy(lead.alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()}  # 2**MAX_DEPTH rows at most
         self.buckets = split_buckets(histogram, capacity)
 
+        self.total = sum(b.entries for b in self.buckets)
+        self.links = stored(self._links(), "exact-links")
+
     def _links(self) -> DataFrame:
-        """Chain links (distinct texts) with two or more members, with the member that stays."""
-        slots = directory(self.spark, self.buckets)
+        """Chain links (distinct texts) with two or more members, and the member that stays."""
         depth = max(b.depth for b in self.buckets)
-        slot = (F.shiftrightunsigned("_key", 64 - depth) if depth else F.lit(0)).cast("int")
-        texts = (self.entries.select("_key", "_norm", "_sha", slot.alias("slot"))
-                 .join(F.broadcast(slots), "slot")  # 2**MAX_DEPTH rows at most
-                 .groupBy("bucket", "local_depth", "_key", "_norm").agg(F.count(F.lit(1)).alias("size"), F.first("_sha").alias("_sha"))
+        texts = self.entries.select("_key", "_norm", "_sha")
+        if depth:
+            slots = directory(self.spark, self.buckets)
+            texts = texts.withColumn("slot", F.shiftrightunsigned("_key", 64 - depth).cast("int")).join(F.broadcast(slots), "slot")  # 2**MAX_DEPTH rows at most
+        else:
+            texts = texts.withColumns({"bucket": F.lit(0), "local_depth": F.lit(0)})
+        texts = (texts.groupBy("bucket", "local_depth", "_key", "_norm", "_sha").agg(F.count(F.lit(1)).alias("size"))
                  .filter("size > 1").select("bucket", "local_depth", "_key", "_sha", "size"))
-        small = self.entries.select("_key", "_sha", "_id", "_points", "_row")
         last = F.struct(F.col("_points"), F.col("_id").isNotNull().alias("has"), (-F.col("_id").cast("decimal(20,0)")).alias("neg"), (-F.col("_row")).alias("row"), F.col("_id").alias("id"))
-        stays = small.join(texts.select("_key", "_sha"), ["_key", "_sha"], "left_semi").groupBy("_key", "_sha").agg(F.max(last).alias("m"))
+        stays = self.entries.groupBy("_key", "_sha").agg(F.max(last).alias("m"), F.count(F.lit(1)).alias("n")).filter("n > 1")
         return texts.join(stays, ["_key", "_sha"]).select("bucket", "local_depth", "_key", "_sha", "size", F.col("m.id").alias("keep"), (-F.col("m.row")).alias("keep_row"))
 
-    def _joined(self, *more: str) -> DataFrame:
-        e = self.entries.select("_key", "_sha", "_id", "_row", *more)
-        return e.join(self._links(), ["_key", "_sha"], "left")
+    def _joined(self) -> DataFrame:
+        return join_groups(self.entries.select("_key", "_sha", "_id", "_row"), self.links, ["_key", "_sha"], "size", self.total)
 
     def members(self) -> DataFrame:
         single = F.col("keep_row").isNull()
@@ -106,8 +110,7 @@ class ExactIndex:
 
     def survivors(self) -> DataFrame:
         """The carried columns of the rows that stay."""
-        gone = F.col("keep_row").isNotNull() & (F.col("_row") != F.col("keep_row"))
-        losers = self._joined().filter(gone).select("_row")
+        losers = self._joined().filter(F.col("keep_row").isNotNull() & (F.col("_row") != F.col("keep_row"))).select("_row")
         return self.entries.join(losers, "_row", "left_anti").select("_carry.*")
 
 
