@@ -15,7 +15,7 @@ from aulastar.llm.store import forget, stored
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root): for every node of an edge, the smallest node that it can reach."""
-    e = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u <> v")
+    e = stored(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u <> v"), "cc-links")
     both = stored(e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "cc-edges")
     labels = stored(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("root")), "cc-labels")
     while True:
