@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aulastar.llm import decontaminate, exact_dedup, mixing, quality, simhash
+from aulastar.llm import decontaminate, exact_dedup, mixing, quality, simhash, toxicity
 
 LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS_SQL = f"regexp_extract_all({LOWER_SQL}, '[^\\x20\\x09-\\x0D]+')"
@@ -31,6 +31,12 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    got = toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return got.select("doc_id", quality.held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return got.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
@@ -41,7 +47,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontamination, op4_quality, op5_mixing, op8_simhash, op10_exact_dedup)
+    f.__name__: f for f in (op1_decontamination, op4_quality, op5_mixing, op7_toxicity, op8_simhash, op10_exact_dedup)
 }
 
 OP1_SQL = f"""

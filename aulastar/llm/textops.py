@@ -16,6 +16,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
+NO_LETTER = np.ones(256, dtype=bool)   # letters of ASCII, and every byte beyond it
+NO_LETTER[65:91] = NO_LETTER[97:123] = NO_LETTER[128:] = False
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BYTE_VALUE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -56,9 +58,9 @@ def chunks(col: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int,
         a = b
 
 
-def word_bounds(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of every word."""
-    ink = ~SPACE[data]
+def word_bounds(data: np.ndarray, off: np.ndarray, gap: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of every word, a run of bytes that are not in ``gap``."""
+    ink = ~gap[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[off] = True
     before = np.concatenate(([False], ink[:-1])) if len(ink) else ink
@@ -68,12 +70,12 @@ def word_bounds(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return starts, ends, np.searchsorted(off, starts, side="right") - 1
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, gap: np.ndarray = SPACE) -> np.ndarray:
     """A 64-bit hash of the bytes of every word."""
     if not len(starts):
         return np.zeros(0, dtype=np.uint64)
     value = _BYTE_VALUE[data]
-    value[SPACE[data]] = 0
+    value[gap[data]] = 0
     gaps = np.diff(np.append(starts, len(data)))
     place = np.zeros(len(data), dtype=np.int64)
     place[starts[0] :] = np.arange(len(data) - starts[0]) - np.repeat(starts - starts[0], gaps)
