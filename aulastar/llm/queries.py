@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aulastar.llm import decontaminate, exact_dedup, mixing, quality, simhash, toxicity
+from aulastar.llm import decontaminate, exact_dedup, langid, mixing, quality, simhash, toxicity
 
 LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS_SQL = f"regexp_extract_all({LOWER_SQL}, '[^\\x20\\x09-\\x0D]+')"
@@ -21,6 +21,12 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    got = langid.predicted(docs, langid.fit(docs))
+    return got.select("doc_id", quality.held_out(F.col("doc_id"), 3, 1).alias("held_out"), "lang_pred", "score")
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     got = quality.scored(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
@@ -47,7 +53,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontamination, op4_quality, op5_mixing, op7_toxicity, op8_simhash, op10_exact_dedup)
+    f.__name__: f for f in (op1_decontamination, op3_language_id, op4_quality, op5_mixing, op7_toxicity, op8_simhash, op10_exact_dedup)
 }
 
 OP1_SQL = f"""
