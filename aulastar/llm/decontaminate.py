@@ -183,7 +183,19 @@ def find_leaks(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_c
     return out if out is not None else spark.createDataFrame([], SCHEMA)
 
 
-def decontaminate(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` that hold no item.  Rows without an id are judged together, as one document."""
-    bad = find_leaks(docs, bench, id_col=id_col, **options).select(F.col("doc_id").alias("__leak_id")).distinct()
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("__leak_id")), "left_anti")
+def decontaminate(docs: DataFrame, bench: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
+                  shingle: int = SHINGLE, threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``docs`` that hold no item: a filter in the scan for each block of items, no shuffle."""
+    at = docs.columns.index(text_col)
+    for items in blocks(bench, item_id, item_text, block_bytes):
+        sent = docs.sparkSession.sparkContext.broadcast(ItemBlock(items, shingle, threshold))
+
+        def run(batches, sent=sent):
+            for b in batches:
+                for a, e, data, off in T.chunks(b.column(at)):
+                    clean = np.ones(e - a, dtype=bool)
+                    clean[[r for r, _, _ in sent.value.search(data, off)]] = False
+                    yield b.slice(a, e - a).filter(pa.array(clean))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

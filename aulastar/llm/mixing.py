@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aulastar.llm.joins import join_groups
 from aulastar.llm.store import stored
 
 WEIGHTS = (5, 2, 1)
@@ -94,9 +95,14 @@ def mix_report(docs: DataFrame, **options) -> DataFrame:
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = SEED) -> DataFrame:
     """The mixed documents themselves: every column of ``docs`` plus ``mix_copy``, one row per copy taken."""
     binned = docs.select(F.col(source_col).alias("source"), _bin(F.col(id_col), seed).alias("bin"), words(F.col(text_col)).alias("size"))
-    per = rates(stored(binned.groupBy("source", "bin").agg(F.sum("size").alias("words")), "mix-bins"))
-    per = per.select(F.col("source").alias("__mix_source"), F.col("whole").alias("__mix_whole"), F.col("below").alias("__mix_below"))
-    joined = docs.join(per, F.col(source_col).eqNullSafe(F.col("__mix_source")), "left")
+    binned = stored(binned.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("docs")), "mix-bins")
+    per = rates(binned.select("source", "bin", "words")).withColumnRenamed("source", "s")
+    rows = binned.groupBy("source").agg(F.sum("docs").alias("__mix_docs"))
+    # the null source joins as a name of its own
+    name = lambda c: F.coalesce(F.concat(F.lit("s:"), c.cast("string")), F.lit("null"))
+    per = stored(rows.join(per, F.col("source").eqNullSafe(F.col("s"))).select(name(F.col("source")).alias("__mix_source"), "__mix_docs", F.col("whole").alias("__mix_whole"), F.col("below").alias("__mix_below")), "mix-rates")
+    total = per.agg(F.sum("__mix_docs")).first()[0] or 0
+    joined = join_groups(docs.withColumn("__mix_source", name(F.col(source_col))), per, ["__mix_source"], "__mix_docs", total)
     copies = (F.col("__mix_whole") + (_bin(F.col(id_col), seed) < F.col("__mix_below")).cast("long")).cast("int")
     return (joined.withColumn("__mix_copies", copies).filter("__mix_copies > 0")
             .select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("__mix_copies"))).alias("mix_copy")))

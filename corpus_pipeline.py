@@ -25,8 +25,8 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: of each group of linked fingerprints the document of smallest id stays."""
-    stay = simhash.near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__stay")).distinct()
-    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("__stay")), "left_semi")
+    gone = simhash.near_duplicates(docs).filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti")
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
