@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aulastar.llm import decontaminate, exact_dedup, langid, mixing, quality, simhash, toxicity
+from aulastar.llm import decontaminate, exact_dedup, langid, mixing, ppm, quality, simhash, toxicity
 
 LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS_SQL = f"regexp_extract_all({LOWER_SQL}, '[^\\x20\\x09-\\x0D]+')"
@@ -48,12 +48,16 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score_corpus(table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontamination, op3_language_id, op4_quality, op5_mixing, op7_toxicity, op8_simhash, op10_exact_dedup)
+    f.__name__: f for f in (op1_decontamination, op3_language_id, op4_quality, op5_mixing, op7_toxicity, op8_simhash, op9_lm_scoring, op10_exact_dedup)
 }
 
 OP1_SQL = f"""
