@@ -165,10 +165,9 @@ def find_leaks(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_c
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     out = None
     for items in blocks(bench, item_id, item_text, block_bytes):
-        sent = spark.sparkContext.broadcast(ItemBlock(items, shingle, threshold))
+        block = ItemBlock(items, shingle, threshold)
 
-        def run(batches, sent=sent):
-            block = sent.value
+        def run(batches, block=block):
             for b in batches:
                 ids = b.column(0)
                 for a, _, data, off in T.chunks(b.column(1)):
@@ -188,13 +187,13 @@ def decontaminate(docs: DataFrame, bench: DataFrame, text_col: str = "text", ite
     """The rows of ``docs`` that hold no item: a filter in the scan for each block of items, no shuffle."""
     at = docs.columns.index(text_col)
     for items in blocks(bench, item_id, item_text, block_bytes):
-        sent = docs.sparkSession.sparkContext.broadcast(ItemBlock(items, shingle, threshold))
+        block = ItemBlock(items, shingle, threshold)
 
-        def run(batches, sent=sent):
+        def run(batches, block=block):
             for b in batches:
                 for a, e, data, off in T.chunks(b.column(at)):
                     clean = np.ones(e - a, dtype=bool)
-                    clean[[r for r, _, _ in sent.value.search(data, off)]] = False
+                    clean[[r for r, _, _ in block.search(data, off)]] = False
                     yield b.slice(a, e - a).filter(pa.array(clean))
 
         docs = docs.mapInArrow(run, docs.schema)

@@ -21,8 +21,6 @@ unless no other id is there; an empty table gives an empty result."""
 
 from __future__ import annotations
 
-import functools
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -72,10 +70,14 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return src.mapInArrow(run, "doc_id long, fp long")
 
 
-@functools.cache
+_TABLES: dict = {}
+
+
 def golay() -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
     """Syndrome of every 23-bit string, coset leaders, and for excess 0, 1, 2 over the covering radius the error patterns
-    of each syndrome as (offsets, patterns)."""
+    of each syndrome as (offsets, patterns).  Made once per worker."""
+    if _TABLES:
+        return _TABLES["golay"]
     syn = np.zeros(1, dtype=np.int16)
     for i in range(BLOCK):
         rest = 1 << i
@@ -90,7 +92,8 @@ def golay() -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]
         own = every[(weight >= low) & (weight <= high)]
         own = own[np.argsort(syn[own], kind="stable")]
         lists.append((np.searchsorted(syn[own], np.arange((1 << CHECKS) + 1)), own.astype(np.int64)))
-    return syn, lists[0][1], lists
+    _TABLES["golay"] = syn, lists[0][1], lists
+    return _TABLES["golay"]
 
 
 def anchors(fps: np.ndarray, distance: int = DISTANCE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

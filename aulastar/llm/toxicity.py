@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from aulastar.llm import textops as T
 from aulastar.llm.quality import labelled_sample
 
-SAMPLE = 20_000     # labelled rows used for fitting
+SAMPLE = 10_000     # labelled rows used for fitting
 BITS = 20           # hashed feature space
 PREFIXES = (4, 5)
 L1 = 5e-5
@@ -200,12 +200,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score) of every row."""
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(Model(model.weights.astype(np.float32), model.bias, model.bits))  # 4 MB
+    model = Model(model.weights.astype(np.float32), model.bias, model.bits)  # 4 MB
 
     def run(batches):
         for b in batches:
             for a, e, data, off in T.chunks(b.column(1)):
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(a, e - a), pa.array(sent.value.score(data, off))], names=["doc_id", "score"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(a, e - a), pa.array(model.score(data, off))], names=["doc_id", "score"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, score double")
