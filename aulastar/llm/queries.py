@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aulastar.llm import decontaminate, exact_dedup, langid, mixing, ppm, quality, simhash, toxicity
+from aulastar.llm import decontaminate, exact_dedup, html_extract, langid, mixing, ppm, quality, simhash, toxicity
 
 LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS_SQL = f"regexp_extract_all({LOWER_SQL}, '[^\\x20\\x09-\\x0D]+')"
@@ -37,6 +37,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     got = toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -57,7 +61,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontamination, op3_language_id, op4_quality, op5_mixing, op7_toxicity, op8_simhash, op9_lm_scoring, op10_exact_dedup)
+    f.__name__: f for f in (op1_decontamination, op3_language_id, op4_quality, op5_mixing, op6_html_extraction, op7_toxicity, op8_simhash, op9_lm_scoring, op10_exact_dedup)
 }
 
 OP1_SQL = f"""
