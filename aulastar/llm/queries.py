@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aulastar.llm import decontaminate, exact_dedup, html_extract, langid, mixing, ppm, quality, simhash, toxicity
+from aulastar.llm import decontaminate, exact_dedup, html_extract, langid, mixing, ppm, quality, simhash, suffix_dedup, toxicity
 
 LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS_SQL = f"regexp_extract_all({LOWER_SQL}, '[^\\x20\\x09-\\x0D]+')"
@@ -21,6 +21,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     got = langid.predicted(docs, langid.fit(docs))
@@ -61,7 +65,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontamination, op3_language_id, op4_quality, op5_mixing, op6_html_extraction, op7_toxicity, op8_simhash, op9_lm_scoring, op10_exact_dedup)
+    f.__name__: f for f in (op1_decontamination, op2_suffix_dedup, op3_language_id, op4_quality, op5_mixing, op6_html_extraction, op7_toxicity, op8_simhash, op9_lm_scoring, op10_exact_dedup)
 }
 
 OP1_SQL = f"""
