@@ -174,7 +174,7 @@ def find_leaks(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_c
                     got = list(block.search(data, off))
                     if got:
                         r, n, s = (np.array(v, dtype=np.int64) for v in zip(*got, strict=True))
-                        yield pa.RecordBatch.from_arrays([ids.take(pa.array(r + a)), pa.array(np.array(block.ids, dtype=np.int64)[n]), pa.array(block.sizes[n]), pa.array(s), pa.array(s / block.sizes[n])],
+                        yield pa.RecordBatch.from_arrays([ids.take(pa.array(r + a)), pa.array(block.ids, pa.int64()).take(pa.array(n)), pa.array(block.sizes[n]), pa.array(s), pa.array(s / block.sizes[n])],
                                                          names=["doc_id", "item_id", "n_item", "n_shared", "containment"])
 
         found = src.mapInArrow(run, SCHEMA)
