@@ -163,6 +163,9 @@ FLAG_OK = "ok"
 LOW_DENOMINATOR = 10
 LOW_NUMERATOR = 100
 NULL_TOKENS = ("", "nan", "NaN", "None")
+# Texts that the tabular reader takes for a missing cell.
+READER_NULLS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+                "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 MISSING_HASH_TEXT = "nan"
 HASH_SEPARATOR = "||"
 DEFAULT_ACCREDITED = "No"

@@ -9,14 +9,14 @@ from aulastar.functions.predicates import (
     trend_label,
 )
 from aulastar.functions.text import (
-    canonical_name_py, collapse_ws, is_digits, normalize_header, normalize_header_py, null_tokens, snake_case,
+    collapse_ws, is_digits, normalize_header, null_tokens, snake_case,
     strip_accents, trim_unicode, truncate,
 )
 
 __all__ = [
     "row_hash", "decade", "exact_avg", "exact_ratio", "guarded_ratio", "is_leap_year", "pct_change",
     "ratio_of_sums", "safe_int", "bool_label", "canonicalize", "default_if_null", "in_values", "matches_place",
-    "outlier_category", "quality_flag", "trend_label", "canonical_name_py", "collapse_ws", "is_digits",
-    "normalize_header", "normalize_header_py", "null_tokens", "snake_case", "strip_accents", "trim_unicode",
+    "outlier_category", "quality_flag", "trend_label", "collapse_ws", "is_digits",
+    "normalize_header", "null_tokens", "snake_case", "strip_accents", "trim_unicode",
     "truncate",
 ]

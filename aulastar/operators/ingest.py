@@ -20,7 +20,7 @@ The flow (one lazy plan apart from the per-file header resolution):
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -32,6 +32,9 @@ from aulastar.config import (
 from aulastar.functions import is_digits, normalize_header, null_tokens, snake_case, trim_unicode
 
 
+ROW_SPAN = 1 << 40   # row numbers of one file stay below this
+
+
 def _alias_map(aliases: Mapping[str, str]) -> Column:
     kv = []
     for k, v in aliases.items():
@@ -47,8 +50,8 @@ def detect_header(grid: DataFrame, alias_keys: Sequence[str], max_rows: int = HE
 
     Output ``(source_file, header_row, score)`` (+ ``cells`` of that row with
     ``with_cells``, so the header can be mapped without a second pass).
-    Scores are a per-row expression; the per-file choice is an aggregate of
-    ``max(struct(score, -row, ...))``, which combines map-side.
+    Scores are a per-row expression; the per-file choice is a maximum, which
+    combines map-side.
     """
     keys = list(alias_keys)
     head = grid.filter(F.col("row_idx") < max_rows)
@@ -56,12 +59,16 @@ def detect_header(grid: DataFrame, alias_keys: Sequence[str], max_rows: int = HE
         F.transform("cells", lambda x: F.when(x.isNotNull() & normalize_header(x).isin(keys), 1).otherwise(0)),
         F.lit(0), lambda acc, x: acc + x)
     scored = head.select("source_file", "row_idx", "cells", hits.alias("score")).filter(F.col("score") > 0)
-    fields = [F.col("score"), (-F.col("row_idx")).alias("neg")] + ([F.col("cells")] if with_cells else [])
-    best = scored.groupBy("source_file").agg(F.max(F.struct(*fields)).alias("b"))
-    out = [F.col("source_file"), (-F.col("b.neg")).alias("header_row"), F.col("b.score").alias("score")]
-    if with_cells:
-        out.append(F.col("b.cells").alias("cells"))
-    return best.select(*out).filter(F.col("score") >= min_score)
+    # score and row in one number: the aggregate's buffer is a long (a hash
+    # aggregate), and no cells are shuffled
+    packed = F.col("score").cast("long") * F.lit(ROW_SPAN) + (F.lit(ROW_SPAN - 1) - F.col("row_idx"))
+    best = scored.groupBy("source_file").agg(F.max(packed).alias("b"))
+    best = best.select("source_file", (F.lit(ROW_SPAN - 1) - F.col("b") % ROW_SPAN).alias("header_row"),
+                       F.floor(F.col("b") / ROW_SPAN).cast("int").alias("score")).filter(F.col("score") >= min_score)
+    if not with_cells:
+        return best
+    cells = head.select("source_file", F.col("row_idx").alias("header_row"), "cells")
+    return best.join(cells, ["source_file", "header_row"]).select("source_file", "header_row", "score", "cells")
 
 
 def detected_header_cells(grid: DataFrame, alias_keys: Sequence[str], max_rows: int = HEADER_SCAN_ROWS,
@@ -75,9 +82,8 @@ def detected_header_cells(grid: DataFrame, alias_keys: Sequence[str], max_rows:
 def header_cells(grid: DataFrame, header_rows: DataFrame) -> DataFrame:
     """The header row of each file, one row per cell:
     ``(source_file, header_row, position, header)``.  ``header_rows`` has one
-    row per file (bounded by the number of input files), so it is broadcast.
-    """
-    h = grid.join(F.broadcast(header_rows.select("source_file", "header_row")), "source_file")
+    row per file."""
+    h = grid.join(header_rows.select("source_file", "header_row"), "source_file")
     h = h.filter(F.col("row_idx") == F.col("header_row"))
     return h.select("source_file", "header_row", F.posexplode("cells").alias("position", "header"))
 
@@ -121,6 +127,7 @@ class ResolvedHeaders:
     frame: DataFrame          # source_file, header_row, names array<string>, width int
     columns: list[str]        # union of canonical names, in first-seen position order
     fallback_files: list[str]  # files whose header row came from detection
+    errors: dict[str, str] = field(default_factory=dict)  # files without a usable header, and why
 
 
 class HeaderError(ValueError):
@@ -128,9 +135,14 @@ class HeaderError(ValueError):
 
 
 def resolve_headers(grid: DataFrame, declared: DataFrame, profile: IngestProfile,
-                    max_rows: int = HEADER_SCAN_ROWS, min_score: int = HEADER_MIN_SCORE) -> ResolvedHeaders:
+                    max_rows: int = HEADER_SCAN_ROWS, min_score: int = HEADER_MIN_SCORE,
+                    strict: bool = True) -> ResolvedHeaders:
     """Header row and canonical names per file (see module doc, step 1).
 
+    A file without a usable header fails alone: with ``strict`` a
+    ``HeaderError`` names all such files, otherwise they are left out and
+    listed in ``errors``.
+
     ``declared`` has ``(source_file, header_row)`` per file.  One pass over
     the head of every file (rows up to the scan window or the declared row):
     each row gets its canonical names and its alias score; one aggregate per
@@ -143,8 +155,8 @@ def resolve_headers(grid: DataFrame, declared: DataFrame, profile: IngestProfile
     declared_rows = declared.select("source_file", "header_row").collect()  # one row per file
     bound = max([max_rows - 1] + [r["header_row"] for r in declared_rows if r["header_row"] is not None])
     decl = declared.select("source_file", F.col("header_row").cast("bigint").alias("__decl"))
-    head = (grid.filter(F.col("row_idx") <= bound)
-            .join(F.broadcast(decl), "source_file"))  # one row per file: bounded by the input files
+    head = (grid.filter(F.col("row_idx") <= bound).withColumn("cells", number_repeats(F.col("cells")))
+            .join(decl, "source_file"))
     amap = _alias_map(profile.aliases)
     keyed = head.select("source_file", "row_idx", "__decl", "cells",
                         F.transform("cells", lambda x: normalize_header(x)).alias("keys"))
@@ -160,7 +172,7 @@ def resolve_headers(grid: DataFrame, declared: DataFrame, profile: IngestProfile
                      F.struct("score", (-F.col("row_idx")).alias("neg"), "row_idx", "names"))).alias("best"))
     got = {r["source_file"]: r for r in per_file.collect()}  # one row per file: header metadata only
     required = set(profile.required)
-    resolved, fallback, missing_msgs, dup_msgs = [], [], [], []
+    resolved, fallback, errors = [], [], {}
     for d in sorted(declared_rows, key=lambda r: r["source_file"]):
         f = d["source_file"]
         r = got.get(f)
@@ -172,26 +184,34 @@ def resolve_headers(grid: DataFrame, declared: DataFrame, profile: IngestProfile
                 row, cols = best["row_idx"], list(best["names"])
                 fallback.append(f)
         if cols is None:
-            missing_msgs.append(f"{f}: header row {row} not found in the file")
+            errors[f] = f"required columns missing for profile '{profile.name}': header row {row} not found in the file"
             continue
         miss = [c for c in profile.required if c not in set(cols)]
-        if miss:
-            missing_msgs.append(f"{f}: missing {miss}; available {sorted(set(cols))}")
         dups = sorted({n for n in cols if cols.count(n) > 1})
-        if dups:
-            dup_msgs.append(f"{f}: headers mapping to the same name {dups}")
-        resolved.append((f, int(row), cols, len(cols)))
-    if missing_msgs:
-        raise HeaderError(f"required columns missing for profile '{profile.name}':\n" + "\n".join(missing_msgs))
-    if dup_msgs:
-        raise HeaderError("\n".join(dup_msgs))
+        if miss:
+            errors[f] = (f"required columns missing for profile '{profile.name}': missing {miss}; "
+                         f"available {sorted(set(cols))}")
+        elif dups:
+            errors[f] = f"headers mapping to the same name {dups}"
+        else:
+            resolved.append((f, int(row), cols, len(cols)))
+    if errors and strict:
+        raise HeaderError("\n".join(f"{f}: {m}" for f, m in sorted(errors.items())))
     order: dict[str, tuple[int, int]] = {}
     for fi, (_, _, cols, _) in enumerate(resolved):
         for pos, c in enumerate(cols):
             order.setdefault(c, (fi, pos))
     columns = sorted(order, key=lambda n: order[n])
     frame = spark.createDataFrame(resolved, "source_file string, header_row bigint, names array<string>, width int")
-    return ResolvedHeaders(frame, columns, sorted(fallback))
+    return ResolvedHeaders(frame, columns, sorted(set(fallback) - set(errors)), errors)
+
+
+def number_repeats(cells: Column) -> Column:
+    """The cells of a header row, the n-th repeat of an identical text marked
+    ``.n``, as the tabular reader does: two equal headers are two columns."""
+    before = lambda x, i: F.size(F.filter(F.slice(cells, F.lit(1), i), lambda y: y == x))
+    return F.transform(cells, lambda x, i: F.when(x.isNull() | (before(x, i) == 0), x)
+                       .otherwise(F.concat(x, F.lit("."), before(x, i).cast("string"))))
 
 
 def clean_cells(cells: Column, tokens: Sequence[str] = NULL_TOKENS) -> Column:
@@ -211,13 +231,16 @@ def extract_rows(grid: DataFrame, resolved: ResolvedHeaders, key: str,
                  tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
     """Data rows with canonical columns, cleaned, plus ``_row_hash`` and
     ``_source_file`` (module doc, step 2)."""
-    g = grid.join(F.broadcast(resolved.frame), "source_file").filter(F.col("row_idx") > F.col("header_row"))
-    key_pos = F.array_position("names", key)
-    g = g.filter(is_digits(F.get(F.col("cells"), key_pos - 1)))
+    # where each output column stands in its file, worked out once per file
+    places = F.array(*[F.array_position("names", name).cast("int") - 1 for name in resolved.columns])
+    files = resolved.frame.select("source_file", "header_row", "width", places.alias("places"),
+                                  (F.array_position("names", key).cast("int") - 1).alias("key_place"))
+    g = grid.join(files, "source_file").filter(F.col("row_idx") > F.col("header_row"))
+    g = g.filter(is_digits(F.get(F.col("cells"), F.col("key_place"))))
     full = F.transform(F.sequence(F.lit(0), F.col("width") - 1), lambda i: F.get(F.col("cells"), i))
-    g = g.select("source_file", "names", clean_cells(full, tokens).alias("clean"))
+    g = g.select("source_file", "places", clean_cells(full, tokens).alias("clean"))
     hashed = grid_row_hash(F.col("clean"))
-    cols = [F.get(F.col("clean"), F.array_position("names", name) - 1).alias(name) for name in resolved.columns]
+    cols = [F.get(F.col("clean"), F.get(F.col("places"), i)).alias(name) for i, name in enumerate(resolved.columns)]
     return g.select(*cols, hashed.alias("_row_hash"), F.col("source_file").alias("_source_file"))
 
 
@@ -234,7 +257,7 @@ def add_lineage(df: DataFrame, run_id: str, source_url: Column | str | None = No
 
 
 def extract(grid: DataFrame, catalog: DataFrame, profile: IngestProfile, run_id: str,
-            ingested_at: Column | None = None) -> tuple[DataFrame, ResolvedHeaders]:
+            ingested_at: Column | None = None, strict: bool = True) -> tuple[DataFrame, ResolvedHeaders]:
     """Catalog -> headers -> rows -> lineage for one profile.
 
     ``catalog`` has ``filename``, ``header_row``, ``url`` and ``perfil``;
@@ -243,10 +266,10 @@ def extract(grid: DataFrame, catalog: DataFrame, profile: IngestProfile, run_id:
     """
     cat = (catalog.filter(F.col("perfil") == profile.name)
            .select(F.col("filename").alias("source_file"), "header_row", "url"))
-    grid = grid.join(F.broadcast(cat.select("source_file")), "source_file", "left_semi")
-    resolved = resolve_headers(grid, cat.select("source_file", "header_row"), profile)
+    grid = grid.join(cat.select("source_file"), "source_file", "left_semi")
+    resolved = resolve_headers(grid, cat.select("source_file", "header_row"), profile, strict=strict)
     rows = extract_rows(grid, resolved, profile.key)
-    rows = rows.join(F.broadcast(cat.select(F.col("source_file").alias("_source_file"), "url")), "_source_file")
+    rows = rows.join(cat.select(F.col("source_file").alias("_source_file"), "url"), "_source_file")
     out = add_lineage(rows, run_id, F.col("url"), ingested_at).drop("url")
     lineage = ["_ingested_at", "_source_url", "_source_file", "_row_hash", "_dag_run_id"]
     return out.select(*resolved.columns, *lineage), resolved

@@ -203,9 +203,3 @@ def b15_member_ratios(fact: DataFrame, dim: DataFrame, cfg: StarConfig = DOMAIN)
             .select("nombre_ies", "anio", c.numerator.total, c.denominator.total, c.ratio)
             .orderBy(F.col("nombre_ies").asc_nulls_last(), F.col("anio").asc_nulls_last()))
 
-
-MARTS = {
-    "b1": b1_all_ratios, "b2": b2_best, "b3": b3_worst, "b4": b4_member_vs_rest, "b5": b5_member_evolution,
-    "b6": b6_first_vs_last, "b7": b7_by_sector, "b8": b8_largest, "b9": b9_kpis, "b10": b10_outliers,
-    "b15": b15_member_ratios,
-}

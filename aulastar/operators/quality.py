@@ -16,7 +16,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from aulastar.config import DOMAIN, StarConfig
@@ -163,9 +163,10 @@ def run_suite(checks: Sequence[Check], store_root: str | None = None, parallelis
     Checks are independent Spark jobs; like a test runner with worker
     threads, up to ``parallelism`` of them are submitted at once from driver
     threads so that many small jobs share the cluster.  Only the counts (one
-    number per check) come back to the driver.  With ``store_root``, failing
-    rows of every failing check are written to
-    ``{store_root}/quality/{check_name}`` (replaced per run).
+    number per check) come back to the driver.  With ``store_root``, the
+    failing rows of every check are written to
+    ``{store_root}/quality/{check_name}``, replaced on each run - with no rows
+    where the check passes - and counted as they are written.
     """
     from concurrent.futures import ThreadPoolExecutor
 
@@ -173,7 +174,7 @@ def run_suite(checks: Sequence[Check], store_root: str | None = None, parallelis
         raise ValueError("no checks to run")
     spark = checks[0].failing().sparkSession
 
-    groups, rest = _fuse(checks)
+    groups, rest = ([], list(enumerate(checks))) if store_root else _fuse(checks)
     counts: dict[int, int] = {}
 
     errors: dict[int, str] = {}
@@ -192,7 +193,13 @@ def run_suite(checks: Sequence[Check], store_root: str | None = None, parallelis
     def single(item) -> None:
         i, ch = item
         try:
-            counts[i] = ch.failing().count()
+            if store_root:
+                seen = Observation()
+                (ch.failing().observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
+                 .option("partitionOverwriteMode", "static").parquet(f"{store_root.rstrip('/')}/quality/{ch.name}"))
+                counts[i] = int(seen.get["n"])
+            else:
+                counts[i] = ch.failing().count()
         except Exception as e:  # noqa: BLE001 - reported as status "error", the suite goes on
             counts[i] = None
             errors[i] = str(e)
@@ -202,11 +209,6 @@ def run_suite(checks: Sequence[Check], store_root: str | None = None, parallelis
         for f in futures:
             f.result()
     rows = [(ch.name, ch.table, ch.severity, counts[i]) for i, ch in enumerate(checks)]
-    if store_root:
-        failing = {r[0] for r in rows if r[3]}
-        for ch in checks:
-            if ch.name in failing:
-                ch.failing().write.mode("overwrite").parquet(f"{store_root.rstrip('/')}/quality/{ch.name}")
     return _status(spark.createDataFrame(rows, SUMMARY_SCHEMA))
 
 

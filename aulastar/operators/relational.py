@@ -7,7 +7,9 @@
 * ``semi_filter`` (J2): referential filter with ``left_semi``.
 * ``share_of_total`` (W3): ``x / SUM(x) OVER ()`` without moving every row
   into one partition: the total is a scalar subquery.
-* ``checked_broadcast``: broadcast hint only behind a row-count check.
+
+No join carries a broadcast hint: the planner and AQE broadcast a side whose
+bytes are known to be small.
 """
 
 from __future__ import annotations
@@ -19,22 +21,6 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Row bound under which a lookup side is hinted as broadcast; above it the
-# planner (and AQE, with runtime sizes) chooses the join strategy.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint ``df`` as broadcast only if it has at most ``max_rows`` rows.
-
-    The check is a ``limit(max_rows + 1).count()``, i.e. it stops reading
-    once the bound is exceeded; use it on lookup inputs (seed files, small
-    catalogs), not on expensive derived frames.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def latest_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[Column]) -> DataFrame:
     """First row per ``key`` under ``order`` (a total order makes it
     deterministic).  Returns ``df``'s columns."""

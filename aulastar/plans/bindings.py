@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from aulastar.config import MeasureSpec, StarConfig
 from aulastar.functions import row_hash
-from aulastar.session import BUILD_LOCK, path_exists, shared_path
+from aulastar.session import BUILD_LOCK, path_exists, remove_at_exit, shared_path
 
 TPCH = StarConfig(
     place_pattern="NATION_1%",
@@ -67,6 +67,10 @@ BRONZE_DATA_COLUMNS = (
 )
 
 
+# Customer keys divisible by these have such measures.
+NEGATIVE_NUMERATOR, ZERO_NUMERATOR, ZERO_DENOMINATOR = 17, 13, 11
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -105,24 +109,31 @@ def _lineage(profile: str) -> list:
 
 
 def surrogate_enrolment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Enrolment raw rows: one per line item (all data columns text)."""
+    """Enrolment raw rows: one per line item (all data columns text).  By rule
+    on the customer key, some entities have only negative measures (dropped by
+    M2, so their teacher rows are orphans) and some only zeros."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", F.col("l_linestatus").alias("tipo"))
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
                                               "o_orderpriority", "o_totalprice")
     rows = li.join(o, li.l_orderkey == o.o_orderkey).join(_entity_side(spark, sf_dir),
                                                            F.col("o_custkey") == F.col("c_custkey"))
-    data = _text_columns("matriculados") + [F.col("l_quantity").cast("int").cast("string").alias("matriculados")]
+    measure = (F.when(F.col("c_custkey") % NEGATIVE_NUMERATOR == 0, F.lit("-5"))
+               .when(F.col("c_custkey") % ZERO_NUMERATOR == 0, F.lit("0"))
+               .otherwise(F.col("l_quantity").cast("int").cast("string")))
+    data = _text_columns("matriculados") + [measure.alias("matriculados")]
     return rows.select(*data, "o_orderdate").select(*BRONZE_DATA_COLUMNS, "matriculados", *_lineage("matriculados"))
 
 
 def surrogate_teachers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Teacher raw rows: one per order that is not open, measure '1'."""
+    """Teacher raw rows: one per order that is not open, measure '1', or '0'
+    for some entities (a zero denominator)."""
     o = (table(spark, sf_dir, "orders")
          .select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority", "o_totalprice")
          .filter(F.col("o_orderstatus") != "O")
          .withColumn("tipo", F.lit("F")))
     rows = o.join(_entity_side(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
-    data = _text_columns("docentes") + [F.lit("1").alias("docentes")]
+    measure = F.when(F.col("c_custkey") % ZERO_DENOMINATOR == 0, F.lit("0")).otherwise(F.lit("1"))
+    data = _text_columns("docentes") + [measure.alias("docentes")]
     return rows.select(*data, "o_orderdate").select(*BRONZE_DATA_COLUMNS, "docentes", *_lineage("docentes"))
 
 
@@ -192,5 +203,6 @@ def bronze_tables(spark: SparkSession, sf_dir: str, materialize: bool = True) ->
             if not path_exists(spark, f"{path}/_SUCCESS"):
                 (build(spark, sf_dir).write.mode("overwrite").option("partitionOverwriteMode", "static")
                  .partitionBy("_source_file").parquet(path))
+                remove_at_exit(spark, path)
             out.append(spark.read.parquet(path))
     return out[0], out[1]

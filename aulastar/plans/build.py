@@ -27,7 +27,7 @@ class BuildResult:
 def build_all(numer_raw: DataFrame, denom_raw: DataFrame, seed: DataFrame, root: str,
               cfg: StarConfig = DOMAIN, as_of: Column | None = None,
               seed_columns=("codigo_snies", "nombre_oficial", "universidad_sue"),
-              bronze_names=("matriculados_raw", "docentes_raw"), store_failures: bool = False) -> BuildResult:
+              bronze_names=("matriculados_raw", "docentes_raw"), quality_root: str | None = None) -> BuildResult:
     lazy = build_star(numer_raw, denom_raw, seed, cfg, as_of)
     # Silver feeds three Gold tables and 20 checks: compute it once per build
     with persisted(lazy.stg_entity, lazy.stg_numerator, lazy.stg_denominator) as (stg, m, d):
@@ -35,5 +35,5 @@ def build_all(numer_raw: DataFrame, denom_raw: DataFrame, seed: DataFrame, root:
         star = materialize_gold(silver, root, cfg, as_of)
         checks = quality.declared_checks(dict(zip(bronze_names, (numer_raw, denom_raw))), stg, m, d, seed,
                                          star.dim_entity, star.dim_time, star.fact, cfg, seed_columns)
-        summary = quality.run_suite(checks, root if store_failures else None)  # runs while Silver is held
+        summary = quality.run_suite(checks, quality_root)  # runs while Silver is held
     return BuildResult(star, summary)

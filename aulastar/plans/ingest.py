@@ -7,15 +7,15 @@ decides which files belong to the profile.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aulastar.config import PROFILES, IngestProfile
 from aulastar.operators.ingest import ResolvedHeaders, extract, mapped_report, map_columns, header_cells
-from aulastar.sinks.bronze import LoadResult, load_to_bronze, table_path
+from aulastar.sinks.bronze import EmptyLoadError, LoadResult, load_to_bronze, log_events, table_path
 
 
 @dataclass
@@ -30,13 +30,28 @@ def ingest_profile(grid: DataFrame, catalog: DataFrame, profile: IngestProfile,
                    ingested_at: Column | None = None) -> ProfileLoad:
     """Extract every catalog file of ``profile`` from the grid and replace
     those files in ``{root}/bronze/{profile.table}``; log under
-    ``{root}/bronze/ingestion_log``."""
-    rows, resolved = extract(grid, catalog, profile, run_id, ingested_at)
+    ``{root}/bronze/ingestion_log``.  A file without a usable header or
+    without rows fails alone: it is logged ``failed`` and named in ``error``,
+    the others are loaded."""
+    rows, resolved = extract(grid, catalog, profile, run_id, ingested_at, strict=False)
     files = [(r["filename"], r["url"], r["anio"]) for r in
              catalog.filter(F.col("perfil") == profile.name).select("filename", "url", "anio").collect()]  # catalog
-    res = load_to_bronze(rows, table_path(root, "bronze", profile.table), log_path(root), profile.name, run_id,
-                         files=files)
-    return ProfileLoad(profile.name, res, resolved)
+    bad = [f for f in files if f[0] in resolved.errors]
+    log_events(grid.sparkSession, log_path(root), [
+        dict(log_id=str(uuid.uuid4()), run_id=run_id, perfil=profile.name, anio=y, source_url=u, source_file=f,
+             status="failed", error=resolved.errors[f]) for f, u, y in bad])
+    out = ProfileLoad(profile.name, [], resolved)
+    problems = [f"{f}: {m}" for f, m in sorted(resolved.errors.items())]
+    good = [f for f in files if f[0] not in resolved.errors]
+    if good:
+        try:
+            out.results = load_to_bronze(rows, table_path(root, "bronze", profile.table), log_path(root), profile.name,
+                                         run_id, files=good)
+        except EmptyLoadError as e:  # the files with rows are loaded
+            problems.append(str(e))
+            out.results = e.loaded
+    out.error = "\n".join(problems) or None
+    return out
 
 
 def log_path(root: str) -> str:
@@ -52,19 +67,13 @@ def backfill(grid: DataFrame, catalog: DataFrame, root: str, run_id: str,
     profiles = PROFILES if profiles is None else profiles
     wanted = {r["perfil"] for r in catalog.select("perfil").distinct().collect()}  # catalog-sized
     out = []
-    # the grid is read for header resolution, detection and extraction of
-    # every profile: scan the sources once for the whole backfill
-    grid = grid.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        for name in sorted(wanted):
-            if name not in profiles:
-                continue
-            try:
-                out.append(ingest_profile(grid, catalog, profiles[name], root, run_id, ingested_at))
-            except Exception as e:  # noqa: BLE001 - summary reports it
-                out.append(ProfileLoad(name, [], None, str(e)))  # type: ignore[arg-type]
-    finally:
-        grid.unpersist()
+    for name in sorted(wanted):
+        if name not in profiles:
+            continue
+        try:
+            out.append(ingest_profile(grid, catalog, profiles[name], root, run_id, ingested_at))
+        except Exception as e:  # noqa: BLE001 - summary reports it
+            out.append(ProfileLoad(name, [], None, str(e)))  # type: ignore[arg-type]
     return out
 
 

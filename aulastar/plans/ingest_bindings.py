@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from aulastar.config import IngestProfile
 from aulastar.plans.bindings import table
-from aulastar.sources.grid import spread_if_small, text_grid
+from aulastar.sources.grid import spread, text_grid
 
 # Fixed values of the documents binding: word "headers" and their names.
 WORD_ALIASES = {
@@ -56,9 +56,9 @@ WRONG_HEADER_YEAR = 1999
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents table, spread over the cores when its files are small
-    (the text work per row is CPU-heavy)."""
-    return spread_if_small(table(spark, sf_dir, "documents"))
+    """The documents table, dealt over the cores where its scan has fewer
+    partitions (the text work per row is CPU-heavy)."""
+    return spread(table(spark, sf_dir, "documents"))
 
 
 def documents_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,9 +103,9 @@ def orders_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
                        .otherwise(F.array(*[F.lit(h) for h in HEADER_ODD])).alias("cells"))
     footer = F.struct((F.col("last_key") + 11).alias("row_idx"),
                       F.array(F.lit("Total"), null, null, null, null, null, F.col("total").cast("string")).alias("cells"))
-    # three rows per year (a bounded, tiny branch): one partition
+    # three rows per year
     meta = (per_year.select(f.alias("source_file"), F.explode(F.array(title, header, footer)).alias("m"))
-            .select("source_file", "m.row_idx", "m.cells").coalesce(1))
+            .select("source_file", "m.row_idx", "m.cells"))
     return data.unionByName(meta)
 
 

@@ -6,9 +6,9 @@
 * ``backfill_all``: every catalog year x profile (S18) in one read and one
   commit per profile, then the run summary (S19); a failing profile does not
   stop the others.
-* ``transform``: seed (S16) -> Silver -> Gold (K12) -> the 49 checks (D10),
-  which always run in full and fail the job at the end (D11) -> Gold
-  published as catalog tables (K16).
+* ``transform``: seed (S16) -> Silver -> Gold (K12) in a folder of the build's
+  own -> the 49 checks (D10), which always run in full (D11) -> if they pass,
+  Gold published as catalog tables (K16).
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from aulastar.config import DOMAIN, PROFILES, SourceEntry, StarConfig, default_catalog
 from aulastar.operators import quality
-from aulastar.operators.relational import checked_broadcast, persisted
+from aulastar.operators.relational import persisted
 from aulastar.plans.build import BuildResult, build_all
 from aulastar.plans.ingest import ProfileLoad, backfill, ingest_profile, log_path
 from aulastar.session import path_exists
@@ -54,14 +54,14 @@ def ingest_year(spark: SparkSession, landing: str, root: str, anio: int, run_id:
     y = validate_year(anio, entries)
     year_entries = [e for e in entries if e.anio == y]
     cat = catalog_frame(spark, year_entries)
-    # both profiles' files are read once for header resolution and extraction
     loads, errors = [], {}
-    with persisted(read_csv_grid(spark, _files(landing, year_entries))) as (grid,):
-        for e in sorted(year_entries, key=lambda e: e.perfil):  # profiles are independent loads
-            try:
-                loads.append(ingest_profile(grid, cat, PROFILES[e.perfil], root, run_id))
-            except Exception as exc:  # noqa: BLE001 - the other profile still loads; reported below
-                errors[e.perfil] = str(exc)
+    grid = read_csv_grid(spark, _files(landing, year_entries))
+    for e in sorted(year_entries, key=lambda e: e.perfil):  # profiles are independent loads
+        try:
+            loads.append(ingest_profile(grid, cat, PROFILES[e.perfil], root, run_id))
+        except Exception as exc:  # noqa: BLE001 - the other profile still loads; reported below
+            errors[e.perfil] = str(exc)
+    errors |= {pl.profile: pl.error for pl in loads if pl.error}
     if errors:
         raise LoadValidationError(f"ingest of {y} failed for {sorted(errors)}: {errors}")
     checks = []
@@ -96,15 +96,16 @@ def backfill_all(spark: SparkSession, landing: str, root: str, run_id: str,
 def transform(spark: SparkSession, root: str, seed_path: str, cfg: StarConfig = DOMAIN,
               fail_on_checks: bool = True, publish_gold: bool = True) -> BuildResult:
     lay = Layout(root)
-    m = sink.read_bronze(spark, sink.table_path(root, "bronze", PROFILES["matriculados"].table))
-    d = sink.read_bronze(spark, sink.table_path(root, "bronze", PROFILES["docentes"].table))
-    if m is None or d is None:
+    tables = [PROFILES[p].table for p in ("matriculados", "docentes")]
+    if not all(path_exists(spark, lay.path(lay.bronze, t)) for t in tables):
         raise FileNotFoundError("both Bronze tables must be loaded before the transform")
+    m, d = (lay.source(spark, t) for t in tables)
     # seed --full-refresh: replace the stored seed table, then read it back
-    seed = checked_broadcast(load_seed(spark, seed_path, lay.path(lay.silver, "ies_sue")))
-    res = build_all(m, d, seed, root, cfg, store_failures=True)
-    if publish_gold:
-        publish(spark, res.star, lay)
+    seed = load_seed(spark, seed_path, lay.path(lay.silver, "ies_sue"))
+    stage = f"{root.rstrip('/')}/builds/{uuid.uuid4().hex}"   # this build's own folder
+    res = build_all(m, d, seed, stage, cfg, quality_root=root)
     if fail_on_checks:
         quality.assert_suite(res.summary)
+    if publish_gold:
+        publish(spark, stage, lay)
     return res

@@ -8,7 +8,7 @@ DECIMAL division into DOUBLE.  Results are DOUBLE (cents / 100.0).
 
 from __future__ import annotations
 
-from aulastar.plans.bindings import TPCH, TPCH_AS_OF
+from aulastar.plans.bindings import NEGATIVE_NUMERATOR, TPCH, TPCH_AS_OF, ZERO_DENOMINATOR, ZERO_NUMERATOR
 
 C = TPCH
 
@@ -51,7 +51,8 @@ m_raw AS (
          CASE WHEN o_totalprice > 300000 THEN 'Si' END AS ies_acreditada,
          CAST(year(o_orderdate) AS VARCHAR) AS anio,
          CASE WHEN month(o_orderdate) <= 6 THEN '1' ELSE '2' END AS semestre,
-         CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS matriculados,
+         CASE WHEN c_custkey % {NEGATIVE_NUMERATOR} = 0 THEN '-5' WHEN c_custkey % {ZERO_NUMERATOR} = 0 THEN '0'
+              ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END AS matriculados,
          o_orderdate AS _ingested_at
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN ent ON o_custkey = c_custkey
 ),
@@ -62,7 +63,7 @@ d_raw AS (
          CASE WHEN o_totalprice > 300000 THEN 'Si' END AS ies_acreditada,
          CAST(year(o_orderdate) AS VARCHAR) AS anio,
          CASE WHEN month(o_orderdate) <= 6 THEN '1' ELSE '2' END AS semestre,
-         '1' AS docentes,
+         CASE WHEN c_custkey % {ZERO_DENOMINATOR} = 0 THEN '0' ELSE '1' END AS docentes,
          o_orderdate AS _ingested_at
   FROM orders JOIN ent ON o_custkey = c_custkey
   WHERE o_orderstatus <> 'O'
@@ -407,7 +408,7 @@ ORACLE.update({
 from aulastar.plans.ingest_bindings import (  # noqa: E402
     DOCS_PROFILE, HEADER_EVEN, HEADER_ODD, WORD_ALIASES, WRONG_HEADER_YEAR,
 )
-from aulastar.plans.registry_ingest import RELOAD_YEAR, VALIDATE_YEAR  # noqa: E402
+from aulastar.plans.registry_ingest import RELOAD_YEAR, SPOILT_YEAR, VALIDATE_YEAR  # noqa: E402
 
 
 def _trim_ws(x: str) -> str:
@@ -599,3 +600,32 @@ SELECT 'matriculados' AS perfil, CAST(y AS INTEGER) AS anio,
        CAST(CASE WHEN y = {RELOAD_YEAR} THEN 2 ELSE 1 END AS BIGINT) AS cargas
 FROM ext2 GROUP BY y"""),
 })
+
+_SPOILT = f"y = {SPOILT_YEAR}"
+ORACLE.update({
+    "s18_backfill_with_bad_file": _orders(f"""
+SELECT _source_file AS source_file, CASE WHEN {_SPOILT} THEN 'failed' ELSE 'success' END AS status,
+       CASE WHEN {_SPOILT} THEN NULL ELSE COUNT(*) END AS rows_ingested,
+       CASE WHEN {_SPOILT} THEN 'required columns missing' END AS motivo,
+       CASE WHEN {_SPOILT} THEN 0 ELSE COUNT(*) END AS filas_bronze
+FROM ext2 GROUP BY _source_file, y"""),
+    "s19_summary_with_bad_file": _orders(f"""
+SELECT COUNT(DISTINCT y) FILTER (WHERE NOT {_SPOILT}) AS tareas_exitosas, COUNT(DISTINCT y) FILTER (WHERE {_SPOILT}) AS tareas_fallidas,
+       COUNT(*) FILTER (WHERE NOT {_SPOILT}) AS filas_totales FROM ext2"""),
+    "k10_validate_outcomes": _orders(f"""
+SELECT 1890 AS anio, CAST(0 AS BIGINT) AS total, CAST(0 AS BIGINT) AS en_lugar, 'fail' AS status
+UNION ALL
+SELECT {VALIDATE_YEAR}, COUNT(*), 0, 'warn' FROM final WHERE anio = '{VALIDATE_YEAR}'"""),
+    "s4_csv_scan": """
+SELECT anio, row_number() OVER (PARTITION BY anio ORDER BY o_orderkey) - 1 AS row_idx, n_cells, token, texto, ultima FROM (
+  SELECT CAST(year(o_orderdate) AS INTEGER) AS anio, o_orderkey,
+         CASE WHEN o_orderkey % 2 = 1 THEN 5 ELSE 3 END AS n_cells,
+         CASE WHEN o_orderkey % 6 < 4 THEN NULL ELSE o_orderpriority END AS token,
+         'a, "' || o_orderstatus || '"' || chr(10) || o_orderpriority AS texto,
+         CASE WHEN o_orderkey % 2 = 1 THEN 'fin' ELSE 'a, "' || o_orderstatus || '"' || chr(10) || o_orderpriority END AS ultima
+  FROM orders) t""",
+    "s16_seed_scan": "SELECT CAST(s_suppkey AS INTEGER) AS codigo_snies, s_name AS nombre_oficial, CAST(s_nationkey AS VARCHAR) AS departamento_principal, "
+                     "CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE s_name END AS universidad_sue FROM supplier",
+    "k16_gold_table": ORACLE["m6_fact_ratio"],
+    "k11_silver_view": ORACLE["m1_stg_entity"],
+})

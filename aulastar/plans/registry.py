@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aulastar.operators import gold, marts, quality
-from aulastar.operators.relational import checked_broadcast
 from aulastar.plans.bindings import TPCH, TPCH_AS_OF, bronze_tables, fingerprint, surrogate_seed
 from aulastar.plans.registry_ingest import ingest_registry
 from aulastar.plans.star import GOLD_TABLES, Star, build_star, materialize_all, read_all
-from aulastar.session import BUILD_LOCK, path_exists, shared_path
+from aulastar.session import BUILD_LOCK, path_exists, remove_at_exit, shared_path
+from aulastar.sources.tables import Layout, publish, register_views
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,7 +34,7 @@ def decimals_to_double(df: DataFrame) -> DataFrame:
 def tpch_star(spark: SparkSession, sf_dir: str) -> Star:
     """The star over the stored surrogate Bronze, lazily (Silver as views)."""
     m_raw, d_raw = bronze_tables(spark, sf_dir)
-    seed = checked_broadcast(surrogate_seed(spark, sf_dir))
+    seed = surrogate_seed(spark, sf_dir)
     return build_star(m_raw, d_raw, seed, TPCH)
 
 
@@ -43,11 +43,13 @@ def tpch_gold(spark: SparkSession, sf_dir: str) -> Star:
     per input fingerprint under the shared folder.  Marts and audits read
     these, as BI queries read Gold tables rather than recomputing Silver;
     the M1-M6 queries themselves compute the models from Bronze."""
-    seed = checked_broadcast(surrogate_seed(spark, sf_dir))
+    seed = surrogate_seed(spark, sf_dir)
     root = shared_path(spark, "aulastar-star", spark.sparkContext.applicationId, fingerprint(sf_dir, spark))
     with BUILD_LOCK:
         if not path_exists(spark, f"{root}/gold/{GOLD_TABLES[-1]}/_SUCCESS"):
-            return materialize_all(tpch_star(spark, sf_dir), root, TPCH)
+            star = materialize_all(tpch_star(spark, sf_dir), root, TPCH)
+            remove_at_exit(spark, root)
+            return star
         return read_all(spark, seed, root)
 
 
@@ -83,6 +85,22 @@ def _m6(spark, d):
                               .drop("fecha_calculo"))
 
 
+def _k16(spark, d):
+    """The fact through the catalog, as a BI tool reads it."""
+    tpch_gold(spark, d)
+    mark = fingerprint(d, spark)
+    root = shared_path(spark, "aulastar-star", spark.sparkContext.applicationId, mark)
+    full = publish(spark, root, Layout(root, gold=f"gold_{mark}"))[-1]
+    return decimals_to_double(spark.table(full).drop("fecha_calculo"))
+
+
+def _k11(spark, d):
+    """Silver through its view, recomputed on read."""
+    prefix = f"v_{fingerprint(d, spark)}_"
+    register_views(spark, tpch_star(spark, d), prefix)
+    return spark.table(f"{prefix}stg_ies")
+
+
 def _j9(spark, d):
     s = tpch_gold(spark, d)
     return gold.orphans(s.stg_numerator, s.stg_denominator, TPCH)
@@ -184,6 +202,8 @@ def registry() -> dict[str, Query]:
         "m5_dim_time": _m5,
         "m6_fact_ratio": _m6,
         "j9_orphans": _j9,
+        "k11_silver_view": _k11,
+        "k16_gold_table": _k16,
         "b1_all_ratios": _mart(marts.b1_all_ratios),
         "b2_best": _mart(marts.b2_best),
         "b3_worst": _mart(marts.b3_worst),

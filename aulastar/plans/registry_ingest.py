@@ -19,14 +19,17 @@ from aulastar.config import PROFILES
 from aulastar.functions import normalize_header, safe_int
 from aulastar.operators import ingest
 from aulastar.operators.report import report_counts
-from aulastar.plans.bindings import TPCH, bronze_tables, table
+from aulastar.plans.bindings import TPCH, bronze_tables, fingerprint, table
 from aulastar.plans.ingest import backfill, log_path
 from aulastar.plans.ingest_bindings import DOCS_PROFILE, documents, documents_grid, orders_catalog, orders_grid
-from aulastar.session import BUILD_LOCK, shared_path
+from aulastar.session import BUILD_LOCK, remove_at_exit, shared_path
 from aulastar.sinks import bronze as sink
 from aulastar.sources.catalog import available_years, workload
+from aulastar.sources.grid import read_csv_grid
+from aulastar.sources.seed import read_seed
 
 RELOAD_YEAR = 1997
+SPOILT_YEAR = 1996
 VALIDATE_YEAR = 1997
 
 
@@ -107,21 +110,28 @@ def _s2(spark, d):
     return available_years(orders_catalog(spark, d))
 
 
-_SCENARIOS: dict[tuple[str, str], str] = {}
+_SCENARIOS: dict[tuple, str] = {}
 
 
-def load_scenario(spark: SparkSession, d: str) -> str:
-    """Run the load scenario once per (application, input folder); return
-    its root folder."""
-    key = (spark.sparkContext.applicationId, d)
+def _once(spark: SparkSession, d: str, run) -> str:
+    """The folder that ``run(spark, d, root)`` filled, made once per
+    (application, input tables as they are now)."""
+    key = (run.__name__, spark.sparkContext.applicationId, d, fingerprint(d, spark))
     with BUILD_LOCK:
         if key not in _SCENARIOS:
-            _SCENARIOS[key] = _run_scenario(spark, d)
+            root = shared_path(spark, "aulastar-scenario", uuid.uuid4().hex)
+            run(spark, d, root)
+            remove_at_exit(spark, root)
+            _SCENARIOS[key] = root
         return _SCENARIOS[key]
 
 
-def _run_scenario(spark: SparkSession, d: str) -> str:
-    root = shared_path(spark, "aulastar-scenario", uuid.uuid4().hex)
+def load_scenario(spark: SparkSession, d: str) -> str:
+    """Run the load scenario once; return its root folder."""
+    return _once(spark, d, _run_scenario)
+
+
+def _run_scenario(spark: SparkSession, d: str, root: str) -> None:
     grid, cat = orders_grid(spark, d), orders_catalog(spark, d).cache()  # catalog: one row per year
     prof = PROFILES["matriculados"]
     loads = backfill(grid, cat, root, "run-1")
@@ -135,7 +145,64 @@ def _run_scenario(spark: SparkSession, d: str) -> str:
     sink.load_to_bronze(smaller, sink.table_path(root, "bronze", prof.table), log_path(root), prof.name, "run-2",
                         anio=RELOAD_YEAR, files=[(f, f"tpch://orders/{RELOAD_YEAR}")])
     cat.unpersist()
-    return root
+
+
+def _run_spoilt(spark: SparkSession, d: str, root: str) -> None:
+    """The backfill with one year's header spoilt: that file fails alone."""
+    bad = (F.col("source_file") == f"pedidos_{SPOILT_YEAR}.csv") & (F.col("row_idx") < 10)
+    grid = orders_grid(spark, d).withColumn("cells", F.when(bad, F.transform("cells", lambda x: F.lit("?"))).otherwise(F.col("cells")))
+    backfill(grid, orders_catalog(spark, d), root, "run-1")
+
+
+def _s18_spoilt(spark, d):
+    root = _once(spark, d, _run_spoilt)
+    status = sink.ingestion_status(spark.read.parquet(log_path(root)))
+    stored = sink.read_bronze(spark, sink.table_path(root, "bronze", PROFILES["matriculados"].table))
+    rows = stored.groupBy(F.col("_source_file").alias("source_file")).agg(F.count(F.lit(1)).alias("n"))
+    return status.join(rows, "source_file", "left").select(
+        "source_file", "status", "rows_ingested", F.substring_index("error_message", " for ", 1).alias("motivo"),
+        F.coalesce("n", F.lit(0).cast("bigint")).alias("filas_bronze"))
+
+
+def _s19_spoilt(spark, d):
+    return sink.backfill_summary(sink.ingestion_status(spark.read.parquet(log_path(_once(spark, d, _run_spoilt)))))
+
+
+def _write_exports(spark: SparkSession, d: str, root: str) -> None:
+    """The orders as delimited exports, one folder and file per year: missing
+    tokens, empty cells, quotes and line breaks in cells, and records of two
+    widths (the longer has an empty cell before its last)."""
+    o = table(spark, d, "orders")
+    token = F.element_at(F.array(*[F.lit(t) for t in ("N/A", "NULL", "", "#N/A")], F.col("o_orderpriority"), F.col("o_orderpriority")),
+                         (F.col("o_orderkey") % 6 + 1).cast("int"))
+    text = F.concat(F.lit('"a, ""'), F.col("o_orderstatus"), F.lit('""\n'), F.col("o_orderpriority"), F.lit('"'))
+    line = F.concat_ws(",", F.col("o_orderkey").cast("string"), token, text, F.when(F.col("o_orderkey") % 2 == 1, F.lit(",fin")))
+    rows = o.select(F.year("o_orderdate").alias("anio"), "o_orderkey", line.alias("value"))
+    (rows.repartition("anio").sortWithinPartitions("anio", "o_orderkey").select("anio", "value")
+     .write.partitionBy("anio").text(f"{root}/orders"))
+    s = table(spark, d, "supplier")
+    phone = F.when(F.col("s_suppkey") % 3 != 0, F.col("s_name"))
+    (s.select(F.col("s_suppkey").alias("codigo_snies"), F.col("s_name").alias("nombre_oficial"), F.col("s_nationkey").cast("string").alias("departamento_principal"),
+              phone.alias("universidad_sue")).write.option("header", "true").csv(f"{root}/seed"))
+
+
+def _s4_csv(spark, d):
+    g = read_csv_grid(spark, f"{_once(spark, d, _write_exports)}/orders/*")
+    # each year's folder holds one file; its year is that of the order in the first cell
+    o = table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("k"), F.year("o_orderdate").alias("anio"))
+    return g.join(o, F.get("cells", 0) == F.col("k")).select(
+        "anio", "row_idx", F.size("cells").alias("n_cells"), F.get("cells", 1).alias("token"), F.get("cells", 2).alias("texto"),
+        F.element_at("cells", -1).alias("ultima"))
+
+
+def _s16(spark, d):
+    return read_seed(spark, f"{_once(spark, d, _write_exports)}/seed")
+
+
+def _k10_outcomes(spark, d):
+    b = _scenario_bronze(spark, d)
+    return (sink.validate_load(b, 1890, "departamento_domicilio_ies", TPCH.place_pattern)
+            .unionByName(sink.validate_load(b, VALIDATE_YEAR, "departamento_domicilio_ies", "NOWHERE%", files=[f"pedidos_{VALIDATE_YEAR}.csv"])))
 
 
 def _scenario_bronze(spark, d) -> DataFrame:
@@ -212,4 +279,9 @@ def ingest_registry() -> dict:
         "k9_log_status": _k9,
         "k10_validate_load": _k10,
         "k15_duplicate_audit": _k15,
+        "s4_csv_scan": _s4_csv,
+        "s16_seed_scan": _s16,
+        "s18_backfill_with_bad_file": _s18_spoilt,
+        "s19_summary_with_bad_file": _s19_spoilt,
+        "k10_validate_outcomes": _k10_outcomes,
     }

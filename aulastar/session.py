@@ -67,6 +67,14 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([root.rstrip("/"), *parts])
 
 
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the file system of ``path`` delete it when the session's JVM ends
+    (stored intermediate tables are worth nothing to a later session)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists, through the Hadoop FileSystem of the path's
     scheme (works for local, HDFS and object-store paths alike)."""

@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aulastar.config import LINEAGE_COLUMNS, LOG_MESSAGE_LIMIT
-from aulastar.functions import matches_place
+from aulastar.config import LINEAGE_COLUMNS
+from aulastar.functions import matches_place, truncate
 from aulastar.session import path_exists
 
 LOG_SCHEMA = T.StructType([
@@ -91,9 +91,9 @@ def log_events(spark: SparkSession, log_path: str, events: Sequence[dict]) -> No
     for e in events:
         err = e.get("error")
         rows.append((e["log_id"], e["run_id"], e["perfil"], e.get("anio"), e.get("source_url"), e["source_file"],
-                     e.get("rows"), e["status"], None if err is None else err[:LOG_MESSAGE_LIMIT], None))
+                     e.get("rows"), e["status"], err, None))
     if rows:
-        _log_rows(spark, rows).withColumn("event_at", F.current_timestamp()).coalesce(1) \
+        _log_rows(spark, rows).withColumns({"event_at": F.current_timestamp(), "error_message": truncate("error_message")}).coalesce(1) \
             .write.mode("append").parquet(log_path)
 
 
@@ -108,12 +108,21 @@ class LoadResult:
 
 
 class EmptyLoadError(ValueError):
-    pass
+    """Files that yielded no rows; ``loaded`` has the results of the others."""
 
+    def __init__(self, message: str, loaded: Sequence[LoadResult] = ()):
+        super().__init__(message)
+        self.loaded = list(loaded)
 
-# Up to this many files per load, per-file row counts are observed during
-# the write itself (no second pass over the data).
-MAX_OBSERVED_FILES = 256
+
+def _rows_by_file(spark: SparkSession, path: str, names: DataFrame) -> dict[str, int]:
+    """Stored rows of the named files: partition values and row counts only,
+    one row per file to the driver."""
+    if not path_exists(spark, path):
+        return {}
+    stored = spark.read.schema("_row_hash string, _source_file string").parquet(path)
+    rows = stored.groupBy("_source_file").agg(F.count(F.lit(1)).alias("n")).join(names, "_source_file", "left_semi")
+    return {r["_source_file"]: int(r["n"]) for r in rows.collect()}
 
 
 def load_to_bronze(df: DataFrame, path: str, log_path: str, perfil: str, run_id: str,
@@ -147,29 +156,17 @@ def load_to_bronze(df: DataFrame, path: str, log_path: str, perfil: str, run_id:
 
     log_events(spark, log_path, [ev(f, url, "running") for f, url in files])
     try:
-        old = read_bronze(spark, path)
-        names = [f for f, _ in files]
-        deleted = {}
-        if old is not None:
-            # partition pruning: only the replaced files are listed
-            for r in old.filter(F.col("_source_file").isin(names)).groupBy("_source_file").count().collect():
-                deleted[r["_source_file"]] = r["count"]
-        # per-file row counts are observed while writing (no second pass);
-        # a file with no rows is not touched by the dynamic overwrite
-        data = df.filter(F.col("_source_file").isin(names))
-        writer = lambda d: (d.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                            .partitionBy("_source_file").parquet(path))
-        if len(names) <= MAX_OBSERVED_FILES:
-            obs = Observation("bronze_load")
-            metrics = [F.count_if(F.col("_source_file") == f).alias(f"f{i}") for i, f in enumerate(names)]
-            writer(data.observe(obs, *metrics))
-            got = obs.get
-            inserted = {f: int(got[f"f{i}"]) for i, f in enumerate(names)}
-        else:
-            # many files: one grouped pre-count (one row per file) instead of
-            # hundreds of observed metrics
-            inserted = {r["_source_file"]: int(r["count"]) for r in data.groupBy("_source_file").count().collect()}
-            writer(data)
+        names = spark.createDataFrame([(f,) for f, _ in files], "_source_file string")
+        deleted = _rows_by_file(spark, path, names)
+        # one way for any number of files: the write observes which files have
+        # rows (a file without is not touched by the dynamic overwrite and
+        # still holds an earlier load); their written partitions are counted
+        obs = Observation("bronze_load")
+        data = df.join(names, "_source_file", "left_semi").select(*df.columns)
+        (data.observe(obs, F.collect_set("_source_file").alias("files")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("_source_file").parquet(path))
+        wrote = set(obs.get["files"] or [])
+        inserted = {f: n for f, n in _rows_by_file(spark, path, names).items() if f in wrote}
     except Exception as e:  # K8: log and re-raise
         log_events(spark, log_path, [ev(f, url, "failed", error=str(e)) for f, url in files])
         raise
@@ -184,7 +181,7 @@ def load_to_bronze(df: DataFrame, path: str, log_path: str, perfil: str, run_id:
         out.append(LoadResult("success", perfil, years[f], f, int(deleted.get(f, 0)), n))
     log_events(spark, log_path, events)
     if empty:
-        raise EmptyLoadError(f"no rows for {empty}; previous rows kept")
+        raise EmptyLoadError(f"no rows for {empty}; previous rows kept", out)
     return out
 
 
@@ -231,10 +228,14 @@ def validate_load(bronze: DataFrame, anio: int, place_col: str, pattern: str, ye
 
 
 def duplicate_audit(bronze: DataFrame) -> DataFrame:
-    """Row hashes seen more than once, with their count and files."""
-    return (bronze.groupBy("_row_hash")
-            .agg(F.count(F.lit(1)).alias("n_records"), F.array_sort(F.collect_set("_source_file")).alias("files"))
-            .filter(F.col("n_records") > 1))
+    """Row hashes seen more than once, with their count and files.
+
+    Counting is a plain hash aggregate over all hashes; the files are
+    gathered for the repeated ones alone."""
+    repeated = bronze.groupBy("_row_hash").agg(F.count(F.lit(1)).alias("n_records")).filter(F.col("n_records") > 1)
+    files = (bronze.select("_row_hash", "_source_file").join(repeated, "_row_hash")
+             .groupBy("_row_hash", "n_records").agg(F.array_sort(F.collect_set("_source_file")).alias("files")))
+    return files.select("_row_hash", "n_records", "files")
 
 
 def backfill_summary(status: DataFrame) -> DataFrame:

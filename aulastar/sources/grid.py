@@ -1,99 +1,93 @@
 """Tabular files as a *cell grid* ``(source_file, row_idx, cells)``.
 
 Workbooks are re-aimed to delimited exports (or to grids stored as parquet).
-Nothing is parsed with a hand-written reader: delimited files go through
-Spark's CSV source, text through ``split`` + ``posexplode``.
-
-Row numbers.  Within one input split, rows come out in file order and
-``monotonically_increasing_id`` is consecutive, so a row's index is the number
-of rows in the earlier splits of the same file plus its position inside its
-own split.  Per-split row counts are a partial aggregate (one row per split);
-a running sum over each file's splits, ordered by ``_metadata.file_block_start``,
-gives the offsets, which are joined back.  No file is ever gathered into one
-task, so a single huge source file is read by as many tasks as it has splits
-(``splittable=True``).  Files whose quoted cells contain line breaks need the
-multi-line reader, which reads each file in one task (``splittable=False``,
-the default for spreadsheet exports).  Spark's CSV reader skips blank lines,
-so ``row_idx`` counts non-blank lines.
+Files are read as lines, so a row is as wide as its record and blank lines
+keep their place: nothing is declared about the number of columns and no
+cell can be lost to a schema.
+
+Row numbers.  Within one input split, lines come out in file order and
+``monotonically_increasing_id`` is consecutive, so a line's index is the
+number of lines in the earlier splits of the same file plus its position
+inside its own split.  Per-split line counts are a partial aggregate (one row
+per split); a running sum over each file's splits, ordered by
+``_metadata.file_block_start``, gives the offsets, which are joined back.
+
+Records.  With ``splittable=True`` every line is a record and a file is read
+by as many tasks as it has splits.  Quoted cells may hold line breaks
+(spreadsheet headers do): then a line belongs to the record before it while
+the quotes so far are unbalanced, which a running sum of the quotes per file
+tells (a sort of each file by line, in one task per file but spillable).
+Blank records count, as spreadsheet rows do.
+
+Cells equal to one of the reader's missing-value tokens are null (S11 tests
+its own tokens later).
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from aulastar.config import READER_NULLS
+
 GRID_SCHEMA = "source_file string, row_idx bigint, cells array<string>"
 
 
-def read_csv_grid(spark: SparkSession, paths: str | list[str], sep: str = ",", max_columns: int = 64,
-                  encoding: str = "UTF-8", splittable: bool = False) -> DataFrame:
+def read_csv_grid(spark: SparkSession, paths: str | list[str], sep: str = ",", encoding: str = "UTF-8",
+                  splittable: bool = False) -> DataFrame:
     """Read delimited files, every cell as text, as a cell grid (see the
     module doc for the row index and ``splittable``)."""
-    # one sentinel column past ``max_columns``: the CSV reader would silently
-    # drop extra cells, so a row that reaches it fails the job instead
-    schema = ", ".join(f"c{i} string" for i in range(max_columns + 1))
-    raw = (spark.read.schema(schema)
-           .option("header", "false").option("multiLine", "false" if splittable else "true").option("sep", sep)
-           .option("encoding", encoding).option("mode", "PERMISSIVE")
-           .csv(paths))
-    cells = F.array(*[F.col(f"c{i}") for i in range(max_columns)])
-    guarded = F.when(F.col(f"c{max_columns}").isNotNull(),
-                     F.raise_error(F.lit(f"a row has more than {max_columns} cells; raise max_columns"))
-                     .cast("array<string>")).otherwise(cells)
-    rows = raw.select(F.col("_metadata.file_name").alias("source_file"),
-                      F.col("_metadata.file_block_start").alias("__block"),
-                      F.monotonically_increasing_id().alias("__id"),
-                      guarded.alias("cells"))
-    splits = split_bound(raw, splittable)
-    small = splits is not None and splits <= MAX_BROADCAST_SPLITS
-    return (with_row_index(rows, broadcast_offsets=small)
-            .select("source_file", "row_idx", trim_trailing_nulls("cells").alias("cells")))
-
-
-MAX_BROADCAST_SPLITS = 1_000_000
-
-
-def split_bound(df: DataFrame, splittable: bool, max_files: int = 100_000) -> int | None:
-    """Upper bound of the number of input splits behind ``df`` from the file
-    listing: one per file when files are read whole, else
-    ``ceil(size / maxPartitionBytes)`` per file.  None when unknown."""
-    files = df.inputFiles()
-    if not files or len(files) > max_files:
-        return None
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_name").alias("source_file"), F.col("_metadata.file_path").alias("__file"),
+        F.col("_metadata.file_block_start").alias("__block"),
+        F.monotonically_increasing_id().alias("__id"), F.col("value"))
+    return records_grid(with_row_index(lines), sep, encoding, splittable)
+
+
+def records_grid(lines: DataFrame, sep: str = ",", encoding: str = "UTF-8", splittable: bool = False) -> DataFrame:
+    """``(source_file, __file, row_idx, value)`` lines -> the cell grid of their
+    records.  Files are told apart by path (``__file``), as folders may hold files of one name."""
+    if encoding.upper() not in ("UTF-8", "UTF8"):
+        lines = lines.withColumn("value", F.decode(F.col("value").cast("binary"), encoding))
     if not splittable:
-        return len(files)
-    sc = df.sparkSession.sparkContext
-    jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
-    step = _bytes(df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes"))
-    total = 0
-    for f in files:
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        total += -(-p.getFileSystem(conf).getFileStatus(p).getLen() // step) + 1
-    return total
-
-
-def _bytes(v: str) -> int:
-    v = str(v).strip().lower()
-    for unit, mult in (("gb", 1 << 30), ("g", 1 << 30), ("mb", 1 << 20), ("m", 1 << 20), ("kb", 1 << 10),
-                       ("k", 1 << 10), ("b", 1)):
-        if v.endswith(unit):
-            return int(float(v[: -len(unit)]) * mult)
-    return int(v)
-
-
-def with_row_index(rows: DataFrame, broadcast_offsets: bool = False) -> DataFrame:
-    """Add ``row_idx`` to rows carrying ``source_file``, ``__block`` (split
+        in_file = Window.partitionBy("__file").orderBy("row_idx")
+        before = F.coalesce(F.sum(F.regexp_count("value", F.lit('"'))).over(
+            in_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        starts = lines.withColumn("__start", (before % 2 == 0).cast("int"))
+        numbered = starts.withColumn("__record", F.sum("__start").over(in_file) - 1)
+        parts = numbered.groupBy("__file", "source_file", "__record").agg(
+            F.array_sort(F.collect_list(F.struct("row_idx", "value"))).alias("parts"))
+        lines = parts.select("source_file", F.col("__record").cast("bigint").alias("row_idx"),
+                             F.array_join(F.transform("parts", lambda x: x["value"]), "\n").alias("value"))
+    text = F.when(F.col("row_idx") == 0, F.regexp_replace("value", "^\ufeff", "")).otherwise(F.col("value"))
+    return lines.select("source_file", "row_idx", trim_trailing_nulls(split_cells(text, sep)).alias("cells"))
+
+
+def split_cells(record: Column, sep: str = ",") -> Column:
+    """The cells of a delimited record: quoted cells unquoted, doubled quotes
+    as one, the reader's missing-value tokens as null."""
+    s = re.escape(sep)
+    raw = F.regexp_extract_all(F.concat(F.lit(sep), record),
+                               F.lit(f'{s}("[^"]*+(?:""[^"]*+)*+"|[^{s}]*+)'), F.lit(1))
+    quoted = lambda x: F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))
+    plain = F.transform(raw, lambda x: F.when(x.startswith('"') & x.endswith('"') & (F.length(x) > 1), quoted(x)).otherwise(x))
+    return F.transform(plain, lambda x: F.when(x.isin(list(READER_NULLS)), F.lit(None).cast("string")).otherwise(x))
+
+
+def with_row_index(rows: DataFrame) -> DataFrame:
+    """Add ``row_idx`` to rows carrying ``__file`` (path), ``__block`` (split
     start) and ``__id`` (``monotonically_increasing_id`` taken right at the
     scan).  One row per split is aggregated and windowed per file; the
-    offsets (one row per split) are joined back, by broadcast when the caller
-    has bounded the number of splits."""
-    blocks = rows.groupBy("source_file", "__block").agg(F.min("__id").alias("__first"),
+    offsets (one row per split) are joined back, in the way their size at run
+    time allows."""
+    blocks = rows.groupBy("__file", "__block").agg(F.min("__id").alias("__first"),
                                                         F.count(F.lit(1)).alias("__n"))
-    w = Window.partitionBy("source_file").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.select("source_file", "__block", "__first",
+    w = Window.partitionBy("__file").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select("__file", "__block", "__first",
                             F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__before"))
-    offsets = F.broadcast(offsets) if broadcast_offsets else offsets
-    return (rows.join(offsets, ["source_file", "__block"])
+    return (rows.join(offsets, ["__file", "__block"])
             .withColumn("row_idx", F.col("__before") + F.col("__id") - F.col("__first"))
             .drop("__block", "__id", "__first", "__before"))
 
@@ -125,31 +119,9 @@ def trim_trailing_nulls(cells: str | Column) -> Column:
     return F.when(F.coalesce(last, F.lit(0)) == 0, F.array().cast("array<string>")).otherwise(F.slice(c, 1, last))
 
 
-SMALL_INPUT_BYTES = 256 * 1024 * 1024
-
-
-def input_bytes(df: DataFrame, max_files: int = 1000) -> int | None:
-    """Total size of the files behind ``df`` from the file listing, or None
-    when there are more than ``max_files`` files (treated as large)."""
-    files = df.inputFiles()
-    if not files or len(files) > max_files:
-        return None
-    sc = df.sparkSession.sparkContext
-    jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
-    total = 0
-    for f in files:
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        total += p.getFileSystem(conf).getFileStatus(p).getLen()
-    return total
-
-
-def spread_if_small(df: DataFrame, max_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
-    """Round-robin a *small* input over the cluster's cores before CPU-heavy
-    per-row text work (a single-row-group file is otherwise processed by one
-    task).  Inputs above ``max_bytes`` (or with many files) are already split
-    by the scan and are returned unchanged: no shuffle is added at scale."""
-    size = input_bytes(df)
-    if size is None or size > max_bytes:
-        return df
-    n = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n)
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows over the cluster's cores where the scan has fewer
+    partitions than cores (a file of one row group is otherwise the work of a
+    single task).  A scan with a partition per core or more is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

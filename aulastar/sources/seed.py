@@ -4,17 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aulastar.operators.relational import checked_broadcast
 
 # Declared types of the membership seed (integer key joins the parsed code).
 SEED_SCHEMA = ("codigo_snies int, nombre_oficial string, departamento_principal string, universidad_sue string")
 
 
-def read_seed(spark: SparkSession, path: str, schema: str = SEED_SCHEMA, max_rows: int = 1_000_000) -> DataFrame:
-    """Read the seed with its declared schema (no inference) and hint it as a
-    broadcast side only if its row count is within ``max_rows``."""
-    df = spark.read.schema(schema).option("header", "true").option("mode", "FAILFAST").csv(path)
-    return checked_broadcast(df, max_rows)
+def read_seed(spark: SparkSession, path: str, schema: str = SEED_SCHEMA) -> DataFrame:
+    """Read the seed with its declared schema (no inference)."""
+    return spark.read.schema(schema).option("header", "true").option("mode", "FAILFAST").csv(path)
 
 
 def load_seed(spark: SparkSession, path: str, target: str, schema: str = SEED_SCHEMA) -> DataFrame:

@@ -8,12 +8,11 @@ BI tools through ``spark.sql`` (K16).
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aulastar.plans.star import Star
+from aulastar.plans.star import GOLD_TABLES, Star
 
 
 def schema_name(custom: str | None, default: str = "public") -> str:
@@ -49,23 +48,26 @@ def register_views(spark: SparkSession, star: Star, prefix: str = "") -> list[st
     return [prefix + n for n in names]
 
 
-def publish(spark: SparkSession, star: Star, layout: Layout) -> list[str]:
-    """K12 + K16: register the Gold tables in the session catalog as external
-    tables of database ``layout.gold`` (data under ``{root}/gold/...``),
-    replaced on each run, so BI tools reach them with ``spark.sql`` /
-    ``spark.table("gold.fact_capacidad_academica")``."""
+def publish(spark: SparkSession, build_root: str, layout: Layout) -> list[str]:
+    """K12 + K16: make the Gold tables of a finished build the external tables
+    of database ``layout.gold``, so BI tools reach them with ``spark.sql`` /
+    ``spark.table("gold.fact_capacidad_academica")``.
+
+    A build writes its own folder (``{build_root}/gold/...``) and nothing
+    writes there again, so publishing only repoints the catalog: a reader sees
+    the tables of one build or of the next, and a build that fails before
+    this leaves the published ones alone.  Older builds stay on disk until
+    the operator removes them."""
     db = layout.gold
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{layout.path(db, '_db')}'")
     out = []
-    for name, df in (("dim_ies", star.dim_entity), ("dim_tiempo", star.dim_time),
-                     ("fact_capacidad_academica", star.fact)):
-        full = f"{db}.{name}"
-        # write a new version folder, then point the catalog at it: a reader
-        # never sees a half-replaced table (older versions stay until the
-        # operator expires them)
-        path = layout.path(db, f"{name}/v={uuid.uuid4().hex}")
-        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
-        spark.sql(f"DROP TABLE IF EXISTS {full}")
-        spark.catalog.createTable(full, path=path, source="parquet")
+    for name in GOLD_TABLES:
+        full, path = f"{db}.{name}", f"{build_root.rstrip('/')}/gold/{name}"
+        if spark.catalog.tableExists(full) and spark.table(full).schema == spark.read.parquet(path).schema:
+            spark.sql(f"ALTER TABLE {full} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(full)
+        else:  # first build, or other columns than before
+            spark.sql(f"DROP TABLE IF EXISTS {full}")
+            spark.catalog.createTable(full, path=path, source="parquet")
         out.append(full)
     return out

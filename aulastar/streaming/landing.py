@@ -12,72 +12,61 @@ path.
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aulastar.config import IngestProfile
-from aulastar.operators.ingest import extract
 from aulastar.operators.relational import persisted
-from aulastar.plans.ingest import log_path
-from aulastar.sinks.bronze import load_to_bronze, table_path
-from aulastar.sources.grid import trim_trailing_nulls, with_row_index
+from aulastar.plans.ingest import ingest_profile, log_path
+from aulastar.sinks.bronze import log_events
+from aulastar.sources.grid import records_grid, with_row_index
 
 
-def landing_stream(spark: SparkSession, folder: str, max_columns: int = 64, sep: str = ",",
-                   max_files_per_trigger: int | None = None) -> DataFrame:
-    """A streaming cell grid over delimited files landing in ``folder``.
-
-    Rows carry ``source_file`` and the cells; the per-file row index (see
-    :func:`aulastar.sources.grid.read_csv_grid`) is added inside each
-    micro-batch, where the batch is a static DataFrame."""
-    schema = ", ".join(f"c{i} string" for i in range(max_columns + 1))
-    reader = (spark.readStream.schema(schema).option("header", "false").option("multiLine", "true")
-              .option("sep", sep))
+def landing_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The lines of delimited files landing in ``folder``; each micro-batch is
+    a static DataFrame and becomes a cell grid (see
+    :func:`aulastar.sources.grid.records_grid`)."""
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.csv(folder)
-    cells = F.array(*[F.col(f"c{i}") for i in range(max_columns)])
-    guarded = F.when(F.col(f"c{max_columns}").isNotNull(),
-                     F.raise_error(F.lit(f"a row has more than {max_columns} cells; raise max_columns"))
-                     .cast("array<string>")).otherwise(cells)
-    return raw.select(F.col("_metadata.file_name").alias("source_file"),
-                      F.col("_metadata.file_block_start").alias("__block"),
-                      trim_trailing_nulls(guarded).alias("cells"))
-
-
-def _finish_grid(batch: DataFrame) -> DataFrame:
-    """Row index per file inside a micro-batch (a static DataFrame: the id is
-    taken right on top of its scan)."""
-    # a micro-batch holds the files that landed since the last one: bounded
-    return with_row_index(batch.withColumn("__id", F.monotonically_increasing_id()), broadcast_offsets=True)
+    return reader.text(folder).select(F.col("_metadata.file_name").alias("source_file"), F.col("_metadata.file_path").alias("__file"),
+                                      F.col("_metadata.file_block_start").alias("__block"), "value")
 
 
 def start_landing_ingest(spark: SparkSession, folder: str, catalog: DataFrame, profile: IngestProfile, root: str,
-                         checkpoint: str, run_id: str = "stream",
+                         checkpoint: str, run_id: str = "stream", sep: str = ",", encoding: str = "UTF-8",
+                         max_files_per_trigger: int | None = None,
                          on_batch: Callable[[int, list], None] | None = None):
     """Start the stream; returns the ``StreamingQuery`` (call
     ``awaitTermination`` — it stops by itself after the files present at
-    start are processed)."""
-    grid = landing_stream(spark, folder)
+    start are processed).
+
+    A file of another profile of the catalog is left to that profile's
+    stream.  A file that the catalog does not know, or whose header or rows
+    are unusable, is logged ``failed`` with the reason; the other files of
+    the batch are loaded.  ``max_files_per_trigger`` bounds a micro-batch."""
+    lines = landing_stream(spark, folder, max_files_per_trigger)
 
     def load(batch: DataFrame, epoch: int) -> None:
-        # the batch is read for its file names and for the extract: keep it
-        # (a micro-batch holds the files that landed since the last one)
-        with persisted(batch) as (b,):
-            files = [r["source_file"] for r in b.select("source_file").distinct().collect()]  # file names only
-            if not files:
+        # the batch is read for its file names, the headers and the rows: keep
+        # it (at most max_files_per_trigger files)
+        with persisted(batch.withColumn("__id", F.monotonically_increasing_id())) as (b,):
+            run = f"{run_id}-{epoch}"
+            names = b.select(F.col("source_file").alias("filename")).distinct()
+            unknown = names.join(catalog, "filename", "left_anti").collect()  # file names only
+            log_events(spark, log_path(root), [
+                dict(log_id=str(uuid.uuid4()), run_id=run, perfil=profile.name, anio=None, source_url=None,
+                     source_file=r["filename"], status="failed", error="the catalog has no entry for this file")
+                for r in unknown])
+            mine = catalog.filter(F.col("perfil") == profile.name).join(names, "filename", "left_semi")
+            if mine.isEmpty():
                 return
-            g = _finish_grid(b)
-            cat = catalog.filter(F.col("filename").isin(files))
-            rows, _ = extract(g, cat, profile, f"{run_id}-{epoch}")
-            urls = [(r["filename"], r["url"], r["anio"]) for r in cat.filter(F.col("perfil") == profile.name)
-                    .select("filename", "url", "anio").collect()]
-            res = load_to_bronze(rows, table_path(root, "bronze", profile.table), log_path(root), profile.name,
-                                 f"{run_id}-{epoch}", files=urls)
+            done = ingest_profile(records_grid(with_row_index(b), sep, encoding), mine, profile, root, run)
         if on_batch:
-            on_batch(epoch, res)
+            on_batch(epoch, done.results)
 
-    return (grid.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    return (lines.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

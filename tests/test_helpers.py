@@ -1,47 +1,14 @@
-"""Size-checked helpers: broadcast only under a bound, spread only small
-inputs, split bounds from the file listing."""
+"""Plan-level helpers."""
 
-import contextlib
-import io
 import os
 
-from aulastar.operators.relational import checked_broadcast
-from aulastar.sources.grid import _bytes, spread_if_small, split_bound
+from aulastar.sources.grid import spread
 
 
-def plan(df) -> str:
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain()
-    return buf.getvalue()
-
-
-def test_checked_broadcast_respects_the_bound(spark):
-    small = spark.range(10).toDF("k")
-    big = spark.range(100000).toDF("k")
-    hinted = big.join(checked_broadcast(small, max_rows=100), "k")
-    assert "BroadcastHashJoin" in plan(hinted)
-    not_hinted = checked_broadcast(small, max_rows=5)
-    assert not_hinted is small
-
-
-def test_spread_if_small(spark, tmp_root):
+def test_spread_only_scans_with_fewer_partitions_than_cores(spark, tmp_root):
     p = os.path.join(tmp_root, "t.parquet")
     spark.range(1000).coalesce(1).write.parquet(p)
     df = spark.read.parquet(p)
-    spread = spread_if_small(df)
-    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread_if_small(df, max_bytes=1) is df  # "large": unchanged, no shuffle added
-
-
-def test_split_bound_and_bytes(spark, tmp_root):
-    assert _bytes("128m") == 128 << 20 and _bytes("1g") == 1 << 30 and _bytes("4096") == 4096
-    assert _bytes("134217728b") == 134217728
-    src = os.path.join(tmp_root, "csv")
-    os.makedirs(src)
-    for i in range(3):
-        with open(os.path.join(src, f"f{i}.csv"), "w") as f:
-            f.write("a,b\n" * 100)
-    df = spark.read.csv(src)
-    assert split_bound(df, splittable=False) == 3
-    assert split_bound(df, splittable=True) >= 3
+    assert spread(df).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    many = spark.range(100).repartition(2 * spark.sparkContext.defaultParallelism)
+    assert spread(many) is many

@@ -175,13 +175,59 @@ def test_reload_twice_equals_once(spark, files, tmp_root):
     assert once == twice
 
 
-def test_too_many_cells_fails_instead_of_truncating(spark, tmp_root):
+@pytest.mark.parametrize("splittable", [True, False])
+def test_every_cell_of_any_width_and_every_line_counts(spark, tmp_root, splittable):
     src = os.path.join(tmp_root, "wide")
     os.makedirs(src)
-    write(src, "w.csv", ["a,b,c", "1,2,3,4"])
-    with pytest.raises(Exception, match="more than 3 cells"):
-        read_csv_grid(spark, src, max_columns=3).collect()
-    assert read_csv_grid(spark, src, max_columns=4).count() == 2
+    wide = [f"v{i}" if i % 3 else "" for i in range(500)] + ["last"]
+    write(src, "w.csv", ["a,b,c", "", "1,2,3,,LOST", ",".join(wide), ",,", 'x,"q ""1"", 2",""', "N/A,NULL,null,#N/A,nan ,0"])
+    got = {r.row_idx: r.cells for r in read_csv_grid(spark, src, splittable=splittable).collect()}
+    assert got == {0: ["a", "b", "c"], 1: [], 2: ["1", "2", "3", None, "LOST"], 3: [w or None for w in wide], 4: [],
+                   5: ["x", 'q "1", 2'], 6: [None, None, None, None, "nan ", "0"]}
+
+
+def test_quoted_line_breaks_and_separators(spark, tmp_root):
+    src = os.path.join(tmp_root, "quoted")
+    os.makedirs(src)
+    write(src, "q.csv", ["\ufeffa;b", '"one', "", 'two";"3;4"', "5;6"])
+    got = {r.row_idx: r.cells for r in read_csv_grid(spark, src, sep=";").collect()}
+    assert got == {0: ["a", "b"], 1: ["one\n\ntwo", "3;4"], 2: ["5", "6"]}
+    with open(os.path.join(src, "q.csv"), "w", encoding="latin-1") as f:
+        f.write("año,x\r\nñ,1\r\n")
+    assert [r.cells for r in read_csv_grid(spark, src, encoding="ISO-8859-1", splittable=True).orderBy("row_idx").collect()] == [["año", "x"], ["ñ", "1"]]
+
+
+def test_equal_headers_are_two_columns(spark, tmp_root):
+    src = os.path.join(tmp_root, "repeat")
+    os.makedirs(src)
+    write(src, "docentes_2023.csv", ["CODIGO IES,IES,DEPARTAMENTO IES,ANO,SEMESTRE,DOCENTES,NOTA,NOTA", "1,A,B,2023,1,3,x,N/A"])
+    e = [SourceEntry(2023, "docentes", "s", 0, "docentes_2023.csv", "u")]
+    rows, resolved = ingest.extract(read_csv_grid(spark, src), cat.catalog_frame(spark, e), PROFILES["docentes"], "r")
+    assert [c for c in resolved.columns if c.startswith("nota")] == ["nota", "nota1"]
+    assert (rows.first().nota, rows.first().nota1) == ("x", None)
+
+
+def test_a_bad_file_fails_alone(spark, files, tmp_root):
+    write(files, "docentes_2023.csv", ["no header", "1,2"])
+    bad = SourceEntry(2023, "docentes", "s", 0, "docentes_2023.csv", "u")
+    root = os.path.join(tmp_root, "alone")
+    load = backfill(read_csv_grid(spark, f"{files}/*.csv"), cat.catalog_frame(spark, [*entries(files), bad]), root, "run-1")[0]
+    assert sorted(r.source_file for r in load.results) == ["docentes_2022.csv", "docentes_2024.csv"] and "docentes_2023" in load.error
+    status = sink.ingestion_status(spark.read.parquet(log_path(root)))
+    s = sink.backfill_summary(status).first()
+    assert (s.tareas_exitosas, s.tareas_fallidas, s.filas_totales) == (2, 1, 5)
+    assert "required columns missing" in status.filter("source_file = 'docentes_2023.csv'").first().error_message
+    only = backfill(read_csv_grid(spark, f"{files}/docentes_2023.csv"), cat.catalog_frame(spark, [bad]), os.path.join(tmp_root, "none"), "r")[0]
+    assert not only.results and only.error
+
+
+def test_any_number_of_files_in_one_load(spark, tmp_root):
+    src = os.path.join(tmp_root, "many")
+    os.makedirs(src)
+    rows = spark.range(600).selectExpr("cast(id as string) codigo_institucion", "concat('f', id % 300, '.csv') _source_file", "cast(null as timestamp) _ingested_at",
+                                       "'u' _source_url", "'h' _row_hash", "'r' _dag_run_id")
+    res = sink.load_to_bronze(rows, os.path.join(src, "t"), os.path.join(src, "log"), "docentes", "r")
+    assert len(res) == 300 and {(r.rows_deleted, r.rows_inserted) for r in res} == {(0, 2)}
 
 
 def test_read_bronze_with_known_schema(spark, files, tmp_root):

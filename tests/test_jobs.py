@@ -110,3 +110,21 @@ def test_backfill_counts_missing_files_as_failed(spark, landing, tmp_root, capsy
     assert main(["backfill", "--landing", src, "--root", os.path.join(tmp_root, "bf"), "--run-id", "b1"]) == 0
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["summary"] == {"tareas_exitosas": 2, "tareas_fallidas": 4, "filas_totales": 16}
+
+
+def test_a_failed_build_leaves_published_gold_alone(spark, landing, tmp_root, monkeypatch):
+    from aulastar.operators import quality
+    src, seed = landing
+    root = os.path.join(tmp_root, "publish")
+    jobs.ingest_year(spark, src, root, 2024, "run-1")
+    jobs.transform(spark, root, seed)
+    before = sorted(map(str, spark.table("gold.fact_capacidad_academica").collect()))
+
+    def fails(*a, **k):
+        raise RuntimeError("suite broke")
+
+    monkeypatch.setattr(quality, "run_suite", fails)
+    with pytest.raises(RuntimeError):
+        jobs.transform(spark, root, seed)
+    for s in (spark, spark.newSession()):
+        assert sorted(map(str, s.table("gold.fact_capacidad_academica").collect())) == before

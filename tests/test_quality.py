@@ -92,3 +92,14 @@ def test_suite_continues_after_a_check_error(spark, good):
     assert sum(1 for r in summary.values() if r["status"] == "pass") == 49
     with pytest.raises(Q.QualityError):
         Q.assert_suite(Q.run_suite(cs + [broken]))
+
+
+def test_stored_failures_are_those_of_the_last_run(spark, good, tmp_root):
+    m, d, s = good
+    dim = s.dim_entity.withColumn("sector_ies", F.lit("Mixta"))
+    name = "accepted_values_dim_ies_sector_ies"
+    first = {r["check_name"]: r for r in Q.run_suite(checks(m, d, s, dim=dim), tmp_root).collect()}
+    stored = spark.read.parquet(f"{tmp_root}/quality/{name}").count()
+    assert first[name]["failures"] == stored == 2
+    Q.assert_suite(Q.run_suite(checks(m, d, s), tmp_root))
+    assert spark.read.parquet(f"{tmp_root}/quality/{name}").count() == 0

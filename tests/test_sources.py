@@ -33,16 +33,23 @@ def test_extract_report(spark):
 
 
 def test_publish_gold_tables(spark, tmp_root):
+    from aulastar.plans.star import materialize_gold
     from aulastar.sources.tables import publish
     m = raw_rows(spark, "matriculados", [{"matriculados": "500"}])
     d = raw_rows(spark, "docentes", [{"docentes": "20"}])
     seed = spark.createDataFrame([(1101, "U", "U")], "codigo_snies int, nombre_oficial string, universidad_sue string")
     lay = Layout(tmp_root, gold=f"gold_{os.path.basename(tmp_root).replace('-', '_')}")
-    names = publish(spark, build_star(m, d, seed), lay)
+    materialize_gold(build_star(m, d, seed), f"{tmp_root}/b1")
+    names = publish(spark, f"{tmp_root}/b1", lay)
     r = spark.table(names[-1]).first()
     assert (r.codigo_snies, float(r.ratio_estudiante_docente)) == (1101, 25.0)
-    publish(spark, build_star(m, d, seed), lay)  # replace on each run
-    assert spark.table(names[-1]).count() == 1
+    # a second build in progress, and one that is never published, leave the first in place for every session
+    m2 = raw_rows(spark, "matriculados", [{"matriculados": "700"}])
+    materialize_gold(build_star(m2, d, seed), f"{tmp_root}/b2")
+    assert float(spark.newSession().table(names[-1]).first().ratio_estudiante_docente) == 25.0
+    publish(spark, f"{tmp_root}/b2", lay)
+    for s in (spark, spark.newSession()):
+        assert [float(r.ratio_estudiante_docente) for r in s.table(names[-1]).collect()] == [35.0]
 
 
 def test_schema_routing():

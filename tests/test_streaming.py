@@ -45,3 +45,25 @@ def test_landing_stream_picks_up_only_new_files(spark, tmp_root):
     b = sink.read_bronze(spark, sink.table_path(root, "bronze", "docentes_raw"))
     assert sorted((r._source_file, r.n) for r in b.groupBy("_source_file").agg(F.count("*").alias("n")).collect()) \
         == [("docentes_2023.csv", 2), ("docentes_2024.csv", 1)]
+
+
+def test_landing_stream_skips_other_profiles_and_logs_what_it_cannot_load(spark, tmp_root):
+    from aulastar.plans.ingest import log_path
+    land = os.path.join(tmp_root, "landing3")
+    os.makedirs(land)
+    row = "1101,UNAL,Bogotá D.C.,2024,1,12,Universidad,n1"
+    write(land, "docentes_2024.csv", ["t", "x", HEAD_2024, row])
+    write(land, "docentes_2023.csv", ["nothing", "of use"])
+    write(land, "matriculados_2024.csv", ["t", "x", HEAD_2024, row])
+    write(land, "unknown.csv", ["t", "x", HEAD_2024, row])
+    c = cat.catalog_frame(spark, [SourceEntry(2024, "docentes", "s", 2, "docentes_2024.csv", "u"),
+                                  SourceEntry(2023, "docentes", "s", 2, "docentes_2023.csv", "u"),
+                                  SourceEntry(2024, "matriculados", "s", 2, "matriculados_2024.csv", "u")])
+    root, seen = os.path.join(tmp_root, "wh3"), []
+    q = start_landing_ingest(spark, land, c, PROFILES["docentes"], root, os.path.join(tmp_root, "ckpt3"),
+                             max_files_per_trigger=2, on_batch=lambda e, r: seen.extend(x.source_file for x in r))
+    q.awaitTermination(120)
+    assert q.exception() is None and seen == ["docentes_2024.csv"]
+    status = {r.source_file: (r.status, r.error_message) for r in sink.ingestion_status(spark.read.parquet(log_path(root))).collect()}
+    assert {f: s for f, (s, _) in status.items()} == {"docentes_2024.csv": "success", "docentes_2023.csv": "failed", "unknown.csv": "failed"}
+    assert "no entry" in status["unknown.csv"][1]
