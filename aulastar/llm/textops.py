@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20  # texts are taken together up to this size; one longer text is a chunk of its own
+CHUNK_BYTES = 1 << 20  # texts are taken together up to this size; one longer text is a chunk of its own
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
