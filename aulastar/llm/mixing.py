@@ -79,13 +79,35 @@ def _bin(key: Column, seed: str) -> Column:
     return F.floor(draw(key, seed) * BINS).cast("int")
 
 
+def _with_rates(rows: DataFrame, binned: DataFrame) -> DataFrame:
+    """``rows`` (with ``__mix_source``) and their source's __mix_size, __mix_target, __mix_whole and __mix_below.
+    ``binned``: (source, bin, words, docs)."""
+    per = rates(binned.select("source", "bin", "words")).withColumnRenamed("source", "s")
+    docs = binned.groupBy("source").agg(F.sum("docs").alias("__mix_docs"))
+    per = docs.join(per, F.col("source").eqNullSafe(F.col("s"))).select(
+        _name(F.col("source")).alias("__mix_source"), "__mix_docs", F.col("source_size").alias("__mix_size"), F.col("target").alias("__mix_target"),
+        F.col("whole").alias("__mix_whole"), F.col("below").alias("__mix_below"))
+    per = stored(per, "mix-rates")
+    total = per.agg(F.sum("__mix_docs")).first()[0] or 0
+    return join_groups(rows, per, ["__mix_source"], "__mix_docs", total)
+
+
+def _name(source: Column) -> Column:
+    """The null source joins as a name of its own."""
+    return F.coalesce(F.concat(F.lit("s:"), source.cast("string")), F.lit("null"))
+
+
+def _binned(rows: DataFrame) -> DataFrame:
+    return stored(rows.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("docs")), "mix-bins")
+
+
 def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = SEED) -> DataFrame:
     """One row per document: size, its source's size and target, and how many copies the mix takes."""
-    sized = stored(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), words(F.col(text_col)).alias("size"), _bin(F.col(id_col), seed).alias("bin")), "mix-sizes")
-    per = rates(stored(sized.groupBy("source", "bin").agg(F.sum("size").alias("words")), "mix-bins")).withColumnRenamed("source", "s")
-    joined = sized.join(per, F.col("source").eqNullSafe(F.col("s")), "left")
-    copies = F.col("whole") + (F.col("bin") < F.col("below")).cast("long")
-    return joined.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"))
+    sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), words(F.col(text_col)).alias("size"), _bin(F.col(id_col), seed).alias("bin"))
+    sized = stored(sized, "mix-sizes")
+    joined = _with_rates(sized.withColumn("__mix_source", _name(F.col("source"))), _binned(sized))
+    copies = F.col("__mix_whole") + (F.col("bin") < F.col("__mix_below")).cast("long")
+    return joined.select("doc_id", "source", "size", F.col("__mix_size").alias("source_size"), F.col("__mix_target").alias("target"), copies.alias("copies"))
 
 
 def mix_report(docs: DataFrame, **options) -> DataFrame:
@@ -94,15 +116,8 @@ def mix_report(docs: DataFrame, **options) -> DataFrame:
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = SEED) -> DataFrame:
     """The mixed documents themselves: every column of ``docs`` plus ``mix_copy``, one row per copy taken."""
-    binned = docs.select(F.col(source_col).alias("source"), _bin(F.col(id_col), seed).alias("bin"), words(F.col(text_col)).alias("size"))
-    binned = stored(binned.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("docs")), "mix-bins")
-    per = rates(binned.select("source", "bin", "words")).withColumnRenamed("source", "s")
-    rows = binned.groupBy("source").agg(F.sum("docs").alias("__mix_docs"))
-    # the null source joins as a name of its own
-    name = lambda c: F.coalesce(F.concat(F.lit("s:"), c.cast("string")), F.lit("null"))
-    per = stored(rows.join(per, F.col("source").eqNullSafe(F.col("s"))).select(name(F.col("source")).alias("__mix_source"), "__mix_docs", F.col("whole").alias("__mix_whole"), F.col("below").alias("__mix_below")), "mix-rates")
-    total = per.agg(F.sum("__mix_docs")).first()[0] or 0
-    joined = join_groups(docs.withColumn("__mix_source", name(F.col(source_col))), per, ["__mix_source"], "__mix_docs", total)
+    sized = docs.select(F.col(source_col).alias("source"), _bin(F.col(id_col), seed).alias("bin"), words(F.col(text_col)).alias("size"))
+    joined = _with_rates(docs.withColumn("__mix_source", _name(F.col(source_col))), _binned(sized))
     copies = (F.col("__mix_whole") + (_bin(F.col(id_col), seed) < F.col("__mix_below")).cast("long")).cast("int")
     return (joined.withColumn("__mix_copies", copies).filter("__mix_copies > 0")
             .select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("__mix_copies"))).alias("mix_copy")))

@@ -8,7 +8,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aulastar.session import shared_path
+from aulastar.session import remove_at_exit, shared_path
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -16,11 +16,13 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back (cuts the lineage)."""
+    """Write ``df`` as Parquet to the shared folder and read it back (cuts the lineage).  The table lasts as long as the
+    session."""
     spark = df.sparkSession
     path = new_path(spark, name)
     schema = df.schema
     df.write.parquet(path)
+    remove_at_exit(spark, path)
     return spark.read.schema(schema).parquet(path)
 
 
