@@ -37,6 +37,7 @@ SEED = 42
 BLOCK, RADIUS, CHECKS = 23, 3, 11
 GENERATOR = 0xC75   # x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1, of the binary Golay code
 DENSE = 1 << 14     # home x visitors from which an anchor flips bits instead of comparing pairs
+PAIRS = 1 << 20     # comparisons held in memory at a time
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
@@ -146,12 +147,14 @@ def anchor_edges(cell: np.ndarray, fps: np.ndarray, home: np.ndarray, distance:
         us.append(u + off)
         vs.append(v + off)
     some = np.flatnonzero((homes > 0) & (size > 1) & (size * homes <= DENSE))
-    step = max(1, (4 << 20) // DENSE)
-    for a in range(0, len(some), step * 16):
-        g = some[a : a + step * 16]
-        u, v = _pairs(fps, start[g], size[g], home, distance)
+    load = np.cumsum(size[some] * homes[some])
+    a = 0
+    while a < len(some):   # as many anchors at a time as make PAIRS comparisons
+        b = max(a + 1, int(np.searchsorted(load, (load[a - 1] if a else 0) + PAIRS, side="right")))
+        u, v = _pairs(fps, start[some[a:b]], size[some[a:b]], home, distance)
         us.append(u)
         vs.append(v)
+        a = b
     if not us:
         return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
     u, v = np.concatenate(us), np.concatenate(vs)
