@@ -21,6 +21,8 @@ unless no other id is there; an empty table gives an empty result."""
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -71,38 +73,44 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return src.mapInArrow(run, "doc_id long, fp long")
 
 
-_TABLES: dict = {}
-
-
-def golay() -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
-    """Syndrome of every 23-bit string, coset leaders, and for excess 0, 1, 2 over the covering radius the error patterns
-    of each syndrome as (offsets, patterns).  Made once per worker."""
-    if _TABLES:
-        return _TABLES["golay"]
-    syn = np.zeros(1, dtype=np.int16)
+def _syndrome_tables() -> np.ndarray:
+    """Syndromes of the three bytes of a 23-bit string."""
+    rest = []
     for i in range(BLOCK):
-        rest = 1 << i
+        r = 1 << i
         for j in range(BLOCK - 1, CHECKS - 1, -1):
-            if rest >> j & 1:
-                rest ^= GENERATOR << (j - CHECKS)
-        syn = np.concatenate((syn, syn ^ np.int16(rest)))
-    every = np.arange(1 << BLOCK, dtype=np.uint32)
-    weight = np.bitwise_count(every)
-    lists = []
-    for low, high in ((0, RADIUS), (RADIUS + 1, RADIUS + 1), (RADIUS + 2, RADIUS + 2)):
-        own = every[(weight >= low) & (weight <= high)]
-        own = own[np.argsort(syn[own], kind="stable")]
-        lists.append((np.searchsorted(syn[own], np.arange((1 << CHECKS) + 1)), own.astype(np.int64)))
-    _TABLES["golay"] = syn, lists[0][1], lists
-    return _TABLES["golay"]
-
-
-def anchors(fps: np.ndarray, distance: int = DISTANCE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            if r >> j & 1:
+                r ^= GENERATOR << (j - CHECKS)
+        rest.append(r)
+    out = np.zeros((3, 256), dtype=np.int64)
+    for k in range(3):
+        for i, r in enumerate(rest[8 * k : 8 * k + 8]):
+            out[k] ^= np.where(np.arange(256) >> i & 1, r, 0)
+    return out
+
+
+def syndrome(x: np.ndarray, tables: np.ndarray) -> np.ndarray:
+    return tables[0][x & 255] ^ tables[1][x >> 8 & 255] ^ tables[2][x >> 16]
+
+
+def golay() -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """Syndrome tables, and for excess 0, 1, 2 over the covering radius the error patterns of each syndrome as (offsets,
+    patterns): 44,552 patterns of weight 5 at most."""
+    tables, lists = _syndrome_tables(), []
+    for weights in (range(RADIUS + 1), [RADIUS + 1], [RADIUS + 2]):
+        own = np.array([sum(1 << i for i in c) for w in weights for c in itertools.combinations(range(BLOCK), w)], dtype=np.int64)
+        syn = syndrome(own, tables)
+        order = np.argsort(syn, kind="stable")
+        lists.append((np.searchsorted(syn[order], np.arange((1 << CHECKS) + 1)), own[order]))
+    return tables, lists
+
+
+def anchors(fps: np.ndarray, distance: int = DISTANCE, code: tuple | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(index into fps, anchor, is home) for every anchor within covering radius plus distance."""
-    syn, _, lists = golay()
+    tables, lists = code or golay()
     low = (1 << BLOCK) - 1
     x1, x2 = (fps & np.uint64(low)).astype(np.int64), ((fps >> np.uint64(BLOCK)) & np.uint64(low)).astype(np.int64)
-    s1, s2 = syn[x1].astype(np.int64), syn[x2].astype(np.int64)
+    s1, s2 = syndrome(x1, tables), syndrome(x2, tables)
     out = []
     for e1 in range(distance + 1):
         for e2 in range(distance + 1 - e1):
@@ -133,35 +141,40 @@ def _dense(fps: np.ndarray, home: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first[live], who[live]
 
 
+def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges from every fingerprint to the smallest of its component."""
+    nodes, flat = np.unique(np.concatenate((a, b)), return_inverse=True)
+    root = local_roots(flat[: len(a)], flat[len(a) :], len(nodes))
+    moved = np.flatnonzero(root != np.arange(len(nodes)))
+    return nodes[moved], nodes[root[moved]]
+
+
 def anchor_edges(cell: np.ndarray, fps: np.ndarray, home: np.ndarray, distance: int = DISTANCE) -> tuple[np.ndarray, np.ndarray]:
     """Edges (fingerprint, fingerprint) of whole anchors, rows sorted by anchor: a spanning forest of the links."""
     new = np.concatenate(([True], cell[1:] != cell[:-1]))
     start = np.flatnonzero(new)
     size = np.diff(np.append(start, len(cell)))
     homes = np.add.reduceat(home.astype(np.int64), start)
-    us, vs = [], []
+    found = []
     for g in np.flatnonzero((homes > 0) & (size * homes > DENSE)):
         part = slice(start[g], start[g] + size[g])
-        u, v = _dense(fps[part], home[part]) if distance == 2 else _pairs(fps, np.array([start[g]]), np.array([size[g]]), home, distance)
-        off = start[g] if distance == 2 else 0
-        us.append(u + off)
-        vs.append(v + off)
+        if distance == 2:
+            u, v = _dense(fps[part], home[part])
+            found.append(_forest(fps[part][u], fps[part][v]))
+        else:
+            u, v = _pairs(fps, start[g : g + 1], size[g : g + 1], home, distance)
+            found.append(_forest(fps[u], fps[v]))
     some = np.flatnonzero((homes > 0) & (size > 1) & (size * homes <= DENSE))
     load = np.cumsum(size[some] * homes[some])
     a = 0
     while a < len(some):   # as many anchors at a time as make PAIRS comparisons
         b = max(a + 1, int(np.searchsorted(load, (load[a - 1] if a else 0) + PAIRS, side="right")))
         u, v = _pairs(fps, start[some[a:b]], size[some[a:b]], home, distance)
-        us.append(u)
-        vs.append(v)
+        found.append(_forest(fps[u], fps[v]))
         a = b
-    if not us:
+    if not found:
         return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
-    u, v = np.concatenate(us), np.concatenate(vs)
-    nodes, flat = np.unique(fps[np.concatenate((u, v))], return_inverse=True)
-    root = local_roots(flat[: len(u)], flat[len(u) :], len(nodes))
-    moved = np.flatnonzero(root != np.arange(len(nodes)))
-    return nodes[moved], nodes[root[moved]]
+    return _forest(*(np.concatenate(x) for x in zip(*found, strict=True)))
 
 
 def _pairs(fps, start, size, home, distance):
@@ -180,10 +193,11 @@ def _pairs(fps, start, size, home, distance):
 def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """(a, b) over distinct fingerprints ``fp``: edges whose components are those of all links."""
     def replicate(batches):
+        code = golay()
         for b in batches:
             x = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             for s in range(0, len(x), 4096):
-                i, cell, home = anchors(x[s : s + 4096], distance)
+                i, cell, home = anchors(x[s : s + 4096], distance, code)
                 yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(x[s : s + 4096][i].view(np.int64)), pa.array(home)], names=["cell", "fp", "home"])
 
     def compare(batches):
