@@ -57,3 +57,33 @@ def test_query_matches_oracle(spark, con, key):
     res = con.sql(oracle_sql()[key])
     assert sorted(df.columns) == sorted(res.columns)
     assert canon(df.columns, rows) == canon(res.columns, res.fetchall())
+
+
+# column and direction (1 ascending with nulls last, -1 descending with nulls first)
+ORDER = {
+    "b1_all_ratios": [("anio", -1), ("ratio_estudiante_docente", -1)],
+    "b4_member_vs_rest": [("anio", 1), ("tipo", 1)],
+    "b5_member_evolution": [("nombre_ies", 1), ("anio", 1)],
+    "b6_first_vs_last": [("delta", 1)],
+    "b9_kpis": [("anio", 1)],
+    "b10_outliers": [("anio", -1), ("ratio_estudiante_docente", -1)],
+    "b13_coverage": [("anio", 1)],
+    "b14_summary_stats": [("anio", 1)],
+    "b15_member_ratios": [("nombre_ies", 1), ("anio", 1)],
+}
+
+
+@pytest.mark.parametrize("key", sorted(ORDER))
+def test_sorted_marts_come_in_order(spark, key):
+    rows = queries()[key](spark, SF).collect()
+    place = [tuple((r[c] is None, r[c]) if d > 0 else (r[c] is not None, None if r[c] is None else -r[c]) for c, d in ORDER[key]) for r in rows]
+    assert len(rows) > 1 and all(_at_most(a, b) for a, b in zip(place, place[1:]))
+
+
+def _at_most(a, b) -> bool:
+    for (x, v), (y, w) in zip(a, b):
+        if x != y:
+            return x < y
+        if v != w:
+            return v is None or v < w
+    return True
