@@ -36,6 +36,7 @@ INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins
 #: An open element of the left is closed by a start tag of the right.
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "thead", "tfoot"}, "td": {"td", "th", "tr", "tbody", "tfoot"},
              "th": {"td", "th", "tr", "tbody", "tfoot"}, "option": {"option", "optgroup"}, "head": {"body"}}
+CLOSERS = set().union(*CLOSED_BY.values())
 BARRIERS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "option": {"select"}, "head": set()}
 CONTAINERS = set("body div article main section td table tbody center blockquote figure details fieldset form dl ul ol span font".split())
 HEADINGS = {"h1", "h2", "h3"}
@@ -52,14 +53,15 @@ PAGE_HEADS = {"header", "head"}
 
 
 class Node:
-    __slots__ = ("tag", "names", "attrs", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "total", "out")
+    __slots__ = ("tag", "names", "attrs", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "total", "out", "size", "holds")
 
     def __init__(self, tag: str, attrs: dict, parent: Node | None):
         self.tag, self.attrs, self.parent, self.children = tag, attrs, parent, []
         self.names = set(NAME.findall(f"{attrs.get('class', '')} {attrs.get('id', '')}".lower())) if attrs else set()
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
-        self.out = False
+        self.out = self.holds = False
+        self.size = 0
 
 
 def parse(page: str) -> Node:
@@ -116,6 +118,8 @@ def _imply_ends(stack: list[Node], tag: str) -> None:
             i -= 1
         if i > 0 and (stack[i].tag == "p" or stack[i].tag in ("h1", "h2", "h3", "h4", "h5", "h6") and tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6")):
             del stack[i:]
+    if tag not in CLOSERS:
+        return
     for i in range(len(stack) - 1, 0, -1):
         open_ = stack[i].tag
         if tag in CLOSED_BY.get(open_, ()):
@@ -142,18 +146,32 @@ def _is_out(node: Node, inside: bool) -> bool:
     return bool(names & PARTS) or bool(names & PAGE_HEADS) and not inside and node.tag in ("div", "section")
 
 
-def _holds_article(node: Node) -> bool:
-    return any(isinstance(c, Node) and (c.tag in ("article", "main") and not c.names & COMMENTS or _holds_article(c)) for c in node.children)
+def _inside(root: Node, left_out: bool = True) -> list[Node]:
+    """The nodes of a subtree in page order, parents first; without those taken out, unless asked for."""
+    nodes, todo = [], [root]
+    while todo:
+        x = todo.pop()
+        nodes.append(x)
+        todo += [c for c in reversed(x.children) if isinstance(c, Node) and (left_out or not c.out)]
+    return nodes
 
 
-def _size(node: Node) -> int:
-    return sum(_size(c) if isinstance(c, Node) else len(BLANK.sub("", c)) for c in node.children if not isinstance(c, Node) or c.tag not in NEVER)
+def _weigh(root: Node) -> None:
+    """Of every node: its characters outside of NEVER, and whether an article lies within it."""
+    nodes = _inside(root)
+    for x in nodes:
+        x.size = sum(len(BLANK.sub("", c)) for c in x.children if not isinstance(c, Node))
+    for x in reversed(nodes[1:]):
+        up = x.parent
+        if x.tag not in NEVER:
+            up.size += x.size
+        up.holds = up.holds or x.holds or x.tag in ("article", "main") and not x.names & COMMENTS
 
 
 def _mark(root: Node) -> None:
     """Take out what is no article text.  A wrapper that holds an article, or - unless it is a comment section - most of
     the page's text, stays and is looked into."""
-    whole = None
+    weighed = False
     todo = [(root, False)]
     while todo:
         node, inside = todo.pop()
@@ -163,49 +181,45 @@ def _mark(root: Node) -> None:
             here = inside or c.tag in ("article", "main")
             if _is_out(c, here):
                 if c.tag not in NEVER and c.tag not in ("nav", "footer", "aside", "menu") and c.tag != "header":
-                    if _holds_article(c):
+                    if not weighed:
+                        _weigh(root)
+                        weighed = True
+                    if c.holds or not c.names & COMMENTS and c.size * 2 > root.size:
                         todo.append((c, here))
                         continue
-                    if not c.names & COMMENTS:
-                        whole = _size(root) if whole is None else whole
-                        if _size(c) * 2 > whole:
-                            todo.append((c, here))
-                            continue
                 c.out = True
             else:
                 todo.append((c, here))
 
 
-def _measure(node: Node, in_link: bool = False) -> None:
-    in_link = in_link or node.tag == "a"
-    for c in node.children:
-        if isinstance(c, Node):
-            if c.out:
-                continue
-            _measure(c, in_link)
-            node.chars += c.chars
-            node.tags += c.tags + 1
-            node.link_chars += c.link_chars
-            node.link_tags += c.link_tags + (c.tag == "a")
-        else:
-            k = len(BLANK.sub("", c))
-            node.chars += k
-            if in_link:
-                node.link_chars += k
-
-
-def _densities(node: Node, body_share: float) -> None:
+def _measure(root: Node) -> list[Node]:
+    """Characters and tags of every node left, which are returned in page order."""
+    nodes, linked = _inside(root, left_out=False), set()
+    for x in nodes:
+        if x.tag == "a" or x is not root and id(x.parent) in linked:
+            linked.add(id(x))
+        x.chars = sum(len(BLANK.sub("", c)) for c in x.children if not isinstance(c, Node))
+        x.link_chars = x.chars if id(x) in linked else 0
+    for x in reversed(nodes[1:]):
+        up = x.parent
+        up.chars += x.chars
+        up.tags += x.tags + 1
+        up.link_chars += x.link_chars
+        up.link_tags += x.link_tags + (x.tag == "a")
+    return nodes
+
+
+def _densities(nodes: list[Node], body_share: float) -> None:
     """Composite text density: C/T * log_b((C/LC) * (T/LT)), b = ln(C/nLC * LC + LC_body/C_body * C + e)."""
-    c, t = node.chars, max(node.tags, 1)
-    if c:
-        lc, lt = max(node.link_chars, 1), max(node.link_tags, 1)
-        base = math.log(c / max(c - node.link_chars, 1) * node.link_chars + body_share * c + math.e)
-        value = max(c / lc * t / lt, 1.0)
-        node.density = c / t * (math.log(value) / math.log(base) if base > 1.0000001 else math.log(value))
-    for x in node.children:
-        if isinstance(x, Node) and not x.out:
-            _densities(x, body_share)
-            node.total += x.density
+    for node in nodes:
+        c, t = node.chars, max(node.tags, 1)
+        if c:
+            lc, lt = max(node.link_chars, 1), max(node.link_tags, 1)
+            base = math.log(c / max(c - node.link_chars, 1) * node.link_chars + body_share * c + math.e)
+            value = max(c / lc * t / lt, 1.0)
+            node.density = c / t * (math.log(value) / math.log(base) if base > 1.0000001 else math.log(value))
+    for x in nodes[1:]:
+        x.parent.total += x.density
 
 
 def _best(node: Node) -> Node:
@@ -236,16 +250,19 @@ def _chosen(body: Node) -> list[Node]:
         return [body]
     picked: list[Node] = []
 
-    def walk(node: Node) -> None:
-        heads: list[Node] = []
-        for c in node.children:
+    walks: list[tuple] = [(iter(body.children), [])]
+    while walks:
+        rest, heads = walks[-1]
+        for c in rest:
             if not isinstance(c, Node) or c.out:
                 continue
             if c is core:
                 picked.extend([*heads, c])
             elif id(c) in path:
                 picked.extend(heads)
-                walk(c)
+                heads.clear()
+                walks.append((iter(c.children), []))
+                break
             elif c.tag in HEADINGS:
                 heads.append(c)
                 continue
@@ -253,26 +270,29 @@ def _chosen(body: Node) -> list[Node]:
                 picked.extend([*heads, _best(c)])
             else:
                 continue
-            heads = []
-
-    walk(body)
+            heads.clear()
+        else:
+            walks.pop()
     return picked
 
 
 def _blocks(node: Node, out: list[str], line: list[str]) -> None:
-    for c in node.children:
-        if not isinstance(c, Node):
+    todo: list = list(reversed(node.children))
+    while todo:
+        c = todo.pop()
+        if c is None:
+            _flush(out, line)
+        elif not isinstance(c, Node):
             line.append(c)
         elif c.out:
             continue
         elif c.tag == "br":
             line.append(" ")
         elif c.tag in INLINE:
-            _blocks(c, out, line)
+            todo += reversed(c.children)
         else:
             _flush(out, line)
-            _blocks(c, out, line)
-            _flush(out, line)
+            todo += [None, *reversed(c.children)]
 
 
 def _flush(out: list[str], line: list[str]) -> None:
@@ -288,36 +308,13 @@ def main_text(page: str | None) -> str:
     root = parse(page)
     bodies = [c for c in root.children if isinstance(c, Node) and c.tag == "body"]
     body = bodies[0] if len(bodies) == 1 and not any(isinstance(c, Node) and c.tag not in ("head", "body") and c.children for c in root.children) else root
-    try:
-        _mark(body)
-        _measure(body)
-        _densities(body, body.link_chars / body.chars if body.chars else 0.0)
-        out: list[str] = []
-        line: list[str] = []
-        for node in _chosen(body):
-            _blocks(node, out, line)
-            _flush(out, line)
-        return "\n\n".join(out)
-    except RecursionError:   # nested beyond Python's stack: all text of the page, block by block
-        return _flat(body)
-
-
-def _flat(body: Node) -> str:
+    _mark(body)
+    _densities(_measure(body), body.link_chars / body.chars if body.chars else 0.0)
     out: list[str] = []
     line: list[str] = []
-    todo: list = [body]
-    while todo:
-        x = todo.pop()
-        if x is None:
-            _flush(out, line)
-        elif isinstance(x, str):
-            line.append(x)
-        elif not x.out and x.tag not in NEVER and x.tag not in BOILERPLATE and not x.names & (PARTS | COMMENTS):
-            if x.tag == "br":
-                line.append(" ")
-            edge = [] if x.tag in INLINE else [None]
-            todo += [*edge, *reversed(x.children), *edge]
-    _flush(out, line)
+    for node in _chosen(body):
+        _blocks(node, out, line)
+        _flush(out, line)
     return "\n\n".join(out)
 
 

@@ -285,6 +285,15 @@ def test_main_text_of_small_pages():
     assert html_extract.main_text(None) == "" and html_extract.main_text("<div>" * 4000 + "deep" + "</div>" * 4000) == "deep"
 
 
+@pytest.mark.parametrize("outer", ["<form runat=server>", "<body class='no-sidebar'>", "<div class=widget>"])
+def test_deep_pages_take_the_density_path(outer):
+    menu = "<ul>" + "".join(f"<li><a href={i}>Link {i} of the menu</a>" for i in range(30)) + "</ul>"
+    text = "<div class=post>" + "".join(f"<p>Paragraph {i} of a text that goes on for a good many words.</p>" for i in range(12)) + "</div>"
+    want = "\n\n".join(f"Paragraph {i} of a text that goes on for a good many words." for i in range(12))
+    for tag in ("div", "span", "font", "a name=x"):
+        assert html_extract.main_text(f"{outer}<div>{menu}</div><div>{text}</div><div>{f'<{tag}>' * 5000}") == want, tag
+
+
 def test_pages_table_against_its_template(spark):
     import html
     import re
