@@ -5,6 +5,11 @@ Which suffixes can matter is settled by content before any suffix is sorted.  In
 offsets, so a window whose anchor occurs once in the corpus is not repeated.  The windows of one anchor occurrence are
 consecutive and make up a *snippet* of at most 2 * LENGTH - GRAM bytes.
 
+A phrase in many texts with other text around it is an anchor with many different snippets.  Such an anchor is split by content:
+its windows that begin close before it all hold the bytes that follow it, the others all hold bytes in front of it.  Anchor and
+these bytes are two longer anchors, under which equal windows still meet; they are split again while they are hot, at the latest
+until the anchor is the whole window.  A first scan counts different snippets by anchor at all depths and finds the hot ones.
+
 Texts are dealt to blocks of about ``BLOCK_BYTES``; owners are buckets of anchors by hash.
 1. A block tells each owner its distinct (anchor, snippet) pairs, by 64-bit hashes, with their counts.  The owner adds
    up.  Copies of a snippet collapse here, so a passage in a third of all documents is one pair per block.  The owner
@@ -12,8 +17,8 @@ Texts are dealt to blocks of about ``BLOCK_BYTES``; owners are buckets of anchor
    several different snippets, one block per snippet is asked for its bytes.
 2. Owners lay the different snippets of their anchors out in shards of about ``SHARD_BYTES`` and build each shard's suffix
    array by Larsson-Sadakane refinement and its common prefixes by Kasai's walk.  Neighbours that share LENGTH bytes are
-   repeated windows.  Where an anchor's snippets reach over several shards, the windows of one are looked up in the
-   suffix array of the other by binary search.  The answer is a bit per window.
+   repeated windows.  An anchor's snippets are a shard's bytes at most; where they lie on both sides of a shard's end, the
+   windows of one are looked up in the suffix array of the other by binary search.  The answer is a bit per window.
 3. Blocks cover their texts with the repeated windows.
 
 What moves is each text once, a pair of hashes per anchor and block, and the bytes of snippets that differ.  Suffix-sorting
@@ -39,16 +44,54 @@ LENGTH = 200
 GRAM = 32            # a power of two
 BLOCK_BYTES = 8 << 20
 SHARD_BYTES = 2 << 20
+CENSUS_BYTES = 64 << 20
 POSITION_BITS = 31
 
 _B = 0x9E3779B97F4A7C15 | 1
 _B_INVERSE = pow(_B, -1, 1 << 64)
 
 
-def anchors(data: np.ndarray, off: np.ndarray, length: int = LENGTH) -> dict[str, np.ndarray]:
-    """Anchor occurrences of the texts: ``gram`` (hash), ``first`` and ``last`` window start, and ``snippet`` (hash)."""
+FIELDS = ("gram", "first", "last", "snippet", "at", "left", "right")
+
+
+class Hashes:
+    """Hashes of stretches of a buffer, the same wherever the bytes lie."""
+
+    def __init__(self, value: np.ndarray):
+        self.prefix = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(value * T.powers(len(value), _B), dtype=np.uint64)))
+        self.shift = T.powers(len(value), _B_INVERSE)
+
+    def __call__(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return (self.prefix[b] - self.prefix[a]) * self.shift[a]
+
+
+def _with_snippets(x: dict[str, np.ndarray], hashes: Hashes, length: int) -> dict[str, np.ndarray]:
+    first, last = x["first"], x["last"]
+    own = T.mix64(hashes(first, last + length) + (last - first).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) + (x["at"] - first).astype(np.uint64) * np.uint64(0x165667B19E3779F9))
+    return x | {"snippet": T.mix64(own + T.mix64(x["gram"].view(np.uint64))).view(np.int64)}
+
+
+def _halves(x: dict[str, np.ndarray], hashes: Hashes, length: int) -> dict[str, np.ndarray]:
+    """Snippets under the two longer anchors of each.  An anchor reaches ``left`` bytes before its gram and ``right`` after."""
+    middle = x["left"] + (length - GRAM - x["left"] - x["right"]) // 2
+    near = x | {"first": np.maximum(x["first"], x["at"] - middle), "right": length - GRAM - middle}
+    far = x | {"last": np.minimum(x["last"], x["at"] - middle - 1), "left": middle + 1}
+    both = {k: np.concatenate((near[k], far[k])) for k in FIELDS}
+    both = _where(both, both["first"] <= both["last"])
+    reach = both["left"].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) + both["right"].astype(np.uint64) * np.uint64(0x165667B19E3779F9)
+    core = hashes(both["at"] - both["left"], both["at"] + GRAM + both["right"])
+    return _with_snippets(both | {"gram": T.mix64(T.mix64(both["gram"].view(np.uint64) + reach) + core).view(np.int64)}, hashes, length)
+
+
+def _where(x: dict[str, np.ndarray], which: np.ndarray) -> dict[str, np.ndarray]:
+    return {k: v[which] for k, v in x.items()}
+
+
+def anchors(data: np.ndarray, off: np.ndarray, length: int = LENGTH, hot: np.ndarray | None = None) -> dict[str, np.ndarray]:
+    """Anchor occurrences of the texts: ``gram`` (hash), ``first`` and ``last`` window start, and ``snippet`` (hash).
+    Those in ``hot`` are split."""
     n = len(data)
-    none = {k: np.zeros(0, dtype=np.int64) for k in ("gram", "first", "last", "snippet")}
+    none = {k: np.zeros(0, dtype=np.int64) for k in FIELDS}
     sizes = np.diff(off)
     if n < length or not (sizes >= length).any():
         return none
@@ -69,11 +112,16 @@ def anchors(data: np.ndarray, off: np.ndarray, length: int = LENGTH) -> dict[str
     new[1:] = (at[1:] != at[:-1]) | (np.diff(starts) != 1)
     i = np.flatnonzero(new)
     first, last, at = starts[i], starts[np.append(i[1:], len(starts)) - 1], at[i]
-    power = T.powers(n, _B)
-    prefix = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(value * power, dtype=np.uint64)))
-    content = (prefix[last + length] - prefix[first]) * T.powers(n, _B_INVERSE)[first]
-    own = T.mix64(content + (last - first).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) + (at - first).astype(np.uint64) * np.uint64(0x165667B19E3779F9))
-    return {"gram": gram[at].view(np.int64), "first": first, "last": last, "snippet": T.mix64(own + T.mix64(gram[at])).view(np.int64)}
+    hashes, zero = Hashes(value), np.zeros(len(at), dtype=np.int64)
+    x = _with_snippets({"gram": gram[at].view(np.int64), "first": first, "last": last, "at": at, "left": zero, "right": zero}, hashes, length)
+    if hot is None or not len(hot):
+        return x
+    done = []
+    while len(x["gram"]):
+        split = np.isin(x["gram"], hot) & (x["left"] + x["right"] < length - GRAM)
+        done.append(_where(x, ~split))
+        x = _halves(_where(x, split), hashes, length)
+    return {k: np.concatenate([d[k] for d in done]) for k in FIELDS} if done else none
 
 
 def _sliding_least(key: np.ndarray, wide: int) -> np.ndarray:
@@ -105,6 +153,68 @@ def _by_owner(keys: np.ndarray, buckets: int):
         yield b, order[cuts[b] : cuts[b + 1]]
 
 
+def _census(length: int, chunk_bytes: int, least: int, slab: int = 1 << 20):
+    """(anchor, snippet) pairs, different ones of each chunk of texts, of the anchors with ``least`` snippets there or more;
+    of these the longer anchors too.  A longer anchor has no more snippets than the one it was split from."""
+
+    def frequent(x):
+        x = _where(x, np.unique(x["snippet"], return_index=True)[1])
+        _, of, kinds = np.unique(x["gram"], return_inverse=True, return_counts=True)
+        return _where(x, kinds[of] >= least)
+
+    def batch(x):
+        return pa.RecordBatch.from_arrays([pa.array(x["gram"]), pa.array(x["snippet"])], names=["gram", "snippet"])
+
+    def count(held):
+        x = {k: np.concatenate([h[k] for h, _ in held]) for k in FIELDS}
+        x["part"] = np.repeat(np.arange(len(held)), [len(h["gram"]) for h, _ in held])
+        x = frequent(x)
+        x = _where(x, np.argsort(x["gram"], kind="stable"))
+        sizes = x["last"] - x["first"] + length
+        heads = np.flatnonzero(np.diff(x["gram"], prepend=x["gram"][:1] - 1))
+        ends = np.cumsum(sizes)
+        a = 0
+        while a < len(sizes):                       # whole anchors of about a slab
+            b = np.searchsorted(ends, ends[a] - sizes[a] + slab)
+            k = np.searchsorted(heads, max(b, a + 1))
+            b = heads[k] if k < len(heads) else len(sizes)
+            y, size = {k: v[a:b] for k, v in x.items()}, sizes[a:b]
+            data = np.concatenate([held[p][1][i : i + w] for p, i, w in zip(y["part"].tolist(), y["first"].tolist(), size.tolist(), strict=True)])
+            base = np.cumsum(size) - size
+            y = {k: y[k] for k in FIELDS} | {"first": base, "last": base + size - length, "at": base + y["at"] - y["first"]}
+            hashes = Hashes(T._BYTE_VALUE[data])
+            while len(y["gram"]):
+                yield batch(y)
+                y = frequent(_halves(_where(y, y["left"] + y["right"] < length - GRAM), hashes, length))
+            a = b
+
+    def run(batches):
+        held, size = [], 0
+        for b in batches:
+            for _, _, data, off in T.chunks(b.column(0)):
+                x = anchors(data, off, length)
+                held.append((_where(x, np.unique(x["snippet"], return_index=True)[1]), data))
+                size += len(data)
+                if size >= chunk_bytes:
+                    yield from count(held)
+                    held, size = [], 0
+        if held:
+            yield from count(held)
+
+    return run
+
+
+def hot_anchors(rows: DataFrame, size: int, partitions: int, length: int = LENGTH, shard_bytes: int = SHARD_BYTES, chunk_bytes: int = CENSUS_BYTES) -> np.ndarray:
+    """The anchors of any depth to be split.  Any other one has at most twice ``limit`` different snippets, which fit a shard:
+    ``limit`` among the pairs of the census and as many that stayed below ``least`` in their chunks.  The driver gets a hash
+    per anchor of more than ``limit`` different snippets."""
+    limit = max(1, shard_bytes // (2 * (2 * length - GRAM)))
+    chunks = size // chunk_bytes + partitions
+    pairs = rows.select("text").mapInArrow(_census(length, chunk_bytes, limit // max(chunks, 1) + 1), "gram long, snippet long")
+    hot = pairs.distinct().groupBy("gram").count().filter(F.col("count") > limit).select("gram").toArrow()
+    return np.sort(hot.column(0).to_numpy())
+
+
 PAIRS = "bucket int, block int, gram array<long>, snippet array<long>, n array<int>"
 STATES = "block int, snippet array<long>, state array<byte>"
 BYTES = "bucket int, block int, gram array<long>, snippet array<long>, size array<int>, known array<boolean>, data binary"
@@ -113,9 +223,9 @@ RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 s
 REPEATED, SEND = 1, 2
 
 
-def _pairs(buckets: int, length: int):
+def _pairs(buckets: int, length: int, hot: np.ndarray):
     def run(key, table):
-        parts = [anchors(data, off, length) for _, data, off in _texts(table)]
+        parts = [anchors(data, off, length, hot) for _, data, off in _texts(table)]
         gram, snippet = (np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64) for k in ("gram", "snippet"))
         uniq, first, n = np.unique(snippet, return_index=True, return_counts=True)
         gram = gram[first]
@@ -169,14 +279,14 @@ class States:
         return np.where(self.keys[at] == snippet, self.state[at], 0)
 
 
-def _send(buckets: int, length: int):
+def _send(buckets: int, length: int, hot: np.ndarray):
     def run(table, states):
         if not table.num_rows:
             return pa.Table.from_pylist([], schema=pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("gram", pa.list_(pa.int64())), ("snippet", pa.list_(pa.int64())), ("size", pa.list_(pa.int32())), ("known", pa.list_(pa.bool_())), ("data", pa.binary())]))
         block, state_of, sent = table.column("block")[0].as_py(), States(states), set()
         gram, snippet, known, pieces = [], [], [], []
         for _, data, off in _texts(table):
-            x = anchors(data, off, length)
+            x = anchors(data, off, length, hot)
             state = state_of(x["snippet"])
             for i in np.flatnonzero(state & SEND).tolist():
                 s = int(x["snippet"][i])
@@ -274,7 +384,7 @@ def _search(length: int, shard_bytes: int):
     return run
 
 
-def _cover(length: int):
+def _cover(length: int, hot: np.ndarray):
     def run(table, answers):
         state_of = States(answers.filter(pa.array(answers.column("state").is_valid().to_numpy())).select(["snippet", "state"])) if answers.num_rows else States(pa.table({"snippet": pa.array([], pa.list_(pa.int64())), "state": pa.array([], pa.list_(pa.int8()))}))
         masks: dict[int, bytes] = {}
@@ -284,7 +394,7 @@ def _cover(length: int):
         asked = np.array(sorted(masks), dtype=np.int64)
         removed_n, spans_n, shas = [], [], []
         for _, data, off in _texts(table):
-            x = anchors(data, off, length)
+            x = anchors(data, off, length, hot)
             state = state_of(x["snippet"])
             whole = np.flatnonzero(state & REPEATED)
             edge = np.zeros(len(data) + 1, dtype=np.int32)
@@ -316,13 +426,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         raise ValueError(f"strings of at least {2 * GRAM} bytes")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.withColumn("n_bytes", F.octet_length("text").cast("long"))
-    size = rows.agg(F.sum("n_bytes").alias("n")).first()["n"] or 0
+    total = rows.withColumn("part", F.spark_partition_id()).agg(F.sum("n_bytes").alias("n"), F.max("part").alias("last")).first()
+    size = total["n"] or 0
+    hot = hot_anchors(rows, size, (total["last"] or 0) + 1, length, shard_bytes)
     blocks = max(1, -(-size // block_bytes))
     # rows of one id and text differ in nothing; they may share a block, their snippets are one pair there
     block = F.pmod(F.xxhash64("doc_id", "n_bytes", F.substring("text", 1, 64)), F.lit(blocks)).cast("int")
     dealt = rows.withColumn("block", block).repartition("block")   # shuffled once, read three times
-    states = dealt.groupBy("block").applyInArrow(_pairs(blocks, length), PAIRS).groupBy("bucket").applyInArrow(_judge(), STATES)
-    sent = dealt.groupBy("block").cogroup(states.groupBy("block")).applyInArrow(_send(blocks, length), BYTES)
+    states = dealt.groupBy("block").applyInArrow(_pairs(blocks, length, hot), PAIRS).groupBy("bucket").applyInArrow(_judge(), STATES)
+    sent = dealt.groupBy("block").cogroup(states.groupBy("block")).applyInArrow(_send(blocks, length, hot), BYTES)
     masks = sent.groupBy("bucket").applyInArrow(_search(length, shard_bytes), MASKS)
     answers = states.withColumn("mask", F.lit(None).cast("array<binary>")).unionByName(masks.withColumn("state", F.lit(None).cast("array<byte>")))
-    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_cover(length), RESULT)
+    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_cover(length, hot), RESULT)

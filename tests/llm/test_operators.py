@@ -144,6 +144,29 @@ def test_repeats_as_brute_force(spark, block_bytes, shard_bytes):
     assert [tuple(r)[1:] for r in sorted(got)] == brute.repeats(texts)
 
 
+def test_a_frequent_phrase_is_split_by_content(spark):
+    rng = np.random.default_rng(5)
+    phrase = prose(40, rng)[:150]
+    docs = [prose(60, rng) + phrase + prose(60, rng) for _ in range(200)]
+    texts = [*docs, *(d[40:] for d in docs[:30]), *("x " + phrase + docs[i][-100:] for i in range(20))]
+    shard_bytes = 20 * 368
+    rows = frame(spark, list(enumerate(texts))).repartition(3)
+    hot = suffix_dedup.hot_anchors(rows, sum(map(len, texts)), 3, shard_bytes=shard_bytes, chunk_bytes=20_000)
+    most = {}
+    for h in (None, hot):
+        kinds = {}
+        for t in texts:
+            data = np.frombuffer(t.encode(), dtype=np.uint8)
+            x = suffix_dedup.anchors(data, np.array([0, len(data)]), hot=h)
+            for g, s in zip(x["gram"].tolist(), x["snippet"].tolist(), strict=True):
+                kinds.setdefault(g, set()).add(s)
+            assert sum(x["last"] - x["first"] + 1) == len(data) - 199
+        most[h is None] = max(map(len, kinds.values()))
+    assert most[True] > 100 and most[False] <= 20
+    got = suffix_dedup.remove_repeats(rows, block_bytes=20_000, shard_bytes=shard_bytes).collect()
+    assert [tuple(r)[1:] for r in sorted(got)] == brute.repeats(texts)
+
+
 def test_shards_merge_by_binary_search():
     rng = np.random.default_rng(4)
     common = rng.integers(97, 100, 376).astype(np.uint8)
