@@ -4,7 +4,9 @@ Test items are short and documents long, so a whole document's MinHash says noth
 partitioned by size (number of distinct shingles, powers of two); for the partition with upper bound u a document is read
 as overlapping windows of 2u shingles, one every u, so any run as long as an item lies inside one window of like size.
 Item and window are sketched by one-permutation MinHash: the leading bits of a shingle's hash name one of ``BINS`` bins, a
-bin's minimum is its value.  A window is a candidate for an item if they agree in one bin or more.
+bin's minimum is its value.  A window is a candidate for an item if they agree in one bin or more.  An item of no more
+shingles than there are bins has a bin for each of them, in which a neighbour cannot hide it: any of its shingles makes the
+document a candidate, so none of these is lost.
 
 The window sketches are evaluated lazily, which changes no candidate: only a shingle whose hash is a bin minimum of some
 item can make a window agree, so the hashes of a text are first looked up among the items' minima (bitmap, then binary
@@ -29,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aulastar.llm import textops as T
+from aulastar.llm.store import stored
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -66,8 +69,10 @@ class ItemBlock:
                 if kk == k:
                     hs = np.array([of[x] for x in s], dtype=np.uint64)
                     hs.sort()
-                    _, first = np.unique(hs >> np.uint64(64 - BIN_BITS), return_index=True)
-                    for x in hs[first].tolist():
+                    if len(hs) > 1 << BIN_BITS:
+                        _, first = np.unique(hs >> np.uint64(64 - BIN_BITS), return_index=True)
+                        hs = hs[first]
+                    for x in hs.tolist():
                         minima.setdefault(x, []).append(n)
             word = {hash_: key for key, hash_ in of.items()}
             filt = np.zeros(1 << FILTER_BITS, dtype=bool)
@@ -116,6 +121,9 @@ class ItemBlock:
             for n in x["minima"].get(value, ()):
                 if n in found:
                     continue
+                if self.sizes[n] <= 1 << BIN_BITS:
+                    found.add(n)
+                    continue
                 u = int(self.upper[n])
                 w = (p - lo) // u
                 for a in (w, w - 1):
@@ -177,7 +185,7 @@ def find_leaks(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_c
                         yield pa.RecordBatch.from_arrays([ids.take(pa.array(r + a)), pa.array(block.ids, pa.int64()).take(pa.array(n)), pa.array(block.sizes[n]), pa.array(s), pa.array(s / block.sizes[n])],
                                                          names=["doc_id", "item_id", "n_item", "n_shared", "containment"])
 
-        found = src.mapInArrow(run, SCHEMA)
+        found = stored(src.mapInArrow(run, SCHEMA), "leaks")   # written before the next block is built
         out = found if out is None else out.unionByName(found)
     return out if out is not None else spark.createDataFrame([], SCHEMA)
 

@@ -98,6 +98,14 @@ def test_leaks_as_brute_force(spark, block_bytes):
     assert len(got) == len({(r.doc_id, r.item_id) for r in got})
 
 
+def test_short_items_that_open_a_document_are_found():
+    rng = np.random.default_rng(11)
+    items = [(i, prose(5 + i % 3, rng).encode()) for i in range(1500)]
+    data, off = T.buffers(pa.array([t.decode() + " " + prose(30, rng) for _, t in items]))
+    got = {(r, n) for r, n, _ in decontaminate.ItemBlock(items, 5, 0.8).search(data, off)}
+    assert got >= {(i, i) for i in range(len(items))}
+
+
 def test_decontaminate_keeps_the_rest(spark):
     docs, items = leak_fixture()
     bad = {d for d, _ in brute.leaks(docs, items)}
