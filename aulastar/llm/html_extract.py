@@ -1,9 +1,9 @@
 """Main text of web pages by composite text density.
 
 A page becomes a DOM (tags left open are closed as browsers do).  Parts that say themselves what they are - menus, page
-headers, footers, sidebars, notices, adverts, forms, reader comments - are taken out by element, role and class name.
-Every node that is left gets its composite text density: characters per tag, adjusted by the share of link text of the node
-against that of the body.  The container whose children's densities have the greatest sum is the core of the article.
+headers, footers, sidebars, notices, adverts, forms, reader comments - are taken out by element, role and class name; a
+class name alone takes nothing out, the part's links and density have to agree.  Every node that is left gets its
+composite text density: characters per tag, adjusted by the share of link text of the node against that of the body.  The container whose children's densities have the greatest sum is the core of the article.
 The least density on the path from it to the body is the threshold: every other subtree outside the core that reaches it
 contributes its own greatest-sum container, so an article in several pieces stays whole.  A core within ``<article>`` or
 ``<main>`` stands for that element.
@@ -19,15 +19,22 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from bisect import bisect_right
+from collections import defaultdict
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/><]*)((?:"[^"<]*"|'[^'<]*'|[^>"'<]+|["'])*)(?:>|\Z)""", re.S)
-ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+#: Markup that is skipped whole, or the beginning of a tag.  Every quantifier that could retry is possessive.
+OPENING = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|</?+[a-zA-Z]""", re.S)
+#: A tag up to its ``>``; a quoted value (after ``=`` only) may hold any character.  PLAIN_TAG knows no quotes.
+TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/><]*+)((?:[^<>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)""")
+PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/><]*+)([^<>]*+)")
+ATTRIBUTE = re.compile(r"""([^\s=/"'>]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?""")
 BLANK = re.compile(r"[\x20\x09-\x0D]+")
 NAME = re.compile(r"[a-z]+")
+WHOLE_NAME = re.compile(r"[^\x20\x09-\x0D]+")
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp noembed noframes iframe".split())
@@ -40,110 +47,142 @@ CLOSERS = set().union(*CLOSED_BY.values())
 BARRIERS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "option": {"select"}, "head": set()}
 CONTAINERS = set("body div article main section td table tbody center blockquote figure details fieldset form dl ul ol span font".split())
 HEADINGS = {"h1", "h2", "h3"}
+ALL_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 NEVER = set("script style noscript template head title select button input textarea option iframe object svg canvas audio video dialog datalist".split())
-BOILERPLATE = set("nav footer aside menu form".split())
 ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 #: Words in a class or id that name a part as no article text.
 PARTS = set("""ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar sidebars sidenav nav navbar navigation menu
     menus breadcrumb breadcrumbs masthead footer footers cookie cookies consent gdpr notice notices notification popup modal overlay newsletter subscribe subscription signup
     login share sharing social related recommended recommendations trending pagination pager toolbar widget widgets skip topbar""".split())
+#: Those of them that name articles' own parts too where they stand within a longer name, as in ``elementor-widget``.
+GENERIC = set("widget widgets notice notices share sharing social related promo promotion overlay modal toolbar login skip menu".split())
 COMMENTS = set("comment comments commentlist reply replies respond disqus responses".split())
 PAGE_HEADS = {"header", "head"}
+#: Elements that wrap parts of a page; a class name on any other (a paragraph, a quotation) says nothing about its text.
+WRAPPERS = set("div section ul ol dl table tr td form header center fieldset".split())
 
 
 class Node:
-    __slots__ = ("tag", "names", "attrs", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "total", "out", "size", "holds")
+    __slots__ = ("tag", "names", "whole", "attrs", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "total", "out", "holds")
 
     def __init__(self, tag: str, attrs: dict, parent: Node | None):
         self.tag, self.attrs, self.parent, self.children = tag, attrs, parent, []
-        self.names = set(NAME.findall(f"{attrs.get('class', '')} {attrs.get('id', '')}".lower())) if attrs else set()
+        said = f"{attrs.get('class', '')} {attrs.get('id', '')}".lower() if attrs else ""
+        self.names, self.whole = set(NAME.findall(said)), set(WHOLE_NAME.findall(said))
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
         self.out = self.holds = False
-        self.size = 0
+
+
+class Open:
+    """The open elements, innermost last, with the places of every tag and of the nearest blocks: no lookup walks the stack."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.places = [root], defaultdict(list)
+        self.block, self.wall = [0], [0]   # nearest element at or below that isn't inline; that is neither inline nor a paragraph
+
+    def push(self, node: Node) -> None:
+        i = len(self.nodes)
+        self.nodes.append(node)
+        self.places[node.tag].append(i)
+        inline = node.tag in INLINE
+        self.block.append(self.block[-1] if inline else i)
+        self.wall.append(self.wall[-1] if inline or node.tag == "p" else i)
+
+    def cut(self, i: int) -> None:
+        for node in reversed(self.nodes[i:]):
+            self.places[node.tag].pop()
+        del self.nodes[i:], self.block[i:], self.wall[i:]
+
+    def close(self, tag: str) -> None:
+        places = self.places.get(tag)
+        if places and tag not in ("br", "html", "body") and not (tag in INLINE and self.wall[-1] > places[-1]):   # an inline end tag doesn't close a block
+            self.cut(places[-1])
+
+    def imply_ends(self, tag: str) -> None:
+        if tag not in INLINE:
+            i = self.block[-1]
+            if i > 0 and (self.nodes[i].tag == "p" or self.nodes[i].tag in ALL_HEADINGS and (tag == "p" or tag in ALL_HEADINGS)):
+                self.cut(i)
+        if tag in CLOSERS:
+            ends = [o for o, closers in CLOSED_BY.items() if tag in closers]
+            wall = max((p[-1] for o in ends for t in BARRIERS[o] if (p := self.places.get(t))), default=0)
+            above = [p[k] for o in ends if (p := self.places.get(o)) and (k := bisect_right(p, wall)) < len(p)]
+            if above:
+                self.cut(min(above))
 
 
 def parse(page: str) -> Node:
-    """The DOM; children are nodes and decoded strings."""
+    """The DOM; children are nodes and decoded strings.  A ``<`` that opens no tag is text.
+
+    A tag that another ``<`` interrupts outside of quotes is none; the stretch it was tried on is read again without
+    quotes, so no character is tried more than twice."""
     root = Node("html", {}, None)
-    stack, pos, n = [root], 0, len(page)
-    while pos < n:
-        m = TOKEN.search(page, pos)
-        if not m:
-            _text(stack[-1], page[pos:])
-            break
-        if m.start() > pos:
-            _text(stack[-1], page[pos : m.start()])
-        pos = m.end()
-        if m[2] is None:
+    open_, pos, n, plain_until = Open(root), 0, len(page), 0
+    text = 0   # where text not yet added begins
+
+    def add(end):
+        if end > text:
+            raw = page[text:end]
+            open_.nodes[-1].children.append(entities.unescape(raw) if "&" in raw else raw)
+
+    while found := OPENING.search(page, pos):
+        s, pos = found.start(), found.end()
+        if page[s + 1] in "!?":
+            add(s)
+            text = pos
             continue
+        m = None
+        if s >= plain_until:
+            m = TAG.match(page, s)
+            if m.end() < n and page[m.end()] != ">":
+                plain_until, m = m.end(), None
+        if m is None:
+            m = PLAIN_TAG.match(page, s)
+            if m.end() < n and page[m.end()] != ">":
+                continue
+        add(s)
+        pos = text = min(m.end() + 1, n)
         tag = m[2].lower()
         if m[1]:
-            _close(stack, tag)
+            open_.close(tag)
             continue
         if tag == "html":
             continue
-        _imply_ends(stack, tag)
-        attrs = {a.lower(): d or s or u or "" for a, d, s, u in ATTRIBUTE.findall(m[3])} if m[3].strip(" /\n\t\r\f") else {}
-        node = Node(tag, attrs, stack[-1])
-        stack[-1].children.append(node)
+        open_.imply_ends(tag)
+        attrs = {a.lower(): d or s_ or u or "" for a, d, s_, u in ATTRIBUTE.findall(m[3])} if m[3].strip(" /\n\t\r\f") else {}
+        node = Node(tag, attrs, open_.nodes[-1])
+        node.parent.children.append(node)
         if tag in RAW:
-            end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(page, pos)
-            pos = end.end() if end else n
+            end = re.compile(rf"</{tag}(?=[\s/>])[^>]*+>?", re.I).search(page, pos)
+            pos = text = end.end() if end else n
         elif tag not in VOID and not m[3].endswith("/") or tag in INLINE - VOID:
-            stack.append(node)
+            open_.push(node)
+    add(n)
     return root
 
 
-def _text(node: Node, raw: str) -> None:
-    node.children.append(entities.unescape(raw) if "&" in raw else raw)
-
-
-def _close(stack: list[Node], tag: str) -> None:
-    if tag in ("br", "html", "body"):
-        return
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag == tag:
-            del stack[i:]
-            return
-        if tag in INLINE and stack[i].tag not in INLINE and stack[i].tag != "p":
-            return   # an inline end tag doesn't close a block
-
-
-def _imply_ends(stack: list[Node], tag: str) -> None:
-    if tag not in INLINE:
-        i = len(stack) - 1
-        while i > 0 and stack[i].tag in INLINE:
-            i -= 1
-        if i > 0 and (stack[i].tag == "p" or stack[i].tag in ("h1", "h2", "h3", "h4", "h5", "h6") and tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6")):
-            del stack[i:]
-    if tag not in CLOSERS:
-        return
-    for i in range(len(stack) - 1, 0, -1):
-        open_ = stack[i].tag
-        if tag in CLOSED_BY.get(open_, ()):
-            del stack[i:]
-        elif any(tag in closers and open_ in BARRIERS[o] for o, closers in CLOSED_BY.items()):
-            return
-
-
 def _is_out(node: Node, inside: bool) -> bool:
-    """Whether a node names itself as no article text.  ``inside``: it lies in an article."""
-    tag, names, attrs = node.tag, node.names, node.attrs
-    if tag in NEVER or tag in BOILERPLATE:
-        return True
-    if tag in ("html", "body", "main"):
-        return False
-    if names & COMMENTS:
+    """Whether an element is no article text by its kind.  ``inside``: it lies in an article."""
+    tag = node.tag
+    if tag in NEVER or tag in ("nav", "footer", "aside", "menu"):
         return True
-    if tag == "article":
+    if tag in ("html", "body", "main", "article"):
+        return bool(tag == "article" and node.names & COMMENTS)
+    return tag == "header" and not inside or bool(node.names & COMMENTS) and not node.holds
+
+
+def _is_suspect(node: Node, inside: bool) -> bool:
+    """Whether an element names itself as another part of the page, so that its text has to speak for it."""
+    tag, attrs = node.tag, node.attrs
+    if node.holds or tag in ("html", "body", "main", "article"):
         return False
-    if tag == "header" and not inside:
+    if tag == "form":
         return True
     if attrs and ("hidden" in attrs or attrs.get("aria-hidden", "") == "true" or "display:none" in attrs.get("style", "").replace(" ", "").lower() or attrs.get("role", "").lower() in ROLES):
         return True
-    return bool(names & PARTS) or bool(names & PAGE_HEADS) and not inside and node.tag in ("div", "section")
+    return tag in WRAPPERS and (bool(node.names & PARTS) or bool(node.names & PAGE_HEADS) and not inside and tag in ("div", "section"))
 
 
 def _inside(root: Node, left_out: bool = True) -> list[Node]:
@@ -156,46 +195,60 @@ def _inside(root: Node, left_out: bool = True) -> list[Node]:
     return nodes
 
 
-def _weigh(root: Node) -> None:
-    """Of every node: its characters outside of NEVER, and whether an article lies within it."""
-    nodes = _inside(root)
-    for x in nodes:
-        x.size = sum(len(BLANK.sub("", c)) for c in x.children if not isinstance(c, Node))
-    for x in reversed(nodes[1:]):
-        up = x.parent
-        if x.tag not in NEVER:
-            up.size += x.size
-        up.holds = up.holds or x.holds or x.tag in ("article", "main") and not x.names & COMMENTS
-
-
 def _mark(root: Node) -> None:
-    """Take out what is no article text.  A wrapper that holds an article, or - unless it is a comment section - most of
-    the page's text, stays and is looked into."""
-    weighed = False
-    todo = [(root, False)]
+    """Take out what is no article text: elements of the kinds above, comments, and named parts whose text says so too.
+
+    A named part stays if less than half of its text is links and it is as heavy (greatest density sum) as all that
+    carries no such name in its article, or in the page outside of articles.  One that only bears a generic word in a
+    longer name stays as well if it has a block of half the mean density of the others' core."""
+    for x in reversed(_inside(root)[1:]):
+        x.parent.holds = x.parent.holds or x.holds or x.tag in ("article", "main") and not x.names & COMMENTS
+    suspects, scopes = [], {id(root): root}
+    todo = [(root, root)]
     while todo:
-        node, inside = todo.pop()
+        node, scope = todo.pop()
         for c in node.children:
             if not isinstance(c, Node):
                 continue
-            here = inside or c.tag in ("article", "main")
-            if _is_out(c, here):
-                if c.tag not in NEVER and c.tag not in ("nav", "footer", "aside", "menu") and c.tag != "header":
-                    if not weighed:
-                        _weigh(root)
-                        weighed = True
-                    if c.holds or not c.names & COMMENTS and c.size * 2 > root.size:
-                        todo.append((c, here))
-                        continue
+            here = c if scope is root and c.tag in ("article", "main") else scope
+            if _is_out(c, here is not root):
                 c.out = True
-            else:
-                todo.append((c, here))
+                continue
+            scopes[id(here)] = here
+            if _is_suspect(c, here is not root):
+                suspects.append((c, here))
+            todo.append((c, here))
+    if not suspects:
+        return
+    nodes = _measure(root)
+    share = root.link_chars / root.chars if root.chars else 0.0
+    _densities(nodes, share)
+    heaviest, densest = {}, {}
+    for x in reversed(nodes):
+        inner = [c for c in x.children if isinstance(c, Node) and not c.out]
+        heaviest[id(x)] = max([x.density, x.total, *(heaviest[id(c)] for c in inner)])
+        densest[id(x)] = max([x.density, *(densest[id(c)] for c in inner)])
+    own = {id(x): (x.link_chars * 2 <= x.chars, heaviest[id(x)], densest[id(x)]) for x, _ in suspects}
+    for x, _ in suspects:
+        x.out = True
+    _densities(_measure(root), share)
+    rest = {}
+    for k, scope in scopes.items():
+        core = _best(scope)
+        blocks = sum(1 for c in core.children if isinstance(c, Node) and not c.out and c.chars)
+        rest[k] = max(core.total, core.density), core.total / max(blocks, 1)
+    for x, scope in suspects:
+        prose, heavy, dense = own[id(x)]
+        weight, mean = rest[id(scope)]
+        x.out = not (prose and (heavy >= weight or x.names & PARTS and x.names & PARTS <= GENERIC and not x.whole & PARTS and dense * 2 >= mean))
 
 
 def _measure(root: Node) -> list[Node]:
     """Characters and tags of every node left, which are returned in page order."""
     nodes, linked = _inside(root, left_out=False), set()
     for x in nodes:
+        x.tags = x.link_tags = 0
+        x.density = x.total = 0.0
         if x.tag == "a" or x is not root and id(x.parent) in linked:
             linked.add(id(x))
         x.chars = sum(len(BLANK.sub("", c)) for c in x.children if not isinstance(c, Node))
