@@ -233,5 +233,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return join_groups(marked, by_fp, ["fp"], "n", marked.count()).select("doc_id", "fp", "component_id")
 
 
+def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that stay: of every component the one of smallest id (null last), then the first stored.
+
+    Rows are told apart by their place in a stored copy, so rows that share an id or have none stand for themselves."""
+    row = next(n for i in range(len(docs.columns) + 1) if (n := f"__row{i}") not in docs.columns)
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "simhash-rows")
+    group = stored(near_duplicates(numbered, row, text_col, **options).select(F.col("doc_id").alias("r"), F.col("component_id").alias("c")), "simhash-groups")
+    many = group.groupBy("c").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")   # components of one row need no choice
+    members = join_groups(group, many, ["c"], "n", group.count(), "inner")
+    ids = numbered.select(F.col(row).alias("r"), F.col(f"`{id_col}`").alias("id"))
+    keep = members.join(ids, "r").groupBy("c").agg(F.min(F.struct(F.col("id").isNull(), "id", "r")).alias("k")).select(F.col("k.r").alias("r"))
+    gone = members.select("r").join(keep, "r", "left_anti").withColumnRenamed("r", row)
+    return numbered.join(gone, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def hex_digits(fp):
     return F.lower(F.lpad(F.hex(fp), 16, "0"))

@@ -71,6 +71,17 @@ def test_pairs_and_pages(spark, tables):
         assert len(texts) == pages and all(r.text is not None and r.n_chars == len(r.text) for r in texts)
 
 
+def test_near_copies_go_by_row(spark):
+    """Null and shared ids: unlike texts that share an id with a near copy stay."""
+    long = " ".join(f"w{i}" for i in range(300))
+    near = long + " w7"
+    rows = [(1, long), (None, near), (None, "one text of its own"), (7, near), (7, "quite another text here"), (2, "and one that nobody repeats"), (None, long), (1, long)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.simhash_stage(spark, docs, "")
+    assert got.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text) for r in got.collect()) == sorted([(1, long), (0, "one text of its own"), (7, "quite another text here"), (2, "and one that nobody repeats")])
+
+
 @pytest.mark.parametrize("name", ["odd", "empty"])
 def test_every_stage(spark, tables, name):
     docs = read(spark, tables[name], "documents")
