@@ -6,7 +6,6 @@ reads it again as the next stage's ``docs``.  All but the last return the column
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from aulastar.llm import decontaminate, exact_dedup, mixing, quality, simhash
 from aulastar.llm.store import stored
@@ -25,8 +24,7 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: of each group of linked fingerprints the document of smallest id stays."""
-    gone = simhash.near_duplicates(docs).filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti")
+    return simhash.survivors(docs)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
