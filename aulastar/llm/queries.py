@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aulastar.llm import decontaminate, exact_dedup, html_extract, langid, mixing, ppm, quality, simhash, suffix_dedup, toxicity
+from aulastar.llm import centroids, conversations, decontaminate, exact_dedup, html_extract, langid, mixing, ppm, quality, simhash, suffix_dedup, toxicity, word_bpe
 
 LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS_SQL = f"regexp_extract_all({LOWER_SQL}, '[^\\x20\\x09-\\x0D]+')"
@@ -64,8 +64,25 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    got = word_bpe.decode(word_bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return got.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.report(centroids.cluster(table(spark, sf_dir, "embeddings")))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.report(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontamination, op2_suffix_dedup, op3_language_id, op4_quality, op5_mixing, op6_html_extraction, op7_toxicity, op8_simhash, op9_lm_scoring, op10_exact_dedup)
+    f.__name__: f for f in (op1_decontamination, op2_suffix_dedup, op3_language_id, op4_quality, op5_mixing, op6_html_extraction, op7_toxicity, op8_simhash, op9_lm_scoring, op10_exact_dedup,
+                                op11_bpe, op12_centroid_clustering, op13_conversation_repair)
 }
 
 OP1_SQL = f"""
@@ -114,4 +131,22 @@ WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_replace(coalesce(text,
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(n) AS text_sha256 FROM d JOIN g USING (n)
 """
 
-ORACLE: dict[str, str] = {"op1_decontamination": OP1_SQL, "op5_mixing": OP5_SQL, "op10_exact_dedup": OP10_SQL}
+NEAREST_SQL = """p{n} AS MATERIALIZED (SELECT row, id, v, c, d FROM (
+   SELECT *, row_number() OVER (PARTITION BY row ORDER BY d, c) AS rn
+   FROM (SELECT x.row, x.id, x.v, k.c, list_sum(list_transform(range(1, 65), lambda i: ((x.v[i] - k.v[i])::HUGEINT * (x.v[i] - k.v[i])::HUGEINT))) AS d FROM x, c{n} k)) WHERE rn = 1)"""
+
+MOVED_SQL = """c{m} AS MATERIALIZED (SELECT k.c, coalesce(g.v, k.v) AS v FROM c{n} k LEFT JOIN (
+   SELECT c, list(((s - (((s % n) + n) % n)) // n)::BIGINT ORDER BY i) AS v
+   FROM (SELECT c, i, sum(x::HUGEINT) AS s, count(*)::HUGEINT AS n FROM (SELECT c, unnest(v) AS x, unnest(range(1, 65)) AS i FROM p{n}) GROUP BY 1, 2) GROUP BY 1) g USING (c))"""
+
+OP12_SQL = f"""
+WITH x AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id AS id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+   WHERE len(embedding) = 64 AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+ c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v FROM (SELECT sha256('1:' || id::VARCHAR) AS h, v FROM x WHERE id IS NOT NULL ORDER BY h, v LIMIT 16)),
+ {NEAREST_SQL.format(n=0)}, {MOVED_SQL.format(n=0, m=1)}, {NEAREST_SQL.format(n=1)}, {MOVED_SQL.format(n=1, m=2)}, {NEAREST_SQL.format(n=2)}, {MOVED_SQL.format(n=2, m=3)}, {NEAREST_SQL.format(n=3)}
+SELECT id AS vec_id, c::INTEGER AS cluster, d::BIGINT AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+   sha256(array_to_string(list_transform(c3.v, lambda y: y::VARCHAR), ',')) AS centroid_sha256
+FROM p3 JOIN c3 USING (c)
+"""
+
+ORACLE: dict[str, str] = {"op1_decontamination": OP1_SQL, "op5_mixing": OP5_SQL, "op10_exact_dedup": OP10_SQL, "op12_centroid_clustering": OP12_SQL}

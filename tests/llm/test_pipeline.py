@@ -18,7 +18,7 @@ ROOT = "/root/testdata/sf0.001"
 
 def test_stages_are_those_asked_for():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "exact_dedup", "simhash_dedup", "decontamination", "mixing"]
-    assert queries()["pipeline"] is corpus_pipeline.run and sum(k.startswith("op") for k in queries()) == 10
+    assert queries()["pipeline"] is corpus_pipeline.run and sum(k.startswith("op") for k in queries()) == 13
 
 
 def test_run_as_brute_force(spark):
