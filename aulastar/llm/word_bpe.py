@@ -26,14 +26,15 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as S
 
 WORD_END = "</w>"
-TABLE_WORDS = 500_000
+TABLE_WORDS = 200_000
 TABLE_BYTES = 48
-BATCH_BYTES = 1 << 22   # texts are taken together up to this size; one longer text is taken by itself
+BATCH_BYTES = 1 << 20   # texts are taken together up to this size; one longer text is taken by itself
 LONG = 64               # units from which a fragment is merged by a heap of its own
 NONE = np.int64(1) << 40
 
@@ -257,19 +258,7 @@ class Encoder:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of every text."""
-        return [ids for group in self._grouped(texts) for ids in self._encode(group)]
-
-    @staticmethod
-    def _grouped(texts):
-        group, size = [], 0
-        for t in texts:
-            if group and size + len(t) > BATCH_BYTES:
-                yield group
-                group, size = [], 0
-            group.append(t)
-            size += len(t)
-        if group:
-            yield group
+        return [ids for a, b in runs([len(t) for t in texts]) for ids in self._encode(texts[a:b])]
 
     def _encode(self, texts: list[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]   # of bytes: at exactly [\x20\x09-\x0D]
@@ -277,14 +266,31 @@ class Encoder:
         if len(known) > TABLE_WORDS:
             known.clear()
         new = list({w for words in split for w in words if w not in known})
-        found = dict(zip(new, self.new_words(new), strict=True))
-        look = known | found if len(found) > len(known) else None
-        for w, ids in found.items():
-            if len(w) <= TABLE_BYTES:
-                known[w] = ids
-        if look is None:
-            look = known if all(len(w) <= TABLE_BYTES for w in found) else known | found
-        return [b"".join([look[w] for w in words]) for words in split]
+        known.update(zip(new, self.new_words(new), strict=True))
+        out = [b"".join([known[w] for w in words]) for words in split]
+        for w in new:
+            if len(w) > TABLE_BYTES:
+                del known[w]
+        return out
+
+
+def runs(sizes: list[int]):
+    """Bounds of runs of rows of up to BATCH_BYTES together."""
+    start = held = 0
+    for i, n in enumerate(sizes):
+        if i > start and held + n > BATCH_BYTES:
+            yield start, i
+            start, held = i, 0
+        held += n
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
+def slices(batch: pa.RecordBatch, column: int):
+    """A batch in runs of rows whose values in ``column`` are small together."""
+    sizes = batch.column(column).cast(pa.binary()).fill_null(b"")
+    for a, b in runs(pc.binary_length(sizes).to_pylist()):
+        yield batch.slice(a, b - a)
 
 
 def read_vocabulary(path: str) -> str:
@@ -303,8 +309,8 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", keep: list[str] =
 
     def run(batches):
         coder = Encoder(text.value)
-        for b in batches:
-            ids = coder.encode([t or b"" for t in b.column(len(keep)).cast(pa.binary()).to_pylist()])
+        for b in (s for batch in batches for s in slices(batch, len(keep))):
+            ids = coder._encode([t or b"" for t in b.column(len(keep)).cast(pa.binary()).to_pylist()])
             yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array([len(i) // 4 for i in ids], type=pa.int64()), pa.array(ids, type=pa.binary())], names=[*keep, "n_tokens", "ids"])
 
     schema = S.StructType([*_kept(docs, keep), S.StructField("n_tokens", S.LongType()), S.StructField("ids", S.BinaryType())])
@@ -317,9 +323,11 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids", out: str = "deco
     at = encoded.columns.index(ids_col)
 
     def run(batches):
-        tokens = Vocabulary(json.loads(text.value)).tokens
+        spec = json.loads(text.value)
+        tokens = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec.get("added_tokens", [])}
         table = [tokens.get(i, "").encode() for i in range(max(tokens) + 1)]
-        for b in batches:
+        del spec, tokens
+        for b in (s for batch in batches for s in slices(batch, at)):
             rows = [b" ".join([table[i] for i in np.frombuffer(x, dtype="<u4").tolist()]) if x else b"" for x in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rows, type=pa.binary()).cast(pa.string())], names=[*b.schema.names, out])
 
