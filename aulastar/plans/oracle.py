@@ -624,6 +624,11 @@ SELECT anio, row_number() OVER (PARTITION BY anio ORDER BY o_orderkey) - 1 AS ro
          'a, "' || o_orderstatus || '"' || chr(10) || o_orderpriority AS texto,
          CASE WHEN o_orderkey % 2 = 1 THEN 'fin' ELSE 'a, "' || o_orderstatus || '"' || chr(10) || o_orderpriority END AS ultima
   FROM orders) t""",
+    "s4_csv_quotes": """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS anio, row_number() OVER (PARTITION BY year(o_orderdate) ORDER BY o_orderkey) - 1 AS row_idx,
+       CAST(o_orderkey AS VARCHAR) || '|' || CASE o_orderkey % 5 WHEN 0 THEN '5" pipe' WHEN 1 THEN 'abcdef' WHEN 2 THEN 'a "b", c'
+         WHEN 3 THEN 'one' || chr(10) || '"two"tail' ELSE 'x"y|z"' END || '|' || o_orderstatus AS celdas
+FROM orders""",
     "s16_seed_scan": "SELECT CAST(s_suppkey AS INTEGER) AS codigo_snies, s_name AS nombre_oficial, CAST(s_nationkey AS VARCHAR) AS departamento_principal, "
                      "CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE s_name END AS universidad_sue FROM supplier",
     "k16_gold_table": ORACLE["m6_fact_ratio"],

@@ -180,6 +180,12 @@ def _write_exports(spark: SparkSession, d: str, root: str) -> None:
     rows = o.select(F.year("o_orderdate").alias("anio"), "o_orderkey", line.alias("value"))
     (rows.repartition("anio").sortWithinPartitions("anio", "o_orderkey").select("anio", "value")
      .write.partitionBy("anio").text(f"{root}/orders"))
+    kind = F.col("o_orderkey") % 5
+    odd = (F.when(kind == 0, '5" pipe').when(kind == 1, '"abc"def').when(kind == 2, '"a ""b"", c"')
+           .when(kind == 3, '"one\n""two"""tail').otherwise('x"y,z"'))
+    quotes = F.concat_ws(",", F.col("o_orderkey").cast("string"), odd, F.col("o_orderstatus"))
+    (o.select(F.year("o_orderdate").alias("anio"), "o_orderkey", quotes.alias("value")).repartition("anio").sortWithinPartitions("anio", "o_orderkey")
+     .select("anio", "value").write.partitionBy("anio").text(f"{root}/quotes"))
     s = table(spark, d, "supplier")
     phone = F.when(F.col("s_suppkey") % 3 != 0, F.col("s_name"))
     (s.select(F.col("s_suppkey").alias("codigo_snies"), F.col("s_name").alias("nombre_oficial"), F.col("s_nationkey").cast("string").alias("departamento_principal"),
@@ -195,6 +201,13 @@ def _s4_csv(spark, d):
         F.element_at("cells", -1).alias("ultima"))
 
 
+def _s4_quotes(spark, d):
+    """Quotes inside cells and text after closing ones, in the orders' exports."""
+    g = read_csv_grid(spark, f"{_once(spark, d, _write_exports)}/quotes/*")
+    o = table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("k"), F.year("o_orderdate").alias("anio"))
+    return g.join(o, F.get("cells", 0) == F.col("k")).select("anio", "row_idx", F.array_join("cells", "|").alias("celdas"))
+
+
 def _s16(spark, d):
     return read_seed(spark, f"{_once(spark, d, _write_exports)}/seed")
 
@@ -280,6 +293,7 @@ def ingest_registry() -> dict:
         "k10_validate_load": _k10,
         "k15_duplicate_audit": _k15,
         "s4_csv_scan": _s4_csv,
+        "s4_csv_quotes": _s4_quotes,
         "s16_seed_scan": _s16,
         "s18_backfill_with_bad_file": _s18_spoilt,
         "s19_summary_with_bad_file": _s19_spoilt,

@@ -12,12 +12,11 @@ inside its own split.  Per-split line counts are a partial aggregate (one row
 per split); a running sum over each file's splits, ordered by
 ``_metadata.file_block_start``, gives the offsets, which are joined back.
 
-Records.  With ``splittable=True`` every line is a record and a file is read
-by as many tasks as it has splits.  Quoted cells may hold line breaks
-(spreadsheet headers do): then a line belongs to the record before it while
-the quotes so far are unbalanced, which a running sum of the quotes per file
-tells (a sort of each file by line, in one task per file but spillable).
-Blank records count, as spreadsheet rows do.
+Records.  With ``splittable=True`` every line is a record.  Otherwise quoted
+cells may hold line breaks (spreadsheet headers do): each split cuts its own
+records once the splits before it are known to end inside a quoted cell or
+not (:mod:`aulastar.sources.records`).  Either way a file is read by as many
+tasks as it has splits.  Blank records count, as spreadsheet rows do.
 
 Cells equal to one of the reader's missing-value tokens are null (S11 tests
 its own tokens later).
@@ -25,12 +24,10 @@ its own tokens later).
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from aulastar.config import READER_NULLS
+from aulastar.sources.records import cut_records, leaves_open, split_cells
 
 GRID_SCHEMA = "source_file string, row_idx bigint, cells array<string>"
 
@@ -43,37 +40,19 @@ def read_csv_grid(spark: SparkSession, paths: str | list[str], sep: str = ",", e
         F.col("_metadata.file_name").alias("source_file"), F.col("_metadata.file_path").alias("__file"),
         F.col("_metadata.file_block_start").alias("__block"),
         F.monotonically_increasing_id().alias("__id"), F.col("value"))
-    return records_grid(with_row_index(lines), sep, encoding, splittable)
+    return records_grid(lines, sep, encoding, splittable)
 
 
 def records_grid(lines: DataFrame, sep: str = ",", encoding: str = "UTF-8", splittable: bool = False) -> DataFrame:
-    """``(source_file, __file, row_idx, value)`` lines -> the cell grid of their
-    records.  Files are told apart by path (``__file``), as folders may hold files of one name."""
+    """``(source_file, __file, __block, __id, value)`` lines -> the cell grid of
+    their records.  Files are told apart by path (``__file``), as folders may hold files of one name."""
     if encoding.upper() not in ("UTF-8", "UTF8"):
         lines = lines.withColumn("value", F.decode(F.col("value").cast("binary"), encoding))
-    if not splittable:
-        in_file = Window.partitionBy("__file").orderBy("row_idx")
-        before = F.coalesce(F.sum(F.regexp_count("value", F.lit('"'))).over(
-            in_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        starts = lines.withColumn("__start", (before % 2 == 0).cast("int"))
-        numbered = starts.withColumn("__record", F.sum("__start").over(in_file) - 1)
-        parts = numbered.groupBy("__file", "source_file", "__record").agg(
-            F.array_sort(F.collect_list(F.struct("row_idx", "value"))).alias("parts"))
-        lines = parts.select("source_file", F.col("__record").cast("bigint").alias("row_idx"),
-                             F.array_join(F.transform("parts", lambda x: x["value"]), "\n").alias("value"))
+    # a line is a record: quotes that it leaves open are text
+    records = with_row_index(lines).withColumn("plain", leaves_open(F.col("value"), sep)) if splittable else cut_records(lines, sep)
     text = F.when(F.col("row_idx") == 0, F.regexp_replace("value", "^\ufeff", "")).otherwise(F.col("value"))
-    return lines.select("source_file", "row_idx", trim_trailing_nulls(split_cells(text, sep)).alias("cells"))
-
-
-def split_cells(record: Column, sep: str = ",") -> Column:
-    """The cells of a delimited record: quoted cells unquoted, doubled quotes
-    as one, the reader's missing-value tokens as null."""
-    s = re.escape(sep)
-    raw = F.regexp_extract_all(F.concat(F.lit(sep), record),
-                               F.lit(f'{s}("[^"]*+(?:""[^"]*+)*+"|[^{s}]*+)'), F.lit(1))
-    quoted = lambda x: F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))
-    plain = F.transform(raw, lambda x: F.when(x.startswith('"') & x.endswith('"') & (F.length(x) > 1), quoted(x)).otherwise(x))
-    return F.transform(plain, lambda x: F.when(x.isin(list(READER_NULLS)), F.lit(None).cast("string")).otherwise(x))
+    cells = split_cells(text, sep, F.col("plain"))
+    return records.select("source_file", "row_idx", trim_trailing_nulls(cells).alias("cells"))
 
 
 def with_row_index(rows: DataFrame) -> DataFrame:

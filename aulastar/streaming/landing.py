@@ -22,7 +22,7 @@ from aulastar.config import IngestProfile
 from aulastar.operators.relational import persisted
 from aulastar.plans.ingest import ingest_profile, log_path
 from aulastar.sinks.bronze import log_events
-from aulastar.sources.grid import records_grid, with_row_index
+from aulastar.sources.grid import records_grid
 
 
 def landing_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -64,7 +64,7 @@ def start_landing_ingest(spark: SparkSession, folder: str, catalog: DataFrame, p
             mine = catalog.filter(F.col("perfil") == profile.name).join(names, "filename", "left_semi")
             if mine.isEmpty():
                 return
-            done = ingest_profile(records_grid(with_row_index(b), sep, encoding), mine, profile, root, run)
+            done = ingest_profile(records_grid(b, sep, encoding), mine, profile, root, run)
         if on_batch:
             on_batch(epoch, done.results)
 
