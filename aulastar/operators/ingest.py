@@ -4,12 +4,12 @@ The flow (one lazy plan apart from the per-file header resolution):
 
 1. ``resolve_headers``: one pass over the head of every file maps each
    head row's cells to canonical names (S6, S7) and scores them against the
-   aliases (S5); one aggregate per file returns the declared row's names and
-   the best-scoring row.  A file whose declared row misses a required column
-   falls back to the best row (score >= 4, first row on ties, and only if it
-   differs); missing columns (S9) or two headers mapping to one name fail,
-   listing what is available.  Only per-file header metadata reaches the
-   driver, never data rows.
+   aliases (S5); the first row per file of one ordering is its header.  A file
+   whose declared row misses a required column falls back to the best row
+   (score >= 4, first row on ties, and only if it differs); missing columns
+   (S9) or two headers mapping to one name fail, listing what is available.
+   The decisions are a stored table, one row per file; the driver sees the
+   distinct column names and the files that fail or fall back.
 2. ``extract_rows``: data rows below the header; junk rows whose key cell is
    not all digits are dropped (S10, tested on the raw cell); null tokens
    (S11) and then trimming (S12) are applied to every cell with
@@ -20,16 +20,18 @@ The flow (one lazy plan apart from the per-file header resolution):
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from typing import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aulastar.config import (
     HASH_SEPARATOR, HEADER_MIN_SCORE, HEADER_SCAN_ROWS, MISSING_HASH_TEXT, NULL_TOKENS, IngestProfile,
 )
 from aulastar.functions import is_digits, normalize_header, null_tokens, snake_case, trim_unicode
+from aulastar.session import remove_at_exit, shared_path
 
 
 ROW_SPAN = 1 << 40   # row numbers of one file stay below this
@@ -42,6 +44,23 @@ def _alias_map(aliases: Mapping[str, str]) -> Column:
     return F.create_map(*kv)
 
 
+def _scored(grid: DataFrame, alias_keys: Sequence[str], max_rows: int) -> DataFrame:
+    """Rows of the scan window that hold a known alias: ``score`` of them."""
+    keys = list(alias_keys)
+    hits = F.aggregate(
+        F.transform("cells", lambda x: F.when(x.isNotNull() & normalize_header(x).isin(keys), 1).otherwise(0)),
+        F.lit(0), lambda acc, x: acc + x)
+    head = grid.filter(F.col("row_idx") < max_rows)
+    return head.select("source_file", "row_idx", "cells", hits.alias("score")).filter(F.col("score") > 0)
+
+
+def _first_per_file(rows: DataFrame, *order: Column) -> DataFrame:
+    """One row per file, the first in ``order``.  ``row_number() = 1`` is a partial ``WindowGroupLimit`` before the exchange, so
+    a file sends one row per task, its cells with it, and the head is evaluated once."""
+    w = Window.partitionBy("source_file").orderBy(*order)
+    return rows.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
+
+
 def detect_header(grid: DataFrame, alias_keys: Sequence[str], max_rows: int = HEADER_SCAN_ROWS,
                   min_score: int = HEADER_MIN_SCORE, with_cells: bool = False) -> DataFrame:
     """Per file, the row among the first ``max_rows`` with the most cells
@@ -51,24 +70,19 @@ def detect_header(grid: DataFrame, alias_keys: Sequence[str], max_rows: int = HE
     Output ``(source_file, header_row, score)`` (+ ``cells`` of that row with
     ``with_cells``, so the header can be mapped without a second pass).
     Scores are a per-row expression; the per-file choice is a maximum, which
-    combines map-side.
+    combines map-side (with cells: the first row of a window, limited map-side).
     """
-    keys = list(alias_keys)
-    head = grid.filter(F.col("row_idx") < max_rows)
-    hits = F.aggregate(
-        F.transform("cells", lambda x: F.when(x.isNotNull() & normalize_header(x).isin(keys), 1).otherwise(0)),
-        F.lit(0), lambda acc, x: acc + x)
-    scored = head.select("source_file", "row_idx", "cells", hits.alias("score")).filter(F.col("score") > 0)
+    scored = _scored(grid, alias_keys, max_rows)
+    if with_cells:
+        return _first_per_file(scored.filter(F.col("score") >= min_score), F.col("score").desc(), F.col("row_idx").asc()).select(
+            "source_file", F.col("row_idx").alias("header_row"), "score", "cells")
     # score and row in one number: the aggregate's buffer is a long (a hash
     # aggregate), and no cells are shuffled
     packed = F.col("score").cast("long") * F.lit(ROW_SPAN) + (F.lit(ROW_SPAN - 1) - F.col("row_idx"))
     best = scored.groupBy("source_file").agg(F.max(packed).alias("b"))
     best = best.select("source_file", (F.lit(ROW_SPAN - 1) - F.col("b") % ROW_SPAN).alias("header_row"),
                        F.floor(F.col("b") / ROW_SPAN).cast("int").alias("score")).filter(F.col("score") >= min_score)
-    if not with_cells:
-        return best
-    cells = head.select("source_file", F.col("row_idx").alias("header_row"), "cells")
-    return best.join(cells, ["source_file", "header_row"]).select("source_file", "header_row", "score", "cells")
+    return best
 
 
 def detected_header_cells(grid: DataFrame, alias_keys: Sequence[str], max_rows: int = HEADER_SCAN_ROWS,
@@ -136,24 +150,39 @@ class HeaderError(ValueError):
 
 def resolve_headers(grid: DataFrame, declared: DataFrame, profile: IngestProfile,
                     max_rows: int = HEADER_SCAN_ROWS, min_score: int = HEADER_MIN_SCORE,
-                    strict: bool = True) -> ResolvedHeaders:
+                    strict: bool = True, head: DataFrame | None = None) -> ResolvedHeaders:
     """Header row and canonical names per file (see module doc, step 1).
 
     A file without a usable header fails alone: with ``strict`` a
     ``HeaderError`` names all such files, otherwise they are left out and
     listed in ``errors``.
 
-    ``declared`` has ``(source_file, header_row)`` per file.  One pass over
-    the head of every file (rows up to the scan window or the declared row):
-    each row gets its canonical names and its alias score; one aggregate per
-    file returns the declared row's names and the best-scoring row (highest
-    score, first row on ties).  The fallback decision is then made on that
-    per-file metadata: the declared row unless it misses a required column
-    and a different row scores at least ``min_score``.
+    ``declared`` has ``(source_file, header_row)`` per file.  ``head`` is the
+    beginning of the grid where the caller can read that alone (see
+    ``read_csv_head``); it must reach the scan window and every declared row.
     """
-    spark = grid.sparkSession
-    declared_rows = declared.select("source_file", "header_row").collect()  # one row per file
-    bound = max([max_rows - 1] + [r["header_row"] for r in declared_rows if r["header_row"] is not None])
+    spark = declared.sparkSession
+    decided = header_decisions(grid if head is None else head, declared, profile, max_rows, min_score)
+    path = shared_path(spark, "aulastar-headers", uuid.uuid4().hex)
+    decided.write.parquet(path)   # read three times below and by the extraction
+    remove_at_exit(spark, path)
+    decided = spark.read.schema(decided.schema).parquet(path)
+    errors = {r["source_file"]: r["error"] for r in decided.filter(F.col("error").isNotNull()).select("source_file", "error").collect()}  # failing files
+    if errors and strict:
+        raise HeaderError("\n".join(f"{f}: {m}" for f, m in sorted(errors.items())))
+    good = decided.filter(F.col("error").isNull())
+    place = F.struct("source_file", "pos")
+    columns = (good.select("source_file", F.posexplode("names").alias("pos", "name")).groupBy("name").agg(F.min(place).alias("at"))
+               .orderBy("at").select("name").collect())   # distinct names
+    fallback = [r["source_file"] for r in good.filter("fallback").select("source_file").orderBy("source_file").collect()]
+    return ResolvedHeaders(good.select("source_file", "header_row", "names", "width"), [r["name"] for r in columns], fallback, errors)
+
+
+def header_decisions(grid: DataFrame, declared: DataFrame, profile: IngestProfile, max_rows: int = HEADER_SCAN_ROWS,
+                     min_score: int = HEADER_MIN_SCORE) -> DataFrame:
+    """``(source_file, header_row, names, width, fallback, error)`` of every
+    declared file, as one plan over the head of the grid."""
+    bound = F.greatest(F.lit(max_rows - 1), F.coalesce(declared.agg(F.max("header_row").alias("m")).scalar(), F.lit(0))).cast("bigint")
     decl = declared.select("source_file", F.col("header_row").cast("bigint").alias("__decl"))
     head = (grid.filter(F.col("row_idx") <= bound).withColumn("cells", number_repeats(F.col("cells")))
             .join(decl, "source_file"))
@@ -166,44 +195,22 @@ def resolve_headers(grid: DataFrame, declared: DataFrame, profile: IngestProfile
     score = F.size(F.filter(F.arrays_zip("cells", "keys"),
                             lambda z: z["cells"].isNotNull() & F.element_at(amap, z["keys"]).isNotNull()))
     rows = keyed.select("source_file", "row_idx", "__decl", names.alias("names"), score.alias("score"))
-    per_file = rows.groupBy("source_file").agg(
-        F.max(F.when(F.col("row_idx") == F.col("__decl"), F.struct("row_idx", "names"))).alias("declared"),
-        F.max(F.when((F.col("row_idx") < max_rows) & (F.col("score") > 0),
-                     F.struct("score", (-F.col("row_idx")).alias("neg"), "row_idx", "names"))).alias("best"))
-    got = {r["source_file"]: r for r in per_file.collect()}  # one row per file: header metadata only
-    required = set(profile.required)
-    resolved, fallback, errors = [], [], {}
-    for d in sorted(declared_rows, key=lambda r: r["source_file"]):
-        f = d["source_file"]
-        r = got.get(f)
-        dec = r["declared"] if r is not None else None
-        best = r["best"] if r is not None else None
-        row, cols = (dec["row_idx"], list(dec["names"])) if dec is not None else (d["header_row"], None)
-        if cols is None or not required <= set(cols):
-            if best is not None and best["score"] >= min_score and best["row_idx"] != d["header_row"]:
-                row, cols = best["row_idx"], list(best["names"])
-                fallback.append(f)
-        if cols is None:
-            errors[f] = f"required columns missing for profile '{profile.name}': header row {row} not found in the file"
-            continue
-        miss = [c for c in profile.required if c not in set(cols)]
-        dups = sorted({n for n in cols if cols.count(n) > 1})
-        if miss:
-            errors[f] = (f"required columns missing for profile '{profile.name}': missing {miss}; "
-                         f"available {sorted(set(cols))}")
-        elif dups:
-            errors[f] = f"headers mapping to the same name {dups}"
-        else:
-            resolved.append((f, int(row), cols, len(cols)))
-    if errors and strict:
-        raise HeaderError("\n".join(f"{f}: {m}" for f, m in sorted(errors.items())))
-    order: dict[str, tuple[int, int]] = {}
-    for fi, (_, _, cols, _) in enumerate(resolved):
-        for pos, c in enumerate(cols):
-            order.setdefault(c, (fi, pos))
-    columns = sorted(order, key=lambda n: order[n])
-    frame = spark.createDataFrame(resolved, "source_file string, header_row bigint, names array<string>, width int")
-    return ResolvedHeaders(frame, columns, sorted(set(fallback) - set(errors)), errors)
+    required = F.array(*[F.lit(c) for c in profile.required]).cast("array<string>")
+    is_declared = F.coalesce(F.col("row_idx") == F.col("__decl"), F.lit(False))
+    serves = is_declared & (F.size(F.array_except(required, "names")) == 0)
+    scores = (F.col("row_idx") < max_rows) & (F.col("score") >= min_score)
+    # the declared row if it serves, else the row that scores best (which may be the declared one), else the declared row
+    first = _first_per_file(rows.filter(is_declared | scores), serves.desc(), scores.desc(), F.when(scores, F.col("score")).desc(), F.col("row_idx").asc())
+    chosen = first.withColumn("missing", F.array_except(required, "names"))
+    quoted = lambda a: F.concat(F.lit("['"), F.array_join(a, "', '"), F.lit("']"))
+    lacks = F.lit(f"required columns missing for profile '{profile.name}': ")
+    twice = F.array_sort(F.array_distinct(F.filter("names", lambda x: F.size(F.filter(F.col("names"), lambda y: y == x)) > 1)))
+    error = (F.when(F.col("row_idx").isNull(), F.concat(lacks, F.lit("header row "), F.coalesce(F.col("d").cast("string"), F.lit("None")), F.lit(" not found in the file")))
+             .when(F.size("missing") > 0, F.concat(lacks, F.lit("missing "), quoted(F.col("missing")), F.lit("; available "), quoted(F.array_sort(F.array_distinct("names")))))
+             .when(F.size(F.array_distinct("names")) < F.size("names"), F.concat(F.lit("headers mapping to the same name "), quoted(twice))))
+    every = decl.select("source_file", F.col("__decl").alias("d")).join(chosen, "source_file", "left")
+    return every.select("source_file", F.col("row_idx").alias("header_row"), "names", F.size("names").alias("width"),
+                        (~F.col("row_idx").eqNullSafe(F.col("d"))).alias("fallback"), error.alias("error"))
 
 
 def number_repeats(cells: Column) -> Column:
@@ -257,17 +264,18 @@ def add_lineage(df: DataFrame, run_id: str, source_url: Column | str | None = No
 
 
 def extract(grid: DataFrame, catalog: DataFrame, profile: IngestProfile, run_id: str,
-            ingested_at: Column | None = None, strict: bool = True) -> tuple[DataFrame, ResolvedHeaders]:
+            ingested_at: Column | None = None, strict: bool = True, head: DataFrame | None = None) -> tuple[DataFrame, ResolvedHeaders]:
     """Catalog -> headers -> rows -> lineage for one profile.
 
     ``catalog`` has ``filename``, ``header_row``, ``url`` and ``perfil``;
-    only files of ``profile`` are read.  Returns the Bronze-ready rows and
+    only files of ``profile`` are read (their ``head`` for the headers, where
+    given).  Returns the Bronze-ready rows and
     the resolved headers (for the mapped-column report).
     """
     cat = (catalog.filter(F.col("perfil") == profile.name)
            .select(F.col("filename").alias("source_file"), "header_row", "url"))
     grid = grid.join(cat.select("source_file"), "source_file", "left_semi")
-    resolved = resolve_headers(grid, cat.select("source_file", "header_row"), profile, strict=strict)
+    resolved = resolve_headers(grid, cat.select("source_file", "header_row"), profile, strict=strict, head=head)
     rows = extract_rows(grid, resolved, profile.key)
     rows = rows.join(cat.select(F.col("source_file").alias("_source_file"), "url"), "_source_file")
     out = add_lineage(rows, run_id, F.col("url"), ingested_at).drop("url")

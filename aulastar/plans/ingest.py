@@ -27,13 +27,14 @@ class ProfileLoad:
 
 
 def ingest_profile(grid: DataFrame, catalog: DataFrame, profile: IngestProfile, root: str, run_id: str,
-                   ingested_at: Column | None = None) -> ProfileLoad:
+                   ingested_at: Column | None = None, head: DataFrame | None = None) -> ProfileLoad:
     """Extract every catalog file of ``profile`` from the grid and replace
     those files in ``{root}/bronze/{profile.table}``; log under
-    ``{root}/bronze/ingestion_log``.  A file without a usable header or
+    ``{root}/bronze/ingestion_log``.  ``head`` is the beginning of the grid,
+    where it can be read alone.  A file without a usable header or
     without rows fails alone: it is logged ``failed`` and named in ``error``,
     the others are loaded."""
-    rows, resolved = extract(grid, catalog, profile, run_id, ingested_at, strict=False)
+    rows, resolved = extract(grid, catalog, profile, run_id, ingested_at, strict=False, head=head)
     files = [(r["filename"], r["url"], r["anio"]) for r in
              catalog.filter(F.col("perfil") == profile.name).select("filename", "url", "anio").collect()]  # catalog
     bad = [f for f in files if f[0] in resolved.errors]
@@ -60,8 +61,8 @@ def log_path(root: str) -> str:
 
 
 def backfill(grid: DataFrame, catalog: DataFrame, root: str, run_id: str,
-             profiles: dict[str, IngestProfile] | None = None, ingested_at: Column | None = None
-             ) -> list[ProfileLoad]:
+             profiles: dict[str, IngestProfile] | None = None, ingested_at: Column | None = None,
+             head: DataFrame | None = None) -> list[ProfileLoad]:
     """Every year x every profile of the catalog; a failing profile is
     recorded and the others still run (the summary fires regardless)."""
     profiles = PROFILES if profiles is None else profiles
@@ -71,7 +72,7 @@ def backfill(grid: DataFrame, catalog: DataFrame, root: str, run_id: str,
         if name not in profiles:
             continue
         try:
-            out.append(ingest_profile(grid, catalog, profiles[name], root, run_id, ingested_at))
+            out.append(ingest_profile(grid, catalog, profiles[name], root, run_id, ingested_at, head))
         except Exception as e:  # noqa: BLE001 - summary reports it
             out.append(ProfileLoad(name, [], None, str(e)))  # type: ignore[arg-type]
     return out

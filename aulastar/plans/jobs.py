@@ -20,7 +20,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aulastar.config import DOMAIN, PROFILES, SourceEntry, StarConfig, default_catalog
+from aulastar.config import DOMAIN, HEADER_SCAN_ROWS, PROFILES, SourceEntry, StarConfig, default_catalog
 from aulastar.operators import quality
 from aulastar.operators.relational import persisted
 from aulastar.plans.build import BuildResult, build_all
@@ -28,7 +28,7 @@ from aulastar.plans.ingest import ProfileLoad, backfill, ingest_profile, log_pat
 from aulastar.session import path_exists
 from aulastar.sinks import bronze as sink
 from aulastar.sources.catalog import catalog_frame, validate_year
-from aulastar.sources.grid import read_csv_grid
+from aulastar.sources.grid import read_csv_grid, read_csv_head
 from aulastar.sources.seed import load_seed
 from aulastar.sources.tables import Layout, publish
 
@@ -48,6 +48,12 @@ def _files(landing: str, entries: Sequence[SourceEntry]) -> list[str]:
     return [f"{landing.rstrip('/')}/{e.filename}" for e in entries]
 
 
+def _read(spark: SparkSession, files: list[str], entries: Sequence[SourceEntry]) -> tuple[DataFrame, DataFrame]:
+    """The files' grid, and its rows down to the last that can be a header."""
+    rows = max([HEADER_SCAN_ROWS, *(e.header_row + 1 for e in entries if e.header_row is not None)])
+    return read_csv_grid(spark, files), read_csv_head(spark, files, rows)
+
+
 def ingest_year(spark: SparkSession, landing: str, root: str, anio: int, run_id: str,
                 entries: Sequence[SourceEntry] | None = None, cfg: StarConfig = DOMAIN) -> YearIngest:
     entries = list(default_catalog(landing, ".csv") if entries is None else entries)
@@ -55,10 +61,10 @@ def ingest_year(spark: SparkSession, landing: str, root: str, anio: int, run_id:
     year_entries = [e for e in entries if e.anio == y]
     cat = catalog_frame(spark, year_entries)
     loads, errors = [], {}
-    grid = read_csv_grid(spark, _files(landing, year_entries))
+    grid, head = _read(spark, _files(landing, year_entries), year_entries)
     for e in sorted(year_entries, key=lambda e: e.perfil):  # profiles are independent loads
         try:
-            loads.append(ingest_profile(grid, cat, PROFILES[e.perfil], root, run_id))
+            loads.append(ingest_profile(grid, cat, PROFILES[e.perfil], root, run_id, head=head))
         except Exception as exc:  # noqa: BLE001 - the other profile still loads; reported below
             errors[e.perfil] = str(exc)
     errors |= {pl.profile: pl.error for pl in loads if pl.error}
@@ -87,8 +93,8 @@ def backfill_all(spark: SparkSession, landing: str, root: str, run_id: str,
                  source_file=e.filename, status="failed", error="source file not found") for e in missing])
     loads = []
     if present:
-        grid = read_csv_grid(spark, _files(landing, present))
-        loads = backfill(grid, catalog_frame(spark, present), root, run_id)
+        grid, head = _read(spark, _files(landing, present), present)
+        loads = backfill(grid, catalog_frame(spark, present), root, run_id, head=head)
     status = sink.ingestion_status(spark.read.parquet(log_path(root))).filter(F.col("dag_run_id") == run_id)
     return loads, sink.backfill_summary(status)
 

@@ -27,8 +27,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from aulastar.sources.records import cut_records, leaves_open, split_cells
+from aulastar.sources.records import RECORDS, cut_heads, cut_records, leaves_open, split_cells, with_functions
 
+WHOLE_FILE = 1 << 40   # bytes of a partition, and of opening one: no two files share one, none is split below a TB
 GRID_SCHEMA = "source_file string, row_idx bigint, cells array<string>"
 
 
@@ -43,13 +44,43 @@ def read_csv_grid(spark: SparkSession, paths: str | list[str], sep: str = ",", e
     return records_grid(lines, sep, encoding, splittable)
 
 
+def read_csv_head(spark: SparkSession, paths: str | list[str], rows: int, sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
+    """The first ``rows`` rows of every file's grid, without scanning the
+    files: each file is one partition and its task stops reading after them.
+
+    That takes two scan settings of its own, so the lines are read in a session
+    that shares everything but those.  A record that is still open after the
+    last row wanted is left out, as is one that never closes."""
+    own = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if own.conf.isModifiable(k):
+            own.conf.set(k, v)
+    own.conf.set("spark.sql.files.maxPartitionBytes", str(WHOLE_FILE))
+    own.conf.set("spark.sql.files.openCostInBytes", str(WHOLE_FILE))
+    lines = own.read.text(paths).select(
+        F.col("_metadata.file_name").alias("source_file"), F.col("_metadata.file_path").alias("__file"),
+        F.col("_metadata.file_block_start").alias("__block"), F.col("value"))
+    lines = with_functions(_decoded(lines, encoding), sep).filter("__block = 0")
+    cut = lines.select("source_file", "__file", "__block", "value", "__s", "__q").mapInArrow(cut_heads(rows), RECORDS)
+    return _cells(cut, sep)
+
+
 def records_grid(lines: DataFrame, sep: str = ",", encoding: str = "UTF-8", splittable: bool = False) -> DataFrame:
     """``(source_file, __file, __block, __id, value)`` lines -> the cell grid of
     their records.  Files are told apart by path (``__file``), as folders may hold files of one name."""
-    if encoding.upper() not in ("UTF-8", "UTF8"):
-        lines = lines.withColumn("value", F.decode(F.col("value").cast("binary"), encoding))
+    lines = _decoded(lines, encoding)
     # a line is a record: quotes that it leaves open are text
     records = with_row_index(lines).withColumn("plain", leaves_open(F.col("value"), sep)) if splittable else cut_records(lines, sep)
+    return _cells(records, sep)
+
+
+def _decoded(lines: DataFrame, encoding: str) -> DataFrame:
+    if encoding.upper() in ("UTF-8", "UTF8"):
+        return lines
+    return lines.withColumn("value", F.decode(F.col("value").cast("binary"), encoding))
+
+
+def _cells(records: DataFrame, sep: str) -> DataFrame:
     text = F.when(F.col("row_idx") == 0, F.regexp_replace("value", "^\ufeff", "")).otherwise(F.col("value"))
     cells = split_cells(text, sep, F.col("plain"))
     return records.select("source_file", "row_idx", trim_trailing_nulls(cells).alias("cells"))

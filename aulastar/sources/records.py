@@ -252,6 +252,31 @@ def cut_records(lines: DataFrame, sep: str = ",") -> DataFrame:
     return whole.select(*columns).unionByName(joined)
 
 
+def cut_heads(rows: int):
+    """The first ``rows`` records of every file, from lines of files that are each one partition: nothing is read beyond them."""
+    def run(batches):
+        for b in cut(_until(batches, rows)):
+            keep = (_column(b, "row_idx").to_numpy() < rows) & ~_column(b, "part").is_valid().to_numpy(zero_copy_only=False)
+            yield b.filter(pa.array(keep))
+
+    def _until(batches, rows):
+        """Lines up to the one that closes the last record wanted."""
+        key, open_, begun = None, False, 0
+        for b in batches:
+            file, block = _column(b, "__file").to_pylist(), _column(b, "__block").to_pylist()
+            s, q = (_column(b, c).to_numpy(zero_copy_only=False).astype(bool) for c in ("__s", "__q"))
+            for a, z in _runs(file, block):
+                if key != file[a]:
+                    key, open_, begun = file[a], False, 0
+                before, open_ = states(s[a:z], q[a:z], open_)
+                begun += int((~before).sum())
+            n = b.num_rows
+            yield b.append_column("entry", pa.array(np.zeros(n, dtype=bool))).append_column("first", pa.array(np.zeros(n, dtype=np.int64))).append_column("plain_from", pa.nulls(n, pa.int64()))
+            if begun > rows:
+                return
+    return run
+
+
 def split_cells(record: Column, sep: str = ",", plain: Column | None = None) -> Column:
     """The cells of a record: what quotes enclose, doubled quotes as one, then what follows the closing quote; quotes elsewhere are text, as
     all are in a ``plain`` record.  The reader's missing-value tokens are null."""
