@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from aulastar.config import PROFILES, IngestProfile
 from aulastar.operators.ingest import ResolvedHeaders, extract, mapped_report, map_columns, header_cells
-from aulastar.sinks.bronze import EmptyLoadError, LoadResult, load_to_bronze, log_events, table_path
+from aulastar.sinks.bronze import EmptyLoadError, LoadResult, load_to_bronze, log_events, recover_loads, table_path
 
 
 @dataclass
@@ -33,7 +33,8 @@ def ingest_profile(grid: DataFrame, catalog: DataFrame, profile: IngestProfile,
     ``{root}/bronze/ingestion_log``.  ``head`` is the beginning of the grid,
     where it can be read alone.  A file without a usable header or
     without rows fails alone: it is logged ``failed`` and named in ``error``,
-    the others are loaded."""
+    the others are loaded.  Earlier loads whose driver died are closed first."""
+    recover_loads(grid.sparkSession, table_path(root, "bronze", profile.table), log_path(root), profile.name)
     rows, resolved = extract(grid, catalog, profile, run_id, ingested_at, strict=False, head=head)
     files = [(r["filename"], r["url"], r["anio"]) for r in
              catalog.filter(F.col("perfil") == profile.name).select("filename", "url", "anio").collect()]  # catalog

@@ -593,6 +593,11 @@ ORACLE.update({
 SELECT COUNT(*) AS filas, 11 + 5 AS columnas, 5 AS columnas_linaje,
        COUNT(*) FILTER (WHERE upper(departamento_domicilio_ies) LIKE {_q(C.place_pattern)}) AS filas_en_lugar
 FROM m_raw""",
+    "k9_recovered_loads": _orders("""
+SELECT _source_file AS source_file, CASE WHEN y % 3 = 0 THEN 'failed' ELSE 'success' END AS status,
+       CASE WHEN y % 3 <> 0 THEN COUNT(*) END AS rows_ingested, CASE WHEN y % 3 <> 0 THEN COUNT(*) END AS en_manifiesto,
+       CASE WHEN y % 3 = 0 THEN 'the load ended without a commit' END AS motivo
+FROM ext2 GROUP BY _source_file, y"""),
     "k9_load_history": _orders(f"""
 SELECT 'matriculados' AS perfil, CAST(y AS INTEGER) AS anio,
        CASE WHEN y = {RELOAD_YEAR} THEN COUNT(*) FILTER (WHERE sector_ies = 'F') ELSE COUNT(*) END AS filas,

@@ -24,6 +24,7 @@ from aulastar.plans.ingest import backfill, log_path
 from aulastar.plans.ingest_bindings import DOCS_PROFILE, documents, documents_grid, orders_catalog, orders_grid
 from aulastar.session import BUILD_LOCK, remove_at_exit, shared_path
 from aulastar.sinks import bronze as sink
+from aulastar.sinks import manifest
 from aulastar.sources.catalog import available_years, workload
 from aulastar.sources.grid import read_csv_grid
 from aulastar.sources.seed import read_seed
@@ -154,6 +155,32 @@ def _run_spoilt(spark: SparkSession, d: str, root: str) -> None:
     backfill(grid, orders_catalog(spark, d), root, "run-1")
 
 
+def _run_dead(spark: SparkSession, d: str, root: str) -> None:
+    """Loads whose driver died: by rule on the year, before the data were written, before the manifest, or before the log; closed by
+    the next run's recovery."""
+    grid, cat, prof = orders_grid(spark, d), orders_catalog(spark, d), PROFILES["matriculados"]
+    path, log = sink.table_path(root, "bronze", prof.table), log_path(root)
+    rows, _ = ingest.extract(grid, cat, prof, "run-1")
+    rows = sink.conform(rows)
+    files = cat.select("filename", "url", "anio").collect()  # catalog
+    sink.log_events(spark, log, [dict(log_id=f"load-{r['anio']}", run_id="run-1", perfil=prof.name, anio=r["anio"], source_url=r["url"],
+                                      source_file=r["filename"], status="running") for r in files])
+    some = cat.filter(F.col("anio") % 3 != 0).select(F.col("filename").alias("_source_file"))
+    wrote = sink.replace_files(rows.join(some, "_source_file", "left_semi").select(*rows.columns), path)
+    known = {r["filename"]: r["anio"] for r in files if r["anio"] % 3 == 2 and r["filename"] in wrote}
+    counts = manifest.stored_rows(spark, path, known).groupBy("_source_file").count().collect()  # files of the load
+    manifest.commit(spark, path, [(f"load-{known[r['_source_file']]}", r["_source_file"], r["count"], "run-1") for r in counts], rows.columns)
+    sink.recover_loads(spark, path, log, prof.name, stale_after="0 seconds")
+
+
+def _k9_recovered(spark, d):
+    root = _once(spark, d, _run_dead)
+    status = sink.ingestion_status(spark.read.parquet(log_path(root)))
+    known = manifest.current(manifest.read_manifest(spark, sink.table_path(root, "bronze", PROFILES["matriculados"].table)))
+    return status.join(known.select("source_file", F.col("rows").alias("en_manifiesto")), "source_file", "left").select(
+        "source_file", "status", "rows_ingested", "en_manifiesto", F.col("error_message").alias("motivo"))
+
+
 def _s18_spoilt(spark, d):
     root = _once(spark, d, _run_spoilt)
     status = sink.ingestion_status(spark.read.parquet(log_path(root)))
@@ -290,6 +317,7 @@ def ingest_registry() -> dict:
         "k2_schema_evolution": _k2,
         "k3_replace_by_file": _k3,
         "k9_log_status": _k9,
+        "k9_recovered_loads": _k9_recovered,
         "k10_validate_load": _k10,
         "k15_duplicate_audit": _k15,
         "s4_csv_scan": _s4_csv,

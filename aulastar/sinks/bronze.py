@@ -4,12 +4,15 @@ Layout: one parquet table per profile at ``{root}/bronze/{table}``,
 partitioned by ``_source_file``.  A load replaces exactly the files it
 carries (dynamic partition overwrite) and leaves the others alone, so
 reloading never accumulates rows (K3).  Schema evolution is additive: a new
-file may bring new columns, which older files read as null (K2, read with
-``mergeSchema``).  The write is one Spark commit per load, so a failed load
-leaves no half-written file behind.
+file may bring new columns, which older files read as null (K2).  The write is
+one Spark commit per load, so a failed load leaves no half-written file behind.
+Then the load adds its rows to the table's manifest
+(:mod:`aulastar.sinks.manifest`), which knows the rows of every file and the
+columns of the table: neither a load nor a read opens another file's partition.
 
 The ingestion log is an append-only event table (``running`` -> ``success``
-/ ``failed``); the status of a load is its latest event (K9).
+/ ``failed``); the status of a load is its latest event (K9).  A load whose
+driver died stays ``running`` until the next one closes it (``recover_loads``).
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from pyspark.sql import types as T
 from aulastar.config import LINEAGE_COLUMNS
 from aulastar.functions import matches_place, truncate
 from aulastar.session import path_exists
+from aulastar.sinks import manifest
 
 LOG_SCHEMA = T.StructType([
     T.StructField("id", T.StringType()),
@@ -59,18 +63,21 @@ def table_path(root: str, layer: str, table: str) -> str:
 
 
 def read_bronze(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
-    """K2: read with ``mergeSchema`` so columns added by later files show up
-    (null for older files).  With a known ``schema`` (e.g.
-    ``bronze_schema(columns)``) no footer is read to merge schemas, which
-    matters with very many files; columns a file lacks still read as null.
-    ``None`` when the table does not exist yet."""
+    """K2: every column that any load brought, as the manifest (or the caller's
+    ``schema``, e.g. ``bronze_schema(columns)``) knows them; columns a file
+    lacks read as null.  No footers are merged.  A table written without a
+    manifest reads with the columns of its files (``manifest.adopt`` gives it
+    one).  ``None`` when the table does not exist yet."""
     if not path_exists(spark, path):
         return None
-    if schema is not None:
-        part = T.StructField("_source_file", T.StringType())
-        fields = [f for f in schema.fields if f.name != "_source_file"] + [part]
-        return spark.read.schema(T.StructType(fields)).parquet(path)
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    if schema is None:
+        known = manifest.read_manifest(spark, path)
+        if known is None:
+            return spark.read.parquet(path)
+        schema = bronze_schema(manifest.known_columns(known))
+    part = T.StructField("_source_file", T.StringType())
+    fields = [f for f in schema.fields if f.name != "_source_file"] + [part]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
 def conform(df: DataFrame) -> DataFrame:
@@ -115,22 +122,43 @@ class EmptyLoadError(ValueError):
         self.loaded = list(loaded)
 
 
-def _rows_by_file(spark: SparkSession, path: str, names: DataFrame) -> dict[str, int]:
-    """Stored rows of the named files: partition values and row counts only,
-    one row per file to the driver."""
-    if not path_exists(spark, path):
+def _rows_by_file(spark: SparkSession, path: str, files: Sequence[str], run_id: str | None = None) -> dict[str, int]:
+    """Stored rows of the named files (of one run), counted in their own
+    partitions: one row per file to the driver."""
+    rows = manifest.stored_rows(spark, path, files)
+    if rows is None:
         return {}
-    stored = spark.read.schema("_row_hash string, _source_file string").parquet(path)
-    rows = stored.groupBy("_source_file").agg(F.count(F.lit(1)).alias("n")).join(names, "_source_file", "left_semi")
-    return {r["_source_file"]: int(r["n"]) for r in rows.collect()}
+    if run_id is not None:
+        rows = rows.filter(F.col("_dag_run_id") == run_id)
+    return {r["_source_file"]: int(r["n"]) for r in rows.groupBy("_source_file").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def _rows_before(spark: SparkSession, path: str, names: DataFrame, files: Sequence[str]) -> dict[str, int]:
+    """Rows of the named files before a load: what the manifest says, or a
+    count of their own partitions in a table without one."""
+    known = manifest.read_manifest(spark, path)
+    if known is None:
+        return _rows_by_file(spark, path, files)
+    mine = known.join(names.withColumnRenamed("_source_file", "source_file"), "source_file", "left_semi")
+    return {r["source_file"]: int(r["rows"]) for r in manifest.current(mine).select("source_file", "rows").collect()}
+
+
+def replace_files(data: DataFrame, path: str) -> set[str]:
+    """K3: replace the files that ``data`` has rows of, in one commit; returns
+    them.  The write observes them: a file without rows is not touched by the
+    dynamic overwrite and still holds an earlier load."""
+    obs = Observation("bronze_load")
+    (data.observe(obs, F.collect_set("_source_file").alias("files")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("_source_file").parquet(path))
+    return set(obs.get["files"] or [])
 
 
 def load_to_bronze(df: DataFrame, path: str, log_path: str, perfil: str, run_id: str,
                    anio: int | None = None, files: Sequence[tuple[str, str | None]] | None = None
                    ) -> list[LoadResult]:
-    """K5: log start -> count rows being replaced -> replace the files the
-    frame carries -> count rows written -> log success (or failure, then
-    re-raise).  Returns one result per source file.
+    """K5: log start -> look up the rows being replaced -> replace the files the
+    frame carries -> count rows written -> add them to the manifest -> log
+    success (or failure, then re-raise).  Returns one result per source file.
 
     ``files`` lists ``(source_file, source_url)`` or ``(source_file,
     source_url, year)`` when the caller knows them (the catalog does);
@@ -157,16 +185,10 @@ def load_to_bronze(df: DataFrame, path: str, log_path: str, perfil: str, run_id:
     log_events(spark, log_path, [ev(f, url, "running") for f, url in files])
     try:
         names = spark.createDataFrame([(f,) for f, _ in files], "_source_file string")
-        deleted = _rows_by_file(spark, path, names)
-        # one way for any number of files: the write observes which files have
-        # rows (a file without is not touched by the dynamic overwrite and
-        # still holds an earlier load); their written partitions are counted
-        obs = Observation("bronze_load")
-        data = df.join(names, "_source_file", "left_semi").select(*df.columns)
-        (data.observe(obs, F.collect_set("_source_file").alias("files")).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("_source_file").parquet(path))
-        wrote = set(obs.get["files"] or [])
-        inserted = {f: n for f, n in _rows_by_file(spark, path, names).items() if f in wrote}
+        deleted = _rows_before(spark, path, names, [f for f, _ in files])
+        wrote = replace_files(df.join(names, "_source_file", "left_semi").select(*df.columns), path)
+        inserted = _rows_by_file(spark, path, sorted(wrote))
+        manifest.commit(spark, path, [(ids[f], f, n, run_id) for f, n in sorted(inserted.items())], df.columns)
     except Exception as e:  # K8: log and re-raise
         log_events(spark, log_path, [ev(f, url, "failed", error=str(e)) for f, url in files])
         raise
@@ -185,6 +207,37 @@ def load_to_bronze(df: DataFrame, path: str, log_path: str, perfil: str, run_id:
     return out
 
 
+def recover_loads(spark: SparkSession, path: str, log_path: str, perfil: str, stale_after: str = "6 hours") -> int:
+    """Close the loads of ``perfil`` whose driver died: ``success`` where the
+    data were committed, else ``failed``.  Returns how many were closed.
+
+    A load is committed if the manifest has it, or if its files' partitions
+    hold rows of its run (it died before the manifest, which then gets them).
+    Loads younger than ``stale_after`` may still run and are left alone; one
+    closed too early corrects that itself, as the latest event counts."""
+    if not path_exists(spark, log_path):
+        return 0
+    dead = manifest.unfinished(spark.read.schema(LOG_SCHEMA).parquet(log_path), perfil, stale_after).collect()  # files of dead loads
+    if not dead:
+        return 0
+    known = manifest.read_manifest(spark, path)
+    wanted = spark.createDataFrame([(r["id"],) for r in dead], "load_id string")
+    rows = {} if known is None else {r["load_id"]: r["rows"] for r in known.join(wanted, "load_id", "left_semi").select("load_id", "rows").collect()}
+    lost = [r for r in dead if r["id"] not in rows]
+    for run in sorted({r["dag_run_id"] for r in lost}):
+        mine = [r for r in lost if r["dag_run_id"] == run]
+        found = _rows_by_file(spark, path, [r["source_file"] for r in mine], run)
+        late = [(r["id"], r["source_file"], found[r["source_file"]], run) for r in mine if r["source_file"] in found]
+        if late:
+            manifest.commit(spark, path, late, manifest.stored_columns(spark, path, [e[1] for e in late]))
+            rows |= {e[0]: e[2] for e in late}
+    log_events(spark, log_path, [
+        dict(log_id=r["id"], run_id=r["dag_run_id"], perfil=perfil, anio=r["anio"], source_url=r["source_url"], source_file=r["source_file"],
+             status="success" if r["id"] in rows else "failed", rows=rows.get(r["id"]),
+             error=None if r["id"] in rows else "the load ended without a commit") for r in dead])
+    return len(dead)
+
+
 def ingestion_status(log: DataFrame) -> DataFrame:
     """K9: the latest event of every load (``id``): when, how many rows,
     whether it failed.  A load has at most a handful of events, so the

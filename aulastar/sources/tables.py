@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from aulastar.plans.star import GOLD_TABLES, Star
+from aulastar.sinks.bronze import read_bronze
 
 
 def schema_name(custom: str | None, default: str = "public") -> str:
@@ -32,8 +33,8 @@ class Layout:
         return f"{self.root.rstrip('/')}/{schema_name(layer)}/{table}"
 
     def source(self, spark: SparkSession, table: str, layer: str | None = None) -> DataFrame:
-        """A declared source table (Bronze by default), schema merged."""
-        return spark.read.option("mergeSchema", "true").parquet(self.path(layer or self.bronze, table))
+        """A declared source table (Bronze by default) with all its columns."""
+        return read_bronze(spark, self.path(layer or self.bronze, table))
 
 
 def register_views(spark: SparkSession, star: Star, prefix: str = "") -> list[str]:
