@@ -56,3 +56,45 @@ def test_schema_routing():
     from aulastar.sources.tables import schema_name
     assert schema_name(" gold ") == "gold" and schema_name(None) == "public" and schema_name("") == "public"
     assert Layout("/w").path(None, "t") == "/w/public/t" and Layout("/w").path("silver", "t") == "/w/silver/t"
+
+
+def test_a_join_during_publishing_sees_one_build(spark, tmp_root):
+    import os
+    import threading
+
+    from pyspark.sql import functions as F
+
+    from aulastar.plans.star import GOLD_TABLES
+    from aulastar.sources.tables import Layout, open_gold, publish
+    lay = Layout(tmp_root, gold="gold_snapshots")
+    builds = [f"{tmp_root}/builds/b{k}" for k in range(9)]
+    for k, root in enumerate(builds):
+        for t in GOLD_TABLES:
+            spark.range(20).select(F.col("id").alias("k"), F.lit(k).alias("build")).write.parquet(f"{root}/gold/{t}")
+    publish(spark, builds[0], lay, keep=4)
+    stop, seen, mixed = threading.Event(), set(), []
+
+    def read(own):
+        while not stop.is_set():
+            snap = open_gold(own, lay, views="snap_")
+            a, b, c = (f"snap_{t}" for t in GOLD_TABLES)
+            rows = own.sql(f"SELECT {a}.build x, {b}.build y, {c}.build z FROM {a} JOIN {b} USING (k) JOIN {c} USING (k)").distinct().collect()
+            got = {v for r in rows for v in (r.x, r.y, r.z)}
+            seen.update(got)
+            if len(got) != 1 or snap.build != f"gold_snapshots_build_b{got.pop()}":
+                mixed.append(rows)
+
+    readers = [threading.Thread(target=read, args=(spark.newSession(),)) for _ in range(2)]
+    for r in readers:
+        r.start()
+    for root in builds[1:]:
+        publish(spark, root, lay, keep=4)
+        stop.wait(1.0)
+    stop.set()
+    for r in readers:
+        r.join()
+    assert not mixed and len(seen) > 2
+    assert spark.table("gold_snapshots.dim_ies").first().build == 8
+    kept = {d.name for d in spark.catalog.listDatabases() if d.name.startswith("gold_snapshots_build")}
+    assert kept == {f"gold_snapshots_build_b{k}" for k in range(5, 9)}
+    assert [os.path.exists(f"{r}/gold") for r in builds] == [False] * 5 + [True] * 4
