@@ -167,14 +167,15 @@ def resolve_headers(grid: DataFrame, declared: DataFrame, profile: IngestProfile
     decided.write.parquet(path)   # read three times below and by the extraction
     remove_at_exit(spark, path)
     decided = spark.read.schema(decided.schema).parquet(path)
-    errors = {r["source_file"]: r["error"] for r in decided.filter(F.col("error").isNotNull()).select("source_file", "error").collect()}  # failing files
+    odd = decided.filter(F.col("error").isNotNull() | F.col("fallback")).select("source_file", "error").collect()  # files that fail or fall back
+    errors = {r["source_file"]: r["error"] for r in odd if r["error"] is not None}
     if errors and strict:
         raise HeaderError("\n".join(f"{f}: {m}" for f, m in sorted(errors.items())))
     good = decided.filter(F.col("error").isNull())
     place = F.struct("source_file", "pos")
     columns = (good.select("source_file", F.posexplode("names").alias("pos", "name")).groupBy("name").agg(F.min(place).alias("at"))
                .orderBy("at").select("name").collect())   # distinct names
-    fallback = [r["source_file"] for r in good.filter("fallback").select("source_file").orderBy("source_file").collect()]
+    fallback = sorted(r["source_file"] for r in odd if r["error"] is None)
     return ResolvedHeaders(good.select("source_file", "header_row", "names", "width"), [r["name"] for r in columns], fallback, errors)
 
 
@@ -182,10 +183,10 @@ def header_decisions(grid: DataFrame, declared: DataFrame, profile: IngestProfil
                      min_score: int = HEADER_MIN_SCORE) -> DataFrame:
     """``(source_file, header_row, names, width, fallback, error)`` of every
     declared file, as one plan over the head of the grid."""
-    bound = F.greatest(F.lit(max_rows - 1), F.coalesce(declared.agg(F.max("header_row").alias("m")).scalar(), F.lit(0))).cast("bigint")
     decl = declared.select("source_file", F.col("header_row").cast("bigint").alias("__decl"))
-    head = (grid.filter(F.col("row_idx") <= bound).withColumn("cells", number_repeats(F.col("cells")))
-            .join(decl, "source_file"))
+    last = max(max_rows - 1, declared.agg(F.max("header_row")).first()[0] or 0)   # so that only heads are joined
+    head = (grid.filter(F.col("row_idx") <= last).join(decl, "source_file").filter((F.col("row_idx") < max_rows) | (F.col("row_idx") == F.col("__decl")))
+            .withColumn("cells", number_repeats(F.col("cells"))))
     amap = _alias_map(profile.aliases)
     keyed = head.select("source_file", "row_idx", "__decl", "cells",
                         F.transform("cells", lambda x: normalize_header(x)).alias("keys"))

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from aulastar import config as K
 from aulastar.config import DOMAIN, StarConfig
 from aulastar.functions import bool_label, exact_avg, outlier_category, pct_change, ratio_of_sums, trend_label
+from aulastar.operators.percentiles import group_stats, percentiles
 from aulastar.operators.relational import share_of_total
 
 DIM_COLUMNS = ("codigo_snies", "nombre_ies", "sector_ies", "caracter_ies", "es_sue")
@@ -174,25 +175,17 @@ def b14_summary_stats(fact: DataFrame, cfg: StarConfig = DOMAIN) -> DataFrame:
     """Yearly count, mean, median and quartiles of the ratio (A9 exact
     continuous percentiles).
 
-    Ratios have two decimals, so percentiles run on integer hundredths:
-    interpolation of integers at .25/.5/.75 is exact in binary floating
-    point, and the final rounding is done in DECIMAL (half away from zero).
-    ``percentile`` keeps a value->count map per group, so its state grows
-    with the distinct ratio values of a year, not with its rows.
+    Ratios have two decimals, so percentiles run on integer hundredths, by
+    selection (:mod:`aulastar.operators.percentiles`): its state doesn't grow
+    with the values of a year.  Interpolation and rounding are DECIMAL (half
+    away from zero).
     """
     c = cfg
-    cents = (F.col(c.ratio) * 100).cast("long")
-
-    def q(p: float) -> F.Column:
-        return F.round(F.percentile(cents, p).cast("decimal(38,4)") / 100, 2)
-
-    return (fact.filter(F.col(c.flag) == K.FLAG_OK)
-            .groupBy("anio")
-            .agg(F.count(F.lit(1)).alias("num_ies"),
-                 exact_avg(c.ratio).alias("promedio"),
-                 q(0.5).alias("mediana"),
-                 q(0.25).alias("p25"),
-                 q(0.75).alias("p75"))
+    ok = fact.filter(F.col(c.flag) == K.FLAG_OK).select("anio", c.ratio, (F.col(c.ratio) * 100).cast("bigint").alias("__cents"))
+    stats = group_stats(ok, "anio", "__cents", F.count(F.lit(1)).alias("num_ies"), exact_avg(c.ratio).alias("promedio"))
+    at = percentiles(ok, stats, "anio", "__cents", ("0.5", "0.25", "0.75")).withColumnRenamed("anio", "__anio")
+    q = [F.round(F.col(f"p{i}").cast("decimal(38,4)") / 100, 2).alias(n) for i, n in enumerate(("mediana", "p25", "p75"))]
+    return (stats.join(at, F.col("anio").eqNullSafe(F.col("__anio")), "left").select("anio", "num_ies", "promedio", *q)
             .orderBy(F.col("anio").asc_nulls_last()))
 
 
