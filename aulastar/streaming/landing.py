@@ -25,7 +25,10 @@ from aulastar.sinks.bronze import log_events
 from aulastar.sources.grid import records_grid
 
 
-def landing_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
+MAX_FILES = 256   # files of a micro-batch, whose lines are kept while it is read twice
+
+
+def landing_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = MAX_FILES) -> DataFrame:
     """The lines of delimited files landing in ``folder``; each micro-batch is
     a static DataFrame and becomes a cell grid (see
     :func:`aulastar.sources.grid.records_grid`)."""
@@ -38,7 +41,7 @@ def landing_stream(spark: SparkSession, folder: str, max_files_per_trigger: int
 
 def start_landing_ingest(spark: SparkSession, folder: str, catalog: DataFrame, profile: IngestProfile, root: str,
                          checkpoint: str, run_id: str = "stream", sep: str = ",", encoding: str = "UTF-8",
-                         max_files_per_trigger: int | None = None,
+                         max_files_per_trigger: int | None = MAX_FILES,
                          on_batch: Callable[[int, list], None] | None = None):
     """Start the stream; returns the ``StreamingQuery`` (call
     ``awaitTermination`` — it stops by itself after the files present at
