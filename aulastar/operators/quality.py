@@ -113,11 +113,27 @@ def freshness(df: DataFrame, ts_col: str, table: str, warn_days: int, error_days
          .otherwise(F.lit("ok")).alias("status"))
 
 
+@dataclass(frozen=True)
+class KeyRule:
+    """A uniqueness or relationship check as counts per key of ``table``.
+
+    Without ``child`` a key may occur once (with ``nulls``, null is a value
+    like any other; else keys with a null pass); with ``child``, every row of
+    it whose key has no null must find its key in ``table``."""
+
+    table: DataFrame
+    cols: tuple[str, ...]
+    child: DataFrame | None = None
+    child_cols: tuple[str, ...] = ()
+    nulls: bool = False
+
+
 @dataclass(frozen=True)
 class Check:
     """A named check.  Row-level checks also carry their ``source`` table and
     failing-row ``predicate`` so that all of them on one table are counted in
-    a single scan (``count_if`` per check)."""
+    a single scan (``count_if`` per check); key checks carry their ``rule`` so
+    that all of them, on all tables, are counted in one aggregate."""
 
     name: str
     table: str
@@ -127,6 +143,7 @@ class Check:
     params: dict = field(default_factory=dict, compare=False)
     source: DataFrame | None = field(default=None, compare=False)
     predicate: Column | None = field(default=None, compare=False)
+    rule: KeyRule | None = field(default=None, compare=False)
 
 
 def row_check(name: str, table: str, source: DataFrame, predicate: Column, kind: str = "row",
@@ -134,16 +151,97 @@ def row_check(name: str, table: str, source: DataFrame, predicate: Column, kind:
     return Check(name, table, lambda: source.filter(predicate), severity, kind, source=source, predicate=predicate)
 
 
+def unique_check(name: str, table: str, source: DataFrame, col: str, severity: str = "error") -> Check:
+    return Check(name, table, lambda: unique(source, col), severity, "unique", rule=KeyRule(source, (col,)))
+
+
+def unique_combination_check(name: str, table: str, source: DataFrame, cols: Sequence[str],
+                             severity: str = "error") -> Check:
+    return Check(name, table, lambda: unique_combination(source, cols), severity, "unique_combination",
+                 rule=KeyRule(source, tuple(cols), nulls=True))
+
+
+def relationships_check(name: str, table: str, child: DataFrame, col: str, parent: DataFrame, field_: str,
+                        severity: str = "error") -> Check:
+    return Check(name, table, lambda: relationships(child, col, parent, field_), severity, "relationships",
+                 rule=KeyRule(parent, (field_,), child, (col,)))
+
+
+#: Types whose text is one to one, so that keys of different tables can share one column.
+_INTEGRAL = ("tinyint", "smallint", "int", "bigint")
+_EXACT = (*_INTEGRAL, "string", "boolean", "date")
+
+
+def _is_textual(rule: KeyRule) -> bool:
+    """Whether equal keys, and only those, have equal texts."""
+    own = [rule.table.schema[c].dataType.simpleString() for c in rule.cols]
+    other = [rule.child.schema[c].dataType.simpleString() for c in rule.child_cols] if rule.child is not None else own
+    return all(a in _EXACT and (a == b or {a, b} <= set(_INTEGRAL)) for a, b in zip(own, other, strict=True))
+
+
 def _fuse(checks: Sequence[Check]):
-    """Split checks into per-source groups of row-level checks and the rest."""
+    """Split checks into per-source groups of row-level checks, the group of
+    key checks, and the rest."""
     groups: dict[int, list] = {}
-    rest = []
+    keyed, rest = [], []
     for i, ch in enumerate(checks):
         if ch.source is not None and ch.predicate is not None:
             groups.setdefault(id(ch.source), []).append((i, ch))
+        elif ch.rule is not None and _is_textual(ch.rule):
+            keyed.append((i, ch))
         else:
             rest.append((i, ch))
-    return list(groups.values()), rest
+    return list(groups.values()), keyed, rest
+
+
+def key_failures(rules: Sequence[KeyRule]) -> tuple[DataFrame, list[Column]]:
+    """Key checks of any number of tables in one aggregate: a DataFrame, and
+    for every rule the aggregate of it that counts the failures.
+
+    Every table is read once; a row gives one key for each question asked of
+    its table.  The rules on one key of one table share its counts: ``own``
+    rows of the table and ``c0``, ``c1``, ... rows of each child.  Keys are
+    combined map-side, so a hot one costs one row per map task."""
+    domains: dict[tuple, int] = {}
+    children: dict[int, list] = {}
+    slots = []
+    for r in rules:
+        d = domains.setdefault((id(r.table), r.cols), len(domains))
+        mine = children.setdefault(d, [])
+        if r.child is not None:
+            mine.append(r)
+        slots.append((d, len(mine) - 1))
+    width = max(map(len, children.values()))
+
+    def emitted(domain, df, cols, own, slot=None):
+        key = F.array(*[F.col(c).cast("string") for c in cols]).alias("key")
+        counts = [F.lit(int(slot == k)).cast("bigint").alias(f"c{k}") for k in range(width)]
+        return id(df), df, F.struct(F.lit(domain).alias("domain"), key, F.lit(own).cast("bigint").alias("own"), *counts)
+
+    asked: dict[int, tuple] = {}
+    seen = set()
+    for r, (d, slot) in zip(rules, slots, strict=True):
+        if d not in seen:
+            seen.add(d)
+            i, df, row = emitted(d, r.table, r.cols, 1)
+            asked.setdefault(i, (df, []))[1].append(row)
+        if r.child is not None:
+            i, df, row = emitted(d, r.child, r.child_cols, 0, slot)
+            asked.setdefault(i, (df, []))[1].append(row)
+    rows = None
+    for df, structs in asked.values():
+        part = df.select(F.inline(F.array(*structs)))
+        rows = part if rows is None else rows.unionByName(part)
+    tally = rows.groupBy("domain", "key").agg(*[F.sum(c).alias(c) for c in ("own", *(f"c{k}" for k in range(width)))])
+    whole = ~F.exists("key", lambda x: x.isNull())
+    out = []
+    for r, (d, slot) in zip(rules, slots, strict=True):
+        here = F.col("domain") == d
+        if r.child is not None:
+            out.append(F.coalesce(F.sum(F.when(here & whole & (F.col("own") == 0), F.col(f"c{slot}"))), F.lit(0).cast("bigint")))
+        else:
+            out.append(F.count_if(here & (F.col("own") > 1) & (F.lit(True) if r.nulls else whole)))
+    return tally, out
 
 
 def _status(df: DataFrame) -> DataFrame:
@@ -166,7 +264,9 @@ def run_suite(checks: Sequence[Check], store_root: str | None = None, parallelis
     number per check) come back to the driver.  With ``store_root``, the
     failing rows of every check are written to
     ``{store_root}/quality/{check_name}``, replaced on each run - with no rows
-    where the check passes - and counted as they are written.
+    where the check passes - and counted as they are written.  Either way row
+    checks cost one scan per table and key checks one aggregate in all; only
+    checks that fail read their table again, for their rows.
     """
     from concurrent.futures import ThreadPoolExecutor
 
@@ -174,38 +274,52 @@ def run_suite(checks: Sequence[Check], store_root: str | None = None, parallelis
         raise ValueError("no checks to run")
     spark = checks[0].failing().sparkSession
 
-    groups, rest = ([], list(enumerate(checks))) if store_root else _fuse(checks)
-    counts: dict[int, int] = {}
+    groups, keyed, rest = _fuse(checks)
+    counts: dict[int, int | None] = {}
 
-    errors: dict[int, str] = {}
-
-    def fused(group) -> None:
-        src = group[0][1].source
-        try:
-            r = src.agg(*[F.count_if(ch.predicate).alias(f"c{j}") for j, (_, ch) in enumerate(group)]).first()
-        except Exception:  # noqa: BLE001 - one failing table must not stop the suite: check them one by one
-            for item in group:
-                single(item)
-            return
-        for j, (i, _) in enumerate(group):
-            counts[i] = int(r[f"c{j}"])
+    def store(item, failing: DataFrame) -> None:
+        i, ch = item
+        seen = Observation()
+        (failing.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "static").parquet(f"{store_root.rstrip('/')}/quality/{ch.name}"))
+        counts[i] = int(seen.get["n"])
 
     def single(item) -> None:
         i, ch = item
         try:
             if store_root:
-                seen = Observation()
-                (ch.failing().observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
-                 .option("partitionOverwriteMode", "static").parquet(f"{store_root.rstrip('/')}/quality/{ch.name}"))
-                counts[i] = int(seen.get["n"])
+                store(item, ch.failing())
             else:
                 counts[i] = ch.failing().count()
-        except Exception as e:  # noqa: BLE001 - reported as status "error", the suite goes on
+        except Exception:  # noqa: BLE001 - reported as status "error", the suite goes on
             counts[i] = None
-            errors[i] = str(e)
+
+    def fused(group, count) -> None:
+        try:
+            r = count()
+        except Exception:  # noqa: BLE001 - one failing table must not stop the suite: check them one by one
+            for item in group:
+                single(item)
+            return
+        for j, (i, ch) in enumerate(group):
+            counts[i] = int(r[j])
+            if store_root and counts[i]:
+                single((i, ch))
+            elif store_root:
+                spark.createDataFrame([], ch.failing().schema).write.mode("overwrite").option(
+                    "partitionOverwriteMode", "static").parquet(f"{store_root.rstrip('/')}/quality/{ch.name}")
+
+    def by_row(group):
+        return group[0][1].source.agg(*[F.count_if(ch.predicate).alias(f"c{j}") for j, (_, ch) in enumerate(group)]).first()
+
+    def by_key(group):
+        tally, failures = key_failures([ch.rule for _, ch in group])
+        return tally.agg(*failures).first()
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        futures = [pool.submit(fused, g) for g in groups] + [pool.submit(single, it) for it in rest]
+        futures = [pool.submit(fused, g, lambda g=g: by_row(g)) for g in groups] + [pool.submit(single, it) for it in rest]
+        if keyed:
+            futures.append(pool.submit(fused, keyed, lambda: by_key(keyed)))
         for f in futures:
             f.result()
     rows = [(ch.name, ch.table, ch.severity, counts[i]) for i, ch in enumerate(checks)]
@@ -215,14 +329,19 @@ def run_suite(checks: Sequence[Check], store_root: str | None = None, parallelis
 def suite_frame(checks: Sequence[Check]) -> DataFrame:
     """D10 as one lazy DataFrame: the union of one-row counts (one job when
     evaluated)."""
-    groups, rest = _fuse(checks)
-    parts = []
-    for group in groups:  # one scan per source table for all its row-level checks
-        src = group[0][1].source
-        rows = F.array(*[F.struct(F.lit(ch.name).alias("check_name"), F.lit(ch.table).alias("tabla"),
-                                  F.lit(ch.severity).alias("severity"),
-                                  F.count_if(ch.predicate).alias("failures")) for _, ch in group])
-        parts.append(src.agg(rows.alias("r")).select(F.explode("r").alias("r")).select("r.*"))
+    groups, keyed, rest = _fuse(checks)
+
+    def rows(df: DataFrame, group, failures) -> DataFrame:
+        each = F.array(*[F.struct(F.lit(ch.name).alias("check_name"), F.lit(ch.table).alias("tabla"),
+                                  F.lit(ch.severity).alias("severity"), n.alias("failures"))
+                         for (_, ch), n in zip(group, failures, strict=True)])
+        return df.agg(each.alias("r")).select(F.explode("r").alias("r")).select("r.*")
+
+    # one scan per source table for all its row-level checks, one aggregate for all key checks
+    parts = [rows(g[0][1].source, g, [F.count_if(ch.predicate) for _, ch in g]) for g in groups]
+    if keyed:
+        tally, failures = key_failures([ch.rule for _, ch in keyed])
+        parts.append(rows(tally, keyed, failures))
     for _, ch in rest:
         parts.append(ch.failing().agg(F.count(F.lit(1)).alias("failures"))
                      .select(F.lit(ch.name).alias("check_name"), F.lit(ch.table).alias("tabla"),
@@ -259,9 +378,6 @@ def declared_checks(bronze: dict[str, DataFrame], stg_entity: DataFrame, stg_num
     years = list(c.accepted_years)
     out: list[Check] = []
 
-    def add(name, table, kind, fn):
-        out.append(Check(name, table, fn, kind=kind))
-
     def row(name, table, kind, df, pred):
         out.append(row_check(name, table, df, pred, kind))
 
@@ -270,13 +386,13 @@ def declared_checks(bronze: dict[str, DataFrame], stg_entity: DataFrame, stg_num
         for col in (c.code, c.year):
             row(f"not_null_{tname}_{col}", tname, "not_null", df, nn(col))
     row("not_null_stg_ies_codigo_snies", "stg_ies", "not_null", stg_entity, nn("codigo_snies"))
-    add("unique_stg_ies_codigo_snies", "stg_ies", "unique", lambda: unique(stg_entity, "codigo_snies"))
+    out.append(unique_check("unique_stg_ies_codigo_snies", "stg_ies", stg_entity, "codigo_snies"))
     row("not_null_stg_ies_nombre_ies", "stg_ies", "not_null", stg_entity, nn("nombre_ies"))
     for tname, df, total, with_range in (("stg_matriculados", stg_numer, n, True),
                                          ("stg_docentes", stg_denom, d, False)):
         row(f"not_null_{tname}_codigo_snies", tname, "not_null", df, nn("codigo_snies"))
-        add(f"relationships_{tname}_codigo_snies", tname, "relationships",
-            lambda df=df: relationships(df, "codigo_snies", stg_entity, "codigo_snies"))
+        out.append(relationships_check(f"relationships_{tname}_codigo_snies", tname, df, "codigo_snies", stg_entity,
+                                       "codigo_snies"))
         row(f"not_null_{tname}_anio", tname, "not_null", df, nn("anio"))
         row(f"accepted_values_{tname}_anio", tname, "accepted_values", df, av("anio", years))
         row(f"not_null_{tname}_{total}", tname, "not_null", df, nn(total))
@@ -286,15 +402,14 @@ def declared_checks(bronze: dict[str, DataFrame], stg_entity: DataFrame, stg_num
             lo, hi = c.semester_range
             row(f"accepted_range_{tname}_semestres_presentes", tname, "accepted_range", df,
                 accepted_range_predicate("semestres_presentes", lo, hi))
-        add(f"unique_combination_{tname}", tname, "unique_combination",
-            lambda df=df: unique_combination(df, ["codigo_snies", "anio"]))
+        out.append(unique_combination_check(f"unique_combination_{tname}", tname, df, ["codigo_snies", "anio"]))
     sk = seed_columns[0]
     row(f"not_null_seed_{sk}", "seed", "not_null", seed, nn(sk))
-    add(f"unique_seed_{sk}", "seed", "unique", lambda: unique(seed, sk))
+    out.append(unique_check(f"unique_seed_{sk}", "seed", seed, sk))
     for col in seed_columns[1:]:
         row(f"not_null_seed_{col}", "seed", "not_null", seed, nn(col))
     row("not_null_dim_ies_codigo_snies", "dim_ies", "not_null", dim, nn("codigo_snies"))
-    add("unique_dim_ies_codigo_snies", "dim_ies", "unique", lambda: unique(dim, "codigo_snies"))
+    out.append(unique_check("unique_dim_ies_codigo_snies", "dim_ies", dim, "codigo_snies"))
     row("not_null_dim_ies_nombre_ies", "dim_ies", "not_null", dim, nn("nombre_ies"))
     row("accepted_values_dim_ies_sector_ies", "dim_ies", "accepted_values", dim, av("sector_ies", c.sector_accepted))
     row("accepted_values_dim_ies_caracter_ies", "dim_ies", "accepted_values", dim,
@@ -302,13 +417,13 @@ def declared_checks(bronze: dict[str, DataFrame], stg_entity: DataFrame, stg_num
     row("not_null_dim_ies_es_sue", "dim_ies", "not_null", dim, nn("es_sue"))
     row("accepted_values_dim_ies_es_sue", "dim_ies", "accepted_values", dim, av("es_sue", [True, False]))
     row("not_null_dim_tiempo_anio", "dim_tiempo", "not_null", tiempo, nn("anio"))
-    add("unique_dim_tiempo_anio", "dim_tiempo", "unique", lambda: unique(tiempo, "anio"))
+    out.append(unique_check("unique_dim_tiempo_anio", "dim_tiempo", tiempo, "anio"))
     row("accepted_values_dim_tiempo_anio", "dim_tiempo", "accepted_values", tiempo, av("anio", years))
     row("not_null_fact_codigo_snies", "fact", "not_null", fact, nn("codigo_snies"))
-    add("relationships_fact_codigo_snies", "fact", "relationships",
-        lambda: relationships(fact, "codigo_snies", dim, "codigo_snies"))
+    out.append(relationships_check("relationships_fact_codigo_snies", "fact", fact, "codigo_snies", dim,
+                                   "codigo_snies"))
     row("not_null_fact_anio", "fact", "not_null", fact, nn("anio"))
-    add("relationships_fact_anio", "fact", "relationships", lambda: relationships(fact, "anio", tiempo, "anio"))
+    out.append(relationships_check("relationships_fact_anio", "fact", fact, "anio", tiempo, "anio"))
     for total in (n, d):
         row(f"not_null_fact_{total}", "fact", "not_null", fact, nn(total))
         row(f"expression_is_true_fact_{total}", "fact", "expression_is_true", fact,
@@ -317,7 +432,6 @@ def declared_checks(bronze: dict[str, DataFrame], stg_entity: DataFrame, stg_num
         expression_predicate(f"{r} >= 0", f"{r} IS NOT NULL"))
     row(f"not_null_fact_{c.flag}", "fact", "not_null", fact, nn(c.flag))
     row(f"accepted_values_fact_{c.flag}", "fact", "accepted_values", fact, av(c.flag, c.flags))
-    add("unique_combination_fact", "fact", "unique_combination",
-        lambda: unique_combination(fact, ["codigo_snies", "anio"]))
-    add("fact_only_in_place", "fact", "custom", lambda: place_invariant(fact, dim, c.place_pattern))
+    out.append(unique_combination_check("unique_combination_fact", "fact", fact, ["codigo_snies", "anio"]))
+    out.append(Check("fact_only_in_place", "fact", lambda: place_invariant(fact, dim, c.place_pattern), kind="custom"))
     return out

@@ -103,3 +103,31 @@ def test_stored_failures_are_those_of_the_last_run(spark, good, tmp_root):
     assert first[name]["failures"] == stored == 2
     Q.assert_suite(Q.run_suite(checks(m, d, s), tmp_root))
     assert spark.read.parquet(f"{tmp_root}/quality/{name}").count() == 0
+
+
+def test_key_rules_in_one_aggregate(spark):
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (2, None), (2, None), (None, "y"), (None, "y"), (3, "1")], "k int, v string")
+    b = spark.createDataFrame([(1,), (9,), (9,), (None,)], "k bigint")
+    c = spark.createDataFrame([("x",), ("z",), (None,)], "w string")
+    empty = a.limit(0)
+    checks = [Q.unique_check("u", "a", a, "k"), Q.unique_combination_check("uc", "a", a, ["k", "v"]),
+              Q.relationships_check("r1", "b", b, "k", a, "k"), Q.relationships_check("r2", "c", c, "w", a, "v"),
+              Q.relationships_check("r3", "a", a, "k", b, "k"), Q.relationships_check("none", "b", b, "k", empty, "k"),
+              Q.unique_check("empty", "e", empty, "k")]
+    want = {ch.name: ch.failing().count() for ch in checks}
+    assert want == {"u": 2, "uc": 3, "r1": 2, "r2": 1, "r3": 3, "none": 3, "empty": 0}
+    for summary in (Q.run_suite(checks), Q.suite_frame(checks)):
+        assert {r["check_name"]: r["failures"] for r in summary.collect()} == want
+
+
+def test_keys_without_a_faithful_text_are_checked_apart(spark):
+    a = spark.createDataFrame([(0.0,), (-0.0,), (1.0,)], "k double")
+    b = spark.createDataFrame([(1,), (2,)], "k int")
+    checks = [Q.unique_check("u", "a", a, "k"), Q.relationships_check("r", "b", b, "k", a, "k")]
+    assert [r["failures"] for r in Q.run_suite(checks).collect()] == [1, 1]
+
+
+def test_suite_reads_every_table_once_for_its_keys(spark, good):
+    m, d, s = good
+    plan = Q.key_failures([ch.rule for ch in checks(m, d, s) if ch.rule])[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate inline") == 7 and "Join LeftAnti" not in plan
