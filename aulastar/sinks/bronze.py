@@ -283,12 +283,17 @@ def validate_load(bronze: DataFrame, anio: int, place_col: str, pattern: str, ye
 def duplicate_audit(bronze: DataFrame) -> DataFrame:
     """Row hashes seen more than once, with their count and files.
 
-    Counting is a plain hash aggregate over all hashes; the files are
-    gathered for the repeated ones alone."""
-    repeated = bronze.groupBy("_row_hash").agg(F.count(F.lit(1)).alias("n_records")).filter(F.col("n_records") > 1)
-    files = (bronze.select("_row_hash", "_source_file").join(repeated, "_row_hash")
-             .groupBy("_row_hash", "n_records").agg(F.array_sort(F.collect_set("_source_file")).alias("files")))
-    return files.select("_row_hash", "n_records", "files")
+    Two passes: 64-bit keys of all hashes are counted (a row of two longs per
+    key and map task in the shuffle instead of the 32-character hash), then
+    the rows whose key was met again, and only those, are counted by the hash
+    itself, which tells hashes of one key apart."""
+    key = F.xxhash64("_row_hash").alias("__key")
+    again = bronze.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("__key")
+    candidates = bronze.select("_row_hash", "_source_file", key).join(again, "__key", "left_semi")
+    return (candidates.groupBy("_row_hash")
+            .agg(F.count(F.lit(1)).alias("n_records"),
+                 F.array_sort(F.collect_set("_source_file")).alias("files"))
+            .filter(F.col("n_records") > 1))
 
 
 def backfill_summary(status: DataFrame) -> DataFrame:

@@ -241,3 +241,15 @@ def test_read_bronze_with_known_schema(spark, files, tmp_root):
     assert b.count() == 5
     assert b.filter(F.col("_source_file") == "docentes_2022.csv").filter(F.col("columna_nueva").isNotNull()).count() == 0
     assert b.filter(F.col("columna_nueva").isNotNull()).count() == 2
+
+
+def test_duplicate_audit_counts_candidates_only(spark):
+    from aulastar.sinks.bronze import duplicate_audit
+
+    rows = [("a", "f1"), ("a", "f2"), ("a", "f2"), ("b", "f1"), ("c", "f3"), ("c", "f3"), (None, "f1"), (None, "f4")]
+    df = spark.createDataFrame(rows, "_row_hash string, _source_file string")
+    got = {r["_row_hash"]: (r["n_records"], r["files"]) for r in duplicate_audit(df).collect()}
+    assert got == {"a": (3, ["f1", "f2"]), "c": (2, ["f3"]), None: (2, ["f1", "f4"])}
+    assert duplicate_audit(df.limit(0)).collect() == []
+    plan = duplicate_audit(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftSemi" in plan and plan.count("xxhash64") == 2
