@@ -398,6 +398,7 @@ ORACLE.update({
     "d8_place_invariant": _with(_fail_place("NATION_1_%")),
     "d9_freshness": "WITH " + RAW + _FRESH,
     "d10_suite_summary": _suite_sql(),
+    "d10_stored_failures": _suite_sql().replace("SELECT *, CASE WHEN failures = 0", "SELECT *, failures AS stored, CASE WHEN failures = 0"),
 })
 
 

@@ -193,6 +193,18 @@ def _d10(spark, d):
     return quality.suite_frame(tpch_checks(spark, d))
 
 
+def _d10_stored(spark, d):
+    """The suite as ``transform`` runs it: every check's failing rows stored, and counted again where they lie."""
+    root = f"{shared_path(spark, 'aulastar-quality', spark.sparkContext.applicationId)}/{fingerprint(d, spark)}"
+    summary = quality.run_suite(tpch_checks(spark, d), root)
+    remove_at_exit(spark, root)
+    files = spark.read.schema(T.StructType([])).parquet(f"{root}/quality/*")
+    name = F.regexp_extract("_metadata.file_path", "/quality/([^/]+)/", 1)
+    stored = files.groupBy(name.alias("check_name")).agg(F.count(F.lit(1)).alias("n"))
+    return summary.join(stored, "check_name", "left").select(
+        "check_name", "tabla", "severity", "failures", "status", F.coalesce("n", F.lit(0).cast("bigint")).alias("stored"))
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {
         "m1_stg_entity": _m1,
@@ -229,6 +241,7 @@ def registry() -> dict[str, Query]:
         "d8_place_invariant": _d8,
         "d9_freshness": _d9,
         "d10_suite_summary": _d10,
+        "d10_stored_failures": _d10_stored,
     }
     q.update(ingest_registry())
     return q
