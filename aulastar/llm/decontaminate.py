@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aulastar.llm import textops as T
-from aulastar.llm.store import stored
+from aulastar.llm.store import forget, stored
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -192,17 +192,31 @@ def find_leaks(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_c
 
 def decontaminate(docs: DataFrame, bench: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
                   shingle: int = SHINGLE, threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of ``docs`` that hold no item: a filter in the scan for each block of items, no shuffle."""
+    """The rows of ``docs`` that hold no item: a filter in the scan for each block of items, no shuffle.
+
+    What a block leaves is written before the next block is built, and removed once that one has read it, so the driver
+    and a plan hold one block whatever the benchmark's size; the last block (most often the only one) stays lazy."""
     at = docs.columns.index(text_col)
-    for items in blocks(bench, item_id, item_text, block_bytes):
-        block = ItemBlock(items, shingle, threshold)
+    left = None   # written by the block before
+    todo = blocks(bench, item_id, item_text, block_bytes)
+    items = next(todo, None)
+    while items is not None:
+        docs = docs.mapInArrow(_clean(ItemBlock(items, shingle, threshold), at), docs.schema)
+        items = next(todo, None)
+        if items is not None:
+            docs = stored(docs, "clean")
+            if left is not None:
+                forget(left)
+            left = docs
+    return docs
 
-        def run(batches, block=block):
-            for b in batches:
-                for a, e, data, off in T.chunks(b.column(at)):
-                    clean = np.ones(e - a, dtype=bool)
-                    clean[[r for r, _, _ in block.search(data, off)]] = False
-                    yield b.slice(a, e - a).filter(pa.array(clean))
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+def _clean(block: ItemBlock, at: int):
+    def run(batches):
+        for b in batches:
+            for a, e, data, off in T.chunks(b.column(at)):
+                clean = np.ones(e - a, dtype=bool)
+                clean[[r for r, _, _ in block.search(data, off)]] = False
+                yield b.slice(a, e - a).filter(pa.array(clean))
+
+    return run

@@ -106,10 +106,13 @@ def test_short_items_that_open_a_document_are_found():
     assert got >= {(i, i) for i in range(len(items))}
 
 
-def test_decontaminate_keeps_the_rest(spark):
+@pytest.mark.parametrize("block_bytes", [1 << 20, 2000])
+def test_decontaminate_keeps_the_rest(spark, block_bytes):
     docs, items = leak_fixture()
     bad = {d for d, _ in brute.leaks(docs, items)}
-    got = decontaminate.decontaminate(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string"), block_bytes=2000)
+    got = decontaminate.decontaminate(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string"), block_bytes=block_bytes)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1   # one block of items in the plan, however many there are
     assert sorted(r.doc_id for r in got.collect()) == sorted(i for i, _ in docs if i not in bad)
 
 
