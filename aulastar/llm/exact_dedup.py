@@ -1,13 +1,14 @@
 """Exact deduplication with an extendible-hash index on shared files (DataFrame operations only).
 
 1. One scan writes an *entry* per row to the shared folder: 64-bit key, normalised text (white space deleted), its
-   SHA-256, the code points of the original, and the caller's columns.
-2. The directory doubles from one bucket: a histogram of the leading key bits (at most ``2**MAX_DEPTH`` rows, whatever
-   the input) tells which buckets hold more than ``capacity`` entries; those split on their next bit.  A bucket that is
-   still overfull at ``MAX_DEPTH`` - many copies of one text share a whole key - keeps an overflow chain.
-3. Each owner task takes buckets.  Within a bucket equal keys form a chain whose links are told apart by comparing
-   the bytes of the normalised texts (grouping on key *and* text); copies collapse map-side before they move, so a
-   group with a third of all rows sends one row per map task.
+   SHA-256, the pages of 4 KB it fills, the code points of the original, and the caller's columns.
+2. The directory doubles from one bucket: a histogram of the leading key bits (``2**MAX_DEPTH`` rows at most, about 32 a
+   bucket) tells which buckets hold more than ``capacity`` pages; those split on their next bit.  A bucket that is still
+   overfull at the last bit - many copies of one text share a whole key - keeps an overflow chain.
+3. Owner tasks take ranges of the key space, whole buckets of about equal pages together: the directory names a row's
+   bucket and owner, and the entries go to that task and no other.  Within a bucket equal keys form a chain whose links are
+   told apart by comparing the bytes of the normalised texts (grouping on key *and* text).  The entries of overflow chains
+   stay where they are until copies have collapsed, so a group with a third of all rows sends one row per map task.
 4. Of equal texts the entry with the most code points, then the smallest id, then the first stored row stays.
 
 Defined cases: null text counts as empty, and empty texts (or texts of white space alone) are equal to each other; a
@@ -24,8 +25,12 @@ from pyspark.sql import functions as F
 from aulastar.llm.joins import join_groups
 from aulastar.llm.store import stored
 
-CAPACITY = 1 << 18  # entries a bucket holds before it splits
-MAX_DEPTH = 14      # directory of at most 16,384 slots
+PAGE_BYTES = 4096   # of normalised text; an entry fills one page at least
+CAPACITY = 1 << 14  # pages a bucket holds before it splits: 64 MB
+SHARES = 1 << 16    # a bucket may always hold this part of all pages: the directory is bounded whatever the input
+FINER = 4           # bits by which a bucket may split beyond the average bucket
+MAX_DEPTH = 20      # directory of at most 1,048,576 slots
+OWNERS = 1 << 15    # tasks that own buckets, at most
 BLANKS = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
 
 
@@ -51,11 +56,28 @@ def split_buckets(histogram: dict[int, int], capacity: int, max_depth: int = MAX
     return sorted(done, key=lambda b: b.prefix << (max_depth - b.depth))
 
 
-def directory(spark: SparkSession, buckets: list[Bucket], max_depth: int = MAX_DEPTH) -> DataFrame:
-    """Slot -> bucket for the directory's ``2**global depth`` slots, at most ``2**max_depth`` rows."""
+def directory_depth(pages: int, capacity: int) -> int:
+    """Leading key bits that the histogram tells apart."""
+    return min(MAX_DEPTH, (pages // capacity).bit_length() + FINER) if pages > capacity else 0
+
+
+def owners(buckets: list[Bucket], capacity: int) -> list[int | None]:
+    """The owner task of every bucket: ranges of the key space of about equal pages; None for overflow chains."""
+    load = sum(b.entries for b in buckets if b.entries <= capacity)
+    tasks = max(1, min(OWNERS, sum(b.entries <= capacity for b in buckets)))
+    out, before = [], 0
+    for b in buckets:
+        out.append(before * tasks // load if b.entries <= capacity and load else None if b.entries > capacity else 0)
+        before += b.entries if b.entries <= capacity else 0
+    return [o if o is None else min(o, tasks - 1) for o in out]
+
+
+def directory(spark: SparkSession, buckets: list[Bucket], max_depth: int = MAX_DEPTH, capacity: int = CAPACITY) -> DataFrame:
+    """Slot -> bucket and owner for the directory's ``2**global depth`` slots, at most ``2**max_depth`` rows."""
     depth = max(b.depth for b in buckets)
-    rows = [((b.prefix << (depth - b.depth)) + i, n, b.depth) for n, b in enumerate(buckets) for i in range(1 << (depth - b.depth))]
-    return spark.createDataFrame(rows, "slot int, bucket int, local_depth int")
+    rows = [(b.prefix << (depth - b.depth), 1 << (depth - b.depth), n, b.depth, o) for n, (b, o) in enumerate(zip(buckets, owners(buckets, capacity), strict=True))]
+    first = spark.createDataFrame(rows, "slot int, slots int, bucket int, local_depth int, owner int")
+    return first.select(F.explode(F.sequence("slot", F.col("slot") + F.col("slots") - 1)).alias("slot"), "bucket", "local_depth", "owner")
 
 
 def normalised(text):
@@ -65,6 +87,11 @@ def normalised(text):
     return out
 
 
+def _lead(depth: int):
+    """The leading bits of the key: the slot in a directory of that depth."""
+    return (F.shiftrightunsigned("_key", 64 - depth) if depth else F.lit(0)).cast("int")
+
+
 class ExactIndex:
     """The index over ``docs``; ``members()`` has one row per document, ``survivors()`` the rows that stay."""
 
@@ -75,25 +102,30 @@ class ExactIndex:
         own = [F.col(id_col).alias("_id"), normalised(t).alias("_norm"), F.length(F.coalesce(t, F.lit(""))).cast("long").alias("_points"),
                F.monotonically_increasing_id().alias("_row")]
         kept = F.struct(*[F.col(f"`{c}`") for c in self.carry]) if self.carry else F.lit(None).cast("string")
-        self.entries = stored(docs.select(*own, kept.alias("_carry")).withColumn("_key", F.xxhash64("_norm")).withColumn("_sha", F.sha2("_norm", 256)), "exact-entries")
-        lead = F.shiftrightunsigned("_key", 64 - MAX_DEPTH)
-        histogram = {r["k"]: r["n"] for r in self.entries.groupBy(lead.alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()}  # 2**MAX_DEPTH rows at most
-        self.buckets = split_buckets(histogram, capacity)
-
-        self.total = sum(b.entries for b in self.buckets)
+        entries = docs.select(*own, kept.alias("_carry")).withColumns({
+            "_key": F.xxhash64("_norm"), "_sha": F.sha2("_norm", 256), "_pages": F.greatest(F.lit(1), F.ceil(F.octet_length("_norm") / PAGE_BYTES)).cast("int")})
+        self.entries = stored(entries, "exact-entries")
+        size = self.entries.agg(F.count(F.lit(1)).alias("n"), F.sum("_pages").alias("pages")).first()
+        self.total, pages = size["n"], size["pages"] or 0
+        self.capacity = max(capacity, pages // SHARES)
+        depth = directory_depth(pages, self.capacity)
+        lead = _lead(depth)
+        histogram = {r["k"]: r["n"] for r in self.entries.groupBy(lead.alias("k")).agg(F.sum("_pages").alias("n")).collect()} if depth else {0: pages}  # 2**MAX_DEPTH rows at most
+        self.buckets = split_buckets(histogram, self.capacity, depth)
         self.links = stored(self._links(), "exact-links")
 
     def _links(self) -> DataFrame:
         """Chain links (distinct texts) with two or more members, and the member that stays."""
-        depth = max(b.depth for b in self.buckets)
-        texts = self.entries.select("_key", "_norm", "_sha")
-        if depth:
-            slots = directory(self.spark, self.buckets)
-            texts = texts.withColumn("slot", F.shiftrightunsigned("_key", 64 - depth).cast("int")).join(F.broadcast(slots), "slot")  # 2**MAX_DEPTH rows at most
-        else:
-            texts = texts.withColumns({"bucket": F.lit(0), "local_depth": F.lit(0)})
-        texts = (texts.groupBy("bucket", "local_depth", "_key", "_norm", "_sha").agg(F.count(F.lit(1)).alias("size"))
-                 .filter("size > 1").select("bucket", "local_depth", "_key", "_sha", "size"))
+        chain = ["bucket", "local_depth", "_key", "_norm", "_sha"]
+        slots = directory(self.spark, self.buckets, capacity=self.capacity)
+        texts = self.entries.select(_lead(max(b.depth for b in self.buckets)).alias("slot"), "_key", "_norm", "_sha")
+        tasks = 1 + max((o for o in owners(self.buckets, self.capacity) if o is not None), default=0)
+        owned = texts.join(F.broadcast(slots.filter("owner IS NOT NULL")), "slot")   # 2**MAX_DEPTH rows at most
+        texts_seen = owned.repartitionById(tasks, "owner").groupBy("owner", *chain).agg(F.count(F.lit(1)).alias("size")).drop("owner")
+        if any(b.entries > self.capacity for b in self.buckets):
+            over = texts.join(F.broadcast(slots.filter("owner IS NULL")), "slot").groupBy(*chain).agg(F.count(F.lit(1)).alias("size"))
+            texts_seen = texts_seen.unionByName(over)
+        texts = texts_seen.filter("size > 1").drop("_norm")
         last = F.struct(F.col("_points"), F.col("_id").isNotNull().alias("has"), (-F.col("_id").cast("decimal(20,0)")).alias("neg"), (-F.col("_row")).alias("row"), F.col("_id").alias("id"))
         stays = self.entries.groupBy("_key", "_sha").agg(F.max(last).alias("m"), F.count(F.lit(1)).alias("n")).filter("n > 1")
         return texts.join(stays, ["_key", "_sha"]).select("bucket", "local_depth", "_key", "_sha", "size", F.col("m.id").alias("keep"), (-F.col("m.row")).alias("keep_row"))

@@ -483,6 +483,32 @@ def test_directory_splits_overfull_buckets(spark):
     assert slots == {**{s: (0, 1) for s in range(4)}, 4: (1, 3), 5: (2, 3), 6: (3, 2), 7: (3, 2)}
 
 
+def test_owners_take_ranges_of_the_key_space(spark):
+    buckets = [exact_dedup.Bucket(i, 4, n) for i, n in enumerate([5, 6, 4, 90, 6, 0, 5, 3])]
+    own = exact_dedup.owners(buckets, 6)
+    assert own[3] is None and len(own) == 8
+    rest = [o for o in own if o is not None]
+    assert rest == sorted(rest) and rest[0] == 0 and len(set(rest)) > 3
+    assert exact_dedup.owners([exact_dedup.Bucket(0, 0, 0)], 6) == [0] and exact_dedup.owners([exact_dedup.Bucket(0, 0, 9)], 6) == [None]
+    slots = {r.slot: r.owner for r in exact_dedup.directory(spark, buckets[:2] + [exact_dedup.Bucket(1, 3, 6)], 4, 6).collect()}
+    assert len(slots) == 4 and slots[2] == slots[3]
+
+
+def test_every_entry_goes_to_its_owner_and_overflow_chains_collapse_first(spark):
+    docs = [(i, f"text number {i % 400}") for i in range(600)] + [(1000 + i, "one text in a third of all rows") for i in range(300)]
+    index = exact_dedup.ExactIndex(frame(spark, docs), capacity=40)
+    assert any(b.entries > 40 for b in index.buckets) and len(index.buckets) > 16   # the copies' bucket stays overfull
+    links = index.links.select("bucket", "_key", "size").collect()
+    assert len(links) == 201 and {r["size"] for r in links} == {2, 300}
+    depth = max(b.depth for b in index.buckets)
+    for r in links:   # a link lies in the bucket that the leading bits of its key name
+        b = index.buckets[r.bucket]
+        assert (r._key & (1 << 64) - 1) >> 64 - b.depth == b.prefix and b.depth <= depth
+    plan = index._links()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("shufflepartitionidpassthrough") == 1   # owners' grouping needs no exchange of its own
+    assert {(r.doc_id, r.keep_id, r.group_size) for r in index.members().collect() if r.doc_id >= 1000} == {(1000 + i, 1000, 300) for i in range(300)}
+
+
 def test_survivors_carry_the_callers_columns(spark):
     rows = [(1, "a b", 9, "k"), (2, "ab", 8, "l"), (2, "ab", 8, "l"), (None, "a  b", 7, "m"), (None, "c", 1, "n"), (5, "c", 2, "o"), (5, "c", 2, "o")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, _row int, _key string")
