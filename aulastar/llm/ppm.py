@@ -13,11 +13,16 @@ child on the way, and a symbol's probability depends on its last ``ORDER`` bytes
 
 How it is distributed: texts go to blocks of about ``BLOCK_BYTES``.  A block sends each owner - a bucket of the trie, by the
 last two bytes of the context, so a node and its descendants are together - its distinct grams with their training
-counts, and each owner of words its distinct words.  Owners add up the counts of all blocks, compute every gram's log
+counts, and each owner of words its distinct words.  A byte pair that precedes more than 1/``HOT_PAIRS`` of all symbols would
+make a bucket that outgrows the others; there are fewer than ``HOT_PAIRS`` of them whatever the data, so their counts of order 2
+are counted beforehand and broadcast, and their buckets go by the last three bytes.  Owners add up the counts of all blocks, compute every gram's log
 probability on their part of the trie, and answer each block with just the values it asked for.  What moves is the
 distinct grams per block; the trie is never whole in one place.  The nodes of orders 0 and 1, at most 257 x 258 counts
 by the alphabet, are counted beforehand and broadcast.
 
+Rows are dealt to blocks by a hash of their content and their place in ``docs``, so that no set of equal rows shares a block;
+``docs`` has to be a stored table or a projection of one, whose places stay when a lost task is repeated.
+
 The base score is a unigram model over words with additive smoothing, from the same exchange.
 
 Defined cases: a null text is empty, has one token and is charged its end symbol; a null id counts as the empty string
@@ -41,6 +46,7 @@ WIDTH = 9
 BLOCK_BYTES = 16 << 20
 END_WORD = np.int64(0)
 ALPHA = 0.1
+HOT_PAIRS = 1000
 GRAMS, WORDS = 0, 1
 
 
@@ -69,9 +75,29 @@ def order1(g: np.ndarray, weight: np.ndarray | None = None) -> np.ndarray:
     return np.bincount(pair, weight, minlength=(START + 1) * SYMBOLS).reshape(START + 1, SYMBOLS)
 
 
-def log_probabilities(g: np.ndarray, n: np.ndarray, pairs: np.ndarray, order: int = ORDER) -> np.ndarray:
-    """log10 probability of each distinct gram.  ``n``: training counts; all grams of a two-byte context are here.  ``pairs``:
-    the order-1 counts of all training texts."""
+class HotPairs:
+    """The byte pairs that precede very many symbols, and the counts of the symbols after each."""
+
+    def __init__(self, codes: np.ndarray, after: np.ndarray):
+        self.codes, self.after = codes, after   # sorted pairs of 18 bits; a row of counts by symbol for each
+
+    @classmethod
+    def none(cls) -> HotPairs:
+        return cls(np.zeros(0, np.int64), np.zeros((0, SYMBOLS)))
+
+    def find(self, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which pairs are hot, and the row of each that is."""
+        if not len(self.codes):
+            return np.zeros(len(pair), dtype=bool), np.zeros(0, np.int64)
+        at = np.minimum(np.searchsorted(self.codes, pair), len(self.codes) - 1)
+        hot = self.codes[at] == pair
+        return hot, at[hot]
+
+
+def log_probabilities(g: np.ndarray, n: np.ndarray, pairs: np.ndarray, order: int = ORDER, hot: HotPairs | None = None) -> np.ndarray:
+    """log10 probability of each distinct gram.  ``n``: training counts; all grams of a two-byte context are here, and of a
+    hot one all grams of a three-byte context.  ``pairs``: the order-1 counts of all training texts."""
+    hot = hot or HotPairs.none()
     g, n = g.astype(np.int64), n.astype(np.float64)
     levels = []   # by order: count of the symbol, T and U of the context, and what the next longer context excludes here
     single = pairs.sum(axis=0)
@@ -90,11 +116,17 @@ def log_probabilities(g: np.ndarray, n: np.ndarray, pairs: np.ndarray, order: in
         kinds = np.bincount(ctx_codes, count > 0, minlength=len(ctx))
         if j == 2:
             lower = pairs[(uniq >> WIDTH) & 511, uniq & 511]
+            mine, at = hot.find(uniq >> WIDTH)
+            count[mine] = hot.after[at, uniq[mine] & 511]
         else:
             first = np.empty(len(uniq), dtype=np.int64)
             first[codes] = np.arange(len(g))
             lower = below_n[first]
         excluded = np.bincount(ctx_codes, lower * (count > 0), minlength=len(ctx))
+        if j == 2:   # a hot pair's other symbols are with other owners
+            mine, at = hot.find(ctx)
+            seen = hot.after[at] > 0
+            total[mine], kinds[mine], excluded[mine] = hot.after[at].sum(axis=1), seen.sum(axis=1), (seen * pairs[ctx[mine] & 511]).sum(axis=1)
         own = ctx_codes[codes]
         levels[j - 1][3], levels[j - 1][4] = excluded[own], kinds[own]
         below_n = count[codes]
@@ -120,8 +152,12 @@ def word_keys(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return T.word_hashes(data, starts, ends).view(np.int64) | np.int64(1), row
 
 
-def bucket_of(keys: np.ndarray, kind: int, buckets: int) -> np.ndarray:
-    by = (keys >> WIDTH) & ((1 << (2 * WIDTH)) - 1) if kind == GRAMS else keys
+def bucket_of(keys: np.ndarray, kind: int, buckets: int, hot: HotPairs) -> np.ndarray:
+    by = keys
+    if kind == GRAMS:
+        by = (keys >> WIDTH) & ((1 << (2 * WIDTH)) - 1)
+        split, _ = hot.find(by)
+        by[split] = (keys[split] >> WIDTH) & ((1 << (3 * WIDTH)) - 1) | np.int64(1 << (3 * WIDTH))
     return (T.mix64(by.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
 
 
@@ -138,7 +174,7 @@ class Tally:
         self.n = np.bincount(codes, np.concatenate((self.n, n)), minlength=len(self.keys)).astype(np.int64)
 
 
-def _requests(buckets: int, order: int):
+def _requests(buckets: int, order: int, hot: HotPairs):
     def run(key, table):
         tallies = (Tally(), Tally())
         for part in table.select(["text", "train"]).to_batches(max_chunksize=4096):
@@ -151,7 +187,7 @@ def _requests(buckets: int, order: int):
                 tallies[WORDS].add(np.append(w, END_WORD), np.append(train[a:e][row], train[a:e].sum()))
         kinds, owners, ks, ns = [], [], [], []
         for kind, tally in enumerate(tallies):
-            of = bucket_of(tally.keys, kind, buckets)
+            of = bucket_of(tally.keys, kind, buckets, hot)
             arrange = np.lexsort((tally.keys, of))
             cuts = np.searchsorted(of[arrange], np.arange(buckets + 1))
             for b in np.flatnonzero(np.diff(cuts)).tolist():
@@ -171,13 +207,13 @@ ANSWER = "block int, kind int, keys array<long>, value array<double>, words long
 SCORE = "doc_id long, held_out boolean, n_tokens long, n_known long, log_counts double, score double, words long, kinds long"
 
 
-def _owner(pairs: np.ndarray, order: int):
+def _owner(pairs: np.ndarray, order: int, hot: HotPairs):
     def run(key, table):
         kind = key[0].as_py()
         keys = [np.asarray(x.values) for x in table.column("keys")]
         codes, uniq = pd.factorize(np.concatenate(keys))
         n = np.bincount(codes, np.concatenate([np.asarray(x.values) for x in table.column("n")]), minlength=len(uniq))
-        value = n if kind == WORDS else log_probabilities(uniq, n, pairs, order)
+        value = n if kind == WORDS else log_probabilities(uniq, n, pairs, order, hot)
         answer = value[codes]
         cuts = np.cumsum([0, *map(len, keys)])
         blocks, asked = table.column("block").to_pylist(), [np.asarray(x.values) for x in table.column("keys")]
@@ -209,7 +245,10 @@ def _scores(order: int):
             for _, _, data, off in T.chunks(part.column(0)):
                 data, n = T.LOWER[data], len(off) - 1
                 g, row = grams(data, off, order)
-                cols["score"].append(np.bincount(row, values[GRAMS][index[GRAMS].get_indexer(g)], minlength=n))
+                at = index[GRAMS].get_indexer(g)
+                if (at < 0).any():
+                    raise RuntimeError("a text is not in the block that asked for its grams: the rows of docs have no stable place")
+                cols["score"].append(np.bincount(row, values[GRAMS][at], minlength=n))
                 w, row = word_keys(data, off)
                 c = values[WORDS][index[WORDS].get_indexer(np.append(w, END_WORD))]
                 cols["tokens"].append(np.bincount(row, minlength=n) + 1)
@@ -241,20 +280,57 @@ def _order1_counts(docs: DataFrame, order: int) -> np.ndarray:
     return out.reshape(START + 1, SYMBOLS)
 
 
-def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def hot_pairs(docs: DataFrame, pairs: np.ndarray, part: int = HOT_PAIRS) -> HotPairs:
+    """The pairs that precede over 1/part of all training symbols: fewer than ``part``, with 257 counts each."""
+    first, second = np.nonzero(pairs[:, :END] * part > pairs.sum())
+    codes = np.sort((first << WIDTH) | second)
+    if not len(codes):
+        return HotPairs.none()
+    shape = (len(codes), SYMBOLS)
+
+    def run(batches):
+        finder, total = HotPairs(codes, np.zeros(shape)), np.zeros(shape[0] * SYMBOLS, dtype=np.int64)
+        for b in batches:
+            train = b.column(1).to_numpy(zero_copy_only=False).astype(float)
+            for a, e, data, off in T.chunks(b.column(0)):
+                g, row = grams(T.LOWER[data], off, 2)
+                own, at = finder.find(g >> WIDTH)
+                total += np.bincount(at * SYMBOLS + (g[own] & 511), train[a:e][row[own]], minlength=len(total)).astype(np.int64)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], names=["gram", "n"])
+
+    after = np.zeros(shape[0] * SYMBOLS)
+    for r in docs.select("text", "train").mapInArrow(run, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect():   # bounded by shape
+        after[r["gram"]] = r["n"]
+    return HotPairs(codes, after.reshape(shape))
+
+
+def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text, train): nulls as empty, and whether the model may learn from the text."""
+    split = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 10 != 0
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), split.alias("train"))
+
+
+def dealt(rows: DataFrame, blocks: int) -> DataFrame:
+    """``rows`` with their ``block``, shuffled by it."""
+    block = F.pmod(F.xxhash64("doc_id", F.octet_length("text"), F.monotonically_increasing_id()), F.lit(blocks)).cast("int")
+    return rows.withColumn("block", block).repartition("block")
+
+
+def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, block_bytes: int = BLOCK_BYTES,
+                 hot_part: int = HOT_PAIRS) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
     if not 2 <= order <= 6:
         raise ValueError("a gram of order + 1 symbols of 9 bits fits 64 bits for orders 2 to 6")
-    split = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 10 != 0
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), split.alias("train"))
+    rows = texts(docs, id_col, text_col)
     size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     blocks = max(1, -(-size // block_bytes))
     pairs = _order1_counts(rows, order)
-    block = F.pmod(F.xxhash64("doc_id", F.octet_length("text"), F.substring("text", 1, 64)), F.lit(blocks)).cast("int")
-    dealt = rows.withColumn("block", block).repartition("block")   # read twice, shuffled once
-    asked = dealt.groupBy("block").applyInArrow(_requests(blocks, order), REQUEST)
-    answers = asked.groupBy("kind", "bucket").applyInArrow(_owner(pairs, order), ANSWER)
-    both = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_scores(order), SCORE)
+    hot = hot_pairs(rows, pairs, hot_part)
+    own = dealt(rows, blocks)   # read twice, shuffled once
+    asked = own.groupBy("block").applyInArrow(_requests(blocks, order, hot), REQUEST)
+    answers = asked.groupBy("kind", "bucket").applyInArrow(_owner(pairs, order, hot), ANSWER)
+    both = own.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_scores(order), SCORE)
     done = stored(both, "ppm-scores")
     totals = done.filter("words IS NOT NULL").agg(F.sum("words").alias("n"), F.sum("kinds").alias("v")).first()
     n, v = totals["n"] or 0, totals["v"] or 0

@@ -433,8 +433,8 @@ def test_ppm_as_dictionaries(spark):
             for w in [*brute.words(t), None]:
                 counts[w] = counts.get(w, 0) + 1
     n, v = sum(counts.values()), len(counts)
-    for block_bytes in (1 << 24, 900):
-        got = {r.doc_id: r for r in ppm.score_corpus(frame(spark, rows), block_bytes=block_bytes).collect()}
+    for block_bytes, hot_part in ((1 << 24, ppm.HOT_PAIRS), (900, ppm.HOT_PAIRS), (900, 60), (900, 1)):   # of all pairs most, a few, none are hot
+        got = {r.doc_id: r for r in ppm.score_corpus(frame(spark, rows), block_bytes=block_bytes, hot_part=hot_part).collect()}
         assert len(got) == len(rows)
         for i, t in rows:
             w, r = [*brute.words(t), None], got[i]
@@ -443,6 +443,16 @@ def test_ppm_as_dictionaries(spark):
             assert r.score == pytest.approx(model.score(t), rel=1e-9)
 
 
+def test_equal_rows_are_dealt_to_many_blocks(spark):
+    """A third of all rows are copies without an id: they share no block, and all get one score."""
+    rng = np.random.default_rng(14)
+    rows = [(None, "the same text in a third of all rows")] * 100 + [(i, prose(8, rng)) for i in range(200)]
+    got = ppm.score_corpus(frame(spark, rows), block_bytes=1000).collect()
+    assert len(got) == 300 and len({round(r.score, 9) for r in got if r.doc_id is None}) == 1
+    dealt = ppm.dealt(ppm.texts(frame(spark, rows)), 10).groupBy("block").count().collect()
+    assert len(dealt) == 10 and max(r["count"] for r in dealt) < 60
+
+
 def test_ppm_probabilities_sum_to_one():
     rng = np.random.default_rng(12)
     model = brute.Ppm(3)
