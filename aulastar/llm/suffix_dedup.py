@@ -420,6 +420,13 @@ def _cover(length: int, hot: np.ndarray):
     return run
 
 
+def dealt(rows: DataFrame, blocks: int) -> DataFrame:
+    """``rows`` with their ``block``, shuffled by it.  Blocks go by the rows' place too, so that equal rows share none;
+    ``rows`` has to come from a stored table, whose places stay when a lost task is repeated."""
+    block = F.pmod(F.xxhash64("doc_id", "n_bytes", F.monotonically_increasing_id()), F.lit(blocks)).cast("int")
+    return rows.withColumn("block", block).repartition("block")
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row."""
     if length < 2 * GRAM:
@@ -430,11 +437,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     size = total["n"] or 0
     hot = hot_anchors(rows, size, (total["last"] or 0) + 1, length, shard_bytes)
     blocks = max(1, -(-size // block_bytes))
-    # rows of one id and text differ in nothing; they may share a block, their snippets are one pair there
-    block = F.pmod(F.xxhash64("doc_id", "n_bytes", F.substring("text", 1, 64)), F.lit(blocks)).cast("int")
-    dealt = rows.withColumn("block", block).repartition("block")   # shuffled once, read three times
-    states = dealt.groupBy("block").applyInArrow(_pairs(blocks, length, hot), PAIRS).groupBy("bucket").applyInArrow(_judge(), STATES)
-    sent = dealt.groupBy("block").cogroup(states.groupBy("block")).applyInArrow(_send(blocks, length, hot), BYTES)
+    own = dealt(rows, blocks)   # shuffled once, read three times
+    states = own.groupBy("block").applyInArrow(_pairs(blocks, length, hot), PAIRS).groupBy("bucket").applyInArrow(_judge(), STATES)
+    sent = own.groupBy("block").cogroup(states.groupBy("block")).applyInArrow(_send(blocks, length, hot), BYTES)
     masks = sent.groupBy("bucket").applyInArrow(_search(length, shard_bytes), MASKS)
     answers = states.withColumn("mask", F.lit(None).cast("array<binary>")).unionByName(masks.withColumn("state", F.lit(None).cast("array<byte>")))
-    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_cover(length, hot), RESULT)
+    return own.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_cover(length, hot), RESULT)

@@ -178,6 +178,19 @@ def test_a_frequent_phrase_is_split_by_content(spark):
     assert [tuple(r)[1:] for r in sorted(got)] == brute.repeats(texts)
 
 
+def test_copies_without_an_id_share_no_block(spark):
+    rng = np.random.default_rng(6)
+    copy = prose(60, rng)
+    texts = [copy] * 60 + [prose(int(rng.integers(20, 80)), rng) + (copy[:260] if i % 9 == 0 else "") for i in range(120)]
+    rows = frame(spark, [(None if i < 60 else i, t) for i, t in enumerate(texts)])
+    sized = rows.selectExpr("doc_id", "text", "cast(octet_length(text) AS long) AS n_bytes")
+    per = suffix_dedup.dealt(sized.filter("doc_id IS NULL"), 8).groupBy("block").count().collect()
+    assert len(per) == 8 and max(r["count"] for r in per) < 25
+    got = suffix_dedup.remove_repeats(rows, block_bytes=6000, shard_bytes=2500).collect()
+    order = lambda x: tuple(str(v) for v in x)
+    assert sorted((tuple(r)[1:] for r in got), key=order) == sorted(brute.repeats(texts), key=order)
+
+
 def test_shards_merge_by_binary_search():
     rng = np.random.default_rng(4)
     common = rng.integers(97, 100, 376).astype(np.uint8)
