@@ -75,6 +75,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Rows of wide text that one task sorts by file as it writes Bronze (about 800 bytes each).
+TASK_ROWS = 400_000
+
+
+def _dealt(df: DataFrame, rows: int, key: str) -> DataFrame:
+    """``df`` by ``key`` over as many tasks as ``rows`` rows take, however many shuffle partitions the session has."""
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS)), key)
+
+
+def _entity_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders with their customer and nation.  Customers grow with the orders, so they are never broadcast."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
+                                              "o_orderpriority", "o_totalprice")
+    return o.join(_entity_side(spark, sf_dir).hint("merge"), F.col("o_custkey") == F.col("c_custkey"))
+
+
 def _entity_side(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -113,10 +129,9 @@ def surrogate_enrolment(spark: SparkSession, sf_dir: str) -> DataFrame:
     on the customer key, some entities have only negative measures (dropped by
     M2, so their teacher rows are orphans) and some only zeros."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", F.col("l_linestatus").alias("tipo"))
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
-                                              "o_orderpriority", "o_totalprice")
-    rows = li.join(o, li.l_orderkey == o.o_orderkey).join(_entity_side(spark, sf_dir),
-                                                           F.col("o_custkey") == F.col("c_custkey"))
+    n = li.count()   # from the footers
+    o = _dealt(_entity_orders(spark, sf_dir), n, "o_orderkey")
+    rows = _dealt(li, n, "l_orderkey").join(o.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
     measure = (F.when(F.col("c_custkey") % NEGATIVE_NUMERATOR == 0, F.lit("-5"))
                .when(F.col("c_custkey") % ZERO_NUMERATOR == 0, F.lit("0"))
                .otherwise(F.col("l_quantity").cast("int").cast("string")))
@@ -127,11 +142,9 @@ def surrogate_enrolment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def surrogate_teachers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Teacher raw rows: one per order that is not open, measure '1', or '0'
     for some entities (a zero denominator)."""
-    o = (table(spark, sf_dir, "orders")
-         .select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority", "o_totalprice")
-         .filter(F.col("o_orderstatus") != "O")
-         .withColumn("tipo", F.lit("F")))
-    rows = o.join(_entity_side(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
+    n = table(spark, sf_dir, "orders").count()   # from the footers
+    closed = _entity_orders(spark, sf_dir).filter(F.col("o_orderstatus") != "O")
+    rows = _dealt(closed, n, "o_orderkey").withColumn("tipo", F.lit("F"))
     measure = F.when(F.col("c_custkey") % ZERO_DENOMINATOR == 0, F.lit("0")).otherwise(F.lit("1"))
     data = _text_columns("docentes") + [measure.alias("docentes")]
     return rows.select(*data, "o_orderdate").select(*BRONZE_DATA_COLUMNS, "docentes", *_lineage("docentes"))
