@@ -75,7 +75,8 @@ def orders_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               "o_orderpriority", "o_totalprice")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    rows = o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    # customers grow with the orders and the grid is read several times: they are never broadcast, so none goes through the driver
+    rows = o.join(c.hint("merge"), o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     year = F.year("o_orderdate")
     prio = F.col("o_orderpriority")
     qty = F.floor(F.col("o_totalprice") / 1000).cast("bigint").cast("string")

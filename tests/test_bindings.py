@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from aulastar.plans import bindings
+from aulastar.plans.ingest_bindings import orders_grid
 from tests.test_plans import plan
 
 DAY = datetime.datetime(1998, 3, 1)
@@ -37,3 +38,8 @@ def test_bronze_rows_follow_every_copy_of_a_customer(spark, tables):
     closed = sum(2 if c == 0 else 1 for _, c, s, *_ in ORDERS if c < 5 and s != "O")
     got = bindings.surrogate_teachers(spark, tables)
     assert got.count() == closed and got.filter(F.col("departamento_domicilio_ies").isNull()).count() > 0   # customers of an unknown nation stay
+
+
+def test_customers_of_the_orders_grid_stay_out_of_the_driver(spark, tables):
+    joins = [node for node in plan(orders_grid(spark, tables)).split("\n\n") if "Join" in node and "Right keys" in node and "c_custkey" in node.split("Right keys")[1].split("\n")[0]]
+    assert joins and all("SortMergeJoin" in node for node in joins)
