@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -70,6 +71,36 @@ def test_quality_threshold_with_tied_strengths():
     assert (scores == scores[:, :1]).all() and scores[0, 0] < 0.5 <= scores[3, 0] and scores[1, 0] == scores[2, 0]
 
 
+def test_quality_fit_weighs_every_pair(spark):
+    """At the fitted weights the gradient over all pairs, taken one by one, is 0."""
+    rng = np.random.default_rng(3)
+    words = ["one", "TWO", "three,", "four.", "5", "a\nb", "É", "seven!"]
+    texts = [" ".join(rng.choice(words, rng.integers(3, 40))) for _ in range(500)]
+    marks = [int(t.count("o") * 8 + rng.normal(0, 40) > len(t)) for t in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, m, 0) for i, m in enumerate(marks)] + [(3, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    model = quality.fit(docs, labels)
+    used = [i for i in range(500) if zlib.crc32(str(i).encode()) % 3 != 1]
+    x, y = np.array([plain_features(texts[i]) for i in used]), np.array([marks[i] for i in used])
+    assert model.center == pytest.approx(x.mean(axis=0), abs=1e-9) and model.scale == pytest.approx(x.std(axis=0) + 1e-6, abs=1e-9)
+    z = np.clip((x - model.center) / model.scale, -8, 8)
+    d = (z[y == 1][:, None] - z[y == 0][None]).reshape(-1, x.shape[1])
+    grad = (d / (1 + np.exp(d @ model.weights))[:, None]).mean(axis=0) - quality.RIDGE * model.weights
+    assert np.abs(grad).max() < 2e-4
+    assert model.threshold == pytest.approx(np.quantile(model.strength(x), (y == 0).mean()), abs=1e-6)
+    again = quality.fit(docs.repartition(3), labels.repartition(2))
+    assert (again.weights == model.weights).all() and again.threshold == model.threshold   # in any order
+
+
+def test_quality_fit_reads_every_labelled_row(spark):
+    """More rows than a former sample took: the mean of the features is that of all of them."""
+    docs = spark.range(36_000).selectExpr("id as doc_id", "repeat('a', int(id % 97)) as text")
+    model = quality.fit(docs, spark.range(36_000).selectExpr("id as doc_id", "int(id % 97 > 40) as quality"))
+    sizes = np.array([i % 97 for i in range(36_000) if zlib.crc32(str(i).encode()) % 3 != 1])
+    assert model.center[quality.NAMES.index("log_bytes")] == pytest.approx(np.log1p(sizes).mean(), abs=1e-9)
+    assert model.center[1] == pytest.approx((sizes > 0).mean(), abs=1e-9)   # share of a-z
+
+
 # --- 7 toxicity ------------------------------------------------------------
 
 def letter_runs(text):
