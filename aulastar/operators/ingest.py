@@ -117,6 +117,19 @@ def map_columns(headers: DataFrame, aliases: Mapping[str, str]) -> DataFrame:
                         F.col("__alias").isNotNull().alias("mapped"))
 
 
+def _canonical_names(cells: Column, keys: Column, amap: Column) -> Column:
+    """S6 + S7 of the cells of one header row, as an array: see ``map_columns``."""
+    return F.transform(keys, lambda k, i: F.when(F.get(cells, i).isNull() | (k == ""), F.concat(F.lit("_c"), i.cast("string")))
+                       .otherwise(F.coalesce(F.element_at(amap, k), snake_case(k))))
+
+
+def map_header_rows(rows: DataFrame, aliases: Mapping[str, str]) -> DataFrame:
+    """S6 + S7 of whole header rows: ``cells`` becomes ``names``, the canonical
+    name of every cell as ``map_columns`` gives it."""
+    keyed = rows.withColumn("__keys", F.transform("cells", lambda x: normalize_header(x)))
+    return keyed.withColumn("names", _canonical_names(F.col("cells"), F.col("__keys"), _alias_map(aliases))).drop("cells", "__keys")
+
+
 def mapped_report(mapped: DataFrame) -> DataFrame:
     """``mapped / total`` header cells per file."""
     return (mapped.groupBy("source_file")
@@ -125,15 +138,17 @@ def mapped_report(mapped: DataFrame) -> DataFrame:
 
 def missing_required(mapped: DataFrame, required: Sequence[str]) -> DataFrame:
     """Per file, the required canonical columns that are absent (sorted)
-    and the number of distinct available names.  One hash aggregate: a
-    presence count per required name, no per-file arrays."""
-    req = sorted(set(required))
-    g = mapped.groupBy("source_file").agg(
-        *[F.count_if(F.col("canonical") == r).alias(f"__r{i}") for i, r in enumerate(req)],
-        F.count_distinct("canonical").cast("int").alias("n_available"))
-    missing = F.filter(F.array(*[F.when(F.col(f"__r{i}") == 0, F.lit(r)) for i, r in enumerate(req)]),
-                       lambda x: x.isNotNull())
-    return g.select("source_file", missing.alias("missing"), "n_available")
+    and the number of distinct available names.
+
+    ``mapped`` has the ``names`` of a file's header row in one row
+    (``map_header_rows``): each is worked out by itself, and no task holds the
+    names of more than one.  One row per cell (``map_columns``) is brought
+    together by file first."""
+    if "names" not in mapped.columns:
+        mapped = mapped.groupBy("source_file").agg(F.collect_set("canonical").alias("names"))
+    req = F.array(*[F.lit(r) for r in sorted(set(required))]).cast("array<string>")
+    return mapped.select("source_file", F.array_except(req, "names").alias("missing"),
+                         F.size(F.array_distinct("names")).alias("n_available"))
 
 
 @dataclass
@@ -190,9 +205,7 @@ def header_decisions(grid: DataFrame, declared: DataFrame, profile: IngestProfil
     amap = _alias_map(profile.aliases)
     keyed = head.select("source_file", "row_idx", "__decl", "cells",
                         F.transform("cells", lambda x: normalize_header(x)).alias("keys"))
-    names = F.transform("keys", lambda k, i: F.when(F.get(F.col("cells"), i).isNull() | (k == ""),
-                                                    F.concat(F.lit("_c"), i.cast("string")))
-                        .otherwise(F.coalesce(F.element_at(amap, k), snake_case(k))))
+    names = _canonical_names(F.col("cells"), F.col("keys"), amap)
     score = F.size(F.filter(F.arrays_zip("cells", "keys"),
                             lambda z: z["cells"].isNotNull() & F.element_at(amap, z["keys"]).isNotNull()))
     rows = keyed.select("source_file", "row_idx", "__decl", names.alias("names"), score.alias("score"))

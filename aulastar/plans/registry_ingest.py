@@ -74,7 +74,8 @@ def _s8(spark, d):
 
 
 def _s9(spark, d):
-    m = ingest.missing_required(_docs_mapped(spark, d), DOCS_PROFILE.required)
+    rows = ingest.detect_header(documents_grid(spark, d), list(DOCS_PROFILE.aliases), with_cells=True)
+    m = ingest.missing_required(ingest.map_header_rows(rows, DOCS_PROFILE.aliases), DOCS_PROFILE.required)
     return m.filter(F.size("missing") > 0).select("source_file", F.array_join("missing", ",").alias("faltantes"),
                                                   F.col("n_available").alias("n_disponibles"))
 

@@ -12,6 +12,7 @@ from aulastar.plans.ingest import backfill, header_report, ingest_profile, log_p
 from aulastar.sinks import bronze as sink
 from aulastar.sources import catalog as cat
 from aulastar.sources.grid import read_csv_grid, read_parquet_grid
+from tests.test_plans import plan
 
 HEAD_2022 = ('"Código de \nla Institución","Institución de Educación Superior (IES)","Departamento de domicilio '
              'de la IES","Año","Semestre","No. de Docentes","Carácter IES"')
@@ -253,3 +254,22 @@ def test_duplicate_audit_counts_candidates_only(spark):
     assert duplicate_audit(df.limit(0)).collect() == []
     plan = duplicate_audit(df)._jdf.queryExecution().optimizedPlan().toString()
     assert "Join LeftSemi" in plan and plan.count("xxhash64") == 2
+
+
+def test_missing_names_are_found_within_the_header_row(spark):
+    aliases = {"THE": "a", "AND": "b", "OF": "c"}
+    rows = [("x", 1, ["the", "The", None, "", "and", "of them", "Of  Them"]), ("y", 2, ["of", None, None]), (None, 0, ["?", "AND"])]
+    heads = spark.createDataFrame(rows, "source_file string, header_row long, cells array<string>")
+    by_row = ingest.missing_required(ingest.map_header_rows(heads, aliases), ["c", "a", "c"])
+    p = plan(by_row)
+    assert "Aggregate" not in p and "Generate" not in p and "Exchange" not in p   # no task holds the names of several files
+    got = {r.source_file: (r.missing, r.n_available) for r in by_row.collect()}
+    assert got == {"x": (["c"], 5), "y": (["a"], 3), None: (["a", "c"], 2)}
+    cells = ingest.map_columns(heads.select("source_file", F.posexplode("cells").alias("position", "header")), aliases)
+    assert {r.source_file: (r.missing, r.n_available) for r in ingest.missing_required(cells, ["c", "a", "c"]).collect()} == got
+
+
+def test_the_required_check_counts_no_cells_by_file(spark):
+    from __spark_entry__ import queries
+    p = plan(queries()["s9_required_check"](spark, "/root/testdata/sf0.001"))
+    assert "Aggregate" not in p and p.count("hashpartitioning(source_file") > 0
