@@ -28,9 +28,9 @@ def stg_entity(raws: list[DataFrame], cfg: StarConfig = DOMAIN) -> DataFrame:
     Attribute rows of every raw table are unioned; the row with the highest
     parsed year wins, then the lowest name, then the remaining attributes
     (all ascending, nulls last) so that the choice is the same on every run.
-    Equal attribute rows are dropped first by a hash aggregate (partial, then
-    one exchange): thousands of raw rows per entity and year become a few, and
-    the window sorts only those.
+    The order names every attribute, so rows that tie are equal.  Each task
+    keeps its first row per code (``WindowGroupLimit``) before the only
+    exchange: no attribute row but a task's latest of its code is shuffled.
     """
     c = cfg
     rows = _attribute_rows(raws[0], c)
@@ -38,7 +38,7 @@ def stg_entity(raws: list[DataFrame], cfg: StarConfig = DOMAIN) -> DataFrame:
         rows = rows.unionByName(_attribute_rows(r, c))
     order = [safe_int(c.year).desc_nulls_last(), F.col(c.name).asc_nulls_last()]
     order += [F.col(x).asc_nulls_last() for x in (c.kind, c.sector, c.caracter, c.place, c.town, c.accredited, c.year)]
-    latest = latest_per_key(rows.distinct(), c.code, order)
+    latest = latest_per_key(rows, c.code, order)
     return (latest
             .select(
                 safe_int(c.code).alias("codigo_snies"),

@@ -85,9 +85,10 @@ def _dealt(df: DataFrame, rows: int, key: str) -> DataFrame:
 
 
 def _entity_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The orders with their customer and nation.  Customers grow with the orders, so they are never broadcast."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
-                                              "o_orderpriority", "o_totalprice")
+    """The orders with their customer and nation.  Customers grow with the orders, so they are never broadcast.  A price takes part
+    only as the accreditation it stands for: of all columns its digits are those that no codec makes smaller in a shuffle."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority",
+                                              F.when(F.col("o_totalprice") > 300000, F.lit("Si")).alias("ies_acreditada"))
     return o.join(_entity_side(spark, sf_dir).hint("merge"), F.col("o_custkey") == F.col("c_custkey"))
 
 
@@ -107,7 +108,7 @@ def _text_columns(profile: str) -> list:
         F.col("c_mktsegment").alias("caracter_ies"),
         F.col("n_name").alias("departamento_domicilio_ies"),
         F.col("c_nationkey").cast("string").alias("municipio_domicilio_ies"),
-        F.when(F.col("o_totalprice") > 300000, F.lit("Si")).alias("ies_acreditada"),
+        F.col("ies_acreditada"),
         year.alias("anio"),
         F.when(F.month("o_orderdate") <= 6, F.lit("1")).otherwise(F.lit("2")).alias("semestre"),
     ]
@@ -130,11 +131,12 @@ def surrogate_enrolment(spark: SparkSession, sf_dir: str) -> DataFrame:
     M2, so their teacher rows are orphans) and some only zeros."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", F.col("l_linestatus").alias("tipo"))
     n = li.count()   # from the footers
-    o = _dealt(_entity_orders(spark, sf_dir), n, "o_orderkey")
+    # what the customer key says is worked out before the orders are dealt
+    fixed = (F.when(F.col("c_custkey") % NEGATIVE_NUMERATOR == 0, F.lit("-5"))
+             .when(F.col("c_custkey") % ZERO_NUMERATOR == 0, F.lit("0")))
+    o = _dealt(_entity_orders(spark, sf_dir).withColumn("fixed", fixed), n, "o_orderkey")
     rows = _dealt(li, n, "l_orderkey").join(o.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
-    measure = (F.when(F.col("c_custkey") % NEGATIVE_NUMERATOR == 0, F.lit("-5"))
-               .when(F.col("c_custkey") % ZERO_NUMERATOR == 0, F.lit("0"))
-               .otherwise(F.col("l_quantity").cast("int").cast("string")))
+    measure = F.coalesce("fixed", F.col("l_quantity").cast("int").cast("string"))
     data = _text_columns("matriculados") + [measure.alias("matriculados")]
     return rows.select(*data, "o_orderdate").select(*BRONZE_DATA_COLUMNS, "matriculados", *_lineage("matriculados"))
 
@@ -143,10 +145,10 @@ def surrogate_teachers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Teacher raw rows: one per order that is not open, measure '1', or '0'
     for some entities (a zero denominator)."""
     n = table(spark, sf_dir, "orders").count()   # from the footers
-    closed = _entity_orders(spark, sf_dir).filter(F.col("o_orderstatus") != "O")
-    rows = _dealt(closed, n, "o_orderkey").withColumn("tipo", F.lit("F"))
     measure = F.when(F.col("c_custkey") % ZERO_DENOMINATOR == 0, F.lit("0")).otherwise(F.lit("1"))
-    data = _text_columns("docentes") + [measure.alias("docentes")]
+    closed = _entity_orders(spark, sf_dir).filter(F.col("o_orderstatus") != "O").withColumn("docentes", measure)
+    rows = _dealt(closed, n, "o_orderkey").withColumn("tipo", F.lit("F"))
+    data = _text_columns("docentes") + [F.col("docentes")]
     return rows.select(*data, "o_orderdate").select(*BRONZE_DATA_COLUMNS, "docentes", *_lineage("docentes"))
 
 
@@ -203,7 +205,8 @@ def bronze_tables(spark: SparkSession, sf_dir: str, materialize: bool = True) ->
     Bronze is a stored layer: the surrogate is written once per application
     and input fingerprint under the shared checkpoint folder, partitioned by
     ``_source_file`` like the Bronze sink, and read back from parquet
-    (column pruning and filter push-down then apply to every query).
+    (column pruning and filter push-down then apply to every query).  Most of
+    its bytes are the hexadecimal row hash, which zstd halves and snappy keeps.
     """
     if not materialize:
         return surrogate_enrolment(spark, sf_dir), surrogate_teachers(spark, sf_dir)
@@ -215,7 +218,7 @@ def bronze_tables(spark: SparkSession, sf_dir: str, materialize: bool = True) ->
             path = f"{root}/{name}"
             if not path_exists(spark, f"{path}/_SUCCESS"):
                 (build(spark, sf_dir).write.mode("overwrite").option("partitionOverwriteMode", "static")
-                 .partitionBy("_source_file").parquet(path))
+                 .option("compression", "zstd").partitionBy("_source_file").parquet(path))
                 remove_at_exit(spark, path)
             out.append(spark.read.parquet(path))
     return out[0], out[1]

@@ -4,6 +4,7 @@ from aulastar.config import DOMAIN
 from aulastar.operators import gold, marts, silver
 from aulastar.plans.star import build_star
 from conftest import raw_rows
+from tests.test_plans import plan
 
 
 def seed(spark, codes):
@@ -140,3 +141,12 @@ def test_b14_percentiles_exact(spark):
     # ratios 2.87 2.88 10.00 10.01 -> p25 = 2.8775 -> 2.88, median 6.44, p75 = 10.0025 -> 10.00
     assert float(r.p25) == 2.88 and float(r.mediana) == 6.44 and float(r.p75) == 10.0
     assert float(r.promedio) == 6.44
+
+
+def test_entity_rows_are_shuffled_once_and_cut_to_the_latest_before(spark):
+    m = raw_rows(spark, "matriculados", [{"anio": y, "institucion_educacion_superior_ies": n} for y in ("2022", "2023", None, "x") for n in ("B", "A", "A")] * 3)
+    d = raw_rows(spark, "docentes", [{"anio": "2023", "institucion_educacion_superior_ies": "A", "tipo_ies": t} for t in (None, "Seccional", "Principal")])
+    out = silver.stg_entity([m, d])
+    nodes = [n for n in plan(out).split("\n\n") if ") Exchange" in n]
+    assert len(nodes) == 1 and "hashpartitioning(codigo_institucion" in nodes[0]   # no exchange of all attribute rows
+    assert [(r.codigo_snies, r.anio_ultimo_registro, r.nombre_ies, r.tipo_ies) for r in out.collect()] == [(1101, 2023, "A", "Principal")]
